@@ -1,0 +1,28 @@
+"""Join helpers: size-checked broadcast of dimensions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension with at most this many rows is shipped to every task instead of
+# shuffling the fact side. Dimensions are projected to a few columns before the
+# check, so the bound keeps a broadcast well under 100 MB.
+DIMENSION_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    """Mark ``dim`` for broadcast only if it provably holds ≤ ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
+    returned unchanged and Spark plans a shuffle join (AQE may still switch to a
+    broadcast at runtime from measured sizes).
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str],
+                   how: str = "inner", max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    """Equi-join a fact frame to a (usually small) dimension frame."""
+    return fact.join(bounded_broadcast(dim, max_rows), on=on, how=how)

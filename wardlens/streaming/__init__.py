@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source system has no stream processing: no sources, watermarks, windows
+or state (all of its work is batch SQL over stored tables). Every operator of
+this library is a batch DataFrame function, so none is re-expressed here; the
+indicator job is rerunnable per period (``wardlens.plans.publish``) and can be
+scheduled as a batch job.
+"""
