@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from wardlens.functions import (avg_diff_half_up, cents, contains_any, half_up_div,
+                                label_by_lists, matches_lower, money, severity,
+                                value_order)
+
+
+def _ref_half_up(num: int, den: int, digits: int) -> float:
+    """Exact rational rounding, ties away from zero."""
+    exact = Fraction(num, den)
+    mag = abs(exact * 10 ** digits)
+    r = int(mag) + (1 if mag - int(mag) >= Fraction(1, 2) else 0)
+    return float(Fraction(r if exact >= 0 else -r, 10 ** digits))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(1, 10**6),
+                          st.sampled_from([0, 1, 2, 4])), min_size=1, max_size=20))
+def test_half_up_div_is_exact(spark, cases):
+    df = spark.createDataFrame(cases, "n long, d long, k int")
+    got = {}
+    for k in {c[2] for c in cases}:
+        for r in df.where(F.col("k") == k).select("n", "d", half_up_div("n", "d", k).alias("v")).collect():
+            got[(r.n, r.d, k)] = r.v
+    for n, d, k in cases:
+        assert got[(n, d, k)] == _ref_half_up(n, d, k), (n, d, k)
+
+
+def test_half_up_ties_go_away_from_zero(spark):
+    df = spark.createDataFrame([(5, 2), (-5, 2), (1, 8), (-1, 8), (2675, 1000)], "n long, d long")
+    out = [r[0] for r in df.select(half_up_div("n", "d", 0)).collect()][:2]
+    assert out == [3.0, -3.0]
+    out = [r[0] for r in df.select(half_up_div("n", "d", 2)).collect()]
+    assert out[2:] == [0.13, -0.13, 2.68]
+
+
+def test_half_up_zero_denominator_is_null(spark):
+    df = spark.createDataFrame([(1, 0), (0, 5)], "n long, d long")
+    assert [r[0] for r in df.select(half_up_div("n", "d", 1)).collect()] == [None, 0.0]
+
+
+def test_cents_and_money_round_trip(spark):
+    vals = [448.29, 0.1, 112946.26, 1.005, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    out = [r[0] for r in df.select(money(cents("x"))).collect()]
+    assert out[:3] == [448.29, 0.1, 112946.26] and out[4] is None
+    assert sum(r[0] for r in df.select(cents("x")).collect()[:3]) == 44829 + 10 + 11294626
+
+
+def test_avg_diff_uses_unrounded_means(spark):
+    # means 21/20 = 1.05 and 1/25 = 0.04: the gap of the exact means is
+    # 1.01 -> 1.0, while the gap of the rounded means would be 1.1 - 0.0 = 1.1
+    df = spark.createDataFrame([(21, 20, 1, 25)], "sa long, na long, sb long, nb long")
+    assert df.select(avg_diff_half_up("sa", "na", "sb", "nb", 1)).first()[0] == 1.0
+
+
+def test_severity_is_strict(spark):
+    df = spark.createDataFrame([(10.0,), (10.1,), (5.0,), (5.1,), (None,)], "v double")
+    out = [r[0] for r in df.select(severity("v", 10, 5)).collect()]
+    assert out == ["elevated", "critical", "normal", "elevated", "normal"]
+
+
+def test_value_order_and_labels(spark):
+    df = spark.createDataFrame([("Low",), ("High",), ("x",), ("Moderate",)], "v string")
+    out = [r[0] for r in df.select(value_order("v", ["High", "Moderate", "Low"])).collect()]
+    assert out == [3, 1, 0, 2]
+    z = spark.createDataFrame([("12307",), ("99999",), (None,)], "z string")
+    lab = [r[0] for r in z.select(label_by_lists("z", {"A": ["12307"]}, "U")).collect()]
+    assert lab == ["A", "U", "U"]
+
+
+def test_contains_any_is_case_insensitive_and_literal(spark):
+    df = spark.createDataFrame([("Fever workup",), ("GASTROENTERITIS",), ("100% fine",),
+                                ("100x fine",), (None,)], "c string")
+    out = [r[0] for r in df.select(contains_any("c", ["fever", "gastroenteritis"])).collect()]
+    assert out[:4] == [True, True, False, False] and out[4] is None
+    pct = [r[0] for r in df.select(contains_any("c", ["0% f"])).collect()]
+    assert pct[:4] == [False, False, True, False]
+
+
+def test_matches_lower(spark):
+    df = spark.createDataFrame([("HYPERTENSION check",), ("Diabetic foot",), ("ankle",)], "c string")
+    out = [r[0] for r in df.select(matches_lower("c", "diabetic|hypertens")).collect()]
+    assert out == [True, True, False]
+
+
+def test_half_up_reference_helper():
+    assert _ref_half_up(5, 2, 0) == 3.0 and _ref_half_up(-5, 2, 0) == -3.0
+    assert float(Decimal("2.675").quantize(Decimal("0.01"), ROUND_HALF_UP)) == _ref_half_up(2675, 1000, 2)

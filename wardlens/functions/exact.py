@@ -16,9 +16,15 @@ _WIDE = "decimal(38,0)"
 
 
 def cents(amount: Column | str) -> Column:
-    """Money column (double with two decimals) as exact ``long`` cents."""
+    """Money column (double with two decimals) as exact ``long`` cents.
+
+    ``rint`` (nearest integer) undoes the binary representation error of a
+    cent amount (``448.29 * 100 = 44828.99999…``) and, unlike ``round`` on a
+    double, needs no per-row decimal conversion. Amounts finer than a cent are
+    rounded to the nearest cent (an exact half cent to even).
+    """
     c = F.col(amount) if isinstance(amount, str) else amount
-    return F.round(c * 100).cast("long")
+    return F.rint(c * 100).cast("long")
 
 
 def money(cents_col: Column | str) -> Column:

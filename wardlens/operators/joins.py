@@ -10,16 +10,27 @@ from pyspark.sql import functions as F
 # check, so the bound keeps a broadcast well under 100 MB.
 DIMENSION_MAX_ROWS = 200_000
 
+# (application, plan hash, bound) -> proven small. A plan is checked once per
+# application; the same plan over the same inputs is not counted again.
+_checked: dict[tuple[str, int, int], bool] = {}
+
+
+def is_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows; reads at most
+    ``max_rows + 1`` rows to decide."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
+
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """Mark ``dim`` for broadcast only if it provably holds ≤ ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned unchanged and Spark plans a shuffle join (AQE may still switch to a
-    broadcast at runtime from measured sizes).
+    Beyond the bound the frame is returned unchanged and Spark plans a shuffle
+    join (AQE may still switch to a broadcast at runtime from measured sizes).
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if is_bounded(dim, max_rows) else dim
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str],

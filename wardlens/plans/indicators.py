@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from wardlens.functions.columns import in_period, severity
 from wardlens.functions.exact import half_up_div, pct_half_up
-from wardlens.operators.derive import (READMISSION_WINDOW_DAYS, with_catchment_area,
-                                       with_length_of_stay, with_readmission_flag)
+from wardlens.operators.derive import (READMISSION_WINDOW_DAYS, readmission_days,
+                                       with_catchment_area, with_length_of_stay)
 from wardlens.operators.joins import bounded_broadcast, join_dimension
 from wardlens.sources.model import Tables
 
@@ -103,15 +103,24 @@ def readmission_rate(encounters: DataFrame, patients: DataFrame, start: dt.date,
     validate_period(start, end)
     scope = encounters.where(F.col("EncounterType").isin(READMISSION_SCOPE)
                              & in_period("EncounterDate", start, end))
-    if "IsReadmission" not in encounters.columns:
+    if "IsReadmission" in encounters.columns:
+        per_patient = (scope.groupBy("PatientID")
+                       .agg(F.count(F.lit(1)).alias("_n"),
+                            F.count_if(F.col("IsReadmission") == "Yes").alias("_yes")))
+    else:
+        # Count encounters per (patient, day) first: the flag depends only on
+        # that key, and the aggregate is already distinct and partitioned on it.
+        per_day = (scope.groupBy("PatientID", "EncounterDate")
+                   .agg(F.count(F.lit(1)).alias("_n")))
         prior = encounters.where(F.col("DischargeDate").between(
             F.date_sub(F.lit(start), window_days), F.date_sub(F.lit(end), 1)))
-        scope = with_readmission_flag(
-            scope.select("EncounterID", "PatientID", "EncounterDate"),
-            prior=prior, window_days=window_days, method=method)
-    per_patient = (scope.groupBy("PatientID")
-                   .agg(F.count(F.lit(1)).alias("_n"),
-                        F.count_if(F.col("IsReadmission") == "Yes").alias("_yes")))
+        hits = (readmission_days(per_day, prior, window_days, method=method)
+                .withColumn("_hit", F.lit(True)))
+        per_patient = (per_day.join(hits, ["PatientID", "EncounterDate"], "left")
+                       .groupBy("PatientID")
+                       .agg(F.sum("_n").alias("_n"),
+                            F.sum(F.when(F.col("_hit"), F.col("_n")).otherwise(0))
+                             .alias("_yes")))
     agg = (per_patient.join(_areas(patients), "PatientID")
            .groupBy("CatchmentArea")
            .agg(F.sum("_yes").alias("Numerator"), F.sum("_n").alias("Denominator")))

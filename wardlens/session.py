@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call-site capture on every DataFrame API call (only enriches error
+    # messages) costs a JVM round trip per call while plans are built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
