@@ -129,3 +129,10 @@ def test_severity_at_cutoffs(make):
     r = readmission_rate(enc, pts, S, day(400), ON).first()
     assert (r.Numerator, r.Denominator, r.ComputedValue, r.SeverityFlag) == (1.0, 10.0, 10.0,
                                                                               "elevated")
+
+
+def test_first_encounter_methods_agree(model):
+    a = first_encounter_complication_rate(model.encounters, model.patients, S, E, ON)
+    b = first_encounter_complication_rate(model.encounters, model.patients, S, E, ON,
+                                          method="row_number")
+    assert rows(a) == rows(b)

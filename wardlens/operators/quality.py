@@ -65,6 +65,10 @@ def foreign_key_report(tables: Tables,
                        ) -> DataFrame:
     """One row per foreign key: how many child rows reference a missing parent.
 
+    Child keys are counted first (a map-side partial aggregate), so the anti
+    join moves one row per distinct key and a key held by a third of all child
+    rows costs one row.
+
     → ChildTable, ChildColumn, ParentTable, Orphans
     """
     parts = []
@@ -72,8 +76,10 @@ def foreign_key_report(tables: Tables,
         child, parent = getattr(tables, child_t, None), getattr(tables, parent_t, None)
         if child is None or parent is None:
             continue
-        cnt = orphans(child.select(child_c), parent.select(parent_c), child_c, parent_c)
-        parts.append(cnt.agg(F.count(F.lit(1)).alias("Orphans")).select(
+        keys = (child.where(F.col(child_c).isNotNull())
+                .groupBy(child_c).agg(F.count(F.lit(1)).alias("_n")))
+        missing = orphans(keys, parent.select(parent_c), child_c, parent_c)
+        parts.append(missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("Orphans")).select(
             F.lit(child_t).alias("ChildTable"), F.lit(child_c).alias("ChildColumn"),
             F.lit(parent_t).alias("ParentTable"), "Orphans"))
     return functools.reduce(DataFrame.unionByName, parts)

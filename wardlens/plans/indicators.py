@@ -13,7 +13,7 @@ import datetime as dt
 import functools
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.functions.columns import in_period, severity
@@ -133,21 +133,34 @@ def readmission_rate(encounters: DataFrame, patients: DataFrame, start: dt.date,
 
 def first_encounter_complication_rate(encounters: DataFrame, patients: DataFrame,
                                       start: dt.date, end: dt.date,
-                                      computed_on: dt.date | None = None) -> DataFrame:
+                                      computed_on: dt.date | None = None,
+                                      method: str = "min_by") -> DataFrame:
     """Each patient's first encounter *within the period* (earliest date, then
     lowest EncounterID); share that is emergency or inpatient per catchment
     area (cutoffs 50 / 30).
 
-    ``min_by`` over a (date, id) struct is a mergeable aggregate: every task
-    keeps one candidate per patient before the shuffle, so a patient with a
-    huge history costs one row, not one task.
+    ``method="min_by"`` (default): ``min_by`` over a (date, id) struct is a
+    mergeable aggregate, so every task keeps one candidate per patient before
+    the shuffle and a patient with a huge history costs one row, not one task.
+    ``method="row_number"``: ``row_number() = 1`` per patient; Spark plans it as
+    a per-partition group limit before the shuffle (sort-based) and a final
+    limit after it, so it is also bounded per patient.
     """
     validate_period(start, end)
-    first = (encounters.where(in_period("EncounterDate", start, end)
-                              & F.col("PatientID").isNotNull())
-             .groupBy("PatientID")
-             .agg(F.min_by("EncounterType", F.struct("EncounterDate", "EncounterID"))
-                  .alias("_first_type")))
+    scope = encounters.where(in_period("EncounterDate", start, end)
+                             & F.col("PatientID").isNotNull())
+    if method == "min_by":
+        first = (scope.groupBy("PatientID")
+                 .agg(F.min_by("EncounterType", F.struct("EncounterDate", "EncounterID"))
+                      .alias("_first_type")))
+    elif method == "row_number":
+        w = Window.partitionBy("PatientID").orderBy("EncounterDate", "EncounterID")
+        first = (scope.select("PatientID", "EncounterType",
+                              F.row_number().over(w).alias("_rn"))
+                 .where(F.col("_rn") == 1)
+                 .select("PatientID", F.col("EncounterType").alias("_first_type")))
+    else:
+        raise ValueError(f"unknown method {method!r}")
     agg = (first.join(_areas(patients), "PatientID")
            .groupBy("CatchmentArea")
            .agg(F.count_if(F.col("_first_type").isin(COMPLICATION_TYPES)).alias("Numerator"),

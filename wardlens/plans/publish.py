@@ -6,15 +6,20 @@ period's rows are written to the explicit partition directory with
 ``mode("overwrite")``: unlike dynamic partition overwrite, this also clears the
 period when the new result is empty.
 
-Failure behaviour: tasks lost with an executor are retried by Spark and only
-committed output becomes visible. The overwrite itself is not atomic for
-concurrent readers (the old files are removed before the new job commits); a
-failed job leaves the period empty, and rerunning the job repairs it.
+Compute first, replace last: Spark's overwrite removes the target directory
+before its write job runs, so the (possibly long) computation is first
+written to a staging folder under the table root (``_staging``, ignored by
+partition discovery); only then is the period directory replaced by a copy of
+the staged files, and the staging folder removed. A failure while computing
+leaves the published rows intact; tasks lost with an executor are retried by
+Spark. The final swap is not atomic for concurrent readers; rerunning the job
+repairs an interrupted swap.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +28,7 @@ from wardlens import schemas
 from wardlens.plans.indicators import INDICATOR_COLUMNS, validate_period
 
 PERIOD_COLUMNS = ["ReportingPeriodStart", "ReportingPeriodEnd"]
+STAGING = "_staging"
 
 
 def period_path(root: str, start: dt.date, end: dt.date) -> str:
@@ -30,8 +36,15 @@ def period_path(root: str, start: dt.date, end: dt.date) -> str:
             f"/ReportingPeriodEnd={end.isoformat()}")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the Hadoop file system of its URI."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def publish_indicators(indicators: DataFrame, root: str, start: dt.date,
-                       end: dt.date) -> str:
+                       end: dt.date, staged: bool = True) -> str:
     """Replace the rows of period (start, end) under ``root``; returns the
     partition path. Rows of other periods in ``indicators`` are ignored."""
     validate_period(start, end)
@@ -40,7 +53,16 @@ def publish_indicators(indicators: DataFrame, root: str, start: dt.date,
                    & (F.col("ReportingPeriodEnd") == F.lit(end)))
             .select(*[c for c in INDICATOR_COLUMNS if c not in PERIOD_COLUMNS]))
     path = period_path(root, start, end)
-    rows.write.mode("overwrite").parquet(path)
+    if not staged:
+        rows.write.mode("overwrite").parquet(path)
+        return path
+    spark = indicators.sparkSession
+    stage = f"{root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+    rows.write.mode("overwrite").parquet(stage)
+    try:
+        spark.read.schema(rows.schema).parquet(stage).write.mode("overwrite").parquet(path)
+    finally:
+        _delete(spark, stage)
     return path
 
 
