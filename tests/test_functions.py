@@ -94,3 +94,10 @@ def test_matches_lower(spark):
 def test_half_up_reference_helper():
     assert _ref_half_up(5, 2, 0) == 3.0 and _ref_half_up(-5, 2, 0) == -3.0
     assert float(Decimal("2.675").quantize(Decimal("0.01"), ROUND_HALF_UP)) == _ref_half_up(2675, 1000, 2)
+
+
+def test_half_up_no_negative_zero(spark):
+    import math
+    df = spark.createDataFrame([(-1, 100)], "n long, d long")
+    v = df.select(half_up_div("n", "d", 1)).first()[0]
+    assert v == 0.0 and math.copysign(1.0, v) == 1.0

@@ -52,7 +52,8 @@ def half_up_div(num: Column | str, den: Column | str, digits: int) -> Column:
     a = F.abs(n) * F.lit(2 * scale) + d
     b = d * F.lit(2)
     q = (a - a % b) / b  # exact: a - a % b is a multiple of b
-    return F.when(d > 0, q.cast("double") / scale * F.signum(n))
+    signed = F.when(n < 0, -q).otherwise(q)  # exact; a zero result stays 0.0, not -0.0
+    return F.when(d > 0, signed.cast("double") / scale)
 
 
 def avg_half_up(total: Column | str, count: Column | str, digits: int) -> Column:

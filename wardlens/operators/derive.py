@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.functions.columns import label_by_lists, yes_no
+from wardlens.operators.joins import join_dimension
 
 # ZIP code lists of the three health service areas, in the
 # source's order, and the label for every other ZIP.
@@ -54,9 +55,21 @@ def with_length_of_stay(encounters: DataFrame) -> DataFrame:
 
 
 def with_catchment_area(patients: DataFrame,
-                        mapping: Mapping[str, Sequence[str]] | None = None,
+                        mapping: Mapping[str, Sequence[str]] | DataFrame | None = None,
                         default: str = UNASSIGNED) -> DataFrame:
-    """+ ``CatchmentArea`` from the ZIP code (first listed area wins)."""
+    """+ ``CatchmentArea`` from the ZIP code.
+
+    ``mapping`` is either ``{area: [zip, ...]}`` (a ``CASE`` chain; the first
+    listed area wins) or a frame ``(Zip, CatchmentArea)`` with one row per ZIP,
+    joined with a size-checked broadcast — the form for large ZIP tables.
+    Unmapped and null ZIPs get ``default``.
+    """
+    if isinstance(mapping, DataFrame):
+        m = mapping.select("Zip", F.col("CatchmentArea").alias("_area"))
+        cols = [c for c in patients.columns if c != "CatchmentArea"]
+        return (join_dimension(patients.select(*cols), m, "Zip", "left")
+                .withColumn("CatchmentArea", F.coalesce("_area", F.lit(default)))
+                .select(*cols, "CatchmentArea"))
     return patients.withColumn(
         "CatchmentArea", label_by_lists("Zip", mapping or CATCHMENT_AREAS, default))
 

@@ -18,7 +18,7 @@ _checked: dict[tuple[str, int, int], bool] = {}
 def is_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows; reads at most
     ``max_rows + 1`` rows to decide."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (df.sparkSession.conf.get("spark.app.id", ""), df.semanticHash(), max_rows)
     if key not in _checked:
         _checked[key] = df.limit(max_rows + 1).count() <= max_rows
     return _checked[key]
