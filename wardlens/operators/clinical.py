@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from wardlens.functions.columns import matches_lower, value_order
 from wardlens.functions.exact import avg_money, cents, pct_half_up
 from wardlens.operators.common import asc, desc, top_n, with_department_name
-from wardlens.operators.derive import (with_catchment_area, with_length_of_stay,
-                                       with_readmission_flag)
+from wardlens.operators.derive import (readmission_days, with_catchment_area,
+                                       with_length_of_stay)
 
 # The chronic-disease pattern (searched in the lower-cased
 # complaint), the encounter types that count as a complication, the risk
@@ -101,8 +101,16 @@ def risk_tiers(encounters: DataFrame, patients: DataFrame, claims: DataFrame,
 
     The readmission flag is derived for the chronic encounters against *all*
     encounters (any closed inpatient stay is a prior stay) unless the frame
-    already carries ``IsReadmission``. Claims are counted per encounter before
-    the join, and everything is summed per patient before the patient join.
+    already carries ``IsReadmission``.
+
+    Plan: claims are counted per encounter and joined to the chronic
+    encounters (the only shuffle of encounter rows); the result is summed per
+    (patient, day) — the key the readmission flag depends on — so the flag is
+    joined to day-level rows on their existing partitioning; then everything is
+    summed per patient before the patient join. ``MAX(InsuranceType)`` (a
+    string aggregate, which Spark can only run sort-based) is taken separately
+    over the distinct (patient, insurance) pairs, keeping the main path on hash
+    aggregation.
 
     → PatientID, CatchmentArea, InsuranceType, ChronicEncounters,
       ComplicationCount, ReadmissionCount, AvgCost, TotalClaims, DeniedClaims,
@@ -113,27 +121,40 @@ def risk_tiers(encounters: DataFrame, patients: DataFrame, claims: DataFrame,
     has_flag = "IsReadmission" in encounters.columns
     chronic = (encounters.where(matches_lower("ChiefComplaint", pattern))
                .select(*cols, *(["IsReadmission"] if has_flag else [])))
-    if not has_flag:
-        chronic = with_readmission_flag(chronic, prior=encounters,
-                                        method=readmission_method)
     per_claims = (claims.groupBy("EncounterID")
                   .agg(F.count(F.lit(1)).alias("_claims"),
                        F.count_if(F.lower("ClaimStatus") == "denied").alias("_denied")))
-    per_patient = (chronic.join(per_claims, "EncounterID", "left")
-                   .groupBy("PatientID")
-                   .agg(F.count(F.lit(1)).alias("ChronicEncounters"),
-                        F.count_if(_is_complication()).alias("ComplicationCount"),
-                        F.count_if(F.col("IsReadmission") == "Yes").alias("ReadmissionCount"),
-                        F.sum(cents("EncounterCost")).alias("_sc"),
-                        F.count("EncounterCost").alias("_nc"),
-                        F.max("InsuranceType").alias("InsuranceType"),
+    readmit = (F.count_if(F.col("IsReadmission") == "Yes") if has_flag
+               else F.lit(0).cast("long"))
+    per_day = (chronic.join(per_claims, "EncounterID", "left")
+               .groupBy("PatientID", "EncounterDate")
+               .agg(F.count(F.lit(1)).alias("_n"),
+                    F.count_if(_is_complication()).alias("_k"),
+                    readmit.alias("_r"),
+                    F.sum(cents("EncounterCost")).alias("_sc"),
+                    F.count("EncounterCost").alias("_nc"),
+                    F.sum("_claims").alias("_claims"),
+                    F.sum("_denied").alias("_denied")))
+    if not has_flag:
+        hits = (readmission_days(chronic, prior=encounters, method=readmission_method)
+                .withColumn("_hit", F.lit(True)))
+        per_day = (per_day.join(hits, ["PatientID", "EncounterDate"], "left")
+                   .withColumn("_r", F.when(F.col("_hit"), F.col("_n")).otherwise(0)))
+    per_patient = (per_day.groupBy("PatientID")
+                   .agg(F.sum("_n").alias("ChronicEncounters"),
+                        F.sum("_k").alias("ComplicationCount"),
+                        F.sum("_r").alias("ReadmissionCount"),
+                        F.sum("_sc").alias("_sc"), F.sum("_nc").alias("_nc"),
                         F.coalesce(F.sum("_claims"), F.lit(0)).alias("TotalClaims"),
                         F.coalesce(F.sum("_denied"), F.lit(0)).alias("DeniedClaims")))
-    res = per_patient.join(_areas(patients), "PatientID").select(
-        "PatientID", "CatchmentArea", "InsuranceType", "ChronicEncounters",
-        "ComplicationCount", "ReadmissionCount",
-        avg_money("_sc", "_nc", 2).alias("AvgCost"), "TotalClaims", "DeniedClaims",
-        risk_tier(F.col("ComplicationCount"), F.col("ReadmissionCount"),
-                  F.col("DeniedClaims")).alias("RiskLevel"))
+    insurance = (chronic.select("PatientID", "InsuranceType").distinct()
+                 .groupBy("PatientID").agg(F.max("InsuranceType").alias("InsuranceType")))
+    res = (per_patient.join(insurance, "PatientID").join(_areas(patients), "PatientID")
+           .select("PatientID", "CatchmentArea", "InsuranceType", "ChronicEncounters",
+                   "ComplicationCount", "ReadmissionCount",
+                   avg_money("_sc", "_nc", 2).alias("AvgCost"), "TotalClaims",
+                   "DeniedClaims",
+                   risk_tier(F.col("ComplicationCount"), F.col("ReadmissionCount"),
+                             F.col("DeniedClaims")).alias("RiskLevel")))
     return top_n(res, n, value_order("RiskLevel", RISK_LEVELS).asc(),
                  desc("ComplicationCount"), desc("AvgCost"), asc("PatientID"))

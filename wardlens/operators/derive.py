@@ -74,11 +74,13 @@ def with_catchment_area(patients: DataFrame,
         "CatchmentArea", label_by_lists("Zip", mapping or CATCHMENT_AREAS, default))
 
 
-def _start_days(encounters: DataFrame) -> DataFrame:
-    return (encounters
+def _start_days(encounters: DataFrame, distinct: bool = False) -> DataFrame:
+    days = (encounters
             .where(F.col("PatientID").isNotNull() & F.col("EncounterDate").isNotNull())
-            .select("PatientID", F.col("EncounterDate").alias("day"))
-            .distinct())
+            .select("PatientID", F.col("EncounterDate").alias("day")))
+    # An input that is already one row per (PatientID, EncounterDate) — an
+    # aggregate on those keys — is used as is, so its exchange can be reused.
+    return days if distinct else days.distinct()
 
 
 def _discharge_days(prior: DataFrame, prior_type: str) -> DataFrame:
@@ -94,11 +96,15 @@ def _discharge_days(prior: DataFrame, prior_type: str) -> DataFrame:
 def readmission_days(encounters: DataFrame, prior: DataFrame | None = None,
                      window_days: int = READMISSION_WINDOW_DAYS,
                      prior_type: str = PRIOR_STAY_TYPE,
-                     method: str = "bucketed") -> DataFrame:
+                     method: str = "bucketed",
+                     distinct_days: bool = False) -> DataFrame:
     """Distinct ``(PatientID, EncounterDate)`` whose start falls in
-    ``(discharge, discharge + window_days]`` of a closed prior stay."""
+    ``(discharge, discharge + window_days]`` of a closed prior stay.
+
+    ``distinct_days=True`` declares that ``encounters`` already holds one row
+    per ``(PatientID, EncounterDate)`` (e.g. an aggregate on those keys)."""
     prior = encounters if prior is None else prior
-    starts = _start_days(encounters)
+    starts = _start_days(encounters, distinct_days)
     dis = _discharge_days(prior, prior_type)
     w = int(window_days)
     if w < 1:

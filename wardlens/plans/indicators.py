@@ -114,7 +114,8 @@ def readmission_rate(encounters: DataFrame, patients: DataFrame, start: dt.date,
                    .agg(F.count(F.lit(1)).alias("_n")))
         prior = encounters.where(F.col("DischargeDate").between(
             F.date_sub(F.lit(start), window_days), F.date_sub(F.lit(end), 1)))
-        hits = (readmission_days(per_day, prior, window_days, method=method)
+        hits = (readmission_days(per_day, prior, window_days, method=method,
+                                 distinct_days=True)
                 .withColumn("_hit", F.lit(True)))
         per_patient = (per_day.join(hits, ["PatientID", "EncounterDate"], "left")
                        .groupBy("PatientID")
