@@ -136,3 +136,12 @@ def test_first_encounter_methods_agree(model):
     b = first_encounter_complication_rate(model.encounters, model.patients, S, E, ON,
                                           method="row_number")
     assert rows(a) == rows(b)
+
+
+def test_one_day_period(model):
+    ind = compute_indicators(model, day(2), day(2), ON)
+    wl = ind.where("IndicatorName = 'provider_workload_index'").collect()
+    # day 2: encounters 2 and 3, two active clinical staff, one day
+    assert [(r.DepartmentID, r.Numerator, r.Denominator, r.ComputedValue) for r in wl] == [
+        (1, 2.0, 2.0, 1.0)]
+    assert {r.SeverityFlag for r in wl} == {"critical"}

@@ -196,3 +196,29 @@ def test_chronic_complications_and_risk_tiers(make):
               "TotalEncounters", "Complications", "ComplicationPct", "AvgCost")
     assert ("HSA-2", "Commercial", 3, 1, 33.3, 50.0) in cc
     assert ("Unassigned", "Uninsured", 1, 0, 0.0, 1.0) in cc
+
+
+def test_rank_tie_at_the_cut_keeps_both(make):
+    e = make("encounters", [
+        {"EncounterID": i, "DepartmentID": 1, "EncounterType": "inpatient",
+         "EncounterDate": day(0), "DischargeDate": day(1), "EncounterCost": c}
+        for i, c in enumerate([900.0, 800.0, 700.0, 700.0, 600.0])])
+    assert rows(costliest_stays(e, depts(make)), "EncounterID", "CostRank") == [
+        (0, 1), (1, 2), (2, 3), (3, 3)]
+
+
+def test_single_complication_is_moderate_and_keyword_inside_word(make):
+    pts = make("patients", [{"PatientID": 1, "Zip": "12301"}])
+    df = make("encounters", [
+        {"EncounterID": 1, "PatientID": 1, "EncounterType": "emergency", "EncounterDate": day(0),
+         "DischargeDate": day(0), "ChiefComplaint": "prediabetic check", "EncounterCost": 1.0},
+        {"EncounterID": 2, "PatientID": 1, "EncounterType": "outpatient", "EncounterDate": day(90),
+         "DischargeDate": day(90), "ChiefComplaint": "Asthmatic", "EncounterCost": 2.0}])
+    claims = make("billing_claims", [{"EncounterID": 1, "ClaimStatus": "paid"}])
+    r = risk_tiers(df, pts, claims).collect()
+    assert [(x.ChronicEncounters, x.ComplicationCount, x.ReadmissionCount, x.RiskLevel,
+             x.AvgCost) for x in r] == [(2, 1, 0, "Moderate", 1.5)]
+    staff = make("staff", [{"StaffID": 1, "FirstName": "A", "LastName": "B", "Role": "nurse"}])
+    e = make("encounters", [{"EncounterID": 1, "StaffID": 1, "DepartmentID": 1,
+                             "ChiefComplaint": "reinfection"}])
+    assert rows(infection_exposure(e, staff, depts(make)), "InfectionCases") == [(1,)]
