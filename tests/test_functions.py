@@ -101,3 +101,14 @@ def test_half_up_no_negative_zero(spark):
     df = spark.createDataFrame([(-1, 100)], "n long, d long")
     v = df.select(half_up_div("n", "d", 1)).first()[0]
     assert v == 0.0 and math.copysign(1.0, v) == 1.0
+
+
+def test_date_id_order_matches_pair_order(spark):
+    import datetime as dt
+    from wardlens.functions import date_id_order
+    pairs = [(dt.date(1969, 12, 31), 5), (dt.date(1970, 1, 1), -2**63), (dt.date(1970, 1, 1), -1),
+             (dt.date(1970, 1, 1), 0), (dt.date(1970, 1, 1), 2**63 - 1), (dt.date(2024, 2, 29), 7),
+             (dt.date(2024, 3, 1), -7)]
+    df = spark.createDataFrame(pairs, "d date, k long")
+    got = [(r.d, r.k) for r in df.orderBy(date_id_order("d", "k")).collect()]
+    assert got == sorted(pairs)

@@ -1,6 +1,7 @@
 """Column-level building blocks (built-in Spark functions only)."""
 
-from wardlens.functions.columns import (contains_any, in_period, label_by_lists,
+from wardlens.functions.columns import (contains_any, date_id_order, in_period,
+                                        label_by_lists,
                                         matches_lower, severity, value_order,
                                         yes_no)
 from wardlens.functions.exact import (avg_diff_half_up, avg_half_up, avg_money,
@@ -8,7 +9,7 @@ from wardlens.functions.exact import (avg_diff_half_up, avg_half_up, avg_money,
                                       pct_half_up)
 
 __all__ = [
-    "avg_diff_half_up", "avg_half_up", "avg_money", "cents", "contains_any",
+    "avg_diff_half_up", "avg_half_up", "avg_money", "cents", "contains_any", "date_id_order",
     "epoch_day", "half_up_div", "in_period", "label_by_lists", "matches_lower",
     "money", "pct_half_up", "severity", "value_order", "yes_no",
 ]

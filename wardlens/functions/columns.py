@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -75,3 +76,17 @@ def in_period(col: Column | str, start: dt.date, end: dt.date) -> Column:
 def yes_no(cond: Column) -> Column:
     """``'Yes'`` when the condition holds, else ``'No'`` (also when unknown)."""
     return F.when(cond, F.lit("Yes")).otherwise(F.lit("No"))
+
+
+def date_id_order(day: Column | str, key: Column | str) -> Column:
+    """One exact ``decimal(38,0)`` that orders like the pair (day, key).
+
+    ``unix_date(day) * 10^20 + (key + 2^63)`` keeps every long key in
+    ``[0, 2^64) < 10^20``, so comparing the packed values compares the day
+    first, then the key. Unlike a struct, a decimal is a fixed-width
+    aggregation buffer, so ``min``/``min_by`` over it stay hash aggregates.
+    """
+    wide = "decimal(38,0)"
+    d = F.unix_date(_c(day)).cast(wide)
+    k = _c(key).cast(wide) + F.lit(Decimal(2 ** 63)).cast(wide)
+    return d * F.lit(Decimal(10 ** 20)).cast(wide) + k

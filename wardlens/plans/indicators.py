@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlens.functions.columns import in_period, severity
+from wardlens.functions.columns import date_id_order, in_period, severity
 from wardlens.functions.exact import half_up_div, pct_half_up
 from wardlens.operators.derive import (READMISSION_WINDOW_DAYS, readmission_days,
                                        with_catchment_area, with_length_of_stay)
@@ -140,9 +140,10 @@ def first_encounter_complication_rate(encounters: DataFrame, patients: DataFrame
     lowest EncounterID); share that is emergency or inpatient per catchment
     area (cutoffs 50 / 30).
 
-    ``method="min_by"`` (default): ``min_by`` over a (date, id) struct is a
-    mergeable aggregate, so every task keeps one candidate per patient before
-    the shuffle and a patient with a huge history costs one row, not one task.
+    ``method="min_by"`` (default): ``min_by`` of the complication flag by the
+    packed (date, id) key is a mergeable hash aggregate, so every task keeps
+    one candidate per patient before the shuffle and a patient with a huge
+    history costs one row, not one task.
     ``method="row_number"``: ``row_number() = 1`` per patient; Spark plans it as
     a per-partition group limit before the shuffle (sort-based) and a final
     limit after it, so it is also bounded per patient.
@@ -150,21 +151,22 @@ def first_encounter_complication_rate(encounters: DataFrame, patients: DataFrame
     validate_period(start, end)
     scope = encounters.where(in_period("EncounterDate", start, end)
                              & F.col("PatientID").isNotNull())
+    is_compl = F.coalesce(F.col("EncounterType").isin(COMPLICATION_TYPES), F.lit(False))
     if method == "min_by":
         first = (scope.groupBy("PatientID")
-                 .agg(F.min_by("EncounterType", F.struct("EncounterDate", "EncounterID"))
-                      .alias("_first_type")))
+                 .agg(F.min_by(is_compl, date_id_order("EncounterDate", "EncounterID"))
+                      .alias("_first_compl")))
     elif method == "row_number":
         w = Window.partitionBy("PatientID").orderBy("EncounterDate", "EncounterID")
-        first = (scope.select("PatientID", "EncounterType",
+        first = (scope.select("PatientID", is_compl.alias("_first_compl"),
                               F.row_number().over(w).alias("_rn"))
                  .where(F.col("_rn") == 1)
-                 .select("PatientID", F.col("EncounterType").alias("_first_type")))
+                 .select("PatientID", "_first_compl"))
     else:
         raise ValueError(f"unknown method {method!r}")
     agg = (first.join(_areas(patients), "PatientID")
            .groupBy("CatchmentArea")
-           .agg(F.count_if(F.col("_first_type").isin(COMPLICATION_TYPES)).alias("Numerator"),
+           .agg(F.count_if("_first_compl").alias("Numerator"),
                 F.count(F.lit(1)).alias("Denominator")))
     out = agg.select(F.lit(None).alias("DepartmentID"), "CatchmentArea", "Numerator",
                      "Denominator",
