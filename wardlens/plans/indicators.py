@@ -209,12 +209,12 @@ def provider_workload_index(encounters: DataFrame, staff: DataFrame, start: dt.d
     0.5 / 0.3). Both sides are aggregated to one row per department first.
     """
     days = validate_period(start, end)
-    enc_counts = (encounters.where(in_period("EncounterDate", start, end))
-                  .groupBy("DepartmentID").agg(F.count(F.lit(1)).alias("Numerator")))
-    active = (staff.where((F.col("EmploymentStatus") == ACTIVE)
-                          & F.col("Role").isin(CLINICAL_ROLES))
-              .groupBy("DepartmentID").agg(F.count(F.lit(1)).alias("_staff")))
-    agg = (enc_counts.join(active, "DepartmentID")
+    visits = (encounters.where(in_period("EncounterDate", start, end))
+              .groupBy("DepartmentID").agg(F.count(F.lit(1)).alias("Numerator")))
+    clinicians = (staff.where((F.col("EmploymentStatus") == ACTIVE)
+                              & F.col("Role").isin(CLINICAL_ROLES))
+                  .groupBy("DepartmentID").agg(F.count(F.lit(1)).alias("_staff")))
+    agg = (visits.join(clinicians, "DepartmentID")
            .withColumn("Denominator", F.col("_staff") * days))
     out = agg.select("DepartmentID", F.lit(None).alias("CatchmentArea"), "Numerator",
                      "Denominator",
