@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from wardlens.operators import (duplicate_keys, foreign_key_report, length_report,
+from wardlens.operators import (duplicate_keys, foreign_key_report, key_report, length_report,
                                 length_violations, not_null_report, null_violations,
                                 orphans)
 from wardlens.sources.model import Tables
@@ -45,3 +45,16 @@ def test_nulls_and_lengths(make):
     assert rows(not_null_report(t)) == [("departments", "DepartmentID", 0),
                                         ("departments", "DepartmentName", 0)]
     assert ("departments", "DepartmentName", 50, 1, 51) in rows(length_report(t))
+
+
+def test_key_report(make):
+    sup = make("supplies", [
+        {"SupplyID": 1, "DepartmentID": 1, "SupplyName": "Gauze"},
+        {"SupplyID": 1, "DepartmentID": 1, "SupplyName": "gauze"},
+        {"SupplyID": 3, "DepartmentID": 2, "SupplyName": None},
+    ])
+    deps = make("departments", [{"DepartmentID": 1, "DepartmentName": "A"}])
+    rep = rows(key_report(Tables(supplies=sup, departments=deps)))
+    assert rep == [("departments", "DepartmentID", "primary", 0, 0),
+                   ("supplies", "DepartmentID, SupplyName", "unique", 1, 0),
+                   ("supplies", "SupplyID", "primary", 1, 0)]

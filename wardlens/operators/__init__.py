@@ -13,7 +13,7 @@ from wardlens.operators.experience import satisfaction_gap
 from wardlens.operators.infection import (complaint_clusters, infection_exposure,
                                           vaccination_gaps)
 from wardlens.operators.joins import bounded_broadcast, join_dimension
-from wardlens.operators.quality import (duplicate_keys, foreign_key_report,
+from wardlens.operators.quality import (duplicate_keys, foreign_key_report, key_report,
                                         length_report, length_violations,
                                         not_null_report, null_violations, orphans)
 from wardlens.operators.regional import average_los, cost_by_type, referral_rejection
@@ -24,7 +24,8 @@ __all__ = [
     "average_los", "bounded_broadcast", "chronic_complications", "claim_lag",
     "complaint_clusters", "cost_by_type", "costliest_stays", "denial_rate",
     "duplicate_keys", "expiry_watch", "foreign_key_report", "infection_exposure",
-    "inventory_value", "join_dimension", "length_report", "length_violations",
+    "inventory_value", "join_dimension", "key_report", "length_report",
+    "length_violations",
     "low_stock", "not_null_report", "null_violations", "orphans",
     "readmission_days", "referral_rejection", "risk_tier", "risk_tiers",
     "satisfaction_gap", "vaccination_gaps", "with_catchment_area",

@@ -34,6 +34,16 @@ FOREIGN_KEYS = [
 ]
 
 
+# Primary keys of the model and its one unique key (supply names
+# compared case-insensitively), as declared by the source schema.
+PRIMARY_KEYS = {
+    "departments": ["DepartmentID"], "patients": ["PatientID"], "staff": ["StaffID"],
+    "supplies": ["SupplyID"], "encounters": ["EncounterID"], "referrals": ["ReferralID"],
+    "billing_claims": ["ClaimID"], "satisfaction_surveys": ["SurveyID"],
+}
+UNIQUE_KEYS = {"supplies": ["DepartmentID", "SupplyName"]}
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str | Column],
                    nulls_are_violations: bool = True) -> DataFrame:
     """Key values that occur more than once (and, for a primary key, keys
@@ -146,3 +156,28 @@ def length_report(tables: Tables,
             parts.append(length_violations(getattr(tables, name), limits[name])
                          .select(F.lit(name).alias("TableName"), "*"))
     return functools.reduce(DataFrame.unionByName, parts)
+
+
+def key_report(tables: Tables) -> DataFrame:
+    """Per primary / unique key: distinct key values held by more than one row,
+    and rows with a null key part (a violation for primary keys only).
+
+    → TableName, KeyColumns, KeyKind, DuplicateKeys, NullKeyRows
+    """
+    parts = []
+    checks = ([(t, k, "primary") for t, k in PRIMARY_KEYS.items()]
+              + [(t, k, "unique") for t, k in UNIQUE_KEYS.items()])
+    for name, keys, kind in checks:
+        df = getattr(tables, name, None)
+        if df is None:
+            continue
+        cols = [F.lower(k).alias(k) if k == "SupplyName" else F.col(k) for k in keys]
+        counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+        any_null = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        parts.append(counted.agg(
+            F.count_if((F.col("_n") > 1) & ~any_null).alias("DuplicateKeys"),
+            (F.coalesce(F.sum(F.when(any_null, F.col("_n"))), F.lit(0))
+             if kind == "primary" else F.lit(0).cast("long")).alias("NullKeyRows"))
+            .select(F.lit(name).alias("TableName"), F.lit(", ".join(keys)).alias("KeyColumns"),
+                    F.lit(kind).alias("KeyKind"), "DuplicateKeys", "NullKeyRows"))
+    return functools.reduce(DataFrame.unionByName, parts)
