@@ -77,3 +77,19 @@ def test_catchment_mapping_table(spark, make):
     m = spark.createDataFrame([("12307", "North"), ("55555", "South")], "Zip string, CatchmentArea string")
     assert rows(with_catchment_area(pts, m), "PatientID", "CatchmentArea") == [
         (1, "North"), (2, "South"), (3, "Unassigned")]
+
+
+def test_derived_model_gives_the_same_reports(spark, t):
+    """Reports over materialised derived columns (stored flag, stored LOS,
+    stored area) equal the reports that derive them on the fly."""
+    from wardlens.operators import derive_model
+    from wardlens.plans import compute_indicators
+    d = derive_model(t, materialize_to=shared_dir(spark, "test-derived"))
+    assert {"IsReadmission", "LengthOfStayDays"} <= set(d.encounters.columns)
+    assert "CatchmentArea" in d.patients.columns
+    a = rows(risk_tiers(d.encounters, d.patients, d.billing_claims, n=None))
+    b = rows(risk_tiers(t.encounters, t.patients, t.billing_claims, n=None))
+    assert a == b
+    s, e = dt.date(1996, 1, 1), dt.date(1997, 12, 31)
+    assert rows(compute_indicators(d, s, e, dt.date(2026, 5, 15))) == \
+        rows(compute_indicators(t, s, e, dt.date(2026, 5, 15)))

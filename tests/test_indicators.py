@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wardlens.plans import (bed_utilization_rate, compute_indicators,
@@ -145,3 +146,12 @@ def test_one_day_period(model):
     assert [(r.DepartmentID, r.Numerator, r.Denominator, r.ComputedValue) for r in wl] == [
         (1, 2.0, 2.0, 1.0)]
     assert {r.SeverityFlag for r in wl} == {"critical"}
+
+
+def test_stored_flag_is_used_when_present(model):
+    """A stored IsReadmission (which may disagree with the rule) is used as is."""
+    stored = model.encounters.withColumn(
+        "IsReadmission", F.when(F.col("EncounterID").isin(2, 7), "Yes").otherwise("No"))
+    got = rows(readmission_rate(stored, model.patients, S, E, ON),
+               "CatchmentArea", "Numerator", "Denominator")
+    assert got == [("HSA-1", 1.0, 3.0), ("HSA-2", 1.0, 4.0)]

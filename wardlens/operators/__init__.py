@@ -7,8 +7,9 @@ laptop to a cluster.
 
 from wardlens.operators.clinical import (chronic_complications, costliest_stays,
                                          risk_tier, risk_tiers)
-from wardlens.operators.derive import (readmission_days, with_catchment_area,
-                                       with_length_of_stay, with_readmission_flag)
+from wardlens.operators.derive import (derive_model, readmission_days,
+                                       with_catchment_area, with_length_of_stay,
+                                       with_readmission_flag)
 from wardlens.operators.experience import satisfaction_gap
 from wardlens.operators.infection import (complaint_clusters, infection_exposure,
                                           vaccination_gaps)
@@ -22,7 +23,7 @@ from wardlens.operators.supply import expiry_watch, inventory_value, low_stock
 
 __all__ = [
     "average_los", "bounded_broadcast", "chronic_complications", "claim_lag",
-    "complaint_clusters", "cost_by_type", "costliest_stays", "denial_rate",
+    "complaint_clusters", "cost_by_type", "costliest_stays", "denial_rate", "derive_model",
     "duplicate_keys", "expiry_watch", "foreign_key_report", "infection_exposure",
     "inventory_value", "join_dimension", "key_report", "length_report",
     "length_violations",

@@ -29,12 +29,14 @@ left join (one match row per key, so no duplication).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlens.functions.columns import label_by_lists, yes_no
 from wardlens.operators.joins import join_dimension
+from wardlens.sources.model import Tables
 
 # ZIP code lists of the three health service areas, in the
 # source's order, and the label for every other ZIP.
@@ -158,3 +160,26 @@ def with_readmission_flag(encounters: DataFrame, prior: DataFrame | None = None,
             .join(hits, ["PatientID", "EncounterDate"], "left")
             .withColumn("IsReadmission", yes_no(F.col("_readmit")))
             .select(*cols, "IsReadmission"))
+
+
+def derive_model(tables: Tables, materialize_to: str | None = None,
+                 method: str = "bucketed") -> Tables:
+    """The model with its derived columns: encounters + ``LengthOfStayDays`` +
+    ``IsReadmission``, patients + ``CatchmentArea`` (the source stores these
+    once and every report reads them).
+
+    With ``materialize_to`` (a folder in shared storage, e.g. under the
+    session's ``spark.checkpoint.dir``) the two derived tables are written as
+    Parquet and read back, so later reports reuse them instead of recomputing
+    the readmission join, and their lineage is cut.
+    """
+    enc = with_readmission_flag(with_length_of_stay(tables.encounters), method=method)
+    pts = with_catchment_area(tables.patients)
+    if materialize_to:
+        root = materialize_to.rstrip("/")
+        spark = enc.sparkSession
+        enc.write.mode("overwrite").parquet(f"{root}/encounters")
+        pts.write.mode("overwrite").parquet(f"{root}/patients")
+        enc = spark.read.schema(enc.schema).parquet(f"{root}/encounters")
+        pts = spark.read.schema(pts.schema).parquet(f"{root}/patients")
+    return replace(tables, encounters=enc, patients=pts)
