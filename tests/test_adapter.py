@@ -93,3 +93,22 @@ def test_derived_model_gives_the_same_reports(spark, t):
     s, e = dt.date(1996, 1, 1), dt.date(1997, 12, 31)
     assert rows(compute_indicators(d, s, e, dt.date(2026, 5, 15))) == \
         rows(compute_indicators(t, s, e, dt.date(2026, 5, 15)))
+
+
+def test_clustered_write_lets_period_filters_skip_files(spark, t):
+    import contextlib
+    import io
+    from wardlens.sources.model import Tables
+    root = shared_dir(spark, "test-cluster")
+    write_tables(Tables(encounters=t.encounters), root,
+                 cluster_by={"encounters": "EncounterDate"}, files={"encounters": 8})
+    back = read_tables(spark, root, names=["encounters"]).encounters
+    assert back.count() == t.encounters.count()
+    q = back.where(F.col("EncounterDate").between(dt.date(1996, 1, 1), dt.date(1996, 3, 31)))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    assert "GreaterThanOrEqual(EncounterDate,1996-01-01)" in buf.getvalue()
+    files = spark.read.parquet(f"{root}/encounters").select(F.input_file_name()).distinct()
+    hit = q.select(F.input_file_name()).distinct().count()
+    assert 0 < hit < files.count()
