@@ -112,3 +112,10 @@ def test_clustered_write_lets_period_filters_skip_files(spark, t):
     files = spark.read.parquet(f"{root}/encounters").select(F.input_file_name()).distinct()
     hit = q.select(F.input_file_name()).distinct().count()
     assert 0 < hit < files.count()
+
+
+def test_indicators_from_a_materialised_period_slice(spark, t):
+    from wardlens.plans import compute_indicators
+    s, e, on = dt.date(1996, 1, 1), dt.date(1997, 12, 31), dt.date(2026, 5, 15)
+    a = compute_indicators(t, s, e, on, materialize_to=shared_dir(spark, "test-slice"))
+    assert rows(a) == rows(compute_indicators(t, s, e, on))

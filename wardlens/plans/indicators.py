@@ -223,12 +223,36 @@ def provider_workload_index(encounters: DataFrame, staff: DataFrame, start: dt.d
     return _finish(out, PROVIDER_WORKLOAD, start, end, computed_on)
 
 
+def period_slice(encounters: DataFrame, start: dt.date, end: dt.date,
+                 window_days: int = READMISSION_WINDOW_DAYS) -> DataFrame:
+    """The encounter rows and columns the four indicators read: encounters of
+    the period, plus stays whose discharge can make a period encounter a
+    readmission."""
+    keep = ["EncounterID", "PatientID", "DepartmentID", "EncounterType",
+            "EncounterDate", "DischargeDate"]
+    keep += [c for c in ("IsReadmission", "LengthOfStayDays") if c in encounters.columns]
+    prior = F.col("DischargeDate").between(F.date_sub(F.lit(start), window_days),
+                                           F.date_sub(F.lit(end), 1))
+    return encounters.where(in_period("EncounterDate", start, end) | prior).select(*keep)
+
+
 def compute_indicators(tables: Tables, start: dt.date, end: dt.date,
                        computed_on: dt.date | None = None,
-                       method: str = "bucketed") -> DataFrame:
-    """All four indicators of the period, one frame (11 columns)."""
+                       method: str = "bucketed",
+                       materialize_to: str | None = None) -> DataFrame:
+    """All four indicators of the period, one frame (11 columns).
+
+    Each branch reads ``encounters`` with its own pruned, filter-pushed scan.
+    When the table is large and not clustered by date, pass
+    ``materialize_to`` (a folder in shared storage): the period slice is
+    written there once and the four branches read it instead.
+    """
     validate_period(start, end)
     enc = tables.encounters
+    if materialize_to:
+        sl = period_slice(enc, start, end)
+        sl.write.mode("overwrite").parquet(materialize_to)
+        enc = enc.sparkSession.read.schema(sl.schema).parquet(materialize_to)
     parts = [
         readmission_rate(enc, tables.patients, start, end, computed_on, method=method),
         first_encounter_complication_rate(enc, tables.patients, start, end, computed_on),
