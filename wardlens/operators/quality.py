@@ -95,12 +95,27 @@ def foreign_key_report(tables: Tables,
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def _q(name: str) -> str:
+    """A column name quoted for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit_sql(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# The per-column reports below build one SQL expression per (column, measure)
+# and pass the whole list in a single ``selectExpr``: one plan-building call
+# instead of several JVM round trips per column.
+
 def _unpivot(one_row: DataFrame, names: Sequence[str], fields: Sequence[str],
              key_name: str) -> DataFrame:
     """Turn a one-row frame with ``{field}__{name}`` columns into one row per name."""
-    structs = [F.struct(F.lit(n).alias(key_name),
-                        *[F.col(f"{f}__{n}").alias(f) for f in fields]) for n in names]
-    return one_row.select(F.inline(F.array(*structs)))
+    structs = ", ".join(
+        "struct(" + ", ".join([f"{_lit_sql(n)} AS {_q(key_name)}"]
+                              + [f"{_q(f + '__' + n)} AS {_q(f)}" for f in fields]) + ")"
+        for n in names)
+    return one_row.selectExpr(f"inline(array({structs}))")
 
 
 def null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -108,7 +123,8 @@ def null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     → ColumnName, NullCount
     """
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"NullCount__{c}") for c in columns])
+    row = df.selectExpr(*[f"count_if({_q(c)} IS NULL) AS {_q('NullCount__' + c)}"
+                          for c in columns])
     return _unpivot(row, columns, ["NullCount"], "ColumnName")
 
 
@@ -120,13 +136,12 @@ def length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """
     aggs = []
     for c, n in limits.items():
-        aggs += [F.count_if(F.length(c) > n).alias(f"Violations__{c}"),
-                 F.max(F.length(c)).alias(f"MaxLength__{c}")]
-    row = df.agg(*aggs)
-    out = _unpivot(row, list(limits), ["Violations", "MaxLength"], "ColumnName")
-    allowed = F.create_map(*[x for c, n in limits.items() for x in (F.lit(c), F.lit(n))])
-    return out.select("ColumnName", allowed[F.col("ColumnName")].alias("MaxAllowed"),
-                      "Violations", "MaxLength")
+        aggs += [f"CAST({int(n)} AS INT) AS {_q('MaxAllowed__' + c)}",
+                 f"count_if(length({_q(c)}) > {int(n)}) AS {_q('Violations__' + c)}",
+                 f"max(length({_q(c)})) AS {_q('MaxLength__' + c)}"]
+    row = df.selectExpr(*aggs)
+    return _unpivot(row, list(limits), ["MaxAllowed", "Violations", "MaxLength"],
+                    "ColumnName")
 
 
 def not_null_report(tables: Tables) -> DataFrame:
