@@ -59,11 +59,11 @@ READMIT_EXPECTED = {1: "No", 2: "No", 3: "Yes", 4: "Yes", 5: "No", 6: "No", 7: "
 
 def test_readmission_boundaries_both_methods(make):
     df = make("encounters", READMIT_FIXTURE)
-    for method in ("bucketed", "window"):
-        out = with_readmission_flag(df, method=method)
+    for method, salt in (("bucketed", 1), ("window", 1), ("bucketed", 4)):
+        out = with_readmission_flag(df, method=method, salt=salt)
         assert out.count() == len(READMIT_FIXTURE)
         got = dict(rows(out, "EncounterID", "IsReadmission"))
-        assert got == READMIT_EXPECTED, method
+        assert got == READMIT_EXPECTED, (method, salt)
 
 
 def test_readmission_prior_frame_and_window(make):

@@ -147,17 +147,28 @@ def readmission_days(encounters: DataFrame, prior: DataFrame | None = None,
 def with_readmission_flag(encounters: DataFrame, prior: DataFrame | None = None,
                           window_days: int = READMISSION_WINDOW_DAYS,
                           prior_type: str = PRIOR_STAY_TYPE,
-                          method: str = "bucketed") -> DataFrame:
+                          method: str = "bucketed", salt: int = 1) -> DataFrame:
     """+ ``IsReadmission`` (``'Yes'``/``'No'``).
 
     ``prior`` is the frame the prior stays are taken from (default: the same
     encounters); pass the full encounters when flagging a filtered subset.
+
+    The flag is joined back on ``(PatientID, EncounterDate)``. AQE splits a
+    skewed partition of that join at runtime; ``salt=n`` additionally splits
+    every key ``n`` ways up front (each matched day is replicated ``n`` times,
+    each encounter picks one copy by a hash of its id), so even a single
+    (patient, day) holding a third of all rows is spread over ``n`` tasks.
     """
     hits = (readmission_days(encounters, prior, window_days, prior_type, method)
             .withColumn("_readmit", F.lit(True)))
     cols = [c for c in encounters.columns if c != "IsReadmission"]
-    return (encounters.select(*cols)
-            .join(hits, ["PatientID", "EncounterDate"], "left")
+    keys = ["PatientID", "EncounterDate"]
+    left = encounters.select(*cols)
+    if salt > 1:
+        hits = hits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        left = left.withColumn("_salt", F.pmod(F.xxhash64("EncounterID"), F.lit(salt)))
+        keys = keys + ["_salt"]
+    return (left.join(hits, keys, "left")
             .withColumn("IsReadmission", yes_no(F.col("_readmit")))
             .select(*cols, "IsReadmission"))
 
