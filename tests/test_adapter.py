@@ -119,3 +119,28 @@ def test_indicators_from_a_materialised_period_slice(spark, t):
     s, e, on = dt.date(1996, 1, 1), dt.date(1997, 12, 31), dt.date(2026, 5, 15)
     a = compute_indicators(t, s, e, on, materialize_to=shared_dir(spark, "test-slice"))
     assert rows(a) == rows(compute_indicators(t, s, e, on))
+
+
+def test_bucketed_model_joins_without_shuffling_the_big_sides(spark, t):
+    import contextlib
+    import io
+    from wardlens.operators import claim_lag, denial_rate
+    from wardlens.sources import read_catalog, save_bucketed
+    db = "wardlens_bucketed_test"
+    save_bucketed(t, db, buckets=8, location=shared_dir(spark, "test-bucketed"))
+    b = read_catalog(spark, db)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = claim_lag(b.billing_claims, b.encounters, b.departments)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            q.explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan and "EncounterID" in plan
+        assert "Exchange hashpartitioning(EncounterID" not in plan
+        assert rows(q) == rows(claim_lag(t.billing_claims, t.encounters, t.departments))
+        assert rows(denial_rate(b.billing_claims, b.encounters, b.departments)) == \
+            rows(denial_rate(t.billing_claims, t.encounters, t.departments))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")

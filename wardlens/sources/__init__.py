@@ -2,8 +2,9 @@
 from the benchmark's tables."""
 
 from wardlens.sources.driver import driver_tables
-from wardlens.sources.model import (Tables, conform, read_jdbc, read_table,
-                                    read_tables, write_tables)
+from wardlens.sources.model import (Tables, conform, read_catalog, read_jdbc,
+                                    read_table, read_tables, save_bucketed,
+                                    write_tables)
 
-__all__ = ["Tables", "conform", "driver_tables", "read_jdbc", "read_table",
-           "read_tables", "write_tables"]
+__all__ = ["Tables", "conform", "driver_tables", "read_catalog", "read_jdbc",
+           "read_table", "read_tables", "save_bucketed", "write_tables"]

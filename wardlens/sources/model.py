@@ -99,3 +99,38 @@ def write_tables(tables: Tables, root: str, mode: str = "overwrite",
             df = (df.repartitionByRange(n, col) if n else df.repartitionByRange(col))
             df = df.sortWithinPartitions(col)
         df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
+
+
+# Join keys the reports shuffle on most: claims and surveys meet encounters on
+# EncounterID (after a per-encounter aggregate), patients meet on PatientID.
+BUCKET_KEYS = {"encounters": "EncounterID", "billing_claims": "EncounterID",
+               "satisfaction_surveys": "EncounterID", "patients": "PatientID"}
+
+
+def save_bucketed(tables: Tables, database: str, buckets: int,
+                  keys: dict[str, str] | None = None, location: str | None = None) -> None:
+    """Save the model as catalog tables, bucketed (and sorted) on its join
+    keys, so joins and aggregates on those keys read co-partitioned buckets
+    instead of shuffling. All bucketed tables share ``buckets``; ``location``
+    places the database in shared storage."""
+    keys = BUCKET_KEYS if keys is None else keys
+    names = tables.names()
+    if not names:
+        return
+    spark = getattr(tables, names[0]).sparkSession
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+    for name in names:
+        w = getattr(tables, name).write.mode("overwrite").format("parquet")
+        if name in keys:
+            w = w.bucketBy(buckets, keys[name]).sortBy(keys[name])
+        w.saveAsTable(f"{database}.{name}")
+
+
+def read_catalog(spark: SparkSession, database: str) -> Tables:
+    """The model tables of a catalog database (bucketing is kept)."""
+    out = Tables()
+    for name in schemas.MODEL:
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            setattr(out, name, spark.table(f"{database}.{name}"))
+    return out
