@@ -6,20 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardlens.fixed_values import (CHRONIC_PATTERN, COMPLICATION_TYPES,
+                                   COST_RANK_CUT, INPATIENT, RISK_LEVELS)
 from wardlens.functions.columns import matches_lower, value_order
 from wardlens.functions.exact import avg_money, cents, pct_half_up
 from wardlens.operators.common import asc, desc, top_n, with_department_name
 from wardlens.operators.derive import (readmission_days, with_catchment_area,
                                        with_length_of_stay)
 
-# The chronic-disease pattern (searched in the lower-cased
-# complaint), the encounter types that count as a complication, the risk
-# levels in report order, and the rank cut of the costliest-stays report.
-CHRONIC_PATTERN = "diabetic|hypoglycemic|diabetes|hypertens|asthma|heart failure"
-COMPLICATION_TYPES = ["emergency", "inpatient"]
-RISK_LEVELS = ["High", "Moderate", "Low"]
-COST_RANK_CUT = 3
-
 
 def _areas(patients: DataFrame) -> DataFrame:
     p = patients if "CatchmentArea" in patients.columns else with_catchment_area(patients)
@@ -69,7 +63,7 @@ def costliest_stays(encounters: DataFrame, departments: DataFrame,
       EncounterCost, LengthOfStayDays, CostRank
     """
     e = encounters if "LengthOfStayDays" in encounters.columns else with_length_of_stay(encounters)
-    e = (e.where((F.col("EncounterType") == "inpatient")
+    e = (e.where((F.col("EncounterType") == INPATIENT)
                  & F.col("LengthOfStayDays").isNotNull()
                  & (F.col("LengthOfStayDays") > 0))
          .select("DepartmentID", "EncounterID", "ChiefComplaint", "InsuranceType",

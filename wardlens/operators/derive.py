@@ -34,21 +34,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardlens.fixed_values import (CATCHMENT_AREAS, PRIOR_STAY_TYPE,
+                                   READMISSION_WINDOW_DAYS, UNASSIGNED)
 from wardlens.functions.columns import label_by_lists, yes_no
 from wardlens.operators.joins import join_dimension
 from wardlens.sources.model import Tables
 
-# ZIP code lists of the three health service areas, in the
-# source's order, and the label for every other ZIP.
-CATCHMENT_AREAS: dict[str, list[str]] = {
-    "HSA-1": ["12307", "12305"],
-    "HSA-2": ["12303", "12304", "12308"],
-    "HSA-3": ["12301", "12306", "12302"],
-}
-UNASSIGNED = "Unassigned"
-READMISSION_WINDOW_DAYS = 30
-PRIOR_STAY_TYPE = "inpatient"
-
 
 def with_length_of_stay(encounters: DataFrame) -> DataFrame:
     """+ ``LengthOfStayDays``: discharge − encounter date in days, null while open."""

@@ -7,15 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlens.fixed_values import (COMPLAINT_DEPARTMENT_ID,
+                                   INFECTION_WORDS, VACCINATED)
 from wardlens.functions.columns import contains_any
 from wardlens.operators.common import asc, desc, top_n, with_department_name
 
-# Department of the complaint report, complaint words that mark
-# an infection-related encounter, and the status that counts as vaccinated.
-COMPLAINT_DEPARTMENT_ID = 3
-INFECTION_WORDS = ["fever", "infection", "gastroenteritis"]
-VACCINATED = "complete"
-
 
 def complaint_clusters(encounters: DataFrame,
                        department_id: int = COMPLAINT_DEPARTMENT_ID,

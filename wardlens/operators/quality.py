@@ -15,34 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens import schemas
+from wardlens.fixed_values import FOREIGN_KEYS, PRIMARY_KEYS, UNIQUE_KEYS
 from wardlens.sources.model import Tables
 
-# The foreign keys declared by the source schema, as
-# (child table, child column, parent table, parent column).
-FOREIGN_KEYS = [
-    ("billing_claims", "EncounterID", "encounters", "EncounterID"),
-    ("encounters", "PatientID", "patients", "PatientID"),
-    ("encounters", "DepartmentID", "departments", "DepartmentID"),
-    ("encounters", "StaffID", "staff", "StaffID"),
-    ("referrals", "PatientID", "patients", "PatientID"),
-    ("referrals", "EncounterID", "encounters", "EncounterID"),
-    ("referrals", "DepartmentID", "departments", "DepartmentID"),
-    ("satisfaction_surveys", "PatientID", "patients", "PatientID"),
-    ("satisfaction_surveys", "EncounterID", "encounters", "EncounterID"),
-    ("staff", "DepartmentID", "departments", "DepartmentID"),
-    ("supplies", "DepartmentID", "departments", "DepartmentID"),
-]
-
-
-# Primary keys of the model and its one unique key (supply names
-# compared case-insensitively), as declared by the source schema.
-PRIMARY_KEYS = {
-    "departments": ["DepartmentID"], "patients": ["PatientID"], "staff": ["StaffID"],
-    "supplies": ["SupplyID"], "encounters": ["EncounterID"], "referrals": ["ReferralID"],
-    "billing_claims": ["ClaimID"], "satisfaction_surveys": ["SurveyID"],
-}
-UNIQUE_KEYS = {"supplies": ["DepartmentID", "SupplyName"]}
-
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str | Column],
                    nulls_are_violations: bool = True) -> DataFrame:

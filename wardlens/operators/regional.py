@@ -6,13 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlens.fixed_values import INPATIENT, OUTGOING, REJECTED
 from wardlens.functions.exact import avg_half_up, avg_money, cents, money, pct_half_up
 from wardlens.operators.common import asc, desc, with_department_name
 
-OUTGOING = "outgoing"
-REJECTED = "rejected"
-INPATIENT = "inpatient"
-
 
 def average_los(encounters: DataFrame, departments: DataFrame) -> DataFrame:
     """Closed inpatient stays per department and their mean length in days

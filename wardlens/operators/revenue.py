@@ -11,12 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlens.fixed_values import DENIED, MIN_CLAIMS
 from wardlens.functions.exact import avg_half_up, cents, money, pct_half_up
 from wardlens.operators.common import asc, desc, top_n, with_department_name
 
-DENIED = "denied"
-MIN_CLAIMS = 5
-
 
 def claim_lag(claims: DataFrame, encounters: DataFrame, departments: DataFrame,
               n: int | None = 10) -> DataFrame:

@@ -7,11 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlens.fixed_values import EXPIRY_HORIZON_DAYS
 from wardlens.functions.exact import cents, money
 from wardlens.operators.common import asc, desc, top_n, with_department_name
 
-EXPIRY_HORIZON_DAYS = 90
-
 
 def low_stock(supplies: DataFrame, departments: DataFrame, n: int | None = 5) -> DataFrame:
     """Items strictly below their reorder threshold, largest shortfall first.

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardlens.fixed_values import (ACTIVE, CLINICAL_ROLES, COMPLICATION_TYPES,
+                                   INDICATORS, INPATIENT, READMISSION_SCOPE)
 from wardlens.functions.columns import date_id_order, in_period, severity
 from wardlens.functions.exact import half_up_div, pct_half_up
 from wardlens.operators.derive import (READMISSION_WINDOW_DAYS, readmission_days,
@@ -33,24 +35,10 @@ class Indicator:
     rule: str
 
 
-# Indicator names, cutoffs (critical, elevated), rounding digits
-# and derivation texts as published by the source.
-READMISSION_RATE = Indicator(
-    "readmission_rate_30d", 10, 5, 1,
-    "Readmissions / inpatient+ED encounters per catchment area")
-FIRST_ENCOUNTER_COMPLICATION = Indicator(
-    "first_encounter_complication_rate", 50, 30, 1,
-    "Patients whose first encounter is emergency/inpatient per catchment")
-BED_UTILIZATION = Indicator(
-    "bed_utilization_rate", 85, 70, 2,
-    "Total bed-days used / (bed capacity x days in period) per department")
-PROVIDER_WORKLOAD = Indicator(
-    "provider_workload_index", 0.5, 0.3, 4,
-    "Encounters / (active clinical staff x days in period) per department")
-READMISSION_SCOPE = ["inpatient", "emergency"]
-COMPLICATION_TYPES = ["emergency", "inpatient"]
-CLINICAL_ROLES = ["resident", "nurse", "specialist", "consultant"]
-ACTIVE = "active"
+READMISSION_RATE = Indicator(*INDICATORS["readmission_rate"])
+FIRST_ENCOUNTER_COMPLICATION = Indicator(*INDICATORS["first_encounter_complication"])
+BED_UTILIZATION = Indicator(*INDICATORS["bed_utilization"])
+PROVIDER_WORKLOAD = Indicator(*INDICATORS["provider_workload"])
 
 INDICATOR_COLUMNS = ["DepartmentID", "CatchmentArea", "IndicatorName",
                      "ReportingPeriodStart", "ReportingPeriodEnd", "Numerator",
@@ -184,7 +172,7 @@ def bed_utilization_rate(encounters: DataFrame, departments: DataFrame,
     """
     days = validate_period(start, end)
     e = encounters if "LengthOfStayDays" in encounters.columns else with_length_of_stay(encounters)
-    e = (e.where((F.col("EncounterType") == "inpatient")
+    e = (e.where((F.col("EncounterType") == INPATIENT)
                  & (F.col("LengthOfStayDays") > 0)
                  & in_period("EncounterDate", start, end))
          .select("DepartmentID", "LengthOfStayDays"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from wardlens.fixed_values import VARCHAR_LIMITS  # noqa: F401 (re-exported)
+
 
 def _f(name: str, dtype: T.DataType, nullable: bool = True) -> T.StructField:
     return T.StructField(name, dtype, nullable)
@@ -91,23 +93,3 @@ MODEL = {
     "billing_claims": BILLING_CLAIMS,
     "satisfaction_surveys": SATISFACTION_SURVEYS,
 }
-
-# Declared string lengths of the source DDL, checked by
-# ``wardlens.operators.quality.length_violations``.
-# Fixed values (column -> maximum characters), as declared by the source schema.
-VARCHAR_LIMITS = {
-    "departments": {"DepartmentName": 50, "DepartmentType": 50,
-                    "OperationalStatus": 20, "PhoneExtension": 10},
-    "patients": {"FirstName": 50, "LastName": 50, "Sex": 10, "Address": 200,
-                 "Zip": 10},
-    "staff": {"FirstName": 50, "LastName": 50, "Role": 50, "TypicalShift": 20,
-              "EmploymentStatus": 20, "VaxHBVStatus": 20, "VaxTdapStatus": 20},
-    "supplies": {"SupplyName": 100, "Category": 50, "UnitOfMeasure": 20},
-    "encounters": {"EncounterType": 20, "ChiefComplaint": 200,
-                   "DischargeStatus": 50, "InsuranceType": 50, "BillingCode": 20},
-    "referrals": {"ReceivingHospital": 100, "SpecialtyRequired": 50,
-                  "Status": 20, "RejectionReason": 200,
-                  "TransportDifficultyFlag": 5,
-                  "TransportDifficultyReason": 200, "ReferralDirection": 10},
-    "billing_claims": {"ClaimStatus": 20},
-}
