@@ -60,9 +60,9 @@ def publish_indicators(indicators: DataFrame, root: str, start: dt.date,
     stage = f"{root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
     rows.write.mode("overwrite").parquet(stage)
     try:
-        # The indicator rows of one period are few (areas and departments times
-        # four), so the published partition is one file; the computation above
-        # keeps its full parallelism.
+        # One period holds few indicator rows (two per catchment area, two per
+        # department), so the published partition is one file; the computation
+        # above keeps its full parallelism.
         (spark.read.schema(rows.schema).parquet(stage).repartition(1)
          .write.mode("overwrite").parquet(path))
     finally:
