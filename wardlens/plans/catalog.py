@@ -39,7 +39,7 @@ _cache: dict[tuple[str, int, str], Tables] = {}
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """Model tables of ``sf_dir`` (plans only; memoised per session)."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    key = (spark.conf.get("spark.app.id", ""), id(spark), sf_dir)
     if key not in _cache:
         _cache[key] = driver_tables(spark, sf_dir)
     return _cache[key]
