@@ -89,3 +89,11 @@ def test_hot_patient_is_handled_without_pairs(make):
         got = dict(rows(with_readmission_flag(df, method=method, salt=salt),
                         "EncounterID", "IsReadmission"))
         assert got == expect, (method, salt)
+
+
+def test_readmission_rate_shares_its_per_day_aggregate(spark):
+    """The totals and the readmission match use one scan and shuffle of the
+    per-(patient, day) counts (visible as a reused exchange)."""
+    df = entry_mod.queries()["readmission_rate"](spark, SF)
+    df.collect()
+    assert "ReusedExchange" in plan(df)

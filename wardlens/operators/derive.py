@@ -86,6 +86,46 @@ def _discharge_days(prior: DataFrame, prior_type: str) -> DataFrame:
             .distinct())
 
 
+def _bucketed_matches(starts: DataFrame, dis: DataFrame, w: int) -> DataFrame:
+    """Rows of ``starts`` (``PatientID``, ``day``, any other columns) with a
+    discharge day in ``[day - w, day - 1]``. The window is covered by at most
+    two ``w``-day buckets, so the range join becomes an equi-join on
+    ``(PatientID, bucket)`` with the range as a residual condition; a row
+    matching in both buckets appears twice."""
+    s_ep = F.unix_date("day")
+    probes = starts.withColumn(
+        "bucket", F.explode(F.sequence(F.floor((s_ep - w) / w), F.floor((s_ep - 1) / w))))
+    dis_b = dis.withColumn("dbucket", F.floor(F.unix_date("dday") / w))
+    cond = ((F.col("PatientID") == F.col("dpid"))
+            & (F.col("bucket") == F.col("dbucket"))
+            & (F.col("dday") < F.col("day"))
+            & (F.col("dday") >= F.date_sub("day", w)))
+    return probes.join(dis_b, cond, "left_semi").drop("bucket")
+
+
+def readmission_day_counts(day_counts: DataFrame, prior: DataFrame,
+                           window_days: int = READMISSION_WINDOW_DAYS,
+                           prior_type: str = PRIOR_STAY_TYPE,
+                           count: str = "_n") -> DataFrame:
+    """The rows of ``day_counts`` — one per ``(PatientID, EncounterDate)``
+    with a ``count`` column — whose day is a readmission day, count kept.
+
+    The probe side is ``day_counts`` itself (no separate distinct of the start
+    days), so a caller that also sums ``day_counts`` shares one aggregate and
+    one scan of the encounters between both uses."""
+    w = int(window_days)
+    # No null filter here (it would make this branch's plan differ from the
+    # caller's): a null patient never meets the join equality and a null day
+    # yields no probe bucket, so such rows cannot match.
+    starts = day_counts.select("PatientID", F.col("EncounterDate").alias("day"), count)
+    if w < 1:
+        return starts.where(F.lit(False)).select(
+            "PatientID", F.col("day").alias("EncounterDate"), count)
+    matched = _bucketed_matches(starts, _discharge_days(prior, prior_type), w)
+    return (matched.groupBy("PatientID", "day").agg(F.max(count).alias(count))
+            .withColumnRenamed("day", "EncounterDate"))
+
+
 def readmission_days(encounters: DataFrame, prior: DataFrame | None = None,
                      window_days: int = READMISSION_WINDOW_DAYS,
                      prior_type: str = PRIOR_STAY_TYPE,
@@ -104,17 +144,7 @@ def readmission_days(encounters: DataFrame, prior: DataFrame | None = None,
         return starts.where(F.lit(False)).select(
             "PatientID", F.col("day").alias("EncounterDate"))
     if method == "bucketed":
-        # discharge d matches start s iff s - w <= d <= s - 1 (an interval of w days)
-        s_ep = F.unix_date("day")
-        probes = starts.withColumn(
-            "bucket", F.explode(F.sequence(F.floor((s_ep - w) / w),
-                                           F.floor((s_ep - 1) / w))))
-        dis_b = dis.withColumn("dbucket", F.floor(F.unix_date("dday") / w))
-        cond = ((F.col("PatientID") == F.col("dpid"))
-                & (F.col("bucket") == F.col("dbucket"))
-                & (F.col("dday") < F.col("day"))
-                & (F.col("dday") >= F.date_sub("day", w)))
-        hits = probes.join(dis_b, cond, "left_semi").select("PatientID", "day")
+        hits = _bucketed_matches(starts, dis, w).select("PatientID", "day")
         return hits.distinct().withColumnRenamed("day", "EncounterDate")
     if method == "window":
         timeline = (starts.select("PatientID", "day", F.lit(1).alias("is_start"),

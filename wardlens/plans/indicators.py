@@ -20,8 +20,9 @@ from wardlens.fixed_values import (ACTIVE, CLINICAL_ROLES, COMPLICATION_TYPES,
                                    INDICATORS, INPATIENT, READMISSION_SCOPE)
 from wardlens.functions.columns import date_id_order, in_period, severity
 from wardlens.functions.exact import half_up_div, pct_half_up
-from wardlens.operators.derive import (READMISSION_WINDOW_DAYS, readmission_days,
-                                       with_catchment_area, with_length_of_stay)
+from wardlens.operators.derive import (READMISSION_WINDOW_DAYS, readmission_day_counts,
+                                       readmission_days, with_catchment_area,
+                                       with_length_of_stay)
 from wardlens.operators.joins import bounded_broadcast, join_dimension
 from wardlens.sources.model import Tables
 
@@ -89,27 +90,37 @@ def readmission_rate(encounters: DataFrame, patients: DataFrame, start: dt.date,
     read only where their discharge can reach the period.
     """
     validate_period(start, end)
+    # Encounters without a patient drop out at the patient join anyway; the
+    # explicit not-null date equals the constraint Spark infers on the match
+    # side, so both uses of the per-day aggregate below plan identically and
+    # share one scan and shuffle.
     scope = encounters.where(F.col("EncounterType").isin(READMISSION_SCOPE)
-                             & in_period("EncounterDate", start, end))
+                             & in_period("EncounterDate", start, end)
+                             & F.col("PatientID").isNotNull()
+                             & F.col("EncounterDate").isNotNull())
     if "IsReadmission" in encounters.columns:
         per_patient = (scope.groupBy("PatientID")
                        .agg(F.count(F.lit(1)).alias("_n"),
                             F.count_if(F.col("IsReadmission") == "Yes").alias("_yes")))
     else:
         # Count encounters per (patient, day) first: the flag depends only on
-        # that key, and the aggregate is already distinct and partitioned on it.
+        # that key. The same aggregate feeds the totals and (as the probe side)
+        # the readmission match, so encounters are scanned once for both.
         per_day = (scope.groupBy("PatientID", "EncounterDate")
                    .agg(F.count(F.lit(1)).alias("_n")))
         prior = encounters.where(F.col("DischargeDate").between(
             F.date_sub(F.lit(start), window_days), F.date_sub(F.lit(end), 1)))
-        hits = (readmission_days(per_day, prior, window_days, method=method,
-                                 distinct_days=True)
-                .withColumn("_hit", F.lit(True)))
-        per_patient = (per_day.join(hits, ["PatientID", "EncounterDate"], "left")
-                       .groupBy("PatientID")
-                       .agg(F.sum("_n").alias("_n"),
-                            F.sum(F.when(F.col("_hit"), F.col("_n")).otherwise(0))
-                             .alias("_yes")))
+        if method == "bucketed":
+            hit_days = readmission_day_counts(per_day, prior, window_days)
+        else:
+            hits = readmission_days(per_day, prior, window_days, method=method,
+                                    distinct_days=True)
+            hit_days = per_day.join(hits, ["PatientID", "EncounterDate"])
+        yes = hit_days.groupBy("PatientID").agg(F.sum("_n").alias("_yes"))
+        per_patient = (per_day.groupBy("PatientID").agg(F.sum("_n").alias("_n"))
+                       .join(yes, "PatientID", "left")
+                       .select("PatientID", "_n",
+                               F.coalesce("_yes", F.lit(0)).alias("_yes")))
     agg = (per_patient.join(_areas(patients), "PatientID")
            .groupBy("CatchmentArea")
            .agg(F.sum("_yes").alias("Numerator"), F.sum("_n").alias("Denominator")))
