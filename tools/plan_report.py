@@ -105,6 +105,10 @@ def main() -> None:
           "the only broadcasts left are the library's size-checked dimensions. Columns:",
           "tables scanned (columns read; filters pushed into the Parquet reader beyond",
           "not-null), shuffles (exchange partitioning keys), joins, and other operators.",
+          "These are the plans before execution: identical subtrees that adaptive",
+          "execution runs once (e.g. the per-day aggregate of `readmission_rate`,",
+          "listed twice here and shown as a `ReusedExchange` in the executed plan;",
+          "pinned by `tests/test_plans.py`) still appear once per use.",
           "", "| Query | Scans | Shuffles | Joins | Operators |", "|---|---|---|---|---|"]
     for name, fn in queries().items():
         if name in SKIP:
