@@ -16,11 +16,17 @@ _checked: dict[tuple[str, int, int], bool] = {}
 
 
 def is_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` rows to decide."""
+    """True when ``df`` holds at most ``max_rows`` rows.
+
+    ``take`` scans partitions incrementally (one, then a growing number) and
+    stops once it has ``max_rows + 1`` rows, so checking a large frame costs a
+    few partitions rather than a task on every partition (as ``limit().count()``
+    would). Only a constant column is taken: at most ``max_rows + 1`` tiny rows
+    reach the driver.
+    """
     key = (df.sparkSession.conf.get("spark.app.id", ""), df.semanticHash(), max_rows)
     if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+        _checked[key] = len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
     return _checked[key]
 
 
