@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings that matter at any scale: adaptive execution (runtime re-planning,
@@ -27,7 +28,8 @@ BASE_CONF = {
 def build_session(master: str | None = None, app_name: str = "wardlens",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library's recommended settings.
+    """Create (or reuse) a session with the library's recommended settings
+    (settings given to ``spark-submit`` take precedence).
 
     On a cluster leave ``master`` unset and size ``shuffle_partitions`` to the
     input (≈ input bytes / 128 MiB); AQE coalesces the small ones at runtime.
@@ -35,8 +37,12 @@ def build_session(master: str | None = None, app_name: str = "wardlens",
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+    # Under spark-submit, SparkConf() holds the submitted --conf values: the
+    # library's defaults only fill in what the user did not set.
+    submitted = SparkConf()
     for k, v in BASE_CONF.items():
-        b = b.config(k, v)
+        if not submitted.contains(k):
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
