@@ -144,3 +144,15 @@ def test_bucketed_model_joins_without_shuffling_the_big_sides(spark, t):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_read_tables_missing_ok(spark, make):
+    from pyspark.errors import AnalysisException
+    from wardlens.sources.model import Tables
+    root = shared_dir(spark, "test-missing")
+    write_tables(Tables(departments=make("departments", [{"DepartmentID": 1,
+                                                          "DepartmentName": "A"}])), root)
+    t = read_tables(spark, root, missing_ok=True)
+    assert t.names() == ["departments"]
+    with pytest.raises(AnalysisException):
+        read_tables(spark, root)

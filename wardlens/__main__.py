@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     own = spark is None
     spark = spark or build_session()
-    t = read_tables(spark, a.tables, fmt=a.fmt)
+    t = read_tables(spark, a.tables, fmt=a.fmt, missing_ok=True)
     if a.cmd == "report":
         _emit(REPORTS[a.name](t, a), a.out)
     elif a.cmd == "indicators":

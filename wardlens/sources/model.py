@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,12 +53,17 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
 
 def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
                 names: list[str] | None = None, suffix: str = "",
-                **options: str) -> Tables:
-    """Read ``{root}/{table}{suffix}`` for each model table."""
+                missing_ok: bool = False, **options: str) -> Tables:
+    """Read ``{root}/{table}{suffix}`` for each model table; with
+    ``missing_ok`` a table whose folder does not exist is left ``None``."""
     out = Tables()
     for name in names or list(schemas.MODEL):
         path = f"{root.rstrip('/')}/{name}{suffix}"
-        setattr(out, name, read_table(spark, path, name, fmt, **options))
+        try:
+            setattr(out, name, read_table(spark, path, name, fmt, **options))
+        except AnalysisException:
+            if not missing_ok:
+                raise
     return out
 
 
