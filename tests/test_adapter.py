@@ -156,3 +156,17 @@ def test_read_tables_missing_ok(spark, make):
     assert t.names() == ["departments"]
     with pytest.raises(AnalysisException):
         read_tables(spark, root)
+
+
+def test_with_derived_keeps_only_stored_columns(spark, make):
+    from wardlens.sources.model import Tables
+    root = shared_dir(spark, "test-with-derived")
+    enc = make("encounters", [{"EncounterID": 1, "PatientID": 1}])
+    write_tables(Tables(encounters=enc), f"{root}/plain")
+    write_tables(Tables(encounters=enc.withColumn("IsReadmission", F.lit("Yes"))),
+                 f"{root}/stored")
+    plain = read_tables(spark, f"{root}/plain", names=["encounters"], with_derived=True)
+    stored = read_tables(spark, f"{root}/stored", names=["encounters"], with_derived=True)
+    assert "IsReadmission" not in plain.encounters.columns
+    assert stored.encounters.select("IsReadmission").first()[0] == "Yes"
+    assert "LengthOfStayDays" not in stored.encounters.columns

@@ -32,3 +32,19 @@ def test_cli_report_indicators_checks(spark):
                 spark=spark) == 0
     keys = spark.read.parquet(f"{root}/out/checks/primary_and_unique_keys")
     assert keys.where("TableName = 'encounters'").first().DuplicateKeys == 0
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables missing")
+def test_cli_derive_then_report_with_stored_columns(spark):
+    root = shared_dir(spark, "test-cli-derive")
+    write_tables(driver_tables(spark, SF), f"{root}/model")
+    assert main(["derive", "--tables", f"{root}/model", "--out", f"{root}/derived"],
+                spark=spark) == 0
+    enc = spark.read.parquet(f"{root}/derived/encounters")
+    assert {"IsReadmission", "LengthOfStayDays"} <= set(enc.columns)
+    for flag in ([], ["--derived"]):
+        assert main(["report", "risk_tiers", "--tables", f"{root}/derived", *flag,
+                     "--out", f"{root}/out/risk{len(flag)}"], spark=spark) == 0
+    a = spark.read.parquet(f"{root}/out/risk0").collect()
+    b = spark.read.parquet(f"{root}/out/risk1").collect()
+    assert sorted(a) == sorted(b) and len(a) == 20

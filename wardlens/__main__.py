@@ -1,11 +1,15 @@
 """Batch entry point (``spark-submit -m wardlens …`` or ``python -m wardlens …``).
 
-    report NAME --tables ROOT [--fmt parquet] [--as-of DATE] [--out PATH]
-    indicators --tables ROOT --start DATE --end DATE --publish ROOT2 [--computed-on DATE]
+    derive --tables ROOT --out ROOT2
+    report NAME --tables ROOT [--derived] [--fmt parquet] [--as-of DATE] [--out PATH]
+    indicators --tables ROOT [--derived] --start DATE --end DATE --publish ROOT2
+               [--computed-on DATE]
     checks --tables ROOT [--out PATH]
 
-``--tables`` holds one folder per model table (``ROOT/encounters`` …). Results
-are shown, or written as Parquet to ``--out``.
+``--tables`` holds one folder per model table (``ROOT/encounters`` …).
+``derive`` writes the model with its derived columns (length of stay,
+readmission flag, catchment area) to ``--out``; ``--derived`` reads such stored
+columns and uses them. Results are shown, or written as Parquet to ``--out``.
 """
 
 from __future__ import annotations
@@ -13,12 +17,13 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+from dataclasses import replace
 
 from wardlens import operators as ops
 from wardlens.plans import (compute_indicators, indicator_report, publish_indicators,
                             read_indicators)
 from wardlens.session import build_session
-from wardlens.sources import read_tables
+from wardlens.sources import read_tables, write_tables
 
 REPORTS = {
     "low_stock": lambda t, a: ops.low_stock(t.supplies, t.departments),
@@ -66,16 +71,24 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     i.add_argument("--publish", required=True)
     i.add_argument("--computed-on", type=_date, default=None)
     c = sub.add_parser("checks")
-    for sp in (r, i, c):
+    d = sub.add_parser("derive")
+    for sp in (r, i, c, d):
         sp.add_argument("--tables", required=True)
         sp.add_argument("--fmt", default="parquet")
-        sp.add_argument("--out", default=None)
+        sp.add_argument("--out", default=None, required=sp is d)
+    for sp in (r, i):
+        sp.add_argument("--derived", action="store_true")
     a = p.parse_args(argv)
 
     own = spark is None
     spark = spark or build_session()
-    t = read_tables(spark, a.tables, fmt=a.fmt, missing_ok=True)
-    if a.cmd == "report":
+    t = read_tables(spark, a.tables, fmt=a.fmt, missing_ok=True,
+                    with_derived=getattr(a, "derived", False))
+    if a.cmd == "derive":
+        out = a.out.rstrip("/")
+        derived = ops.derive_model(t, materialize_to=out)
+        write_tables(replace(derived, encounters=None, patients=None), out)
+    elif a.cmd == "report":
         _emit(REPORTS[a.name](t, a), a.out)
     elif a.cmd == "indicators":
         ind = compute_indicators(t, a.start, a.end, a.computed_on or dt.date.today())

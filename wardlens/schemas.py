@@ -83,6 +83,20 @@ QUALITY_INDICATORS = T.StructType([
     _f("DerivationRule", S, False),
 ])
 
+# Derived columns the source stores in its base tables. They are not part of
+# the base schemas (the library derives them); read them with
+# ``with_derived=True`` to use stored values, e.g. a stored readmission flag.
+DERIVED = {
+    "encounters": [_f("IsReadmission", S), _f("LengthOfStayDays", I)],
+    "patients": [_f("CatchmentArea", S)],
+}
+
+
+def with_derived(name: str) -> T.StructType:
+    """The base schema of ``name`` plus its stored derived columns."""
+    return T.StructType(list(MODEL[name].fields) + DERIVED.get(name, []))
+
+
 MODEL = {
     "departments": DEPARTMENTS,
     "patients": PATIENTS,

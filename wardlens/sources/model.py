@@ -41,10 +41,19 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
-               **options: str) -> DataFrame:
+               with_derived: bool = False, **options: str) -> DataFrame:
     """Read one model table from files (parquet, orc, csv, json) with its
-    declared schema; CSV gets ``header=true`` unless told otherwise."""
+    declared schema; CSV gets ``header=true`` unless told otherwise.
+    ``with_derived`` keeps stored derived columns (``schemas.DERIVED``)."""
     schema = schemas.MODEL[name]
+    if with_derived and schemas.DERIVED.get(name):
+        extra = schemas.DERIVED[name]
+        if fmt in ("parquet", "orc"):
+            # Keep only the stored columns the files really have: a derived
+            # column read as all-null would be taken as a stored value.
+            present = set(spark.read.format(fmt).load(path).columns)
+            extra = [f for f in extra if f.name in present]
+        schema = T.StructType(list(schema.fields) + extra)
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
         options = {"header": "true", **options}
@@ -53,14 +62,17 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
 
 def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
                 names: list[str] | None = None, suffix: str = "",
-                missing_ok: bool = False, **options: str) -> Tables:
+                missing_ok: bool = False, with_derived: bool = False,
+                **options: str) -> Tables:
     """Read ``{root}/{table}{suffix}`` for each model table; with
-    ``missing_ok`` a table whose folder does not exist is left ``None``."""
+    ``missing_ok`` a table whose folder does not exist is left ``None``;
+    ``with_derived`` keeps stored derived columns, which the operators then
+    use instead of deriving them."""
     out = Tables()
     for name in names or list(schemas.MODEL):
         path = f"{root.rstrip('/')}/{name}{suffix}"
         try:
-            setattr(out, name, read_table(spark, path, name, fmt, **options))
+            setattr(out, name, read_table(spark, path, name, fmt, with_derived, **options))
         except AnalysisException:
             if not missing_ok:
                 raise
