@@ -59,7 +59,8 @@ READMIT_EXPECTED = {1: "No", 2: "No", 3: "Yes", 4: "Yes", 5: "No", 6: "No", 7: "
 
 def test_readmission_boundaries_both_methods(make):
     df = make("encounters", READMIT_FIXTURE)
-    for method, salt in (("bucketed", 1), ("window", 1), ("bucketed", 4)):
+    for method, salt in (("bucketed", 1), ("window", 1), ("bucketed", 4), ("bucketed", "auto"),
+                         ("window", "auto")):
         out = with_readmission_flag(df, method=method, salt=salt)
         assert out.count() == len(READMIT_FIXTURE)
         got = dict(rows(out, "EncounterID", "IsReadmission"))
@@ -100,7 +101,8 @@ def test_readmission_methods_equal_brute_force(make, data, window):
             for i, (pid, t, s, los) in enumerate(data)]
     df = make("encounters", encs)
     expected = _brute(encs, window)
-    for method in ("bucketed", "window"):
-        got = dict(rows(with_readmission_flag(df, window_days=window, method=method),
+    for method, salt in (("bucketed", 1), ("window", 1), ("bucketed", "auto")):
+        got = dict(rows(with_readmission_flag(df, window_days=window, method=method,
+                                              salt=salt),
                         "EncounterID", "IsReadmission"))
-        assert got == expected, method
+        assert got == expected, (method, salt)

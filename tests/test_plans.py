@@ -85,7 +85,7 @@ def test_hot_patient_is_handled_without_pairs(make):
     expect = {e["EncounterID"]: "Yes" if e["PatientID"] == 1 and any(
         d < e["EncounterDate"] <= d + dt.timedelta(days=30) for d in dis) else "No"
         for e in encs}
-    for method, salt in (("bucketed", 1), ("window", 1), ("bucketed", 8)):
+    for method, salt in (("bucketed", 1), ("window", 1), ("bucketed", 8), ("bucketed", "auto")):
         got = dict(rows(with_readmission_flag(df, method=method, salt=salt),
                         "EncounterID", "IsReadmission"))
         assert got == expect, (method, salt)
@@ -97,3 +97,33 @@ def test_readmission_rate_shares_its_per_day_aggregate(spark):
     df = entry_mod.queries()["readmission_rate"](spark, SF)
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def test_auto_salt_splits_only_hot_keys(spark, make):
+    """One (patient, day) holds most rows: salt="auto" spreads it over many
+    join keys, while every other key keeps a single one."""
+    from pyspark.sql import functions as F
+    from wardlens.operators.derive import HOT_SHARE
+    base = dt.date(2024, 1, 1)
+    encs = [{"EncounterID": i, "PatientID": 1, "EncounterType": "outpatient",
+             "EncounterDate": base + dt.timedelta(days=40), "DischargeDate": None}
+            for i in range(3000)]
+    encs += [{"EncounterID": 10_000 + i, "PatientID": 2 + i, "EncounterType": "inpatient",
+              "EncounterDate": base, "DischargeDate": base + dt.timedelta(days=1)}
+             for i in range(500)]
+    encs.append({"EncounterID": 99_999, "PatientID": 1, "EncounterType": "inpatient",
+                 "EncounterDate": base + dt.timedelta(days=20),
+                 "DischargeDate": base + dt.timedelta(days=25)})
+    df = make("encounters", encs)
+    out = with_readmission_flag(df, salt="auto")
+    got = dict(rows(out, "EncounterID", "IsReadmission"))
+    assert all(got[i] == "Yes" for i in range(3000))  # day 40 follows the day-25 discharge
+    assert sum(v == "Yes" for v in got.values()) == 3000
+    # the hot key is split in proportion to its share of the rows
+    total = len(encs)
+    parts = -(-3000 * HOT_SHARE // total)
+    hot = (df.where((F.col("PatientID") == 1)
+                    & (F.col("EncounterDate") == base + dt.timedelta(days=40)))
+           .select(F.pmod(F.xxhash64("EncounterID"), F.lit(parts)).alias("s"))
+           .distinct().count())
+    assert hot > 100

@@ -165,29 +165,69 @@ def readmission_days(encounters: DataFrame, prior: DataFrame | None = None,
     raise ValueError(f"unknown method {method!r}")
 
 
+# salt="auto": a (patient, day) holding more than 1/HOT_SHARE of all rows is
+# hot and is split into ceil(rows * HOT_SHARE / all rows) <= HOT_SHARE parts.
+# Fewer than HOT_SHARE keys can be hot, so the hot-key list is bounded by
+# construction and is broadcast.
+HOT_SHARE = 1000
+
+
+def _flag_join_auto(encounters: DataFrame, cols: list[str], prior: DataFrame,
+                    window_days: int, prior_type: str, method: str) -> DataFrame:
+    keys = ["PatientID", "EncounterDate"]
+    per_key = encounters.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hits = (readmission_days(per_key, prior, window_days, prior_type, method,
+                             distinct_days=True)
+            .withColumn("_readmit", F.lit(True)))
+    total = per_key.select(F.sum("_rows")).scalar()  # scalar subquery
+    hot = F.broadcast(
+        per_key.where(F.col("_rows") * HOT_SHARE > total)
+        .select(*keys, F.ceil(F.col("_rows") * HOT_SHARE / total).cast("int").alias("_parts")))
+    hits = (hits.join(hot, keys, "left")
+            .withColumn("_salt", F.explode(F.sequence(
+                F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+            .drop("_parts"))
+    rid = F.xxhash64("EncounterID")
+    left = (encounters.select(*cols).join(hot, keys, "left")
+            .withColumn("_salt", F.when(F.col("PatientID").isNull()
+                                        | F.col("EncounterDate").isNull(),
+                                        F.pmod(rid, F.lit(HOT_SHARE)))
+                        .otherwise(F.pmod(rid, F.coalesce("_parts", F.lit(1)))))
+            .drop("_parts"))
+    return (left.join(hits, keys + ["_salt"], "left")
+            .withColumn("IsReadmission", yes_no(F.col("_readmit")))
+            .select(*cols, "IsReadmission"))
+
+
 def with_readmission_flag(encounters: DataFrame, prior: DataFrame | None = None,
                           window_days: int = READMISSION_WINDOW_DAYS,
                           prior_type: str = PRIOR_STAY_TYPE,
-                          method: str = "bucketed", salt: int = 1) -> DataFrame:
+                          method: str = "bucketed", salt: int | str = 1) -> DataFrame:
     """+ ``IsReadmission`` (``'Yes'``/``'No'``).
 
     ``prior`` is the frame the prior stays are taken from (default: the same
     encounters); pass the full encounters when flagging a filtered subset.
 
     The flag is joined back on ``(PatientID, EncounterDate)``. AQE splits a
-    skewed partition of that join at runtime; ``salt=n`` additionally splits
+    skewed partition of that join at runtime. ``salt=n`` additionally splits
     every key ``n`` ways up front (each matched day is replicated ``n`` times,
-    each encounter picks one copy by a hash of its id), so even a single
-    (patient, day) holding a third of all rows is spread over ``n`` tasks.
+    each encounter picks one copy by a hash of its id). ``salt="auto"`` splits
+    only the hot keys, each in proportion to its share of the rows (see
+    ``HOT_SHARE``), from counts taken in the same pass that finds the start
+    days; rows with a null key, which cannot match, are spread by id.
     """
+    cols = [c for c in encounters.columns if c != "IsReadmission"]
+    if salt == "auto":
+        return _flag_join_auto(encounters, cols, encounters if prior is None else prior,
+                               window_days, prior_type, method)
     hits = (readmission_days(encounters, prior, window_days, prior_type, method)
             .withColumn("_readmit", F.lit(True)))
-    cols = [c for c in encounters.columns if c != "IsReadmission"]
     keys = ["PatientID", "EncounterDate"]
     left = encounters.select(*cols)
-    if salt > 1:
-        hits = hits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        left = left.withColumn("_salt", F.pmod(F.xxhash64("EncounterID"), F.lit(salt)))
+    n = int(salt)
+    if n > 1:
+        hits = hits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        left = left.withColumn("_salt", F.pmod(F.xxhash64("EncounterID"), F.lit(n)))
         keys = keys + ["_salt"]
     return (left.join(hits, keys, "left")
             .withColumn("IsReadmission", yes_no(F.col("_readmit")))
