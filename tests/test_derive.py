@@ -90,7 +90,7 @@ def _brute(encs, window=30):
     return out
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["inpatient", "emergency",
                                                               "outpatient"]),
                           st.integers(-40, 120), st.one_of(st.none(), st.integers(0, 12))),

@@ -20,7 +20,7 @@ def _ref_half_up(num: int, den: int, digits: int) -> float:
     return float(Fraction(r if exact >= 0 else -r, 10 ** digits))
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=30, deadline=None)
 @given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(1, 10**6),
                           st.sampled_from([0, 1, 2, 4])), min_size=1, max_size=20))
 def test_half_up_div_is_exact(spark, cases):
