@@ -170,3 +170,36 @@ def test_with_derived_keeps_only_stored_columns(spark, make):
     assert "IsReadmission" not in plain.encounters.columns
     assert stored.encounters.select("IsReadmission").first()[0] == "Yes"
     assert "LengthOfStayDays" not in stored.encounters.columns
+
+
+def test_read_jdbc_builds_a_partitioned_read(spark, make):
+    """No database may run here: a stand-in reader records the options and
+    returns a frame, which is then conformed to the declared schema."""
+    from wardlens.sources.model import read_jdbc
+
+    recorded = {}
+    frame = make("departments", [{"DepartmentID": 1, "DepartmentName": "A"}]).drop("Building")
+
+    class Reader:
+        def format(self, f):
+            recorded["format"] = f
+            return self
+
+        def option(self, k, v):
+            recorded[k] = v
+            return self
+
+        def load(self):
+            return frame
+
+    class Fake:
+        read = Reader()
+
+    df = read_jdbc(Fake(), "jdbc:example://host/model", "departments", {"user": "u"},
+                   partition_column="DepartmentID", lower=1, upper=1000, num_partitions=16)
+    assert recorded == {"format": "jdbc", "url": "jdbc:example://host/model",
+                        "dbtable": "departments", "user": "u",
+                        "partitionColumn": "DepartmentID", "lowerBound": "1",
+                        "upperBound": "1000", "numPartitions": "16"}
+    assert df.columns == schemas.MODEL["departments"].fieldNames()
+    assert df.first().Building is None
