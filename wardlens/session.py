@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -53,16 +53,19 @@ def build_session(master: str | None = None, app_name: str = "wardlens",
 
 
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session; only when it is unset (local tests)
-    a private folder is created and registered as the checkpoint directory.
+    The setting is read from the session. Where it is unset, a session on this
+    machine alone (``local[...]``, as in tests) gets a folder of its own; on a
+    cluster that would be a different disk for every executor, so it raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="wardlens-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     sub = name or uuid.uuid4().hex
-    return os.path.join(root.rstrip("/"), "wardlens", sub)
+    return "/".join([root.rstrip("/"), "wardlens", sub])
