@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from wardlens.llm import decontaminate, neardup
+from wardlens.llm import bpe, decontaminate, neardup, token_files
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op5_bpe": bpe.query,
+    "op7_token_files": token_files.query,
     "op8_near_dedup": neardup.query,
 }
 
