@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from wardlens.llm import bpe, decontaminate, neardup, token_files
+from wardlens.llm import (ann, bpe, decontaminate, language, licenses, neardup, pii, token_counts,
+                          token_files, warc)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op2_pii": pii.query,
+    "op3_licenses": licenses.query,
+    "op4_warc": warc.query,
     "op5_bpe": bpe.query,
+    "op6_ann": ann.query,
     "op7_token_files": token_files.query,
     "op8_near_dedup": neardup.query,
+    "op9_token_counts": token_counts.query,
+    "op10_language": language.query,
 }
 
 SQL = {
     "op1_decontaminate": decontaminate.SQL,
+    "op4_warc": warc.SQL,
     "op8_near_dedup": neardup.SQL,
 }
