@@ -32,7 +32,7 @@ WINDOW_WORDS = 10
 # Lists that are intersected before the words are compared.
 INTERSECTED_TERMS = 3
 # Delta encoding of the sorted terms and positions.
-INDEX_OPTIONS = {"parquet.writer.version": "v2", "compression": "zstd"}
+INDEX_OPTIONS = {"parquet.writer.version": "v2"}
 
 
 def words(text: Column) -> Column:
