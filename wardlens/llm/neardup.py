@@ -13,8 +13,12 @@ sets.
 No bucket emits all its pairs. In each round every bucket whose documents are
 not yet in one component pairs one document per component with the bucket's
 smallest document; confirmed pairs merge components, until a round confirms
-nothing. Then the pairs between the components that still share a bucket are
-compared, so no candidate pair is left that could join two components.
+nothing. Copies at the fringe of a large group may then still share buckets with
+thousands of documents they are not similar to. The documents of such buckets
+are compared across components by an exact join on prefixes: with the shingles
+of each set in order of rarity, two sets of similarity 0.75 must share one at
+ranks that leave room for the overlap they need. Shingles that only a fringe
+copy has fill its prefix, so the pairs it does not link to are never formed.
 
 At similarity 0.75 a pair misses all bands with probability
 (1 - 0.75**5)**48 = 2.3e-6, and the estimate falls below its cut-off of 0.58
@@ -275,6 +279,27 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id",
         component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
 
 
+def _prefix_pairs(placed: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
+    """Pairs (a, b) of documents in different components that may be similar:
+    all that are, and few others. ``placed``: (doc, comp)."""
+    of = work.keep(sets.join(placed, "doc").select(
+        "doc", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("s")), "tokens")
+    rarity = work.keep(of.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "rarity")
+    listed = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s")))
+    prefix = (of.join(rarity, "s", "left").groupBy("doc", "comp", "n").agg(listed.alias("list"))
+              .select("doc", "comp", "n", F.posexplode(F.slice(
+                  "list", F.lit(1), F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1))
+                  .alias("at", "token"))
+              .where("token.df > 1").select("doc", "comp", "n", "at", "token.s"))
+    a = work.keep(prefix, "prefixes")
+    b = a.select("s", *[F.col(c).alias(f"{c}_b") for c in ("doc", "comp", "n", "at")])
+    room = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
+    fits = ((F.col("comp") < F.col("comp_b"))
+            & (F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * SIMILAR)
+            & (room * (100 + SIMILAR) >= (F.col("n") + F.col("n_b")) * SIMILAR))
+    return a.join(b, (a["s"] == b["s"]) & fits).select(F.col("doc").alias("a"), F.col("doc_b").alias("b"))
+
+
 def _merge(members: DataFrame, reps: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
     """(node, root) of the representatives that have a link."""
     candidates = members.select("doc").distinct()
@@ -294,10 +319,7 @@ def _merge(members: DataFrame, reps: DataFrame, texts: DataFrame, work: Workspac
                           .where("lo <> hi").select("key", "lo"), f"mixed-{turn}")
         here = placed.join(mixed, "key")
         if last:
-            here = work.keep(here, f"rest-{turn}")
-            other = here.select("key", F.col("doc").alias("a"), F.col("comp").alias("comp_a"))
-            pairs = (here.select("key", F.col("doc").alias("b"), "comp").join(other, "key")
-                     .where("comp_a < comp"))
+            pairs = _prefix_pairs(here.select("doc", "comp").distinct(), sets, work)
         else:
             one = work.keep(here.groupBy("key", "lo", "comp").agg(F.min("doc").alias("doc")),
                             f"one-{turn}")
