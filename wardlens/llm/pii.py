@@ -95,7 +95,7 @@ def feistel(key: str, kind: Column, left: Column, right: Column, left_size: Colu
 def _date_value(x: Column) -> Column:
     """The date that x names, null if the calendar has none."""
     d = _digits(x)
-    iso = F.char_length(F.regexp_extract(x, "^[0-9]+", 0)) == 4
+    iso = x.rlike("^[0-9]{4}")
     slash = F.contains(x, F.lit("/"))
     part = lambda at, n: F.substr(d, F.lit(at), F.lit(n))
     year = F.when(iso, part(1, 4)).otherwise(part(5, 4))
@@ -118,80 +118,103 @@ def kind_of(x: Column) -> Column:
             .when(F.pmod(luhn_sum(_digits(x), 1), F.lit(10)) == 0, "card"))
 
 
-def _pair(x: Column, kind: Column) -> Column:
-    """struct(l, r, a, b, n): the halves, their ranges, and the number of
-    digits of the left half (of digit strings)."""
-    d = _digits(x)
-    body = (F.when(kind == "card", F.substr(d, F.lit(1), F.char_length(d) - 1))
-            .when(kind == "phone", F.right(d, F.lit(10))).otherwise(d))
+def _halved(f: Column) -> Column:
+    """Adds the pair (l, r) of a value, its ranges (a, b), and the number of
+    digits of its left half, if it is a digit string."""
+    x, kind, d, body = f["x"], f["kind"], f["d"], f["body"]
     n = F.char_length(body)
     half = F.floor(n / 2).cast("int")
     octets = F.transform(F.split(x, r"\."), lambda o: F.try_to_number(o, F.lit("999")).cast("long"))
-    days = F.datediff(_date_value(x), F.lit(_EPOCH).cast("date"))
-    long = lambda c: c.cast("long")
-    as_struct = lambda l, r, a, b, k: F.struct(
-        long(l).alias("l"), long(r).alias("r"), long(a).alias("a"), long(b).alias("b"),
-        k.cast("int").alias("n"))
-    return (F.when(kind == "ip", as_struct(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3],
-                                           F.lit(65536), F.lit(65536), F.lit(0)))
-            .when(kind == "date", as_struct(F.floor(days / _DAYS_RIGHT), F.pmod(days, F.lit(_DAYS_RIGHT)),
-                                            F.lit(_DAYS_LEFT), F.lit(_DAYS_RIGHT), F.lit(0)))
-            .otherwise(as_struct(F.substr(body, F.lit(1), half), F.substr(body, half + 1, n - half),
-                                 _power(half), _power(n - half), half)))
-
-
-def _laid_out(x: Column, digits: Column) -> Column:
-    """``digits`` in the places of x's digits."""
-    def char(i):
-        c = F.substr(x, i, F.lit(1))
-        at = F.char_length(_digits(F.substr(x, F.lit(1), i)))
-        return F.when(c.rlike("[0-9]"), F.substr(digits, at, F.lit(1))).otherwise(c)
-
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.char_length(x)), char), "")
-
-
-def _written(x: Column, kind: Column, pair: Column, moved: Column) -> Column:
-    """The permuted pair in the format of x."""
-    d = _digits(x)
-    right_digits = F.char_length(pair["b"].cast("string")) - 1
-    body = F.concat(F.lpad(moved["l"].cast("string"), pair["n"], F.lit("0")),
-                    F.lpad(moved["r"].cast("string"), right_digits, F.lit("0")))
-    check = F.pmod(10 - F.pmod(luhn_sum(body, 0), F.lit(10)), F.lit(10))
+    # Areas 001-665 and 667-899, groups 01-99, serials 0001-9999.
+    area = F.substr(d, F.lit(1), F.lit(3)).cast("int")
+    ssn = ((area - F.when(area > 666, 2).otherwise(1)) * 99
+           + F.substr(d, F.lit(4), F.lit(2)).cast("int") - 1)
+
+    def pair(l, r, a, b, digits) -> Column:
+        return F.struct(l.cast("long").alias("l"), r.cast("long").alias("r"),
+                        a.cast("long").alias("a"), b.cast("long").alias("b"),
+                        digits.cast("int").alias("n"))
+
+    return (F.when(kind == "ip", pair(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3],
+                                      F.lit(65536), F.lit(65536), F.lit(0)))
+            .when(kind == "date", pair(F.floor(f["days"] / _DAYS_RIGHT),
+                                       F.pmod(f["days"], F.lit(_DAYS_RIGHT)),
+                                       F.lit(_DAYS_LEFT), F.lit(_DAYS_RIGHT), F.lit(0)))
+            .when(kind == "ssn", pair(ssn, F.substr(d, F.lit(6), F.lit(4)).cast("int") - 1,
+                                      F.lit(898 * 99), F.lit(9999), F.lit(0)))
+            .when(kind.isin("card", "phone"),
+                  pair(F.substr(body, F.lit(1), half), F.substr(body, half + 1, n - half),
+                       _power(half), _power(n - half), half)))
+
+
+def _written(f: Column) -> Column:
+    """The new digits of a permuted pair, or the whole new address."""
+    x, kind, moved = f["x"], f["kind"], f["moved"]
+    pad = lambda c, n: F.lpad(c.cast("string"), n, F.lit("0"))
+    body = F.concat(pad(moved["l"], f["pair"]["n"]),
+                    pad(moved["r"], F.char_length(f["pair"]["b"].cast("string")) - 1))
     date = F.date_add(F.lit(_EPOCH).cast("date"), (moved["l"] * _DAYS_RIGHT + moved["r"]).cast("int"))
-    iso = F.char_length(F.regexp_extract(x, "^[0-9]+", 0)) == 4
-    dated = (F.when(iso, F.date_format(date, "yyyyMMdd"))
+    dated = (F.when(x.rlike("^[0-9]{4}"), F.date_format(date, "yyyyMMdd"))
              .when(F.contains(x, F.lit("/")), F.date_format(date, "MMddyyyy"))
              .otherwise(F.date_format(date, "ddMMyyyy")))
+    area = F.floor(moved["l"] / 99) + 1
+    ssn = F.concat(pad(area + F.when(area >= 666, 1).otherwise(0), F.lit(3)),
+                   pad(F.pmod(moved["l"], F.lit(99)) + 1, F.lit(2)), pad(moved["r"] + 1, F.lit(4)))
     address = F.concat_ws(".", *[c.cast("string") for half in ("l", "r") for c in (
         F.floor(moved[half] / 256), F.pmod(moved[half], F.lit(256)))])
-    country = F.substr(d, F.lit(1), F.char_length(d) - 10)
-    return (F.when(kind == "ip", address)
-            .when(kind == "date", _laid_out(x, dated))
-            .when(kind == "card", _laid_out(x, F.concat(body, check.cast("string"))))
-            .when(kind == "phone", _laid_out(x, F.concat(country, body)))
-            .otherwise(_laid_out(x, body)))
+    country = F.substr(f["d"], F.lit(1), F.char_length(f["d"]) - 10)
+    return (F.when(kind == "ip", address).when(kind == "date", dated).when(kind == "ssn", ssn)
+            .when(kind == "card", body).when(kind == "phone", F.concat(country, body)))
 
 
-def _mail(x: Column, key: str) -> Column:
-    return F.concat(F.lit("p"), F.substr(F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(x)), 256),
-                                         F.lit(1), F.lit(16)), F.lit("@mail.invalid"))
+def _with_check(f: Column) -> Column:
+    check = F.pmod(10 - F.pmod(luhn_sum(f["digits"], 0), F.lit(10)), F.lit(10))
+    return F.when(f["kind"] == "card", F.concat(f["digits"], check.cast("string"))).otherwise(f["digits"])
+
 
+def _laid_out(f: Column) -> Column:
+    """The new digits in the places of the value's digits."""
+    x = f["x"]
+
+    def char(i):
+        c = F.substr(x, i, F.lit(1))
+        at = F.char_length(_digits(F.substr(x, F.lit(1), i)))
+        return F.when(c.rlike("[0-9]"), F.substr(f["digits"], at, F.lit(1))).otherwise(c)
 
-def pseudonym(x: Column, kind: Column, key: str = KEY, forward: bool = True) -> Column:
-    """The pseudonym of a value of a kind; a value of no kind stays."""
-    pair = _pair(x, kind)
-    moved = feistel(key, kind, pair["l"], pair["r"], pair["a"], pair["b"], forward)
-    return (F.when(kind.isNull(), x)
-            .when(kind == "email", _mail(x, key) if forward else x)
-            .otherwise(_written(x, kind, pair, moved)))
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.char_length(x)), char), "")
 
 
-def _replaced(text: Column, key: str, forward: bool) -> Column:
-    """struct(text, kinds) of a text: candidates are cut out, replaced and put
-    back between the text around them."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)),
-                        lambda x: F.struct(x.alias("x"), kind_of(x).alias("kind")))
-    return F.struct(F.split(text, PATTERN).alias("around"), found.alias("found"))
+def _mail(x: Column, key: str) -> Column:
+    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("email"), F.lower(x)), 256)
+    return F.concat(F.lit("p"), F.substr(digest, F.lit(1), F.lit(16)), F.lit("@mail.invalid"))
+
+
+def _fields(f: Column, *names: str, **added: Column) -> Column:
+    return F.struct(*[f[n].alias(n) for n in names], *[c.alias(n) for n, c in added.items()])
+
+
+def pseudonyms(candidates: Column, key: str = KEY, forward: bool = True) -> Column:
+    """array<struct(kind, new)> of an array of candidates; what does not
+    validate has no kind and stays. Each step adds to the structs of the one
+    before, so no expression is repeated."""
+    found = F.transform(candidates, lambda x: F.struct(
+        x.alias("x"), kind_of(x).alias("kind"), _digits(x).alias("d")))
+    found = F.transform(found, lambda f: _fields(
+        f, "x", "kind", "d",
+        body=F.when(f["kind"] == "card", F.substr(f["d"], F.lit(1), F.char_length(f["d"]) - 1))
+        .otherwise(F.right(f["d"], F.lit(10))),
+        days=F.when(f["kind"] == "date",
+                    F.datediff(_date_value(f["x"]), F.lit(_EPOCH).cast("date")))))
+    found = F.transform(found, lambda f: _fields(f, "x", "kind", "d", pair=_halved(f)))
+    found = F.transform(found, lambda f: _fields(
+        f, "x", "kind", "d", "pair", moved=F.when(f["pair"].isNotNull(), feistel(
+            key, f["kind"], f["pair"]["l"], f["pair"]["r"], f["pair"]["a"], f["pair"]["b"], forward))))
+    found = F.transform(found, lambda f: _fields(f, "x", "kind", digits=_written(f)))
+    found = F.transform(found, lambda f: _fields(f, "x", "kind", digits=_with_check(f)))
+    mail = (lambda x: _mail(x, key)) if forward else (lambda x: x)
+    return F.transform(found, lambda f: _fields(
+        f, "kind", new=F.when(f["kind"].isNull(), f["x"]).when(f["kind"] == "email", mail(f["x"]))
+        .when(f["kind"] == "ip", f["digits"]).otherwise(_laid_out(f))))
 
 
 def pseudonymise(rows: DataFrame, text_col: str = "text", key: str = KEY,
@@ -199,22 +222,21 @@ def pseudonymise(rows: DataFrame, text_col: str = "text", key: str = KEY,
     """``rows`` with the text's personal data replaced, and n_email, n_ip,
     n_phone, n_ssn, n_date and n_card, the numbers of replaced values."""
     text = F.col(text_col)
-    hinted = text.rlike(_HINT)
-    cut = F.when(hinted, _replaced(text, key, forward))
-    names = rows.columns
-    state = "__pii_cut"
-    while state in names:
+    state = "__pii"
+    while state in rows.columns:
         state += "_"
-    with_cut = rows.withColumn(state, cut)
-    around, found = F.col(state)["around"], F.col(state)["found"]
-    new = F.transform(found, lambda f: pseudonym(f["x"], f["kind"], key, forward))
-    joined = F.array_join(F.zip_with(around, F.concat(new, F.array(F.lit(""))),
+    candidates = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    with_found = rows.withColumn(state, F.when(text.rlike(_HINT), pseudonyms(candidates, key, forward)))
+    found = F.col(state)
+    new = F.transform(found, lambda f: f["new"])
+    joined = F.array_join(F.zip_with(F.split(text, PATTERN), F.concat(new, F.array(F.lit(""))),
                                      lambda a, b: F.concat(a, b)), "")
-    kinds = F.transform(found, lambda f: f["kind"])
-    counts = {f"n_{kind}": F.when(F.col(state).isNull(), 0).otherwise(
-        F.size(F.array_compact(kinds)) - F.size(F.array_remove(F.array_compact(kinds), kind)))
-        .cast("long") for kind in KINDS}
-    return with_cut.withColumns({text_col: F.when(hinted, joined).otherwise(text)} | counts).drop(state)
+    kinds = F.array_compact(F.transform(found, lambda f: f["kind"]))
+    counts = {f"n_{kind}": F.when(found.isNull(), 0).otherwise(
+        F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long") for kind in KINDS}
+    # Texts without a replaced value are passed on as they are.
+    text_out = F.when(F.size(kinds) > 0, joined).otherwise(text)
+    return with_found.withColumns({text_col: text_out} | counts).drop(state)
 
 
 def restore(rows: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
