@@ -152,7 +152,8 @@ def test_read_tables_missing_ok(spark, make):
     root = shared_dir(spark, "test-missing")
     write_tables(Tables(departments=make("departments", [{"DepartmentID": 1,
                                                           "DepartmentName": "A"}])), root)
-    t = read_tables(spark, root, missing_ok=True)
+    with pytest.warns(UserWarning, match="table patients is missing"):
+        t = read_tables(spark, root, missing_ok=True)
     assert t.names() == ["departments"]
     with pytest.raises(AnalysisException):
         read_tables(spark, root)
@@ -172,6 +173,39 @@ def test_with_derived_keeps_only_stored_columns(spark, make):
     assert "LengthOfStayDays" not in stored.encounters.columns
 
 
+def test_csv_is_read_by_header_name(spark):
+    root = shared_dir(spark, "test-csv-names")
+    frame = spark.createDataFrame([("Doe", "x", 7, "Ann", "1990-02-03", "f", "a", "12301")],
+                                  "LastName string, Other string, PatientID long, FirstName string, "
+                                  "DOB string, Sex string, Address string, Zip string")
+    frame.write.mode("overwrite").option("header", True).csv(f"{root}/patients")
+    row = read_tables(spark, root, "csv", names=["patients"]).patients.first()
+    assert (row.PatientID, row.FirstName, row.LastName) == (7, "Ann", "Doe")
+    assert row.DOB.isoformat() == "1990-02-03"
+    frame.drop("Zip").write.mode("overwrite").option("header", True).csv(f"{root}/patients")
+    with pytest.raises(ValueError, match="no column Zip"):
+        read_tables(spark, root, "csv", names=["patients"])
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv", "orc"])
+def test_derived_columns_must_be_in_the_files(spark, make, fmt):
+    root = shared_dir(spark, f"test-derived-{fmt}")
+    enc = make("encounters", [{"EncounterID": 1, "PatientID": 1, "EncounterType": "inpatient"}])
+    for name, frame in (("plain", enc), ("stored", enc.withColumn("IsReadmission", F.lit("Yes")))):
+        w = frame.write.mode("overwrite").format(fmt)
+        (w.option("header", True) if fmt == "csv" else w).save(f"{root}/{name}/encounters")
+    read = {n: read_tables(spark, f"{root}/{n}", fmt, names=["encounters"], with_derived=True).encounters
+            for n in ("plain", "stored")}
+    assert "IsReadmission" not in read["plain"].columns
+    assert read["stored"].select("IsReadmission").first()[0] == "Yes"
+
+
+def test_read_jdbc_needs_bounds(spark):
+    from wardlens.sources.model import read_jdbc
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:example://host/model", "departments", {}, partition_column="DepartmentID")
+
+
 def test_read_jdbc_builds_a_partitioned_read(spark, make):
     """No database may run here: a stand-in reader records the options and
     returns a frame, which is then conformed to the declared schema."""

@@ -34,6 +34,21 @@ def test_cli_report_indicators_checks(spark):
     assert keys.where("TableName = 'encounters'").first().DuplicateKeys == 0
 
 
+@pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables missing")
+def test_cli_prints_all_rows_and_takes_parameters(spark, capsys):
+    root = shared_dir(spark, "test-cli-print")
+    write_tables(driver_tables(spark, SF), f"{root}/model")
+
+    def lines(*args):
+        assert main(["report", *args, "--tables", f"{root}/model"], spark=spark) == 0
+        return [x for x in capsys.readouterr().out.splitlines() if "\t" in x]
+
+    assert len(lines("costliest_stays")) > 51
+    assert len(lines("low_stock")) == 6 and len(lines("low_stock", "--n", "2")) == 3
+    assert len(lines("low_stock", "--n", "0")) > 6
+    assert len(lines("costliest_stays", "--k", "1")) < len(lines("costliest_stays"))
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables missing")
 def test_cli_derive_then_report_with_stored_columns(spark):
     root = shared_dir(spark, "test-cli-derive")

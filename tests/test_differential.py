@@ -40,6 +40,12 @@ def _day(rng, lo: dt.date, hi: dt.date) -> dt.date:
     return lo + dt.timedelta(days=rng.randrange((hi - lo).days + 1))
 
 
+def _price(rng, most):
+    """Amounts with two to four decimals, half cents among them."""
+    return rng.choice([round(rng.uniform(0.01, most), rng.choice([2, 3, 4])),
+                       rng.randrange(int(most)) + rng.choice([0.005, 0.125, 0.375, 0.0049])])
+
+
 def generate(seed: int) -> dict[str, list[dict]]:
     rng = random.Random(seed)
     lo, hi = dt.date(1995, 11, 15), dt.date(1998, 2, 15)
@@ -63,7 +69,7 @@ def generate(seed: int) -> dict[str, list[dict]]:
          "StockLevel": _maybe(rng, rng.randrange(0, 40)),
          "ReorderThreshold": _maybe(rng, rng.randrange(0, 40)),
          "ExpirationDate": _maybe(rng, _day(rng, dt.date(2025, 2, 1), dt.date(2025, 11, 30)), 0.3),
-         "UnitCost": _maybe(rng, round(rng.uniform(0.01, 900), 2))}
+         "UnitCost": _maybe(rng, _price(rng, 900))}
         for i in range(1, 81)]
     encs = []
     for i in range(1, 401):
@@ -78,11 +84,11 @@ def generate(seed: int) -> dict[str, list[dict]]:
             "DischargeDate": None if start is None or stay is None
             else start + dt.timedelta(days=stay),
             "ChiefComplaint": rng.choice(COMPLAINTS), "InsuranceType": rng.choice(INSURANCE),
-            "EncounterCost": _maybe(rng, round(rng.uniform(10, 5000), 2))})
+            "EncounterCost": _maybe(rng, _price(rng, 5000))})
     t["encounters"] = encs
     t["billing_claims"] = [
         {"ClaimID": i, "EncounterID": _maybe(rng, rng.randrange(1, 421), 0.05),
-         "BilledAmount": _maybe(rng, round(rng.uniform(1, 3000), 2)),
+         "BilledAmount": _maybe(rng, _price(rng, 3000)),
          "ClaimStatus": rng.choice(CLAIM),
          "DateSubmitted": _maybe(rng, _day(rng, lo, hi))} for i in range(1, 701)]
     t["satisfaction_surveys"] = [

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from wardlens.functions import (avg_diff_half_up, cents, contains_any, half_up_div,
+from wardlens.functions import (amount, avg_diff_half_up, avg_money, contains_any, half_up_div,
                                 label_by_lists, matches_lower, money, severity,
                                 value_order)
 
@@ -46,12 +46,18 @@ def test_half_up_zero_denominator_is_null(spark):
     assert [r[0] for r in df.select(half_up_div("n", "d", 1)).collect()] == [None, 0.0]
 
 
-def test_cents_and_money_round_trip(spark):
-    vals = [448.29, 0.1, 112946.26, 1.005, None]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    out = [r[0] for r in df.select(money(cents("x"))).collect()]
-    assert out[:3] == [448.29, 0.1, 112946.26] and out[4] is None
-    assert sum(r[0] for r in df.select(cents("x")).collect()[:3]) == 44829 + 10 + 11294626
+def test_money_keeps_its_digits_and_is_rounded_once(spark):
+    def total(values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        row = df.agg(F.sum(amount("x")).alias("s"), F.count("x").alias("n")).select(
+            money("s").alias("total"), avg_money("s", "n").alias("mean")).first()
+        return row.total, row.mean
+
+    assert total([448.29, 0.1, 112946.26, None]) == (113394.65, 37798.22)
+    assert total([0.004] * 1000) == (4.0, 0.0)
+    assert total([0.125]) == (0.13, 0.13) and total([-0.125]) == (-0.13, -0.13)
+    assert total([1.005]) == (1.01, 1.01) and total([0.015, 0.015, 0.0]) == (0.03, 0.01)
+    assert total([None]) == (None, None)
 
 
 def test_avg_diff_uses_unrounded_means(spark):

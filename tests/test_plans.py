@@ -13,6 +13,7 @@ import pytest
 import __spark_entry__ as entry_mod
 from tests.conftest import rows
 from wardlens.operators.derive import with_readmission_flag
+from wardlens.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables missing")
@@ -27,8 +28,7 @@ def plan(df, mode="formatted") -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {n: plan(fn(spark, SF)) for n, fn in entry_mod.queries().items()
-            if n != "publish_rerun"}
+    return {n: plan(fn(spark, SF)) for n, fn in QUERIES.items() if n != "publish_rerun"}
 
 
 def test_no_pairs_no_python(plans):
@@ -57,8 +57,33 @@ def test_top_k_per_group_is_limited_before_shuffle(plans):
     assert "TakeOrderedAndProject" in plans["risk_tiers"]
 
 
-def test_dimension_is_broadcast(plans):
+def test_dimension_is_broadcast_by_its_bytes(spark, plans):
+    """Spark decides from the measured size: no hint, and another way beyond it."""
     assert "BroadcastHashJoin" in plans["low_stock"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan(QUERIES["low_stock"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_job_starts_while_a_plan_is_built(spark):
+    group = "test-plan-building"
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, "plans")
+    try:
+        for name, fn in QUERIES.items():
+            if name != "publish_rerun":
+                fn(spark, SF)
+        assert not tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_hot_flag_key_is_split_by_default(make):
+    """The join back to the flag carries a salt next to (patient, day)."""
+    enc = make("encounters", [{"EncounterID": 1, "PatientID": 1}])
+    assert "_salt" in plan(with_readmission_flag(enc))
 
 
 def test_column_pruning(plans):

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from wardlens.plans import compute_indicators, publish_indicators, read_indicators
 from wardlens.session import shared_dir
@@ -46,6 +49,43 @@ def test_rerun_replaces_only_the_period(spark, make):
     assert read_indicators(spark, root, *P2).count() == ind2.count()
 
 
+def test_failed_swap_keeps_the_old_period(spark, make, monkeypatch):
+    from wardlens.plans import publish
+    root = shared_dir(spark, "test-publish-failure")
+    m = _model(make, 3)
+    ind = compute_indicators(m, *P1, computed_on=dt.date(2024, 3, 1))
+    publish_indicators(ind, root, *P1)
+    before = rows(read_indicators(spark, root, *P1))
+    move, calls = publish._move, []
+
+    def failing(session, source, target):
+        calls.append(target)
+        if len(calls) == 2:  # the staged rows on their way in
+            raise OSError("injected")
+        move(session, source, target)
+
+    monkeypatch.setattr(publish, "_move", failing)
+    newer = compute_indicators(m, *P1, computed_on=dt.date(2024, 4, 1))
+    with pytest.raises(OSError):
+        publish_indicators(newer, root, *P1)
+    assert len(calls) == 3 and rows(read_indicators(spark, root, *P1)) == before
+
+    broken = newer.withColumn("ComputedValue", F.raise_error(F.lit("injected")).cast("double"))
+    with pytest.raises(Exception, match="injected"):
+        publish_indicators(broken, root, *P1)
+    assert rows(read_indicators(spark, root, *P1)) == before
+
+
+def test_rows_of_another_period_are_refused(spark, make):
+    root = shared_dir(spark, "test-publish-other")
+    ind = compute_indicators(_model(make, 3), *P1, computed_on=dt.date(2024, 3, 1))
+    publish_indicators(ind, root, *P1)
+    before = rows(read_indicators(spark, root, *P1))
+    with pytest.raises(ValueError):
+        publish_indicators(ind, root, *P2)
+    assert rows(read_indicators(spark, root)) == before
+
+
 def test_published_types(spark, make):
     root = shared_dir(spark, "test-publish-types")
     m = _model(make, 2)

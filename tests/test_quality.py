@@ -58,10 +58,3 @@ def test_key_report(make):
     assert rep == [("departments", "DepartmentID", "primary", 0, 0),
                    ("supplies", "DepartmentID, SupplyName", "unique", 1, 0),
                    ("supplies", "SupplyID", "primary", 1, 0)]
-
-
-def test_is_bounded(spark):
-    from wardlens.operators.joins import is_bounded
-    small = spark.range(10)
-    assert is_bounded(small, 10) and not is_bounded(small, 9)
-    assert not is_bounded(spark.range(0, 5_000_000, numPartitions=50), 1000)

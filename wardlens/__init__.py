@@ -11,7 +11,6 @@ Layout:
   functions/    column helpers (exact money/ratio arithmetic, predicates)
   operators/    derivations, role reports, joins, data-quality checks
   plans/        quality indicators, publishing, the query catalog and its oracle
-  streaming/    (the source has no stream processing; see its docstring)
 
 ``python -m wardlens`` runs reports, the indicator job and the checks as batch
 jobs.

@@ -13,7 +13,6 @@ from wardlens.operators.derive import (derive_model, readmission_days,
 from wardlens.operators.experience import satisfaction_gap
 from wardlens.operators.infection import (complaint_clusters, infection_exposure,
                                           vaccination_gaps)
-from wardlens.operators.joins import bounded_broadcast, join_dimension
 from wardlens.operators.quality import (duplicate_keys, foreign_key_report, key_report,
                                         length_report, length_violations,
                                         not_null_report, null_violations, orphans)
@@ -22,10 +21,10 @@ from wardlens.operators.revenue import claim_lag, denial_rate
 from wardlens.operators.supply import expiry_watch, inventory_value, low_stock
 
 __all__ = [
-    "average_los", "bounded_broadcast", "chronic_complications", "claim_lag",
+    "average_los", "chronic_complications", "claim_lag",
     "complaint_clusters", "cost_by_type", "costliest_stays", "denial_rate", "derive_model",
     "duplicate_keys", "expiry_watch", "foreign_key_report", "infection_exposure",
-    "inventory_value", "join_dimension", "key_report", "length_report",
+    "inventory_value", "key_report", "length_report",
     "length_violations",
     "low_stock", "not_null_report", "null_violations", "orphans",
     "readmission_days", "referral_rejection", "risk_tier", "risk_tiers",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wardlens.fixed_values import (CHRONIC_PATTERN, COMPLICATION_TYPES,
                                    COST_RANK_CUT, INPATIENT, RISK_LEVELS)
 from wardlens.functions.columns import matches_lower, value_order
-from wardlens.functions.exact import avg_money, cents, pct_half_up
+from wardlens.functions.exact import amount, avg_money, pct_half_up
 from wardlens.operators.common import asc, desc, top_n, with_department_name
 from wardlens.operators.derive import (readmission_days, with_catchment_area,
                                        with_length_of_stay)
@@ -37,7 +37,7 @@ def chronic_complications(encounters: DataFrame, patients: DataFrame,
     """
     per = (encounters.where(matches_lower("ChiefComplaint", pattern))
            .select("PatientID", "InsuranceType", _is_complication().alias("_c"),
-                   cents("EncounterCost").alias("_cost"))
+                   amount("EncounterCost").alias("_cost"))
            .groupBy("PatientID", "InsuranceType")
            .agg(F.count(F.lit(1)).alias("_n"), F.count_if("_c").alias("_k"),
                 F.sum("_cost").alias("_sc"), F.count("_cost").alias("_nc")))
@@ -68,9 +68,14 @@ def costliest_stays(encounters: DataFrame, departments: DataFrame,
                  & (F.col("LengthOfStayDays") > 0))
          .select("DepartmentID", "EncounterID", "ChiefComplaint", "InsuranceType",
                  "EncounterCost", "LengthOfStayDays"))
-    w = Window.partitionBy("DepartmentName").orderBy(F.col("EncounterCost").desc_nulls_last())
-    ranked = (with_department_name(e, departments)
-              .withColumn("CostRank", F.rank().over(w))
+    cost = F.col("EncounterCost").desc_nulls_last()
+    own, named = Window.partitionBy("DepartmentID"), Window.partitionBy("DepartmentName")
+    # A stay among the first of its department's name is among the first of
+    # its department, so only those meet the names.
+    first = (e.withColumn("_rank", F.rank().over(own.orderBy(cost)))
+             .where(F.col("_rank") <= k).drop("_rank"))
+    ranked = (with_department_name(first, departments)
+              .withColumn("CostRank", F.rank().over(named.orderBy(cost)))
               .where(F.col("CostRank") <= k))
     return ranked.select("DepartmentName", "EncounterID", "ChiefComplaint",
                          "InsuranceType", "EncounterCost", "LengthOfStayDays",
@@ -125,7 +130,7 @@ def risk_tiers(encounters: DataFrame, patients: DataFrame, claims: DataFrame,
                .agg(F.count(F.lit(1)).alias("_n"),
                     F.count_if(_is_complication()).alias("_k"),
                     readmit.alias("_r"),
-                    F.sum(cents("EncounterCost")).alias("_sc"),
+                    F.sum(amount("EncounterCost")).alias("_sc"),
                     F.count("EncounterCost").alias("_nc"),
                     F.sum("_claims").alias("_claims"),
                     F.sum("_denied").alias("_denied")))

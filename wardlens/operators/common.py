@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.operators.joins import join_dimension
-
 
 def with_department_name(df: DataFrame, departments: DataFrame,
                          how: str = "inner") -> DataFrame:
-    """Attach ``DepartmentName`` by ``DepartmentID`` (size-checked broadcast)."""
-    dim = departments.select("DepartmentID", "DepartmentName")
-    return join_dimension(df, dim, "DepartmentID", how)
+    """Attach ``DepartmentName`` by ``DepartmentID``. No hint: Spark broadcasts
+    the departments only where their measured bytes allow it."""
+    return df.join(departments.select("DepartmentID", "DepartmentName"), "DepartmentID", how)
+
+
+def per_department_name(df: DataFrame, departments: DataFrame, **measures: Column) -> DataFrame:
+    """Counts and sums per ``DepartmentName``: taken per ``DepartmentID`` first
+    (partial sums per task), so only one row per department meets the names;
+    departments that share a name are then added up."""
+    agg = df.groupBy("DepartmentID").agg(*[c.alias(n) for n, c in measures.items()])
+    return (with_department_name(agg, departments).groupBy("DepartmentName")
+            .agg(*[F.sum(n).alias(n) for n in measures]))
 
 
 def top_n(df: DataFrame, n: int | None, *order: Column) -> DataFrame:

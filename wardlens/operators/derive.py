@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 from wardlens.fixed_values import (CATCHMENT_AREAS, PRIOR_STAY_TYPE,
                                    READMISSION_WINDOW_DAYS, UNASSIGNED)
 from wardlens.functions.columns import label_by_lists, yes_no
-from wardlens.operators.joins import join_dimension
 from wardlens.sources.model import Tables
 
 
@@ -53,14 +52,14 @@ def with_catchment_area(patients: DataFrame,
     """+ ``CatchmentArea`` from the ZIP code.
 
     ``mapping`` is either ``{area: [zip, ...]}`` (a ``CASE`` chain; the first
-    listed area wins) or a frame ``(Zip, CatchmentArea)`` with one row per ZIP,
-    joined with a size-checked broadcast — the form for large ZIP tables.
+    listed area wins) or a frame ``(Zip, CatchmentArea)``, the form for large ZIP
+    tables; of a ZIP with several areas the first in name order counts.
     Unmapped and null ZIPs get ``default``.
     """
     if isinstance(mapping, DataFrame):
-        m = mapping.select("Zip", F.col("CatchmentArea").alias("_area"))
+        m = mapping.groupBy("Zip").agg(F.min("CatchmentArea").alias("_area"))
         cols = [c for c in patients.columns if c != "CatchmentArea"]
-        return (join_dimension(patients.select(*cols), m, "Zip", "left")
+        return (patients.select(*cols).join(m, "Zip", "left")
                 .withColumn("CatchmentArea", F.coalesce("_area", F.lit(default)))
                 .select(*cols, "CatchmentArea"))
     return patients.withColumn(
@@ -202,19 +201,20 @@ def _flag_join_auto(encounters: DataFrame, cols: list[str], prior: DataFrame,
 def with_readmission_flag(encounters: DataFrame, prior: DataFrame | None = None,
                           window_days: int = READMISSION_WINDOW_DAYS,
                           prior_type: str = PRIOR_STAY_TYPE,
-                          method: str = "bucketed", salt: int | str = 1) -> DataFrame:
+                          method: str = "bucketed", salt: int | str = "auto") -> DataFrame:
     """+ ``IsReadmission`` (``'Yes'``/``'No'``).
 
     ``prior`` is the frame the prior stays are taken from (default: the same
     encounters); pass the full encounters when flagging a filtered subset.
 
-    The flag is joined back on ``(PatientID, EncounterDate)``. AQE splits a
-    skewed partition of that join at runtime. ``salt=n`` additionally splits
-    every key ``n`` ways up front (each matched day is replicated ``n`` times,
-    each encounter picks one copy by a hash of its id). ``salt="auto"`` splits
-    only the hot keys, each in proportion to its share of the rows (see
-    ``HOT_SHARE``), from counts taken in the same pass that finds the start
-    days; rows with a null key, which cannot match, are spread by id.
+    The flag is joined back on ``(PatientID, EncounterDate)``. Adaptive skew
+    handling cannot split that join (the flag side ends in an aggregate), so the
+    plan does: ``salt="auto"`` splits the hot keys, each in proportion to its
+    share of the rows (see ``HOT_SHARE``), from counts taken in the same pass
+    that finds the start days; rows with a null key, which cannot match, are
+    spread by id. ``salt=n`` splits every key ``n`` ways instead (each matched
+    day is replicated ``n`` times, each encounter picks one copy by a hash of its
+    id); ``salt=1`` splits none.
     """
     cols = [c for c in encounters.columns if c != "IsReadmission"]
     if salt == "auto":

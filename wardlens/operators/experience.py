@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.functions.exact import avg_diff_half_up, avg_half_up
-from wardlens.operators.common import asc, desc, with_department_name
+from wardlens.operators.common import asc, desc, per_department_name
 
 
 def satisfaction_gap(surveys: DataFrame, encounters: DataFrame,
@@ -26,10 +26,8 @@ def satisfaction_gap(surveys: DataFrame, encounters: DataFrame,
                     F.count("FacilityRating").alias("_nf"),
                     F.sum("FacilityRating").alias("_sf")))
     j = per_enc.join(encounters.select("EncounterID", "DepartmentID"), "EncounterID")
-    agg = (with_department_name(j, departments)
-           .groupBy("DepartmentName")
-           .agg(F.sum("_n").alias("Responses"),
-                *[F.sum(c).alias(c) for c in ("_ns", "_ss", "_nf", "_sf")])
+    agg = (per_department_name(j, departments, Responses=F.sum("_n"),
+                               **{c: F.sum(c) for c in ("_ns", "_ss", "_nf", "_sf")})
            .select("DepartmentName", "Responses",
                    avg_half_up("_ss", "_ns", 1).alias("AvgStaff"),
                    avg_half_up("_sf", "_nf", 1).alias("AvgFacility"),

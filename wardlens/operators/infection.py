@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardlens.fixed_values import (COMPLAINT_DEPARTMENT_ID,
                                    INFECTION_WORDS, VACCINATED)
 from wardlens.functions.columns import contains_any
-from wardlens.operators.common import asc, desc, top_n, with_department_name
+from wardlens.operators.common import asc, desc, per_department_name, top_n, with_department_name
 
 
 def complaint_clusters(encounters: DataFrame,
@@ -36,11 +36,10 @@ def vaccination_gaps(staff: DataFrame, departments: DataFrame,
     → DepartmentName, TotalStaff, HBV_Incomplete, Tdap_Incomplete
     """
     s = staff.select("DepartmentID", "VaxHBVStatus", "VaxTdapStatus")
-    agg = (with_department_name(s, departments)
-           .groupBy("DepartmentName")
-           .agg(F.count(F.lit(1)).alias("TotalStaff"),
-                F.count_if(F.col("VaxHBVStatus") != VACCINATED).alias("HBV_Incomplete"),
-                F.count_if(F.col("VaxTdapStatus") != VACCINATED).alias("Tdap_Incomplete")))
+    agg = per_department_name(
+        s, departments, TotalStaff=F.count(F.lit(1)),
+        HBV_Incomplete=F.count_if(F.col("VaxHBVStatus") != VACCINATED),
+        Tdap_Incomplete=F.count_if(F.col("VaxTdapStatus") != VACCINATED))
     return top_n(agg, n, desc("HBV_Incomplete"), asc("DepartmentName"))
 
 

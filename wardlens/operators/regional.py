@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.fixed_values import INPATIENT, OUTGOING, REJECTED
-from wardlens.functions.exact import avg_half_up, avg_money, cents, money, pct_half_up
-from wardlens.operators.common import asc, desc, with_department_name
+from wardlens.functions.exact import amount, avg_half_up, avg_money, money, pct_half_up
+from wardlens.operators.common import asc, desc, per_department_name
 
 
 def average_los(encounters: DataFrame, departments: DataFrame) -> DataFrame:
@@ -21,10 +21,8 @@ def average_los(encounters: DataFrame, departments: DataFrame) -> DataFrame:
          .where((F.col("EncounterType") == INPATIENT) & F.col("DischargeDate").isNotNull())
          .select("DepartmentID",
                  F.datediff("DischargeDate", "EncounterDate").alias("_los")))
-    agg = (with_department_name(e, departments)
-           .groupBy("DepartmentName")
-           .agg(F.count(F.lit(1)).alias("Admissions"),
-                F.sum("_los").alias("_sum"), F.count("_los").alias("_n"))
+    agg = (per_department_name(e, departments, Admissions=F.count(F.lit(1)),
+                               _sum=F.sum("_los"), _n=F.count("_los"))
            .select("DepartmentName", "Admissions",
                    avg_half_up("_sum", "_n", 1).alias("AvgLOS")))
     return agg.orderBy(desc("AvgLOS"), asc("DepartmentName"))
@@ -44,11 +42,11 @@ def referral_rejection(referrals: DataFrame) -> DataFrame:
 
 
 def cost_by_type(encounters: DataFrame) -> DataFrame:
-    """Count, total and mean cost per encounter type (exact cents).
+    """Count, total and mean cost per encounter type (exact sums).
 
     → EncounterType, Total, TotalCost, AvgCost
     """
-    agg = (encounters.select("EncounterType", cents("EncounterCost").alias("_c"))
+    agg = (encounters.select("EncounterType", amount("EncounterCost").alias("_c"))
            .groupBy("EncounterType")
            .agg(F.count(F.lit(1)).alias("Total"),
                 F.sum("_c").alias("_sum"), F.count("_c").alias("_n"))

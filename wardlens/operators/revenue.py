@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.fixed_values import DENIED, MIN_CLAIMS
-from wardlens.functions.exact import avg_half_up, cents, money, pct_half_up
-from wardlens.operators.common import asc, desc, top_n, with_department_name
+from wardlens.functions.exact import amount, avg_half_up, money, pct_half_up
+from wardlens.operators.common import asc, desc, per_department_name, top_n
 
 
 def claim_lag(claims: DataFrame, encounters: DataFrame, departments: DataFrame,
@@ -32,10 +32,8 @@ def claim_lag(claims: DataFrame, encounters: DataFrame, departments: DataFrame,
         "DepartmentID", "_n",
         F.when(F.col("_ed").isNotNull(), F.col("_n_sub")).otherwise(0).alias("_n_diff"),
         (F.col("_sum_sub") - F.col("_n_sub") * F.col("_ed")).alias("_sum_diff"))
-    agg = (with_department_name(j, departments)
-           .groupBy("DepartmentName")
-           .agg(F.sum("_n").alias("ClaimCount"),
-                F.sum("_sum_diff").alias("_s"), F.sum("_n_diff").alias("_d"))
+    agg = (per_department_name(j, departments, ClaimCount=F.sum("_n"),
+                               _s=F.sum("_sum_diff"), _d=F.sum("_n_diff"))
            .select("DepartmentName", "ClaimCount",
                    avg_half_up("_s", "_d", 1).alias("AvgDaysToSubmit")))
     return top_n(agg, n, desc("AvgDaysToSubmit"), asc("DepartmentName"))
@@ -44,22 +42,21 @@ def claim_lag(claims: DataFrame, encounters: DataFrame, departments: DataFrame,
 def denial_rate(claims: DataFrame, encounters: DataFrame, departments: DataFrame,
                 min_claims: int = MIN_CLAIMS) -> DataFrame:
     """Per department with at least ``min_claims`` claims: claims, denied,
-    percent denied, denied amount and billed amount (exact cents).
+    percent denied, denied amount and billed amount (exact sums).
 
     → DepartmentName, TotalClaims, DeniedClaims, DenialPct, RevenueLost, TotalBilled
     """
     denied = F.col("ClaimStatus") == DENIED
-    billed = cents("BilledAmount")
+    billed = amount("BilledAmount")
     per_enc = (claims.groupBy("EncounterID")
                .agg(F.count(F.lit(1)).alias("_n"),
                     F.count_if(denied).alias("_denied"),
                     F.sum(F.when(denied, billed).otherwise(0)).alias("_lost"),
                     F.sum(billed).alias("_billed")))
     j = per_enc.join(encounters.select("EncounterID", "DepartmentID"), "EncounterID")
-    agg = (with_department_name(j, departments)
-           .groupBy("DepartmentName")
-           .agg(F.sum("_n").alias("TotalClaims"), F.sum("_denied").alias("DeniedClaims"),
-                F.sum("_lost").alias("_lost"), F.sum("_billed").alias("_billed"))
+    agg = (per_department_name(j, departments, TotalClaims=F.sum("_n"),
+                               DeniedClaims=F.sum("_denied"), _lost=F.sum("_lost"),
+                               _billed=F.sum("_billed"))
            .where(F.col("TotalClaims") >= min_claims)
            .select("DepartmentName", "TotalClaims", "DeniedClaims",
                    pct_half_up("DeniedClaims", "TotalClaims", 1).alias("DenialPct"),

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.fixed_values import EXPIRY_HORIZON_DAYS
-from wardlens.functions.exact import cents, money
-from wardlens.operators.common import asc, desc, top_n, with_department_name
+from wardlens.functions.exact import money, times
+from wardlens.operators.common import asc, desc, per_department_name, top_n, with_department_name
 
 
 def low_stock(supplies: DataFrame, departments: DataFrame, n: int | None = 5) -> DataFrame:
@@ -39,26 +39,23 @@ def expiry_watch(supplies: DataFrame, departments: DataFrame,
     exp = F.col("ExpirationDate")
     s = (supplies.where(exp.isNotNull())
          .select("SupplyID", "DepartmentID", "ExpirationDate"))
-    agg = (with_department_name(s, departments)
-           .groupBy("DepartmentName")
-           .agg(F.count_if(exp < today).alias("Expired"),
-                F.count_if(exp.between(today, F.date_add(today, horizon_days)))
-                 .alias("ExpiringSoon"),
-                F.count("SupplyID").alias("TotalItems")))
+    agg = per_department_name(
+        s, departments, Expired=F.count_if(exp < today),
+        ExpiringSoon=F.count_if(exp.between(today, F.date_add(today, horizon_days))),
+        TotalItems=F.count("SupplyID"))
     return top_n(agg, n, desc("Expired"), asc("DepartmentName"))
 
 
 def inventory_value(supplies: DataFrame, departments: DataFrame,
                     n: int | None = 5) -> DataFrame:
-    """Item count and Σ stock × unit cost per department (exact cents).
+    """Item count and Σ stock × unit cost per department (exact sums).
 
     → DepartmentName, ItemCount, TotalValue
     """
     s = supplies.select(
         "SupplyID", "DepartmentID",
-        (F.col("StockLevel").cast("long") * cents("UnitCost")).alias("_value_cents"))
-    agg = (with_department_name(s, departments)
-           .groupBy("DepartmentName")
-           .agg(F.count("SupplyID").alias("ItemCount"),
-                money(F.sum("_value_cents")).alias("TotalValue")))
+        times("UnitCost", "StockLevel").alias("_value"))
+    agg = (per_department_name(s, departments, ItemCount=F.count("SupplyID"),
+                               _value=F.sum("_value"))
+           .select("DepartmentName", "ItemCount", money("_value").alias("TotalValue")))
     return top_n(agg, n, desc("TotalValue"), asc("DepartmentName"))

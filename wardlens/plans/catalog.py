@@ -5,7 +5,6 @@ reproducible and comparable with the SQL oracle."""
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,10 +53,10 @@ def _q(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataF
 
 
 def _publish_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the period twice to a fresh table in the shared folder and read
+    """Publish the period twice to the application's table in the shared folder and read
     it back: the rerun must leave exactly one copy of each row."""
     t = tables(spark, sf_dir)
-    root = shared_dir(spark, f"quality_indicators-{uuid.uuid4().hex}")
+    root = shared_dir(spark, f"quality_indicators-{spark.sparkContext.applicationId}")
     ind = compute_indicators(t, PERIOD_START, PERIOD_END, COMPUTED_ON)
     publish_indicators(ind, root, PERIOD_START, PERIOD_END)
     publish_indicators(ind, root, PERIOD_START, PERIOD_END)

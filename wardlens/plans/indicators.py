@@ -23,7 +23,6 @@ from wardlens.functions.exact import half_up_div, pct_half_up
 from wardlens.operators.derive import (READMISSION_WINDOW_DAYS, readmission_day_counts,
                                        readmission_days, with_catchment_area,
                                        with_length_of_stay)
-from wardlens.operators.joins import bounded_broadcast, join_dimension
 from wardlens.sources.model import Tables
 
 
@@ -188,10 +187,9 @@ def bed_utilization_rate(encounters: DataFrame, departments: DataFrame,
                  & in_period("EncounterDate", start, end))
          .select("DepartmentID", "LengthOfStayDays"))
     beds = (departments.where(F.col("BedCapacity") > 0)
-            .select("DepartmentID", "DepartmentName", "BedCapacity"))
-    agg = (join_dimension(e, beds, "DepartmentID")
-           .groupBy("DepartmentID", "DepartmentName", "BedCapacity")
-           .agg(F.sum("LengthOfStayDays").alias("Numerator"))
+            .select("DepartmentID", "BedCapacity"))
+    agg = (e.groupBy("DepartmentID").agg(F.sum("LengthOfStayDays").alias("Numerator"))
+           .join(beds, "DepartmentID")
            .withColumn("Denominator", F.col("BedCapacity").cast("long") * days))
     out = agg.select("DepartmentID", F.lit(None).alias("CatchmentArea"), "Numerator",
                      "Denominator",
@@ -268,7 +266,7 @@ def indicator_report(indicators: DataFrame, departments: DataFrame) -> DataFrame
     → IndicatorName, CatchmentArea, DepartmentName, Numerator, Denominator,
       ComputedValue, SeverityFlag
     """
-    names = bounded_broadcast(departments.select("DepartmentID", "DepartmentName"))
+    names = departments.select("DepartmentID", "DepartmentName")
     j = indicators.join(names, "DepartmentID", "left")
     return (j.orderBy(F.col("IndicatorName").asc(),
                       F.coalesce(F.col("CatchmentArea"), F.lit("")).asc(),

@@ -1,19 +1,14 @@
 """Publish indicators to a Parquet table partitioned by reporting period.
 
 A rerun for the same (start, end) replaces exactly that period's rows and
-leaves every other period — including overlapping ones — untouched. The
-period's rows are written to the explicit partition directory with
-``mode("overwrite")``: unlike dynamic partition overwrite, this also clears the
-period when the new result is empty.
-
-Compute first, replace last: Spark's overwrite removes the target directory
-before its write job runs, so the (possibly long) computation is first
-written to a staging folder under the table root (``_staging``, ignored by
-partition discovery); only then is the period directory replaced by a copy of
-the staged files, and the staging folder removed. A failure while computing
-leaves the published rows intact; tasks lost with an executor are retried by
-Spark. The final swap is not atomic for concurrent readers; rerunning the job
-repairs an interrupted swap.
+leaves every other period — including overlapping ones — untouched.
+
+A period is never lost on the way: the rows are computed into a staging folder
+under the table root (``_staging``, ignored by partition discovery); the old
+period folder is renamed aside, the staged one renamed into its place, and only
+then is the old one deleted. If the computation fails, nothing has changed; if
+the swap fails, the old folder is renamed back and the staged rows are kept for
+inspection. Readers between the two renames see no rows of the period.
 """
 
 from __future__ import annotations
@@ -43,30 +38,46 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def publish_indicators(indicators: DataFrame, root: str, start: dt.date,
-                       end: dt.date, staged: bool = True) -> str:
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; raises if the file system refuses."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(target).getParent())
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def publish_indicators(indicators: DataFrame, root: str, start: dt.date, end: dt.date) -> str:
     """Replace the rows of period (start, end) under ``root``; returns the
-    partition path. Rows of other periods in ``indicators`` are ignored."""
+    partition path. Rows of any other period are an error, and change nothing."""
     validate_period(start, end)
-    rows = (indicators
-            .where((F.col("ReportingPeriodStart") == F.lit(start))
-                   & (F.col("ReportingPeriodEnd") == F.lit(end)))
-            .select(*[c for c in INDICATOR_COLUMNS if c not in PERIOD_COLUMNS]))
-    path = period_path(root, start, end)
-    if not staged:
-        rows.write.mode("overwrite").parquet(path)
-        return path
     spark = indicators.sparkSession
-    stage = f"{root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
-    rows.write.mode("overwrite").parquet(stage)
+    rows = indicators.select(*INDICATOR_COLUMNS)
+    run = f"{root.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+    staged, aside = f"{run}/new", f"{run}/old"
+    rows.write.parquet(staged)
+    written = spark.read.schema(rows.schema).parquet(staged)
+    own = ((F.col("ReportingPeriodStart") == F.lit(start))
+           & (F.col("ReportingPeriodEnd") == F.lit(end)))
+    if not written.where(~F.coalesce(own, F.lit(False))).isEmpty():
+        _delete(spark, run)
+        raise ValueError(f"the indicators hold rows of a period other than {start} to {end}")
+    path = period_path(root, start, end)
+    had = _exists(spark, path)
+    if had:
+        _move(spark, path, aside)
     try:
-        # One period holds few indicator rows (two per catchment area, two per
-        # department), so the published partition is one file; the computation
-        # above keeps its full parallelism.
-        (spark.read.schema(rows.schema).parquet(stage).repartition(1)
-         .write.mode("overwrite").parquet(path))
-    finally:
-        _delete(spark, stage)
+        _move(spark, staged, path)
+    except Exception:
+        if had:
+            _move(spark, aside, path)
+        raise
+    _delete(spark, run)
     return path
 
 

@@ -1,10 +1,10 @@
-"""Readers for the nine model tables, always with the declared schema."""
+"""Readers for the model tables, always with the declared schema."""
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, fields
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,21 +43,29 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
                with_derived: bool = False, **options: str) -> DataFrame:
     """Read one model table from files (parquet, orc, csv, json) with its
-    declared schema; CSV gets ``header=true`` unless told otherwise.
-    ``with_derived`` keeps stored derived columns (``schemas.DERIVED``)."""
-    schema = schemas.MODEL[name]
-    if with_derived and schemas.DERIVED.get(name):
-        extra = schemas.DERIVED[name]
-        if fmt in ("parquet", "orc"):
-            # Keep only the stored columns the files really have: a derived
-            # column read as all-null would be taken as a stored value.
-            present = set(spark.read.format(fmt).load(path).columns)
-            extra = [f for f in extra if f.name in present]
-        schema = T.StructType(list(schema.fields) + extra)
-    reader = spark.read.schema(schema).format(fmt)
+    declared schema. CSV needs a header (unless ``header="false"`` is given, for
+    files in the declared order); its columns are found by name, in any order,
+    others are left out, and a missing one is an error. ``with_derived`` keeps
+    the stored derived columns (``schemas.DERIVED``) that the files really have:
+    one read as all null would be taken for a stored value."""
+    fields = list(schemas.MODEL[name].fields)
+    header = fmt == "csv" and str(options.get("header", "true")).lower() == "true"
     if fmt == "csv":
         options = {"header": "true", **options}
-    return reader.options(**options).load(path)
+    derived = schemas.DERIVED.get(name, []) if with_derived else []
+    if derived or header:
+        present = spark.read.format(fmt).options(**options).load(path).columns
+        fields += [f for f in derived if f.name in present]
+    wanted = T.StructType(fields)
+    schema = wanted
+    if header:
+        missing = [f.name for f in fields if f.name not in present]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)}")
+        schema = T.StructType([wanted[c] if c in wanted.names else T.StructField(c, T.StringType())
+                               for c in present])
+    reader = spark.read.schema(schema).format(fmt).options(**options)
+    return reader.load(path).select(*wanted.names)
 
 
 def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
@@ -65,17 +73,20 @@ def read_tables(spark: SparkSession, root: str, fmt: str = "parquet",
                 missing_ok: bool = False, with_derived: bool = False,
                 **options: str) -> Tables:
     """Read ``{root}/{table}{suffix}`` for each model table; with
-    ``missing_ok`` a table whose folder does not exist is left ``None``;
-    ``with_derived`` keeps stored derived columns, which the operators then
-    use instead of deriving them."""
+    ``missing_ok`` a table whose folder does not exist is left ``None``, with a
+    warning that names it (any other fault is raised); ``with_derived`` keeps
+    stored derived columns, which the operators then use instead of deriving
+    them."""
     out = Tables()
     for name in names or list(schemas.MODEL):
         path = f"{root.rstrip('/')}/{name}{suffix}"
-        try:
-            setattr(out, name, read_table(spark, path, name, fmt, with_derived, **options))
-        except AnalysisException:
-            if not missing_ok:
-                raise
+        if missing_ok:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+            if not files.exists(where):
+                warnings.warn(f"table {name} is missing: no {path}", stacklevel=2)
+                continue
+        setattr(out, name, read_table(spark, path, name, fmt, with_derived, **options))
     return out
 
 
@@ -84,10 +95,12 @@ def read_jdbc(spark: SparkSession, url: str, name: str, properties: dict[str, st
               upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """Read one model table from a relational database over JDBC.
 
-    Pass ``partition_column``/``lower``/``upper``/``num_partitions`` (usually
-    the table key) so the read is split into parallel range queries instead of
-    one task pulling the whole table.
+    Pass ``partition_column`` (usually the table key) with ``lower``, ``upper``
+    and ``num_partitions`` so the read is split into parallel range queries;
+    without it one task pulls the whole table.
     """
+    if partition_column and (lower is None or upper is None):
+        raise ValueError("partition_column needs lower and upper")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
     for k, v in properties.items():
         reader = reader.option(k, v)
