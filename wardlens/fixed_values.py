@@ -86,6 +86,7 @@ FOREIGN_KEYS = [
     ("satisfaction_surveys", "EncounterID", "encounters", "EncounterID"),
     ("staff", "DepartmentID", "departments", "DepartmentID"),
     ("supplies", "DepartmentID", "departments", "DepartmentID"),
+    ("quality_indicators", "DepartmentID", "departments", "DepartmentID"),
 ]
 PRIMARY_KEYS = {
     "departments": ["DepartmentID"], "patients": ["PatientID"], "staff": ["StaffID"],
@@ -110,4 +111,8 @@ VARCHAR_LIMITS = {
                   "TransportDifficultyFlag": 5,
                   "TransportDifficultyReason": 200, "ReferralDirection": 10},
     "billing_claims": {"ClaimStatus": 20},
+    "quality_indicators": {"CatchmentArea": 20, "IndicatorName": 50, "SeverityFlag": 20,
+                           "DerivationRule": 200},
 }
+# Lengths of stored derived columns.
+DERIVED_LIMITS = {"encounters": {"IsReadmission": 3}, "patients": {"CatchmentArea": 20}}

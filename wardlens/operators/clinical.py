@@ -106,10 +106,9 @@ def risk_tiers(encounters: DataFrame, patients: DataFrame, claims: DataFrame,
     encounters (the only shuffle of encounter rows); the result is summed per
     (patient, day) — the key the readmission flag depends on — so the flag is
     joined to day-level rows on their existing partitioning; then everything is
-    summed per patient before the patient join. ``MAX(InsuranceType)`` (a
-    string aggregate, which Spark can only run sort-based) is taken separately
-    over the distinct (patient, insurance) pairs, keeping the main path on hash
-    aggregation.
+    summed per patient before the patient join. ``MAX(InsuranceType)`` comes from
+    the same rows: it makes the aggregates sort-based, but spares another scan,
+    two shuffles and a join.
 
     → PatientID, CatchmentArea, InsuranceType, ChronicEncounters,
       ComplicationCount, ReadmissionCount, AvgCost, TotalClaims, DeniedClaims,
@@ -133,9 +132,12 @@ def risk_tiers(encounters: DataFrame, patients: DataFrame, claims: DataFrame,
                     F.sum(amount("EncounterCost")).alias("_sc"),
                     F.count("EncounterCost").alias("_nc"),
                     F.sum("_claims").alias("_claims"),
-                    F.sum("_denied").alias("_denied")))
+                    F.sum("_denied").alias("_denied"),
+                    F.max("InsuranceType").alias("_ins")))
     if not has_flag:
-        hits = (readmission_days(chronic, prior=encounters, method=readmission_method)
+        # The day rows themselves are the probe side of the match.
+        hits = (readmission_days(per_day, prior=encounters, method=readmission_method,
+                                 distinct_days=True)
                 .withColumn("_hit", F.lit(True)))
         per_day = (per_day.join(hits, ["PatientID", "EncounterDate"], "left")
                    .withColumn("_r", F.when(F.col("_hit"), F.col("_n")).otherwise(0)))
@@ -145,10 +147,9 @@ def risk_tiers(encounters: DataFrame, patients: DataFrame, claims: DataFrame,
                         F.sum("_r").alias("ReadmissionCount"),
                         F.sum("_sc").alias("_sc"), F.sum("_nc").alias("_nc"),
                         F.coalesce(F.sum("_claims"), F.lit(0)).alias("TotalClaims"),
-                        F.coalesce(F.sum("_denied"), F.lit(0)).alias("DeniedClaims")))
-    insurance = (chronic.select("PatientID", "InsuranceType").distinct()
-                 .groupBy("PatientID").agg(F.max("InsuranceType").alias("InsuranceType")))
-    res = (per_patient.join(insurance, "PatientID").join(_areas(patients), "PatientID")
+                        F.coalesce(F.sum("_denied"), F.lit(0)).alias("DeniedClaims"),
+                        F.max("_ins").alias("InsuranceType")))
+    res = (per_patient.join(_areas(patients), "PatientID")
            .select("PatientID", "CatchmentArea", "InsuranceType", "ChronicEncounters",
                    "ComplicationCount", "ReadmissionCount",
                    avg_money("_sc", "_nc", 2).alias("AvgCost"), "TotalClaims",

@@ -50,24 +50,37 @@ def foreign_key_report(tables: Tables,
                        ) -> DataFrame:
     """One row per foreign key: how many child rows reference a missing parent.
 
-    Child keys are counted first (a map-side partial aggregate), so the anti
-    join moves one row per distinct key and a key held by a third of all child
-    rows costs one row.
+    Every child table is read once: a row is turned into one (key, value) row
+    per foreign key, and these are counted before they meet the parents (a
+    map-side partial aggregate), so the join moves one row per distinct key and
+    a key held by a third of all child rows costs one row. The parents of all
+    keys are one table, shuffled once.
 
     → ChildTable, ChildColumn, ParentTable, Orphans
     """
-    parts = []
-    for child_t, child_c, parent_t, parent_c in foreign_keys:
-        child, parent = getattr(tables, child_t, None), getattr(tables, parent_t, None)
-        if child is None or parent is None:
-            continue
-        keys = (child.where(F.col(child_c).isNotNull())
-                .groupBy(child_c).agg(F.count(F.lit(1)).alias("_n")))
-        missing = orphans(keys, parent.select(parent_c), child_c, parent_c)
-        parts.append(missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("Orphans")).select(
-            F.lit(child_t).alias("ChildTable"), F.lit(child_c).alias("ChildColumn"),
-            F.lit(parent_t).alias("ParentTable"), "Orphans"))
-    return functools.reduce(DataFrame.unionByName, parts)
+    known = [k for k in foreign_keys
+             if getattr(tables, k[0], None) is not None and getattr(tables, k[2], None) is not None]
+    counted = []
+    for child_t in dict.fromkeys(k[0] for k in known):
+        pairs = [F.struct(F.lit(i).alias("fk"), F.lit(f"{k[2]}.{k[3]}").alias("target"),
+                          F.col(k[1]).cast("string").alias("value"))
+                 for i, k in enumerate(known) if k[0] == child_t]
+        counted.append(getattr(tables, child_t).select(F.inline(F.array(*pairs)))
+                       .where("value IS NOT NULL")
+                       .groupBy("fk", "target", "value").agg(F.count(F.lit(1)).alias("n")))
+    parents = [getattr(tables, t).select(F.lit(f"{t}.{c}").alias("target"),
+                                         F.col(c).cast("string").alias("value"))
+               for t, c in dict.fromkeys((k[2], k[3]) for k in known)]
+    missing = (functools.reduce(DataFrame.unionByName, counted)
+               .join(functools.reduce(DataFrame.unionByName, parents), ["target", "value"], "left_anti")
+               .groupBy("fk").agg(F.sum("n").alias("Orphans")))
+    names = F.array(*[F.struct(F.lit(i).alias("fk"), F.lit(k[0]).alias("ChildTable"),
+                               F.lit(k[1]).alias("ChildColumn"), F.lit(k[2]).alias("ParentTable"))
+                      for i, k in enumerate(known)])
+    spark = getattr(tables, known[0][0]).sparkSession
+    return (spark.range(1).select(F.inline(names)).join(missing, "fk", "left")
+            .select("ChildTable", "ChildColumn", "ParentTable",
+                    F.coalesce("Orphans", F.lit(0)).cast("long").alias("Orphans")))
 
 
 def _q(name: str) -> str:
@@ -126,7 +139,7 @@ def not_null_report(tables: Tables) -> DataFrame:
     """
     parts = []
     for name in tables.names():
-        cols = [f.name for f in schemas.MODEL[name].fields if not f.nullable]
+        cols = [f.name for f in schemas.CHECKED[name].fields if not f.nullable]
         if cols:
             parts.append(null_violations(getattr(tables, name), cols)
                          .select(F.lit(name).alias("TableName"), "*"))
@@ -136,14 +149,18 @@ def not_null_report(tables: Tables) -> DataFrame:
 def length_report(tables: Tables,
                   limits: Mapping[str, Mapping[str, int]] = schemas.VARCHAR_LIMITS
                   ) -> DataFrame:
-    """``length_violations`` for every declared string length of the model.
+    """``length_violations`` for every declared string length of the model,
+    and of the derived columns that are stored.
 
     → TableName, ColumnName, MaxAllowed, Violations, MaxLength
     """
     parts = []
     for name in tables.names():
-        if name in limits:
-            parts.append(length_violations(getattr(tables, name), limits[name])
+        df = getattr(tables, name)
+        stored = {c: n for c, n in schemas.DERIVED_LIMITS.get(name, {}).items() if c in df.columns}
+        own = {**limits.get(name, {}), **stored}
+        if own:
+            parts.append(length_violations(df, own)
                          .select(F.lit(name).alias("TableName"), "*"))
     return functools.reduce(DataFrame.unionByName, parts)
 

@@ -3,14 +3,14 @@
 Nothing is inferred: every reader applies these ``StructType``s. Keys are
 ``LongType`` so the model survives key spaces beyond 2^31 rows; money is
 ``DoubleType`` (the source declares 32-bit floats, widened here) and is summed
-as integer cents by the operators (see ``wardlens.functions.exact``).
+as exact decimals by the operators (see ``wardlens.functions.exact``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from wardlens.fixed_values import VARCHAR_LIMITS  # noqa: F401 (re-exported)
+from wardlens.fixed_values import DERIVED_LIMITS, VARCHAR_LIMITS  # noqa: F401 (re-exported)
 
 
 def _f(name: str, dtype: T.DataType, nullable: bool = True) -> T.StructField:
@@ -61,7 +61,7 @@ REFERRALS = T.StructType([
 ])
 
 BILLING_CLAIMS = T.StructType([
-    _f("ClaimID", L), _f("EncounterID", L), _f("BilledAmount", D),
+    _f("ClaimID", L, False), _f("EncounterID", L), _f("BilledAmount", D),
     _f("AllowedAmount", D), _f("PaidAmount", D), _f("ClaimStatus", S),
     _f("DateSubmitted", DT),
 ])
@@ -107,3 +107,7 @@ MODEL = {
     "billing_claims": BILLING_CLAIMS,
     "satisfaction_surveys": SATISFACTION_SURVEYS,
 }
+
+# The tables that the checks cover: the base tables and the reporting table,
+# which the library writes itself.
+CHECKED = {**MODEL, "quality_indicators": QUALITY_INDICATORS}

@@ -104,6 +104,7 @@ def encounters(orders: DataFrame, supplier: DataFrame) -> DataFrame:
 def billing_claims(lineitem: DataFrame) -> DataFrame:
     rf = F.col("l_returnflag")
     return conform(lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ClaimID"),
         F.col("l_orderkey").alias("EncounterID"),
         F.col("l_extendedprice").alias("BilledAmount"),
         F.when(rf == "R", "denied").when(rf == "A", "paid").when(rf == "N", "pending")
@@ -149,6 +150,7 @@ def referrals(events: DataFrame, region: DataFrame) -> DataFrame:
         F.col("event_id").alias("ReferralID"),
         F.col("user_id").alias("PatientID"),
         F.col("event_id").alias("EncounterID"),
+        (F.col("event_id") % N_DEPARTMENTS).alias("DepartmentID"),
         F.col("ReceivingHospital"),
         F.col("ts").cast("date").alias("DateRequested"),
         F.when(et == "error", "rejected").when(et.isin("view", "click"), "accepted")
@@ -159,7 +161,7 @@ def referrals(events: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All nine model tables, lazily derived from the benchmark tables."""
+    """The base model tables, lazily derived from the benchmark tables."""
     r = lambda n: read_driver(spark, sf_dir, n)
     supplier = r("supplier")
     events = r("events")

@@ -24,6 +24,8 @@ class Tables:
     referrals: DataFrame | None = None
     billing_claims: DataFrame | None = None
     satisfaction_surveys: DataFrame | None = None
+    # Written by the library; given only to be checked.
+    quality_indicators: DataFrame | None = None
 
     def names(self) -> list[str]:
         return [f.name for f in fields(self) if getattr(self, f.name) is not None]
