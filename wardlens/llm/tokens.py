@@ -38,19 +38,23 @@ def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     raw = column.buffers()[2]
     data = np.frombuffer(raw if raw is not None else b"", np.uint8)[offsets[0]:offsets[-1]]
     offsets = offsets - offsets[0]
+    bound = np.zeros(len(data) + 1, dtype=bool)
+    bound[offsets] = True
     at = np.flatnonzero(data == SPACE)
-    edge = np.zeros(len(data) + 1, dtype=bool)
-    edge[offsets] = True
-    at = at[~edge[at] & ~edge[at + 1]]
-    padded = np.concatenate((np.zeros(2, np.uint8), data))  # data[i] is padded[i + 2]
-    before, after = padded[at + 1], data[at + 1]
+    at = at[~(bound[at] | bound[at + 1])]
+    before, after = data[at - 1], data[at + 1]
+    safe = (before > SPACE) & (after > SPACE) & (after != 0xC2) & ~_wide(after)
     # Characters beyond ASCII that may be white space start with C2 or E1-E3.
-    wide = (before >= 0x80) & ((padded[at] == 0xC2) | _wide(padded[np.maximum(at - 1, 0)]))
-    safe = ((before > SPACE) & (after > SPACE) & ~wide & (after != 0xC2) & ~_wide(after))
-    bounds = np.union1d(offsets, at[safe])
+    beyond = np.flatnonzero(safe & (before >= 0x80))
+    lead = at[beyond]
+    safe[beyond] = (data[lead - 2] != 0xC2) & ~_wide(data[np.maximum(lead - 3, 0)])
+    bound[at[safe]] = True
+    bounds = np.flatnonzero(bound)
+    if not len(data):
+        bounds = np.zeros(1, dtype=np.int64)
     pieces = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), max(len(bounds) - 1, 0),
-        [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+        pa.large_binary(), len(bounds) - 1,
+        [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
     return pieces, np.searchsorted(bounds, offsets)
 
 
