@@ -36,12 +36,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.llm.common import ship_package
-from wardlens.llm.tokens import cut, distinct, gather, rank_encoding, rank_table, split_joined, steps
+from wardlens.llm.tokens import cut, distinct, gather, rank_encoding, rank_table, steps
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 # Text bytes of a block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+# Marks that form one pre-token after letters, and the end of the Latin letters.
+MARKS = ".,;:!?"
+LATIN_END = "\u0250"
 # Token ids decoded in one vectorised step.
 DECODE_STEP = 1 << 20
 
@@ -81,17 +84,23 @@ def _pretokens(pieces: list[bytes], pattern: str) -> tuple[np.ndarray, np.ndarra
     """The pre-tokens of each piece as indices into the distinct ones."""
     import regex
     find = regex.compile(pattern).findall
-
-    def split(text: str) -> np.ndarray:
-        return np.array(find(text), dtype=object)
-
-    def spaced(items: np.ndarray) -> np.ndarray:
-        return np.fromiter((t[0] == " " for t in items), dtype=bool, count=len(items))
-
-    lists = split_joined(pieces, split, spaced)
-    ptr = np.zeros(len(lists) + 1, dtype=np.int64)
-    np.cumsum([len(x) for x in lists], out=ptr[1:])
-    words = np.concatenate(lists) if lists else np.zeros(0, dtype=object)
+    words, sizes = [], []
+    for piece in pieces:
+        text = piece.decode("utf-8", "replace")
+        if pattern == PATTERN and text[:1] == " ":
+            # A blank, Latin letters and at most some closing marks need no search.
+            stem = text.rstrip(MARKS)
+            if stem[1:].isalpha() and max(stem) < LATIN_END:
+                words.append(stem)
+                if len(stem) < len(text):
+                    words.append(text[len(stem):])
+                sizes.append(1 + (len(stem) < len(text)))
+                continue
+        found = find(text)
+        words += found
+        sizes.append(len(found))
+    ptr = np.zeros(len(pieces) + 1, dtype=np.int64)
+    np.cumsum(sizes, out=ptr[1:])
     index, names = distinct(pa.array(words, pa.large_string()).cast(pa.large_binary()))
     return index, ptr, names
 
