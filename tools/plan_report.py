@@ -1,7 +1,7 @@
 """Write PLANS.md: the physical plan shape of every registered query.
 
 Plans are built as on a large cluster: Spark's automatic broadcast is off (at
-100 TB only the library's size-checked dimension broadcasts remain), so the
+100 TB only the fixed broadcasts remain), so the
 report shows the shuffles a big run performs. Usage:
 
     python tools/plan_report.py [sf_dir] [out.md]
@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from wardlens.plans.catalog import QUERIES  # noqa: E402
 from wardlens.session import build_session  # noqa: E402
 
 SKIP = {"publish_rerun"}  # its plan is a read of the published partition
@@ -102,7 +102,7 @@ def main() -> None:
     md = ["# Physical plans of the registered queries", "",
           "Generated by `tools/plan_report.py` from `explain()` with Spark's automatic",
           "broadcast disabled, i.e. the shape of a run where every fact table is large;",
-          "the only broadcasts left are the library's size-checked dimensions. Columns:",
+          "the only broadcasts left are those of fixed size. Columns:",
           "tables scanned (columns read; filters pushed into the Parquet reader beyond",
           "not-null), shuffles (exchange partitioning keys), joins, and other operators.",
           "These are the plans before execution: identical subtrees that adaptive",
@@ -110,7 +110,7 @@ def main() -> None:
           "listed twice here and shown as a `ReusedExchange` in the executed plan;",
           "pinned by `tests/test_plans.py`) still appear once per use.",
           "", "| Query | Scans | Shuffles | Joins | Operators |", "|---|---|---|---|---|"]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if name in SKIP:
             continue
         s = summarize(_plan(fn(spark, sf_dir)))
