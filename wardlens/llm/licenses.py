@@ -81,7 +81,7 @@ UNKNOWN = "unknown"
 
 def normalised(sentence: Column) -> Column:
     plain = F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}.,()]+", " ")
-    return F.regexp_replace(plain, r"^[ .,]+|[ .,;]+$|(?<=\p{L}),(?= )", "")
+    return F.regexp_replace(plain, r"^[ .,]+|(?<![ .,;])[ .,;]+$|(?<=\p{L}),(?= )", "")
 
 
 def sentence_id(sentence: Column, sentences: list[tuple[str, str]] = SENTENCES) -> Column:
