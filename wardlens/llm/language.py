@@ -48,6 +48,7 @@ STRENGTH = 10.0
 SUFFIXES = {"at": "de", "be": "fr", "ch": "de", "de": "de", "es": "es", "fr": "fr", "mx": "es",
             "uk": "en", "us": "en"}
 
+_LETTERS = re.compile(r"[^\W\d_]+")
 _TAGS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 _DECLARATION = r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)"
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@]*@)?([^/:?#]+)"
@@ -59,10 +60,10 @@ def markup_text(markup: str) -> str:
 
 def _trigrams(text: str) -> np.ndarray:
     """Hashed byte trigrams of the text's letters; anything else is a blank."""
-    letters = "".join(c if c.isalpha() else " " for c in text.lower())
-    data = np.frombuffer(" ".join(letters.split()).encode(), np.uint8).astype(np.uint32)
-    if len(data) < 3:
+    words = _LETTERS.findall(text.lower())
+    if not words:
         return np.zeros(0, np.uint32)
+    data = np.frombuffer(f" {' '.join(words)} ".encode(), np.uint8).astype(np.uint32)
     mixed = (data[:-2] * np.uint32(65599) + data[1:-1]) * np.uint32(65599) + data[2:]
     return (mixed * np.uint32(2654435761)) >> np.uint32(32 - 15)
 

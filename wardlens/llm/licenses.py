@@ -1,7 +1,7 @@
 """Licence recognition by sentence rules.
 
 A text is cut into sentences, each sentence is normalised (lower case, letters,
-digits and dots only, single blanks), and a normalised sentence that is known
+digits, dots and brackets only, single blanks), and a normalised sentence that is known
 becomes the identifier of that licence sentence. The identifiers of a document, in
 order, are matched against ordered rules: a rule is a sequence of identifiers
 that must follow one another, other text aside, and the first rule that matches
@@ -80,8 +80,8 @@ UNKNOWN = "unknown"
 
 
 def normalised(sentence: Column) -> Column:
-    plain = F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}.,()]+", " ")
-    return F.regexp_replace(plain, r"^[ .,]+|(?<![ .,;])[ .,;]+$|(?<=\p{L}),(?= )", "")
+    plain = F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}.()]+", " ")
+    return F.regexp_replace(plain, r"^[ .]+|(?<![ .])[ .]+$", "")
 
 
 def sentence_id(sentence: Column, sentences: list[tuple[str, str]] = SENTENCES) -> Column:
