@@ -183,7 +183,8 @@ def identify(evidence: DataFrame, model: Model, work: Workspace) -> DataFrame:
 
     def per_level(*keys: str) -> DataFrame:
         return counts.groupBy(*keys).agg(F.array(*[
-            F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).cast("double")
+            F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)), F.lit(0))
+            .cast("double")
             for x in languages]).alias("c"))
 
     def smoothed(own: str, above: Column) -> Column:
@@ -191,8 +192,7 @@ def identify(evidence: DataFrame, model: Model, work: Workspace) -> DataFrame:
         return F.zip_with(own, above, lambda x, p: (x + STRENGTH * p) / (total + STRENGTH))
 
     uniform = F.array(*[F.lit(1.0 / n)] * n)
-    every = per_level().select(F.coalesce("c", F.array(*[F.lit(0.0)] * n)).alias("c"))
-    every = every.select(smoothed("c", uniform).alias("p")).first()["p"]  # a number per language
+    every = per_level().select(smoothed("c", uniform).alias("p")).first()["p"]  # a number per language
     overall = F.array(*[F.lit(float(p)) for p in every])
     domains = per_level("domain").select("domain", smoothed("c", overall).alias("above"))
     hosts = (per_level("host", "domain").join(domains, "domain")
