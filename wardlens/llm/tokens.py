@@ -110,24 +110,36 @@ class PieceEncoder:
     """Ids of pieces, with the ids of up to ``keep`` distinct pieces kept."""
 
     def __init__(self, encode: Callable[[str], np.ndarray], token_bytes: dict[int, bytes],
-                 keep: int = 400_000):
+                 keep: int = 500_000):
         self.encode, self.keep, self.known = encode, keep, {}
         self.spaced = np.zeros(max(token_bytes) + 1, dtype=bool)
         self.spaced[[i for i, b in token_bytes.items() if b[:1] == b" "]] = True
 
     def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces end to end, and where each piece's start."""
-        if len(self.known) + len(pieces) > self.keep:
-            self.known = {}
-        new = [p for p in pieces if p not in self.known]
+        split = [_word_and_marks(p) for p in pieces]
+        wanted = {x for parts in split for x in parts}
+        new = [x for x in wanted if x not in self.known]
+        if len(self.known) + len(new) > self.keep:
+            self.known, new = {}, list(wanted)
         for p, ids in zip(new, split_joined(new, self.encode, lambda x: self.spaced[x])):
             self.known[p] = ids.astype("<u4").tobytes()
-        parts = [self.known[p] for p in pieces]
+        known = self.known
+        parts = [known[x[0]] if len(x) == 1 else known[x[0]] + known[x[1]] for x in split]
         ptr = np.zeros(len(parts) + 1, dtype=np.int64)
         np.cumsum([len(p) // 4 for p in parts], out=ptr[1:])
         return np.frombuffer(b"".join(parts), "<u4"), ptr
 
 
+def _word_and_marks(piece: bytes) -> tuple[bytes, ...]:
+    """A word of plain letters is encoded apart from the marks that close it:
+    the pattern cuts between letters and marks."""
+    word = piece.rstrip(b".,;:!?")
+    if len(word) < len(piece) and word[:1] == b" " and word[1:].isalpha():
+        return word, piece[len(word):]
+    return (piece,)
+
+
 @lru_cache(maxsize=4)
 def rank_table(path: str) -> dict[bytes, int]:
     """Token bytes and ids of a rank file (base64 token, blank, id per line)."""
