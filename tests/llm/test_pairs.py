@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from wardlens.llm import ann, decontaminate, neardup
@@ -206,3 +207,42 @@ def test_neighbours_recall_and_ties(spark):
         exact += len(set(order) & {i for i, _ in got[q]})
     assert exact / (10 * len(queries)) >= 0.9
     assert [i for i, _ in got[0]] == list(range(900, 910))
+
+
+def test_class_in_all_tables_takes_one_place():
+    n = 3 * ann.K
+    index = pd.DataFrame([(c, t, [float(c), 1.0]) for t in range(ann.TABLES) for c in range(n)],
+                         columns=["class", "bucket", "vec"])
+    probes = pd.DataFrame([(0, np.arange(ann.TABLES), [0.0, 1.0])], columns=["query_id", "buckets", "qvec"])
+    best = ann._rank(index, probes, exact=False)
+    assert list(best["class"]) == list(range(ann.K + 1))
+    assert list(best["distance"]) == [float(c) for c in range(ann.K + 1)]
+
+
+def _own_recall(spark, vectors, step):
+    """Mean recall of the queries that the buckets answered, and the numbers of
+    these and of those answered by the exact scan."""
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found, scanned = ann.search(frame, Workspace(spark, "test"), F.col("vec_id") % step == 0)
+    scanned = {r.query_id for r in scanned.collect()}
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    wide, shares = vectors.astype(float), []
+    assert sorted(got) == list(range(0, len(rows), step)) and all(len(x) == ann.K for x in got.values())
+    for q in sorted(got.keys() - scanned):
+        distance = ((wide - wide[q]) ** 2).sum(axis=1)
+        distance[q] = np.inf
+        shares.append(len(set(np.argsort(distance)[:ann.K]) & got[q]) / ann.K)
+    return float(np.mean(shares or [0])), len(shares), len(scanned)
+
+
+def test_neighbours_come_from_the_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ann, "GROUP_ROWS", 3000)  # four groups of rows
+    rng = np.random.default_rng(6)
+    loose = rng.normal(size=(3000, 32)).astype(np.float32)
+    tight = (rng.normal(size=(60, 32))[np.arange(3000) % 60] + 0.1 * rng.normal(size=(3000, 32))).astype(np.float32)
+    for vectors in (loose, tight):
+        recall, answered, scanned = _own_recall(spark, vectors, 100)
+        assert (answered, scanned) == (30, 0) and recall >= 0.9

@@ -12,9 +12,10 @@ Equal vectors are one class with its ``K + 1`` smallest ids: all members have
 the same distance and ties go to the smaller id, so no other member can enter a
 result (a query's own row takes one place at most). Buckets are dealt to
 groups of ``GROUP_ROWS`` rows or so; a bucket that is larger is split over
-several groups by id, and probes of it go to each. Every group returns its best
-classes per query, never all pairs. A query with fewer than ``K`` neighbours
-found is searched again over all buckets, so small tables are answered whole.
+several groups by id, and probes of it go to each. Every group returns its
+``K + 1`` best classes per query, however many tables name them, never all
+pairs. A query with fewer than ``K`` neighbours found is searched again over all
+rows; ``search`` names these queries apart.
 
 The projections depend on the dimension alone; the width follows the root mean
 square length of a bounded sample of ``SAMPLE`` vectors.
@@ -126,16 +127,18 @@ _BEST = "query_id long, class long, distance double"
 
 
 def _rank(index: pd.DataFrame, probes: pd.DataFrame, exact: bool) -> pd.DataFrame:
-    """The nearest classes of each query in one group of rows. The columns
-    come as index: class, bucket, vec; probes: query_id, buckets, qvec."""
+    """The ``K + 1`` nearest classes of each query in one group of rows: a class
+    takes one place, though every table brings a row of it. The columns come as
+    index: class, bucket, vec; probes: query_id, buckets, qvec."""
     out = []
     sizes = index["vec"].map(len).to_numpy()
     for dim in np.unique(sizes):
         part = index[sizes == dim]
-        vectors = np.stack(part["vec"].to_numpy()).astype(np.float64)
+        classes, first, owner = np.unique(part["class"].to_numpy(), return_index=True,
+                                          return_inverse=True)
+        vectors = np.stack(part["vec"].to_numpy()[first]).astype(np.float64)
         order = np.argsort(part["bucket"].to_numpy(), kind="stable")
-        vectors, classes = vectors[order], part["class"].to_numpy()[order]
-        buckets = part["bucket"].to_numpy()[order]
+        buckets, owner = part["bucket"].to_numpy()[order], owner[order]
         for query_id, wanted, vec in zip(probes["query_id"], probes["buckets"], probes["qvec"]):
             if len(vec) != dim:
                 continue
@@ -144,7 +147,10 @@ def _rank(index: pd.DataFrame, probes: pd.DataFrame, exact: bool) -> pd.DataFram
             else:
                 lo = np.searchsorted(buckets, wanted, "left")
                 size = np.searchsorted(buckets, wanted, "right") - lo
-                rows = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+                at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+                hit = np.zeros(len(classes), dtype=bool)
+                hit[owner[at]] = True
+                rows = np.flatnonzero(hit)
             if not len(rows):
                 continue
             distance = np.sqrt(((vectors[rows] - np.asarray(vec, np.float64)) ** 2).sum(axis=1))
@@ -192,6 +198,13 @@ def nearest_neighbours(rows: DataFrame, work: Workspace, is_query, id_col: str =
                        vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows that satisfy ``is_query``
     (a condition on vec_id) against all others."""
+    return search(rows, work, is_query, id_col, vec_col)[0]
+
+
+def search(rows: DataFrame, work: Workspace, is_query, id_col: str = "vec_id",
+           vec_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """The neighbours, and the queries (query_id, vec) that the buckets left
+    with fewer than ``K``: those were answered by an exact scan."""
     usable = work.keep(_usable(rows, id_col, vec_col), "usable")
     classes = _classes(usable, work)
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x))
@@ -226,14 +239,14 @@ def nearest_neighbours(rows: DataFrame, work: Workspace, is_query, id_col: str =
     short = work.keep(queries.join(ranked.where(F.col("rank") == K), "query_id", "left_anti"),
                       "short")
     if short.isEmpty():
-        return ranked
+        return ranked, short
     every = (classes.withColumn("slot", F.pmod(F.xxhash64("class"), F.lit(slots)))
              .select("class", F.lit(0).cast("long").alias("bucket"), "slot", "vec"))
     asked = short.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long")))
                          .alias("slot"), "query_id",
                          F.array(F.lit(0).cast("long")).alias("buckets"), F.col("vec").alias("qvec"))
     again = _ranked(_best(every, asked, exact=True), classes)
-    return ranked.join(short.select("query_id"), "query_id", "left_anti").unionByName(again)
+    return ranked.join(short.select("query_id"), "query_id", "left_anti").unionByName(again), short
 
 
 def _ranked(found: DataFrame, classes: DataFrame) -> DataFrame:
