@@ -260,3 +260,86 @@ def test_language_evidence_and_odd_rows(spark):
 def test_markup():
     text = language.markup_text("<p>a&amp;b<script>var t='</p>'</script><!-- x --> c</p>")
     assert text.split() == ["a&b", "c"]
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2021 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD_TEXT = """Copyright (c) 2021, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""
+GPL_TEXT = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def _marked(text, mark):
+    return "\n".join(f"{mark} {line}".rstrip() for line in text.split("\n"))
+
+
+def _licenses(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r for r in licenses.recognise(frame).collect()}
+
+
+def test_licenses_of_wrapped_texts(spark):
+    whole = [(MIT_TEXT, ["MIT"]), (BSD_TEXT, ["All-Rights-Reserved", "BSD-3-Clause"]),
+             (BSD_TEXT.replace("\n\n3. Neither", "\n\nNo").replace("All rights reserved.", ""), ["BSD-2-Clause"]),
+             (GPL_TEXT.format(":"), ["GPL"]), (GPL_TEXT.format(";"), ["GPL"])]
+    cases = [(f(text), want) for text, want in whole for f in (
+        str, lambda t: t.replace("\n", "\r\n"), lambda t: "/*\n" + _marked(t, " *") + "\n */\nint main() {}",
+        lambda t: _marked(t, "#"), lambda t: _marked(t, "//"), lambda t: _marked(t, "dnl"),
+        lambda t: re.sub(r"(?<!\n)(?<!Doe)\n(?!\n)", " ", t))]
+    # A list without blank lines, an unknown sentence between two known ones, a
+    # notice on a line of its own among other text, in a wrapped line, and cut by a blank one.
+    cases += [(re.sub(r"\n+", "\n", BSD_TEXT), ["All-Rights-Reserved", "BSD-3-Clause"]),
+              (MIT_TEXT.replace("THE SOFTWARE IS", "Keep this notice with the files.\n\nTHE SOFTWARE IS"), ["MIT"]),
+              ("Some words\nLicensed under CC BY-NC 4.0\nand more words", ["CC-BY-NC-4.0"]),
+              ("This small tool is\nlicensed under the\nMIT License\n", ["MIT"]),
+              ("licensed under the\n\nMIT Licence for fishing", []),
+              ("\n" * 100_000 + "https://a/license" + " \n" * 100_000 + ". " * 50_000, [])]
+    got = _licenses(spark, [text for text, _ in cases])
+    assert [(i, got[i].licenses) for i in range(len(cases))] == [(i, want) for i, (_, want) in enumerate(cases)]
+    assert got[0].n_matches == 1 and got[0].n_unknown == 0

@@ -1,13 +1,16 @@
 """Licence recognition by sentence rules.
 
-A text is cut into sentences, each sentence is normalised (lower case, letters,
-digits, dots and brackets only, single blanks), and a normalised sentence that is known
-becomes the identifier of that licence sentence. The identifiers of a document, in
-order, are matched against ordered rules: a rule is a sequence of identifiers
-that must follow one another, other text aside, and the first rule that matches
-at a place takes its identifiers, so a longer rule stands before the shorter
-ones it contains. Sentences that only look like a licence's are counted as
-unknown.
+A text is cut into passages at marks that blank space follows and at blank lines
+(lines without letters and digits, so also those of a comment). A passage is
+normalised (lower case, letters, digits, dots and brackets only, single blanks,
+line breaks and semicolons kept as breaks), and the known sentences in it become
+their identifiers. A known sentence begins and ends at a break or an end of the
+passage, list numbers aside; within it a break is a blank, so wrapped lines do no
+harm. The identifiers of a document, in order, are matched against ordered
+rules: a rule is a sequence of identifiers that must follow one another, other
+text aside, and the first rule that matches at a place takes its identifiers, so
+a longer rule stands before the shorter ones it contains. Passages that only
+look like a licence's are counted as unknown; they do not part a sequence.
 
 Known sentences are exact texts or patterns with variable parts (versions,
 names); both tables are parameters of fixed size. All is done within the row:
@@ -20,6 +23,8 @@ occurrence counts; rows are independent, and extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,39 +77,60 @@ RULES = [
     ("CC0-1.0", ["cc0"]),
     ("All-Rights-Reserved", ["reserved"]),
 ]
-# Words that a licence sentence holds; only such sentences are compared.
-HINT = r"(?i)licen[sc]|rights reserved|permission|redistribution|warranty|free software|notice|public domain|neither the name|applicable law"
-# A sentence ends at a line break, or at a mark that blank space follows.
-SENTENCE_END = r"[\r\n]+|(?<=[.!?;])[ \t]+"
+# Words that a licence sentence holds; only such passages are compared.
+HINT = (r"(?i)licen[sc]|rights\W{1,40}reserved|permission|redistribution|warranty|free\W{1,40}software|notice"
+        r"|public\W{1,40}domain|neither\W{1,40}the\W{1,40}name|applicable\W{1,40}law")
+# Lines without letters and digits; a passage ends there, unless an address
+# follows, or at a mark that blank space follows.
+BLANK_LINES = r"\n(?:[^\p{L}\p{N}\n]*+\n)++"
+PASSAGE_END = r"(?<=[.!?])\s+|\n\n(?![^\p{L}\p{N}]{0,40}https?://)"
 UNKNOWN = "unknown"
 
 
-def normalised(sentence: Column) -> Column:
-    plain = F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}.()]+", " ")
-    return F.regexp_replace(plain, r"^[ .]+|(?<![ .])[ .]+$", "")
+def normalised(passage: Column) -> Column:
+    plain = F.regexp_replace(F.lower(passage), r";(?=\s)", "\n")
+    plain = F.regexp_replace(plain, r"[^\p{L}\p{N}.()\n]+", " ")
+    plain = F.regexp_replace(plain, r"(?:^| ?\n(?: ?\n)*+) ?(?:(?:dnl|rem) )?", "\n")
+    return F.regexp_replace(plain, r"^[ .\n]+|(?<![ .\n])[ .\n]+$", "")
+
+
+def _broken(pattern: str) -> str:
+    """The pattern of a sentence whose blanks may be line breaks; what may
+    follow its known words ends with a line."""
+    return re.sub(r"\.\*$", ".*?", pattern).replace(" ", r"[ \n]")
 
 
 def sentence_id(sentence: Column, sentences: list[tuple[str, str]] = SENTENCES) -> Column:
-    """The identifier of a known sentence, "unknown" for one that has a licence
-    word, null for others."""
-    plain = normalised(sentence)
-    chain = F.when(~sentence.rlike(HINT), F.lit(None).cast("string"))
-    for name, pattern in sentences:
-        chain = chain.when(plain.rlike(f"^(?:{pattern})$"), name)
-    return chain.otherwise(UNKNOWN)
+    """The identifier of a normalised known sentence."""
+    chain = F.lit(None).cast("string")
+    for name, pattern in reversed(sentences):
+        chain = F.when(sentence.rlike(f"(?s)^(?:{_broken(pattern)})$"), name).otherwise(chain)
+    return chain
+
+
+def passage_ids(passage: Column, sentences: list[tuple[str, str]] = SENTENCES) -> Column:
+    """The identifiers of the known sentences of a passage, "unknown" if it has
+    none."""
+    known = "|".join(f"(?:{_broken(pattern)})" for _, pattern in sentences)
+    found = F.regexp_extract_all(normalised(passage), F.lit(
+        rf"(?s)(?<![^\n])(?:\(?[0-9a-z]{{1,2}}[.)]+[ \n])?({known})(?![^\n])"), F.lit(1))
+    return F.transform(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(UNKNOWN))),
+                       lambda s: F.when(s == UNKNOWN, s).otherwise(sentence_id(s, sentences)))
 
 
 def identifiers(text: Column, sentences: list[tuple[str, str]] = SENTENCES) -> Column:
     """The identifiers of a text's licence sentences, in order."""
-    hinted = F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(HINT))
-    ids = F.transform(hinted, lambda s: sentence_id(s, sentences))
+    lines = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), BLANK_LINES, "\n\n")
+    hinted = F.filter(F.split(lines, PASSAGE_END), lambda s: s.rlike(HINT))
+    ids = F.flatten(F.transform(hinted, lambda s: passage_ids(s, sentences)))
     return F.when(text.rlike(HINT), ids).otherwise(F.array().cast("array<string>"))
 
 
 def _matches(ids: Column, rules: list[tuple[str, list[str]]]) -> Column:
     """The rule numbers that match, in order: an alternation tries the rules
     in their order at every place of the joined identifiers."""
-    joined = F.array_join(F.transform(ids, lambda i: F.concat(i, F.lit(";"))), "")
+    known = F.filter(ids, lambda i: i != UNKNOWN)
+    joined = F.array_join(F.transform(known, lambda i: F.concat(i, F.lit(";"))), "")
     alternation = "|".join("".join(f"{i};" for i in sequence) for _, sequence in rules)
     return F.regexp_extract_all(joined, F.lit(f"(?:^|(?<=;))(?:{alternation})"), F.lit(0))
 
