@@ -343,3 +343,25 @@ def test_licenses_of_wrapped_texts(spark):
     got = _licenses(spark, [text for text, _ in cases])
     assert [(i, got[i].licenses) for i in range(len(cases))] == [(i, want) for i, (_, want) in enumerate(cases)]
     assert got[0].n_matches == 1 and got[0].n_unknown == 0
+
+
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_canonical_apache_header(spark):
+    curly = APACHE_TEXT.replace('"License"', "\u201cLicense\u201d")
+    texts = [APACHE_TEXT, curly, _marked(APACHE_TEXT, "#"), "/*\n" + _marked(APACHE_TEXT, " *") + "\n */\nclass A {}",
+             _marked(APACHE_TEXT, "//"), APACHE_TEXT.replace("\n", "\r\n"), re.sub(r"(?<!\n)\n(?!\n)", " ", APACHE_TEXT)]
+    for row in _licenses(spark, texts).values():
+        assert row.licenses == ["Apache-2.0"] and row.n_matches == 1
+        assert row.sentence_ids[:4] == ["apache2-licensed", "apache2-comply", "apache2-copy", "apache2-asis"]

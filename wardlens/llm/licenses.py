@@ -3,8 +3,8 @@
 A text is cut into passages at marks that blank space follows and at blank lines
 (lines without letters and digits, so also those of a comment). A passage is
 normalised (lower case, letters, digits, dots and brackets only, single blanks,
-line breaks and semicolons kept as breaks), and the known sentences in it become
-their identifiers. A known sentence begins and ends at a break or an end of the
+none inside brackets, line breaks and semicolons kept as breaks), and the known
+sentences in it become their identifiers. A known sentence begins and ends at a break or an end of the
 passage, list numbers aside; within it a break is a blank, so wrapped lines do no
 harm. The identifiers of a document, in order, are matched against ordered
 rules: a rule is a sequence of identifiers that must follow one another, other
@@ -91,6 +91,7 @@ def normalised(passage: Column) -> Column:
     plain = F.regexp_replace(F.lower(passage), r";(?=\s)", "\n")
     plain = F.regexp_replace(plain, r"[^\p{L}\p{N}.()\n]+", " ")
     plain = F.regexp_replace(plain, r"(?:^| ?\n(?: ?\n)*+) ?(?:(?:dnl|rem) )?", "\n")
+    plain = F.regexp_replace(plain, r"(?<=\()[ \n]+|[ \n]+(?=\))", "")
     return F.regexp_replace(plain, r"^[ .\n]+|(?<![ .\n])[ .\n]+$", "")
 
 
