@@ -365,3 +365,44 @@ def test_canonical_apache_header(spark):
     for row in _licenses(spark, texts).values():
         assert row.licenses == ["Apache-2.0"] and row.n_matches == 1
         assert row.sentence_ids[:4] == ["apache2-licensed", "apache2-comply", "apache2-copy", "apache2-asis"]
+
+
+PII_LAYOUTS = {
+    "phone": ["+14155552671", "+1 415 555 2671", "415 555 2671", "+49 30 1234567", "+33 1 23 45 67 89", "+1(415)555-2671",
+              "(415) 555 2671", "+44 (0)20 7946 0958", "+4930123456789", "+683 4002", "+420 601 123 456", "415.555.2671"],
+    "date": ["2024-01-02T10:00:00Z", "31-12-1999", "31/12/1999", "12-31-1999", "12/31/1999", "29.02.2024", "13/01/1800",
+             "31/12/2199", "2024/01/02T10:00"],
+    "card": ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "378282246310005"],
+}
+
+
+def test_pii_layouts(spark):
+    values = [(kind, v) for kind, some in PII_LAYOUTS.items() for v in some]
+    texts = [f"<{v}> and {v}, end" for _, v in values] + [
+        "+1 415 555 2671 2024-01-02", "+49 30 1234567 31.12.1999", "100 200 2024-01-02", "+123456", "+1 23 4567",
+        "+1234567890123456", "31/31/1999 30-02-1999 32.01.1999", "1999-31-12", "3782 822463 10006", "+" * 50_000 + "1 " * 50_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = Workspace(spark, "test").path("made")
+    pii.pseudonymise(rows).write.parquet(path)
+    made = {r.doc_id: r for r in spark.read.parquet(path).collect()}
+    shape = lambda t: re.sub("[0-9]", "0", t)
+    for i, (kind, value) in enumerate(values):
+        assert [made[i][f"n_{k}"] for k in pii.KINDS] == [2 * (k == kind) for k in pii.KINDS], value
+        new = re.fullmatch("<(.*)> and (.*), end", made[i].text)
+        assert new[1] == new[2] != value and shape(new[1]) == shape(value)
+    code = {"+49 30 1234567": "+49 ", "+4930123456789": "+49", "+683 4002": "+683 ", "+33 1 23 45 67 89": "+33 "}
+    for i, (_, value) in enumerate(values):
+        assert made[i].text.startswith("<" + code.get(value, "+1" if value.startswith("+1") else ""))
+    n = len(values)
+    assert [(made[i].n_phone, made[i].n_date) for i in (n, n + 1, n + 2)] == [(1, 1), (1, 1), (0, 1)]
+    assert all(made[i].text == texts[i] for i in range(n + 3, len(texts)))
+    back = pii.restore(spark.read.parquet(path)).collect()
+    assert {r.doc_id: r.text for r in back} == dict(enumerate(texts))
+
+
+def test_late_days_are_numbered(spark):
+    days = spark.sql("select explode(sequence(date'1800-01-01', date'2199-12-31')) as d").where("day(d) > 12")
+    got = days.select(pii._late_number(F.col("d")).alias("n"), "d").withColumn("back", pii._late_date(F.col("n")))
+    row = got.agg(F.count("*"), F.min("n"), F.max("n"), F.countDistinct("n"), F.sum((F.col("back") == F.col("d")).cast("int")))
+    total = pii._LATE_LEFT * pii._LATE_RIGHT
+    assert tuple(row.first()) == (total, 0, total - 1, total, total)

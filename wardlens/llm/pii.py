@@ -13,6 +13,14 @@ one half to the other, modulo the size of its range. Ranges need not be equal:
 dates are the 146,097 = 189 x 773 days of 1800-01-01 to 2199-12-31. The Luhn
 digit is computed anew. ``restore`` runs the rounds backwards.
 
+Phone numbers have ten digits, (415) 555-2671 or in groups of 3, 3 and 4, with or
+without country code, or a plus sign and 7 to 15 digits, whose country code is
+kept; such a number takes the groups that follow it up to 15 digits. Dates are
+year first, or 12/31/1999 with slashes and 31.12.1999 or 31-12-1999 otherwise; if
+that is no date, day and month change places, and the value stays among the
+88,497 = 9 x 9,833 days of which this holds (those after the 12th of a month). A
+time may follow. Cards are digits in a row or in groups of 4-4-4-4, 4-6-5 or 4-6-4.
+
 Numbers that fail validation are left alone, as is all other text.
 
 Defined cases: null text stays null with no findings; empty text stays empty;
@@ -35,17 +43,25 @@ _EMAIL = (r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z
           r"\.[A-Za-z]{2,63}")
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IP = rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9A-Za-z])"
-_PHONE = (r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?)?(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}"
-          r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])")
+_DAY = r"(?:[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}|[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{4})(?![0-9])"
+_PHONE = (r"(?<![0-9A-Za-z+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"
+          rf"|(?<![0-9A-Za-z+])\+(?!1)[1-9](?:[ .()-]{{0,2}}(?!(?<= ){_DAY})[0-9]){{6,14}}(?![0-9A-Za-z])"
+          r"|(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?)?(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
+          rf"|[0-9]{{3}}[ .-][0-9]{{3}}(?:[.-]| (?!{_DAY}))[0-9]{{4}})(?![0-9A-Za-z])")
+# Country codes of one and two digits; all others have three (fixed values).
+_COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 _SSN = r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])"
 _DATE = (r"(?<![0-9A-Za-z./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}"
-         r"|[0-9]{2}([/.])[0-9]{2}\2[0-9]{4})(?![0-9A-Za-z/-])")
-_CARD = (r"(?<![0-9A-Za-z])(?:[0-9]{4}([ -])[0-9]{4}\3[0-9]{4}\3[0-9]{4}|[0-9]{13,19})(?![0-9A-Za-z])")
+         r"|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?:(?=[Tt][0-9]{2}:?[0-9]{2})|(?![0-9A-Za-z/-]))")
+_CARD = (r"(?<![0-9A-Za-z])(?:[0-9]{4}([ -])(?:[0-9]{4}\3[0-9]{4}\3[0-9]{4}|[0-9]{6}\3[0-9]{4,5})"
+         r"|[0-9]{13,19})(?![0-9A-Za-z])")
 PATTERN = "|".join([_EMAIL, _IP, _PHONE, _SSN, _DATE, _CARD])
 # Texts without any of these hold no candidate.
-_HINT = r"@|[0-9]{4}|[0-9]\.[0-9]"
+_HINT = r"@|[0-9]{4}|[0-9]\.[0-9]|\+[1-9]"
 
 _EPOCH, _DAYS_LEFT, _DAYS_RIGHT = "1800-01-01", 189, 773
+# Days after the 12th of a month, of 4,800 months.
+_LATE_LEFT, _LATE_RIGHT, _MONTHS = 9, 9833, 4800
 
 
 def _digits(x: Column) -> Column:
@@ -95,18 +111,36 @@ def feistel(key: str, kind: Column, left: Column, right: Column, left_size: Colu
     return F.aggregate(order, start, step)
 
 
-def _date_value(x: Column) -> Column:
-    """The date that x names, null if the calendar has none."""
+def _date_value(x: Column, turned: bool = False) -> Column:
+    """The date that x names, null if the calendar has none; turned: with day
+    and month in each other's place, which a year first does not admit."""
     d = _digits(x)
     iso = x.rlike("^[0-9]{4}")
-    slash = F.contains(x, F.lit("/"))
+    slash = F.contains(x, F.lit("/")) != F.lit(turned)
     part = lambda at, n: F.substr(d, F.lit(at), F.lit(n))
     year = F.when(iso, part(1, 4)).otherwise(part(5, 4))
     # Day and month: 31.12.1999, but 12/31/1999.
     month = F.when(iso, part(5, 2)).when(slash, part(1, 2)).otherwise(part(3, 2))
     day = F.when(iso, part(7, 2)).when(slash, part(3, 2)).otherwise(part(1, 2))
     date = F.try_to_timestamp(F.concat_ws("-", year, month, day), F.lit("yyyy-MM-dd")).cast("date")
-    return F.when(date.between(F.lit(_EPOCH).cast("date"), F.lit("2199-12-31").cast("date")), date)
+    within = date.between(F.lit(_EPOCH).cast("date"), F.lit("2199-12-31").cast("date"))
+    return F.when(within & ~iso if turned else within, date)
+
+
+def _late_number(date: Column) -> Column:
+    """The number of a date among the days after the 12th of a month."""
+    months = (F.year(date) - int(_EPOCH[:4])) * 12 + F.month(date)
+    return F.datediff(date, F.lit(_EPOCH).cast("date")) - 12 * months
+
+
+def _late_date(number: Column) -> Column:
+    """The inverse of ``_late_number``."""
+    epoch = F.lit(_EPOCH).cast("date")
+    near = F.floor(number * _MONTHS / (_LATE_LEFT * _LATE_RIGHT)).cast("int")
+    month = F.array_max(F.filter(
+        F.sequence(near - 2, near + 2),
+        lambda m: F.datediff(F.add_months(epoch, m), epoch) - 12 * m <= number))
+    return F.date_add(epoch, (number + 12 * (month + 1)).cast("int"))
 
 
 def kind_of(x: Column) -> Column:
@@ -117,7 +151,7 @@ def kind_of(x: Column) -> Column:
             .when(whole(_PHONE), "phone")
             .when(whole(_SSN), "ssn")
             .when(whole(r"[0-9]{2,4}[-/.][0-9]{2}[-/.][0-9]{2,4}"),
-                  F.when(_date_value(x).isNotNull(), "date"))
+                  F.when(_date_value(x).isNotNull() | _date_value(x, turned=True).isNotNull(), "date"))
             .when(F.pmod(luhn_sum(_digits(x), 1), F.lit(10)) == 0, "card"))
 
 
@@ -140,6 +174,9 @@ def _halved(f: Column) -> Column:
 
     return (F.when(kind == "ip", pair(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3],
                                       F.lit(65536), F.lit(65536), F.lit(0)))
+            .when((kind == "date") & f["turned"],
+                  pair(F.floor(f["days"] / _LATE_RIGHT), F.pmod(f["days"], F.lit(_LATE_RIGHT)),
+                       F.lit(_LATE_LEFT), F.lit(_LATE_RIGHT), F.lit(0)))
             .when(kind == "date", pair(F.floor(f["days"] / _DAYS_RIGHT),
                                        F.pmod(f["days"], F.lit(_DAYS_RIGHT)),
                                        F.lit(_DAYS_LEFT), F.lit(_DAYS_RIGHT), F.lit(0)))
@@ -156,16 +193,19 @@ def _written(f: Column) -> Column:
     pad = lambda c, n: F.lpad(c.cast("string"), n, F.lit("0"))
     body = F.concat(pad(moved["l"], f["pair"]["n"]),
                     pad(moved["r"], F.char_length(f["pair"]["b"].cast("string")) - 1))
-    date = F.date_add(F.lit(_EPOCH).cast("date"), (moved["l"] * _DAYS_RIGHT + moved["r"]).cast("int"))
+    turned = f["pair"]["a"] == _LATE_LEFT
+    date = F.when(turned, _late_date(moved["l"] * _LATE_RIGHT + moved["r"])).otherwise(
+        F.date_add(F.lit(_EPOCH).cast("date"), (moved["l"] * _DAYS_RIGHT + moved["r"]).cast("int")))
     dated = (F.when(x.rlike("^[0-9]{4}"), F.date_format(date, "yyyyMMdd"))
-             .when(F.contains(x, F.lit("/")), F.date_format(date, "MMddyyyy"))
+             .when(F.contains(x, F.lit("/")) != turned, F.date_format(date, "MMddyyyy"))
              .otherwise(F.date_format(date, "ddMMyyyy")))
     area = F.floor(moved["l"] / 99) + 1
     ssn = F.concat(pad(area + F.when(area >= 666, 1).otherwise(0), F.lit(3)),
                    pad(F.pmod(moved["l"], F.lit(99)) + 1, F.lit(2)), pad(moved["r"] + 1, F.lit(4)))
     address = F.concat_ws(".", *[c.cast("string") for half in ("l", "r") for c in (
         F.floor(moved[half] / 256), F.pmod(moved[half], F.lit(256)))])
-    country = F.substr(f["d"], F.lit(1), F.char_length(f["d"]) - 10)
+    country = F.substr(f["d"], F.lit(1), F.char_length(f["d"]) - f["pair"]["n"]
+                       - F.char_length(f["pair"]["b"].cast("string")) + 1)
     return (F.when(kind == "ip", address).when(kind == "date", dated).when(kind == "ssn", ssn)
             .when(kind == "card", body).when(kind == "phone", F.concat(country, body)))
 
@@ -205,9 +245,14 @@ def pseudonyms(candidates: Column, key: str = KEY, forward: bool = True) -> Colu
     found = F.transform(found, lambda f: _fields(
         f, "x", "kind", "d",
         body=F.when(f["kind"] == "card", F.substr(f["d"], F.lit(1), F.char_length(f["d"]) - 1))
+        .when(f["x"].rlike(r"^\+(?!1)[1-9]"), F.regexp_replace(f["d"], _COUNTRY, ""))
         .otherwise(F.right(f["d"], F.lit(10))),
-        days=F.when(f["kind"] == "date",
-                    F.datediff(_date_value(f["x"]), F.lit(_EPOCH).cast("date")))))
+        date=F.when(f["kind"] == "date", _date_value(f["x"]))))
+    found = F.transform(found, lambda f: _fields(
+        f, "x", "kind", "d", "body", turned=(f["kind"] == "date") & f["date"].isNull(),
+        days=F.when(f["kind"] == "date", F.coalesce(
+            F.datediff(f["date"], F.lit(_EPOCH).cast("date")),
+            _late_number(_date_value(f["x"], turned=True))))))
     found = F.transform(found, lambda f: _fields(f, "x", "kind", "d", pair=_halved(f)))
     found = F.transform(found, lambda f: _fields(
         f, "x", "kind", "d", "pair", moved=F.when(f["pair"].isNotNull(), feistel(
