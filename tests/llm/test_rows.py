@@ -406,3 +406,27 @@ def test_late_days_are_numbered(spark):
     row = got.agg(F.count("*"), F.min("n"), F.max("n"), F.countDistinct("n"), F.sum((F.col("back") == F.col("d")).cast("int")))
     total = pii._LATE_LEFT * pii._LATE_RIGHT
     assert tuple(row.first()) == (total, 0, total - 1, total, total)
+
+
+def test_token_counts_query_commits_deletes_and_revisions(spark, monkeypatch):
+    steps, commit = [], token_counts.Ledger.commit
+
+    def noted(ledger, batch_id, changes):
+        done = commit(ledger, batch_id, changes)
+        signs = {r.sign for r in changes.select("sign").distinct().collect()}
+        steps.append((batch_id, done, signs, ledger.totals().agg(F.sum("n_docs"), F.sum("n_tokens")).first()))
+        return done
+
+    monkeypatch.setattr(token_counts.Ledger, "commit", noted)
+    got = {tuple(r) for r in token_counts.query(spark, SF).collect()}
+    counts = token_counts.count_tokens(spark.read.parquet(f"{SF}/documents.parquet"))
+    plain = counts.groupBy(*token_counts.GROUP).agg(F.count("*"), F.sum("n_tokens"))
+    assert got == {tuple(r) for r in plain.collect()}
+    assert [(b, done, signs) for b, done, signs, _ in steps] == [
+        ("load-1", True, {1}), ("load-2", True, {1}), ("delete-1", True, {-1}), ("revise-1", True, {1, -1}),
+        ("load-3", True, {1}), ("load-1", False, {1}), ("load-2", False, {1}), ("delete-1", False, {-1})]
+    totals = [tuple(t) for *_, t in steps]
+    n_docs, n_tokens = counts.agg(F.count("*"), F.sum("n_tokens")).first()
+    assert totals[1][0] == n_docs and totals[1][1] > n_tokens and totals[2][0] < n_docs
+    assert totals[3][0] == totals[2][0] and totals[3][1] < totals[2][1]
+    assert totals[4:] == [(n_docs, n_tokens)] * 4
