@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from wardlens.llm import (ann, bpe, decontaminate, language, licenses, neardup, pii, token_counts,
-                          token_files, warc)
+from wardlens.llm import (ann, bpe, chat, decontaminate, language, licenses, neardup, pii,
+                          token_counts, token_files, warc)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_near_dedup": neardup.query,
     "op9_token_counts": token_counts.query,
     "op10_language": language.query,
+    "op12_chat": chat.query,
 }
 
 SQL = {
     "op1_decontaminate": decontaminate.SQL,
     "op4_warc": warc.SQL,
     "op8_near_dedup": neardup.SQL,
+    "op12_chat": chat.SQL,
 }
