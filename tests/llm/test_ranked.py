@@ -1,0 +1,108 @@
+"""Ranked search against brute force, and the quadtree by itself."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from wardlens.llm import ranked
+from wardlens.llm.common import Workspace
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _terms(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def _brute(docs, items, top):
+    held = [(d, Counter(_terms(t))) for d, t in docs if d is not None and _terms(t)]
+    n, total = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    asked = defaultdict(list)
+    for i, text in items:
+        if i is not None:
+            asked[i] += _terms(text)
+    out = []
+    for i, terms in asked.items():
+        scores = []
+        for d, c in held:
+            m = 75 + 25 * sum(c.values()) * n // total
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                        * (10**9 * c[t] // (1000 * c[t] + 12 * m)) for t in terms if c[t])
+            if score > 0:
+                scores.append((-score, d))
+        out += [(i, k + 1, d, -s) for k, (s, d) in enumerate(sorted(scores)[:top])]
+    return sorted(out)
+
+
+def _corpus(n, words, seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(words)] + ["É", "ÉCOLE", "straße", "日本", "Under_Score", "a-b"]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+    docs = [(i, " ".join(rng.choices(vocabulary, weights, k=rng.randrange(60)))) for i in range(n)]
+    docs += [(n + i, docs[3][1]) for i in range(30)]
+    docs += [(900001, None), (900002, ""), (900003, " -- _"), (None, "w0 w1"), (5, docs[5][1]),
+             (900004, "w7 W8 " * 50000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(1, 30)))) for i in range(40)]
+    items += [(100, docs[3][1]), (101, "W0 w0 w0"), (102, None), (103, ""), (104, "absent words"),
+              (105, "w1"), (105, "w2"), (None, "w1")]
+    return docs, items
+
+
+@pytest.mark.parametrize("block", [700, 1 << 20])
+def test_equal_to_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(ranked, "BLOCK_BYTES", block)
+    docs, items = _corpus(500, 300, 11)
+    frame = spark.createDataFrame([(*d, "x", 1) for d in docs],
+                                  "doc_id long, text string, terms string, block int").repartition(3)
+    asked = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, df string")
+    monkeypatch.setattr(ranked, "CHUNK_ITEMS", 16)
+    got = ranked.rank(frame, asked, Workspace(spark, "test"), top=20).collect()
+    assert sorted((r.item_id, r.rank, r.doc_id, r.score) for r in got) == _brute(docs, items, 20)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    assert ranked.rank(docs, items, Workspace(spark, "test")).count() == 1
+    assert ranked.rank(docs.limit(0), items, Workspace(spark, "test")).count() == 0
+    assert ranked.rank(docs, items.limit(0), Workspace(spark, "test")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_tree_keeps_cells_and_maxima(seed):
+    rng = np.random.default_rng(seed)
+    rows, cols = int(rng.integers(1, 300)), int(rng.integers(1, 300))
+    cell = np.unique(rng.integers(0, rows * cols, 400))
+    row, col = cell // cols, cell % cols
+    value = rng.integers(0, 1000, len(cell))
+    tree = ranked.Tree(ranked.build_tree(row, col, value))
+    assert tree.greatest[0] == value.max() and len(tree.greatest) == tree.first[-1]
+    # All leaves of single-row searches are that row's cells.
+    for r in np.unique(row)[:20]:
+        item, got, score = ranked.search(tree, np.array([r]), np.array([3]), np.array([0]),
+                                         np.zeros(1, np.int64), np.arange(512), top=500)
+        want = {(int(c), int(3 * v)) for c, v in zip(col[row == r], value[row == r]) if v}
+        assert set(zip(got.tolist(), score.tolist())) == want
+
+
+def test_search_opens_few_states_for_a_clear_winner(monkeypatch):
+    """The bounds prune: a rare heavy term leads to its documents alone."""
+    n = 4096
+    row = np.concatenate((np.zeros(n, np.int64), np.full(20, 4000)))
+    col = np.concatenate((np.arange(n), np.arange(20) * 7))
+    tree = ranked.Tree(ranked.build_tree(row, col, np.full(len(row), 100)))
+    opened = []
+    children = ranked.Tree.children
+    monkeypatch.setattr(ranked.Tree, "children", lambda self, v, q: opened.append(len(v)) or children(self, v, q))
+    _, got, _ = ranked.search(tree, np.array([0, 4000]), np.array([1, 50]), np.array([0, 0]),
+                              np.zeros(1, np.int64), np.arange(n))
+    assert sorted(got.tolist()) == (np.arange(20) * 7).tolist()
+    assert sum(opened) < n

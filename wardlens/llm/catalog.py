@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wardlens.llm import (ann, bpe, chat, decontaminate, language, licenses, neardup, pii,
-                          token_counts, token_files, warc)
+                          ranked, token_counts, token_files, warc)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_near_dedup": neardup.query,
     "op9_token_counts": token_counts.query,
     "op10_language": language.query,
+    "op11_ranked_search": ranked.query,
     "op12_chat": chat.query,
 }
 
@@ -23,5 +24,6 @@ SQL = {
     "op1_decontaminate": decontaminate.SQL,
     "op4_warc": warc.SQL,
     "op8_near_dedup": neardup.SQL,
+    "op11_ranked_search": ranked.SQL,
     "op12_chat": chat.SQL,
 }
