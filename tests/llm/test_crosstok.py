@@ -1,0 +1,121 @@
+"""Alignment of two tokenizers against the plain libraries and loops."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from wardlens.llm import crosstok
+from wardlens.llm.common import Workspace
+
+PARTS = [" ", "  ", "\n", "\t", "the", "Zé", "!", "'s", "日本", "👍", ".", " word", " Wörter", " ́", "12",
+         "<|endoftext|>", "<s>", "<0x0A>", "\x00", "　", "\xa0", "it's", "ation"]
+
+
+def _texts(n=150):
+    rng = random.Random(13)
+    made = ["".join(rng.choice(PARTS) for _ in range(rng.randrange(1, 40))) for _ in range(n)]
+    return [None, "", " ", "  ", "▁", "a ▁b c", "a▁b", *made, *made[:20],
+            "long words " * 20000, "x" * 9000]
+
+
+def _byte_names(a):
+    letters = {}
+    spare = 256
+    for b in range(256):
+        if b in range(33, 127) or b in range(161, 173) or b in range(174, 256):
+            letters[chr(b)] = b
+        else:
+            letters[chr(spare)] = b
+            spare += 1
+    return {i: bytes(letters[c] for c in t) for t, i in a.get_vocab().items() if i != 50256}
+
+
+def _brute(texts):
+    a = Tokenizer.from_file(crosstok.MODEL_A)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=crosstok.MODEL_B)
+    names = _byte_names(a)
+    out, counts = [], Counter()
+    for text in texts:
+        ids_a = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        bytes_a = [names[i] for i in ids_a]
+        bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+                   for i in ids_b for p in [b.id_to_piece(i)]]
+        if not text or not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+            out.append(None)
+            continue
+        ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]), np.cumsum([len(x) for x in bytes_b])
+        links, j = [], 0
+        for i in range(len(ids_a)):
+            start = ends_a[i] - len(bytes_a[i])
+            while ends_b[j] <= start:
+                j += 1
+            k = j
+            while k < len(ids_b) and ends_b[k] - len(bytes_b[k]) < ends_a[i]:
+                links.append((ids_a[i], ids_b[k]))
+                k += 1
+        groups, i, j = [], 0, 0
+        for end in sorted(set(ends_a.tolist()) & set(ends_b.tolist())):
+            left, right = i, j
+            while i < len(ids_a) and ends_a[i] <= end:
+                i += 1
+            while j < len(ids_b) and ends_b[j] <= end:
+                j += 1
+            groups.append(f"{','.join(map(str, ids_a[left:i]))}|{','.join(map(str, ids_b[right:j]))}")
+        out.append((len(ids_a), len(ids_b), groups, links))
+        counts.update(set(links))
+    best = Counter()
+    for (x, _), n in counts.items():
+        best[x] = max(best[x], n)
+    rows = []
+    for found in out:
+        if found is None:
+            rows.append((0, 0, 0, 0, 0, 0, "", ""))
+            continue
+        n_a, n_b, groups, links = found
+        text = ";".join(groups)
+        rows.append((n_a, n_b, len(groups), len(links), sum(counts[p] == best[p[0]] for p in links),
+                     sum(counts[p] for p in links), hashlib.sha256(text.encode()).hexdigest(), text))
+    return rows, counts
+
+
+@pytest.mark.parametrize("block", [3000, 8 << 20])
+def test_equal_to_libraries(spark, monkeypatch, block):
+    monkeypatch.setattr(crosstok, "BLOCK_BYTES", block)
+    monkeypatch.setattr(crosstok, "GATHERED", 500)
+    texts = _texts()
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, groups string, block int").repartition(5)
+    want, counts = _brute(texts)
+    work = Workspace(spark, "test")
+    rows = crosstok.align(docs, work, groups=True).collect()
+    got = {r.doc_id: tuple(r)[1:] for r in rows}
+    assert len(rows) == len(texts)
+    for i, row in enumerate(want):
+        assert got[i] == row, repr(texts[i])[:200]
+    table = crosstok.pair_table(spark.read.parquet(work.path("counts"))).collect()
+    assert {(r.a, r.b): r.n_docs for r in table} == dict(counts)
+
+
+def test_repeated_null_ids_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")
+    rows = crosstok.align(docs, Workspace(spark, "test")).collect()
+    assert sorted((r.doc_id or 0, r.n_a, r.count_sum) for r in rows) == [(0, 1, 1), (1, 2, 4), (1, 2, 4)]
+    for none in (docs.limit(0), docs.where("doc_id = 1").selectExpr("doc_id", "'' as text")):
+        rows = crosstok.align(none, Workspace(spark, "test")).collect()
+        assert all(r.n_a == r.n_links == 0 and r.groups_sha256 == "" for r in rows)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 17, 5000])
+def test_perfect_hash_is_minimal(n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 1 << 48, n))
+    function = crosstok.PerfectHash(*crosstok.unpack(crosstok.PerfectHash.build(keys).packed()))
+    assert sorted(function.slots(keys).tolist()) == list(range(len(keys)))

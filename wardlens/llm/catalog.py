@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from wardlens.llm import (ann, bpe, chat, decontaminate, language, licenses, neardup, pii,
-                          ranked, token_counts, token_files, warc)
+from wardlens.llm import (ann, bpe, chat, crosstok, decontaminate, language, licenses, neardup,
+                          pii, ranked, token_counts, token_files, warc)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_language": language.query,
     "op11_ranked_search": ranked.query,
     "op12_chat": chat.query,
+    "op13_cross_tokenizer": crosstok.query,
 }
 
 SQL = {
