@@ -119,12 +119,12 @@ def test_claims_reports(make):
         {"EncounterID": 2, "DepartmentID": 2, "EncounterDate": day(0)},
         {"EncounterID": 3, "DepartmentID": 2, "EncounterDate": None},
     ])
-    claims = make("billing_claims", (
+    claims = make("billing_claims", [dict(c, ClaimID=i) for i, c in enumerate(
         [{"EncounterID": 1, "ClaimStatus": "denied", "BilledAmount": 10.0, "DateSubmitted": day(2)}] * 4
         + [{"EncounterID": 2, "ClaimStatus": "denied", "BilledAmount": 1.5, "DateSubmitted": day(-1)}] * 2
         + [{"EncounterID": 2, "ClaimStatus": "paid", "BilledAmount": 2.25, "DateSubmitted": None}] * 2
         + [{"EncounterID": 3, "ClaimStatus": "paid", "BilledAmount": 2.0, "DateSubmitted": day(5)}]
-        + [{"EncounterID": 99, "ClaimStatus": "paid", "BilledAmount": 2.0, "DateSubmitted": day(5)}]))
+        + [{"EncounterID": 99, "ClaimStatus": "paid", "BilledAmount": 2.0, "DateSubmitted": day(5)}])])
     # department with 4 claims is cut, with 5 kept
     assert rows(denial_rate(claims, e, depts(make)), "DepartmentName", "TotalClaims",
                 "DeniedClaims", "DenialPct", "RevenueLost", "TotalBilled") == [
@@ -183,8 +183,9 @@ def test_chronic_complications_and_risk_tiers(make):
          "DischargeDate": day(x), "ChiefComplaint": c, "InsuranceType": ins, "EncounterCost": cost}
         for i, p, t, s, x, c, ins, cost in encs])
     claims = make("billing_claims", [
-        {"EncounterID": 7, "ClaimStatus": "DENIED"}, {"EncounterID": 7, "ClaimStatus": "denied"},
-        {"EncounterID": 1, "ClaimStatus": "paid"}])
+        {"ClaimID": 1, "EncounterID": 7, "ClaimStatus": "DENIED"},
+        {"ClaimID": 2, "EncounterID": 7, "ClaimStatus": "denied"},
+        {"ClaimID": 3, "EncounterID": 1, "ClaimStatus": "paid"}])
     tiers = {r.PatientID: r for r in risk_tiers(df, pts, claims).collect()}
     assert {p: r.RiskLevel for p, r in tiers.items()} == {
         1: "High", 2: "High", 3: "Moderate", 4: "Low", 5: "Low"}
@@ -214,7 +215,7 @@ def test_single_complication_is_moderate_and_keyword_inside_word(make):
          "DischargeDate": day(0), "ChiefComplaint": "prediabetic check", "EncounterCost": 1.0},
         {"EncounterID": 2, "PatientID": 1, "EncounterType": "outpatient", "EncounterDate": day(90),
          "DischargeDate": day(90), "ChiefComplaint": "Asthmatic", "EncounterCost": 2.0}])
-    claims = make("billing_claims", [{"EncounterID": 1, "ClaimStatus": "paid"}])
+    claims = make("billing_claims", [{"ClaimID": 1, "EncounterID": 1, "ClaimStatus": "paid"}])
     r = risk_tiers(df, pts, claims).collect()
     assert [(x.ChronicEncounters, x.ComplicationCount, x.ReadmissionCount, x.RiskLevel,
              x.AvgCost) for x in r] == [(2, 1, 0, "Moderate", 1.5)]
