@@ -17,7 +17,7 @@ task hand on from block to block. The best of all blocks are ranked by a window.
 Impacts are integers that depend on two totals of the corpus, so the blocks'
 postings are written first and the trees are built when the totals are known.
 Document frequencies are summed for the items' terms alone. Items meet blocks
-in chunks over an equi-join on buckets; Spark chooses how to move the items.
+in chunks over an equi-join on buckets.
 
 Defined cases: null and empty texts have no terms; documents without an id
 cannot be named and are left out of all counts; rows that share a document id
@@ -358,7 +358,7 @@ def rank(docs: DataFrame, items: DataFrame, work: Workspace, top: int = TOP,
                                               F.collect_list("weight").alias("weights")),
                       "items")
     chunks = -(-terms.count() // CHUNK_ITEMS) or 1
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = work.keep(
         terms.groupBy(F.pmod(F.xxhash64("item_id"), F.lit(chunks)).alias("chunk"))
         .agg(F.collect_list(F.struct("item_id", "terms", "weights")).alias("i"))
@@ -367,7 +367,10 @@ def rank(docs: DataFrame, items: DataFrame, work: Workspace, top: int = TOP,
                 F.flatten("i.terms").alias("words"), F.flatten("i.weights").alias("weights")),
         "chunks")
     asked = packed.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), "*")
-    rows = trees.withColumn("bucket", F.pmod("block", F.lit(buckets)).cast("int")).join(asked, "bucket")
+    # The copies of the items, one per bucket, are far larger than their table,
+    # by which Spark would choose to broadcast them: both sides are shuffled.
+    rows = trees.withColumn("bucket", F.pmod("block", F.lit(buckets)).cast("int")).join(
+        asked.hint("merge"), "bucket")
     found = rows.select("block", "terms", "ids", "tree", "names", "sizes", "words", "weights") \
         .mapInArrow(_search_blocks(top), "item_id long, doc_id long, score long")
     place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))
