@@ -50,13 +50,15 @@ def test_bpe_repeated_null_ids_and_empty_table(spark):
     assert bpe.digests(bpe.encode(docs.limit(0))).count() == 0
 
 
-def test_token_files(spark):
+@pytest.mark.parametrize("plain", [False, True])
+def test_token_files(spark, plain):
     from tokenizers import Tokenizer
-    texts = _texts()
+    texts = [*_texts(), "a <|endoftext|> b", "x<|endoftext|>", "<|endoftext|> <|endoftext|>."]
     tokenizer = Tokenizer.from_file(token_files.TOKENIZER)
-    tokenizer.encode_special_tokens = True
+    if plain:
+        tokenizer.encode_special_tokens = True
     path = Workspace(spark, "test").path("tokens")
-    token_files.write_tokens(_docs(spark, texts), path)
+    token_files.write_tokens(_docs(spark, texts), path, plain=plain)
     rows = token_files.with_starts(token_files.checksums(token_files.read_tokens(spark, path)),
                                    token_files.read_tokens(spark, path, ["part", "n_tokens"])).collect()
     got, start = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows}, 0
@@ -65,8 +67,30 @@ def test_token_files(spark):
         assert got[i] == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     one = token_files.read_tokens(spark, path, ["doc_id", "ids"], ids=[5])
-    assert "PushedFilters: [In(doc_id, [5]" in one._jdf.queryExecution().toString() or one.count() == 1
-    assert one.columns == ["doc_id", "ids"]
+    assert "EqualTo(doc_id,5)" in one._jdf.queryExecution().toString()
+    assert one.columns == ["doc_id", "ids"] and one.count() == 1
+
+
+def test_token_files_footers(spark):
+    """Delta encodings, a page index and small row groups are in the files."""
+    import glob
+
+    import pyarrow.parquet as pq
+    path = Workspace(spark, "test").path("tokens")
+    docs = spark.range(20000).selectExpr("id AS doc_id", "concat('word', id, ' and ', id * 7) AS text")
+    token_files.write_tokens(docs, path, **{"parquet.block.size": str(64 << 10)})
+    files = [pq.ParquetFile(f) for f in glob.glob(f"{path.removeprefix('file:')}/*.parquet")]
+    columns = {}
+    groups = 0
+    for f in files:
+        groups = max(groups, f.metadata.num_row_groups)
+        for g in range(f.metadata.num_row_groups):
+            for c in range(f.metadata.num_columns):
+                column = f.metadata.row_group(g).column(c)
+                columns.setdefault(column.path_in_schema, set()).update(column.encodings)
+                assert column.has_offset_index and column.has_column_index
+    assert groups > 1
+    assert any("DELTA_BINARY_PACKED" in columns[c] for c in ("doc_id", "row"))
 
 
 def test_token_files_odd_rows(spark):

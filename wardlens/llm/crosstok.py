@@ -125,7 +125,7 @@ def align_block(texts: pa.Array, path_a: str, path_b: str, groups: bool) -> Alig
                         pc.binary_join_element_wise(empty, texts, blank))
     pieces, doc_ptr = cut(spaced)
     index, names = distinct(pieces)
-    flat_a, ptr_a = library_encoder(path_a).ids(names)
+    flat_a, ptr_a = library_encoder(path_a, True).ids(names)
     model, shown_b = model_b(path_b)
     shown_a = names_a(path_a)
     lists = model.encode([n[1:].decode("utf-8", "replace") for n in names], num_threads=1)

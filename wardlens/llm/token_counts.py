@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.llm.common import Workspace, ship_package
-from wardlens.llm.tokens import cut, distinct, rank_encoder, steps
+from wardlens.llm.tokens import cut, rank_encoder, steps
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -51,8 +51,9 @@ def count_tokens(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
             for a, b in steps(batch.column(3), STEP_BYTES):
                 part = batch.slice(a, b - a)
                 pieces, ptr = cut(part.column(3))
-                index, names = distinct(pieces)
-                sizes = np.diff(encoder.ids(names)[1])
+                coded = pieces.dictionary_encode()
+                sizes = np.diff(encoder.ids(coded.dictionary)[1])
+                index = coded.indices.to_numpy(zero_copy_only=False)
                 total = np.concatenate(([0], np.cumsum(sizes[index])))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:3], pa.array(np.diff(total[ptr]), pa.int64())], schema=schema)

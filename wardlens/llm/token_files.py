@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardlens.llm.common import Workspace, ship_package
-from wardlens.llm.tokens import cut, distinct, gather, library_encoder, steps
+from wardlens.llm.tokens import cut, gather, library_encoder, steps
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
@@ -41,15 +41,16 @@ _ROWS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.
                    ("ids", pa.list_(pa.int32()))])
 
 
-def _encode(tokenizer: str, end_id: int):
+def _encode(tokenizer: str, end_id: int, plain: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = library_encoder(tokenizer), 0
+        encoder, row = library_encoder(tokenizer, plain), 0
         for batch in batches:
             for a, b in steps(batch.column(1), STEP_BYTES):
                 ids, texts = batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
                 pieces, doc_ptr = cut(texts)
-                index, names = distinct(pieces)
-                flat, starts = gather(*encoder.ids(names), index)
+                coded = pieces.dictionary_encode()
+                flat, starts = gather(*encoder.ids(coded.dictionary),
+                                      coded.indices.to_numpy(zero_copy_only=False))
                 ends = starts[doc_ptr]
                 values = np.insert(flat.astype(np.int32), ends[1:], end_id)
                 ends = ends + np.arange(len(ends))
@@ -63,14 +64,18 @@ def _encode(tokenizer: str, end_id: int):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID,
-                 id_col: str = "doc_id", text_col: str = "text", **options: str) -> None:
-    """Write part, row, doc_id, n_tokens and ids of every row in order of id."""
+                 id_col: str = "doc_id", text_col: str = "text", plain: bool = False,
+                 **options: str) -> None:
+    """Write part, row, doc_id, n_tokens and ids of every row in order of id. A
+    special token's string in a text gives that token, as the library does by
+    default, or is ordinary text if ``plain`` (no document may then write a
+    control token into the files)."""
     spark = docs.sparkSession
     ship_package(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    (ordered.mapInArrow(_encode(tokenizer, end_id),
+    (ordered.mapInArrow(_encode(tokenizer, end_id, plain),
                         "row long, doc_id long, n_tokens long, ids array<int>")
      .select(F.spark_partition_id().alias("part"), "*")
      .write.mode("overwrite").options(**FILE_OPTIONS | options).parquet(path))

@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,66 +79,102 @@ def gather(flat: np.ndarray, ptr: np.ndarray, index: np.ndarray) -> tuple[np.nda
     return flat[at], out
 
 
-def is_plain(piece: bytes) -> bool:
-    """One leading space, and no white space after it or at the end: such
-    pieces may be joined and told apart again by their leading spaces."""
-    if piece[:1] != b" " or piece.count(b" ") != 1 or len(piece) < 2:
-        return False
-    text = piece.decode("utf-8", "replace")
-    return not text[1].isspace() and not text[-1].isspace()
-
-
-def split_joined(pieces: list[bytes], encode: Callable[[str], np.ndarray],
-                 begins: Callable[[np.ndarray], np.ndarray], group: int = 4096) -> list[np.ndarray]:
-    """``encode`` of every piece. Plain pieces are encoded many at a time;
-    ``begins`` marks the items that start with a space, one per piece."""
-    out: list = [None] * len(pieces)
-    plain = [i for i, p in enumerate(pieces) if is_plain(p)]
-    for g in range(0, len(plain), group):
-        some = plain[g:g + group]
-        items = encode(b"".join([pieces[i] for i in some]).decode("utf-8", "replace"))
-        starts = np.flatnonzero(begins(items))
-        if len(starts) == len(some) and starts[0] == 0:
-            for i, part in zip(some, np.split(items, starts[1:])):
-                out[i] = part
-    for i, p in enumerate(pieces):
-        if out[i] is None:
-            out[i] = encode(p.decode("utf-8", "replace"))
+def _plain(pieces: pa.Array) -> np.ndarray:
+    """Which pieces hold one blank, in front, and no white space after it or at
+    the end: these may be joined and told apart again by their blanks. The same
+    bytes as in ``cut`` are taken for white space."""
+    offsets = _offsets(pieces)
+    raw = pieces.buffers()[2]
+    data = np.frombuffer(raw if raw is not None else b"", np.uint8)
+    size = np.diff(offsets)
+    out = size > 1
+    start, end = offsets[:-1][out], offsets[1:][out]
+    blanks = np.concatenate(([0], np.cumsum(data == SPACE)))
+    after, last = data[start + 1], data[end - 1]
+    fine = (data[start] == SPACE) & (blanks[end] - blanks[start] == 1)
+    fine &= (after > SPACE) & (after != 0xC2) & ~_wide(after) & (last > SPACE)
+    fine &= (last < 0x80) | ((data[end - 2] != 0xC2) & ~_wide(data[np.maximum(end - 3, 0)]))
+    out[out] = fine
     return out
 
 
+def _offsets(pieces: pa.Array) -> np.ndarray:
+    return np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset:pieces.offset + len(pieces) + 1]
+
+
+def encode_pieces(pieces: pa.Array, encode: Callable[[list[str]], list[list[int]]],
+                  begins: Callable[[np.ndarray], np.ndarray],
+                  group: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of every piece, end to end, and where each piece's start. Plain
+    pieces are encoded many at a time; ``begins`` marks the ids that start with
+    a blank, one per piece."""
+    plain = _plain(pieces)
+    order, flats, sizes = [], [], []
+    joined = np.flatnonzero(plain)
+    alone = [np.flatnonzero(~plain)]
+    for g in range(0, len(joined), group):
+        some = joined[g:g + group]
+        taken = pieces.take(pa.array(some))
+        ends = _offsets(taken)
+        text = taken.buffers()[2].to_pybytes()[ends[0]:ends[-1]].decode("utf-8", "replace")
+        ids = np.array(encode([text])[0], np.int64)
+        starts = np.flatnonzero(begins(ids))
+        if len(starts) == len(some) and starts[0] == 0:
+            order.append(some)
+            flats.append(ids)
+            sizes.append(np.diff(np.append(starts, len(ids))))
+        else:
+            alone.append(some)
+    rest = np.concatenate(alone)
+    texts = [p.decode("utf-8", "replace") for p in pieces.take(pa.array(rest)).to_pylist()]
+    lists = encode(texts) if texts else []
+    order.append(rest)
+    flats.append(np.fromiter(chain.from_iterable(lists), np.int64))
+    sizes.append(np.array([len(x) for x in lists], np.int64))
+    place = np.empty(len(pieces), np.int64)
+    place[np.concatenate(order)] = np.arange(len(pieces))
+    ptr = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    return gather(np.concatenate(flats), ptr, place)
+
+
 class PieceEncoder:
-    """Ids of pieces, with the ids of up to ``keep`` distinct pieces kept."""
+    """Ids of the distinct pieces of a block."""
 
-    def __init__(self, encode: Callable[[str], np.ndarray], token_bytes: dict[int, bytes],
-                 keep: int = 500_000):
-        self.encode, self.keep, self.known = encode, keep, {}
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]],
+                 token_bytes: dict[int, bytes]):
+        self.encode = encode
         self.spaced = np.zeros(max(token_bytes) + 1, dtype=bool)
         self.spaced[[i for i, b in token_bytes.items() if b[:1] == b" "]] = True
 
-    def ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces end to end, and where each piece's start."""
-        split = [_word_and_marks(p) for p in pieces]
-        wanted = {x for parts in split for x in parts}
-        new = [x for x in wanted if x not in self.known]
-        if len(self.known) + len(new) > self.keep:
-            self.known, new = {}, list(wanted)
-        for p, ids in zip(new, split_joined(new, self.encode, lambda x: self.spaced[x])):
-            self.known[p] = ids.astype("<u4").tobytes()
-        known = self.known
-        parts = [known[x[0]] if len(x) == 1 else known[x[0]] + known[x[1]] for x in split]
-        ptr = np.zeros(len(parts) + 1, dtype=np.int64)
-        np.cumsum([len(p) // 4 for p in parts], out=ptr[1:])
-        return np.frombuffer(b"".join(parts), "<u4"), ptr
-
-
-def _word_and_marks(piece: bytes) -> tuple[bytes, ...]:
-    """A word of plain letters is encoded apart from the marks that close it:
-    the pattern cuts between letters and marks."""
-    word = piece.rstrip(b".,;:!?")
-    if len(word) < len(piece) and word[:1] == b" " and word[1:].isalpha():
-        return word, piece[len(word):]
-    return (piece,)
+    def ids(self, pieces: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces end to end, and where each piece's start. Words
+        are encoded apart from the marks that close them, each once."""
+        if isinstance(pieces, list):
+            pieces = pa.array(pieces, pa.large_binary())
+        parts, first = _words_and_marks(pieces)
+        coded = parts.dictionary_encode()
+        flat, ptr = encode_pieces(coded.dictionary, self.encode, lambda x: self.spaced[x])
+        flat, starts = gather(flat.astype(np.uint32), ptr,
+                              coded.indices.to_numpy(zero_copy_only=False))
+        return flat, starts[first]
+
+
+def _words_and_marks(pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces with the marks after a word of plain letters cut off, as the
+    pattern cuts between letters and marks, and where each piece's parts start."""
+    text = pieces.cast(pa.large_string())
+    word = pc.utf8_rtrim(text, characters=".,;:!?")
+    plain = pc.and_(pc.starts_with(word, " "), pc.utf8_is_alpha(pc.utf8_slice_codeunits(word, 1)))
+    size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+    stem = pc.binary_length(word).to_numpy(zero_copy_only=False).astype(np.int64)
+    closed = plain.to_numpy(zero_copy_only=False) & (stem < size)
+    offsets = _offsets(pieces)
+    bounds = np.sort(np.concatenate((offsets, (offsets[:-1] + stem)[closed])))
+    parts = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(bounds) - 1,
+        [None, pa.py_buffer(bounds), pieces.buffers()[2] or pa.py_buffer(b"")])
+    first = np.concatenate(([0], np.cumsum(1 + closed)))
+    return parts, first
 
 
 @lru_cache(maxsize=4)
@@ -157,23 +194,23 @@ def rank_encoding(path: str, pattern: str):
 @lru_cache(maxsize=4)
 def rank_encoder(path: str, pattern: str) -> PieceEncoder:
     encoding = rank_encoding(path, pattern)
-    return PieceEncoder(lambda text: np.array(encoding.encode_ordinary(text), dtype=np.int64),
+    return PieceEncoder(lambda texts: [encoding.encode_ordinary(t) for t in texts],
                         {i: b for b, i in rank_table(path).items()})
 
 
-@lru_cache(maxsize=2)
-def library_encoder(path: str) -> PieceEncoder:
-    """Of a byte-level BPE file of the tokenizers library; strings of special
-    tokens in a text are ordinary text."""
+@lru_cache(maxsize=4)
+def library_encoder(path: str, plain: bool) -> PieceEncoder:
+    """Of a byte-level BPE file of the tokenizers library. The strings of special
+    tokens in a text are ordinary text if ``plain``, else, as by the library's
+    default, these tokens."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = plain
 
-    def encode(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
-                        dtype=np.int64)
+    def encode(texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     # A leading space is written as this letter in the file's tokens.
     return PieceEncoder(encode, {i: t.replace("Ġ", " ").encode()
                                  for t, i in tokenizer.get_vocab().items()})
