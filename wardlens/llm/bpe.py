@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import ship_package
+from wardlens.llm.common import give_back, ship_package
 from wardlens.llm.tokens import cut, distinct, gather, rank_encoding, rank_table, steps
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -210,10 +210,10 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN, id_col:
     ship_package(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    lists = (texts.mapInArrow(_to_blocks(pattern, buckets, documents=False), _BLOCKS)
+    lists = (texts.mapInArrow(give_back(_to_blocks(pattern, buckets, documents=False)), _BLOCKS)
              .repartitionById(buckets, F.col("bucket"))
-             .mapInArrow(_encode_words(ranks, pattern), _BLOCKS))
-    documents = texts.mapInArrow(_to_blocks(pattern, buckets, documents=True), _BLOCKS)
+             .mapInArrow(give_back(_encode_words(ranks, pattern)), _BLOCKS))
+    documents = texts.mapInArrow(give_back(_to_blocks(pattern, buckets, documents=True)), _BLOCKS)
     return (documents.groupBy("block").cogroup(lists.groupBy("block"))
             .applyInArrow(_reassemble, "doc_id long, ids array<int>"))
 
@@ -252,7 +252,8 @@ def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
             raw = pa.array(decoded_bytes(batch.column(1), flat, ptr), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, raw], names=["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(
+        give_back(run), "doc_id long, ids array<int>, decoded binary")
 
 
 def digests(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
@@ -276,7 +277,7 @@ def digests(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
                 schema=schema)
 
     return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        give_back(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

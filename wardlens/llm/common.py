@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import os
 import shutil
 import string
+import sys
 import tempfile
 import uuid
 
@@ -59,6 +61,24 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back(run):
+    """A function of Arrow batches that hands its freed memory back to the
+    system after each task. Spark keeps Python workers for later tasks; without
+    this an idle one holds the most that it ever needed."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        import ctypes
+
+        import pyarrow as pa
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; other letters keep their case."""
     return (F.when(F.octet_length(text) == F.char_length(text), F.lower(text))
@@ -69,7 +89,3 @@ def split_words(text: Column, separators: str) -> Column:
     """Non-empty runs between matches of ``separators`` (a regex); null text
     has no words."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
-
-
-def empty_like(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)

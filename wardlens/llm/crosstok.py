@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import Workspace
+from wardlens.llm.common import Workspace, give_back
 from wardlens.llm.ranked import pack, unpack
 from wardlens.llm.tokens import cut, distinct, gather, library_encoder, steps
 
@@ -348,7 +348,7 @@ def count_pairs(docs: DataFrame, work: Workspace, path_a: str = MODEL_A, path_b:
     keys and counts in the order of the function's slots."""
     shards = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = work.keep(docs.select(F.lit(0), F.col(text_col).alias("text"))
-                      .mapInArrow(_first_pass(path_a, path_b, shards), _PAIRS), "pairs")
+                      .mapInArrow(give_back(_first_pass(path_a, path_b, shards)), _PAIRS), "pairs")
     functions = work.keep(
         pairs.select("shard", "keys").repartition(shards, "shard")
         .mapInArrow(_functions, "shard int, function binary, keys binary"), "functions")
@@ -498,7 +498,7 @@ def align(docs: DataFrame, work: Workspace, path_a: str = MODEL_A, path_b: str =
     counts = count_pairs(docs, work, path_a, path_b, text_col)
     highest = _highest(counts, len(names_a(path_a).length))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    second = texts.mapInArrow(_second_pass(path_a, path_b, shards, groups), _BLOCKS)
+    second = texts.mapInArrow(give_back(_second_pass(path_a, path_b, shards, groups)), _BLOCKS)
     second.withColumn("documents", F.col("shard") == _DOCUMENTS).write.mode("overwrite") \
         .partitionBy("documents").parquet(work.path("blocks"))
     read = work.spark.read.schema(f"{_BLOCKS}, documents boolean").parquet(work.path("blocks"))
@@ -510,7 +510,7 @@ def align(docs: DataFrame, work: Workspace, path_a: str = MODEL_A, path_b: str =
         "shard", F.lit(1).alias("kind"), "block", F.col("head").alias("first"),
         F.col("body").alias("second"), none.alias("third"))
     answers = (tables.unionByName(asked).repartition(shards, "shard")
-               .sortWithinPartitions("shard", "kind").mapInArrow(_answers(highest), _BLOCKS))
+               .sortWithinPartitions("shard", "kind").mapInArrow(give_back(_answers(highest)), _BLOCKS))
     documents = read.where("documents").drop("documents")
     return (documents.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(_finish, FACTS))

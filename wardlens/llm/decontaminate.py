@@ -65,17 +65,20 @@ def _terms(phrases: DataFrame) -> DataFrame:
         "phrase", "off", F.xxhash64("word").alias("term"))
 
 
-def _rarest_first(index: DataFrame, phrases: DataFrame, work: Workspace) -> DataFrame:
-    """(phrase, n, terms): the (term, off) pairs of each phrase, rarest first.
-    A phrase with a term that the index lacks cannot occur and is left out."""
+def _rarest_first(index: DataFrame, phrases: DataFrame,
+                  work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(phrase, n, terms), the (term, off) pairs of each phrase, rarest first,
+    and the postings of all their terms, for which the index is read once. A
+    phrase with a term that the index lacks cannot occur and is left out."""
     wanted = work.keep(_terms(phrases).select("term").distinct(), "terms")
-    frequency = work.keep(index.join(wanted, "term", "left_semi").groupBy("term").count(),
-                          "frequencies")
+    index = work.keep(index.join(wanted, "term", "left_semi"), "wanted-postings", **INDEX_OPTIONS)
+    frequency = work.keep(index.groupBy("term").count(), "frequencies")
     listed = F.array_sort(F.collect_list(F.struct("count", "off", "term")))
-    return (_terms(phrases).join(frequency, "term")
-            .groupBy("phrase").agg(listed.alias("terms"))
-            .join(phrases.select("phrase", F.size("words").alias("n")), "phrase")
-            .where(F.size("terms") == F.col("n")))
+    ranked = (_terms(phrases).join(frequency, "term")
+              .groupBy("phrase").agg(listed.alias("terms"))
+              .join(phrases.select("phrase", F.size("words").alias("n")), "phrase")
+              .where(F.size("terms") == F.col("n")))
+    return ranked, index
 
 
 def phrase_matches(index: DataFrame, docs: DataFrame, phrases: DataFrame, work: Workspace,
@@ -83,7 +86,8 @@ def phrase_matches(index: DataFrame, docs: DataFrame, phrases: DataFrame, work:
     """(phrase, doc_id, start, n) for every occurrence of each row of
     ``phrases`` (phrase: any long key, words: array of terms)."""
     k = INTERSECTED_TERMS
-    anchors = _rarest_first(index, phrases, work).select(
+    ranked, index = _rarest_first(index, phrases, work)
+    anchors = ranked.select(
         "phrase", "n",
         *[c for i in range(k) for c in (F.get("terms", F.lit(i))["term"].alias(f"term{i}"),
                                         F.get("terms", F.lit(i))["off"].alias(f"off{i}"))])
@@ -120,7 +124,8 @@ def proximity_matches(index: DataFrame, phrases: DataFrame, within: int,
     every other term of it occurs at most ``within`` words away, in any order.
     The distance join is an equi-join on position blocks of ``within`` words."""
     span = max(int(within), 1)
-    ranked = work.keep(_rarest_first(index, phrases, work), "ranked")
+    ranked, index = _rarest_first(index, phrases, work)
+    ranked = work.keep(ranked, "ranked")
     rarest = ranked.select("phrase", F.col("terms")[0]["term"].alias("term"))
     others = (ranked.select("phrase", F.col("terms")[0]["term"].alias("t0"),
                             F.explode("terms.term").alias("other"))

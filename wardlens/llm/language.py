@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import Workspace, ship_package
+from wardlens.llm.common import Workspace, give_back, ship_package
 
 UNKNOWN = "und"
 SAMPLE = 300
@@ -109,7 +109,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                      pa.array(n[seen], pa.int64())], schema=schema)
 
     counted = (texts.join(some, "doc_id").select("lang", "text")
-               .mapInArrow(run, "lang string, gram int, n long")
+               .mapInArrow(give_back(run), "lang string, gram int, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
     languages = sorted(counted["lang"].unique())
     table = np.full((len(languages) + 1, BUCKETS), SMOOTHING)
@@ -141,7 +141,7 @@ def text_evidence(rows: DataFrame, model: Model, key: str, text: Column, declare
 
     return (rows.select(F.col(key).cast("long").alias("key"), declared.alias("declared"),
                         host.alias("host"), text.alias("text"))
-            .mapInArrow(run, "key long, declared string, host string, evidence array<double>"))
+            .mapInArrow(give_back(run), "key long, declared string, host string, evidence array<double>"))
 
 
 def _agrees(found: Column, languages: list[str], right: float) -> list[Column]:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import Workspace
+from wardlens.llm.common import Workspace, give_back
 from wardlens.llm.components import connected_components
 
 WORDS = 5
@@ -204,7 +204,7 @@ def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, print, bands, sig) of every (doc_id, text) row that
     has words; print identifies the set."""
-    return docs.mapInArrow(_sign, SIGNED)
+    return docs.mapInArrow(give_back(_sign), SIGNED)
 
 
 def estimated_similarity(a: str, b: str):
@@ -306,7 +306,7 @@ def _merge(members: DataFrame, reps: DataFrame, texts: DataFrame, work: Workspac
     wanted = work.keep(reps.join(candidates, "doc", "left_semi").select("doc", "doc_id", "print"),
                        "wanted")
     sets = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
-        _collect_sets, "doc_id long, print binary, shingles array<long>")
+        give_back(_collect_sets), "doc_id long, print binary, shingles array<long>")
     sets = work.keep(sets.join(wanted.select("doc", "doc_id", "print"), ["doc_id", "print"])
                      .dropDuplicates(["doc"]).select("doc", "shingles"), "sets")
     links: DataFrame | None = None

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import Workspace, ascii_lower, split_words
+from wardlens.llm.common import Workspace, ascii_lower, give_back, split_words
 from wardlens.llm.tokens import steps
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -292,10 +292,10 @@ def build_index(docs: DataFrame, work: Workspace, id_col: str = "doc_id",
     block's terms, and the number of documents that have terms."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).alias("text")).where("doc_id is not null")
-    postings = work.keep(texts.mapInArrow(_to_postings, _POSTINGS), "postings")
+    postings = work.keep(texts.mapInArrow(give_back(_to_postings), _POSTINGS), "postings")
     total = postings.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("l")).first()
     trees = postings.select("block", "terms", "body").mapInArrow(
-        _to_trees(total["n"] or 0, total["l"] or 0),
+        give_back(_to_trees(total["n"] or 0, total["l"] or 0)),
         "block long, terms array<string>, ids binary, tree binary")
     return work.keep(trees, "trees"), postings.select("terms", "df"), total["n"] or 0
 
@@ -372,7 +372,7 @@ def rank(docs: DataFrame, items: DataFrame, work: Workspace, top: int = TOP,
     rows = trees.withColumn("bucket", F.pmod("block", F.lit(buckets)).cast("int")).join(
         asked.hint("merge"), "bucket")
     found = rows.select("block", "terms", "ids", "tree", "names", "sizes", "words", "weights") \
-        .mapInArrow(_search_blocks(top), "item_id long, doc_id long, score long")
+        .mapInArrow(give_back(_search_blocks(top)), "item_id long, doc_id long, score long")
     place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))
     return (found.withColumn("rank", place).where(F.col("rank") <= top)
             .select("item_id", "rank", "doc_id", "score"))
