@@ -52,9 +52,10 @@ MODEL_B = public_tokenizers.path("piece_bpe_32k.model")
 MARK = "▁"  # stands for a blank in the pieces of B
 # Text bytes of a block, distinct pairs that a task gathers before it hands
 # them on, and branches of a shard's sum.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 GATHERED = 2_000_000
 BRANCHES = 8
+STRINGS = 1 << 14  # pieces whose groups are written at a time
 _DOCUMENTS = -1  # shard of the rows that hold a block's documents
 
 
@@ -152,9 +153,12 @@ def align_block(texts: pa.Array, path_a: str, path_b: str, groups: bool) -> Alig
         last_a, last_b = np.isin(a_end, met), np.isin(b_end, met)
         signs, sign_ptr, n_a, n_b = _signs(len(shown_a.length), len(shown_b.length))
         sign = np.concatenate((a + n_a * last_a, 2 * n_a + b + n_b * last_b))[order]
-        data, starts = gather(signs, sign_ptr, sign)
-        raw, at = data.tobytes(), starts[a_ptr + b_ptr].tolist()
-        shown = [raw[x:y] for x, y in zip(at, at[1:])]
+        bounds = a_ptr + b_ptr
+        for x in range(0, n, STRINGS):
+            y = min(x + STRINGS, n)
+            data, starts = gather(signs, sign_ptr, sign[bounds[x]:bounds[y]])
+            raw, at = data.tobytes(), starts[bounds[x:y + 1] - bounds[x]].tolist()
+            shown += [raw[u:v] for u, v in zip(at, at[1:])]
     return Aligned(doc_ptr, index, good, np.diff(a_ptr), np.diff(b_ptr), n_groups, link_ptr, links,
                    shown)
 
@@ -411,14 +415,16 @@ def _second_pass(path_a: str, path_b: str, shards: int, groups: bool):
                 whole = _doc_sums(~block.good, block) == 0
                 facts = [_doc_sums(n, block) * whole for n in
                          (block.n_a, block.n_b, block.n_groups, np.diff(block.link_ptr))]
-                texts = [b"".join([block.groups[i] for i in block.index[a:b].tolist()])[:-1] if w else b""
-                         for a, b, w in zip(block.doc_ptr, block.doc_ptr[1:], whole)]
+                digests, texts = [], []
+                for a, b, w in zip(block.doc_ptr, block.doc_ptr[1:], whole):
+                    text = b"".join([block.groups[i] for i in block.index[a:b].tolist()])[:-1] if w else b""
+                    digests.append(hashlib.sha256(text).hexdigest() if text else "")
+                    texts.append(text.decode() if groups else None)
                 nothing = pa.nulls(y - x, pa.int64())
                 head = pa.RecordBatch.from_arrays([
                     batch.column(0).slice(x, y - x).cast(pa.int64()), *[pa.array(f) for f in facts],
                     nothing, nothing,
-                    pa.array([hashlib.sha256(t).hexdigest() if t else "" for t in texts]),
-                    pa.array([t.decode() if groups else None for t in texts], pa.string())],
+                    pa.array(digests, pa.string()), pa.array(texts, pa.string())],
                     schema=_FACTS)
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, _FACTS, options=pa.ipc.IpcWriteOptions(
