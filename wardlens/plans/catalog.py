@@ -58,9 +58,10 @@ def _publish_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     it back: the rerun must leave exactly one copy of each row."""
     t = tables(spark, sf_dir)
     root = shared_dir(spark, f"quality_indicators-{spark.sparkContext.applicationId}")
-    ind = compute_indicators(t, PERIOD_START, PERIOD_END, COMPUTED_ON)
-    publish_indicators(ind, root, PERIOD_START, PERIOD_END)
-    publish_indicators(ind, root, PERIOD_START, PERIOD_END)
+    publish_indicators(compute_indicators(t, PERIOD_START, PERIOD_END, COMPUTED_ON), root,
+                       PERIOD_START, PERIOD_END)
+    publish_indicators(read_indicators(spark, root, PERIOD_START, PERIOD_END), root,
+                       PERIOD_START, PERIOD_END)
     return read_indicators(spark, root, PERIOD_START, PERIOD_END)
 
 
