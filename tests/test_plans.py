@@ -13,7 +13,7 @@ import pytest
 import __spark_entry__ as entry_mod
 from tests.conftest import rows
 from wardlens.operators.derive import with_readmission_flag
-from wardlens.plans.catalog import QUERIES
+from wardlens.plans.catalog import QUERIES, WRITING
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables missing")
@@ -28,7 +28,7 @@ def plan(df, mode="formatted") -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {n: plan(fn(spark, SF)) for n, fn in QUERIES.items() if n != "publish_rerun"}
+    return {n: plan(fn(spark, SF)) for n, fn in QUERIES.items() if n not in WRITING}
 
 
 def test_no_pairs_no_python(plans):
@@ -73,7 +73,7 @@ def test_no_job_starts_while_a_plan_is_built(spark):
     spark.sparkContext.setJobGroup(group, "plans")
     try:
         for name, fn in QUERIES.items():
-            if name != "publish_rerun":
+            if name not in WRITING:
                 fn(spark, SF)
         assert not tracker.getJobIdsForGroup(group)
     finally:

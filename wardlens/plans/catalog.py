@@ -5,6 +5,7 @@ reproducible and comparable with the SQL oracle."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -24,7 +25,9 @@ from wardlens.plans.indicators import (bed_utilization_rate, compute_indicators,
                                        first_encounter_complication_rate,
                                        indicator_report, provider_workload_index,
                                        readmission_rate)
-from wardlens.plans.publish import publish_indicators, read_indicators
+from wardlens.plans.flags import FlagStore, replay_changes
+from wardlens.plans.periods import compute_indicators_periods, rolling_periods
+from wardlens.plans.publish import publish_indicators, publish_periods, read_indicators
 from wardlens.session import shared_dir
 from wardlens.sources.driver import SUPPLY_AS_OF, driver_tables
 from wardlens.sources.model import Tables
@@ -34,6 +37,9 @@ PERIOD_START = dt.date(1996, 1, 1)
 PERIOD_END = dt.date(1997, 12, 31)
 COMPUTED_ON = dt.date(2026, 5, 15)
 
+# Overlapping periods of six months, one starting in each month of three years.
+PERIODS = rolling_periods(dt.date(1995, 1, 1), 36, 6)
+
 _cache: dict[tuple[str, int, str], Tables] = {}
 
 
@@ -65,6 +71,33 @@ def _publish_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_indicators(spark, root, PERIOD_START, PERIOD_END)
 
 
+def _new_root(spark: SparkSession, name: str) -> str:
+    return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def _many_periods(t: Tables) -> DataFrame:
+    """The indicators of 36 overlapping periods from one scan."""
+    return compute_indicators_periods(t, PERIODS, COMPUTED_ON)
+
+
+def _publish_many_periods(t: Tables) -> DataFrame:
+    """36 periods published in one step, then some of them once more."""
+    spark = t.encounters.sparkSession
+    root = _new_root(spark, "periods")
+    publish_periods(compute_indicators_periods(t, PERIODS, COMPUTED_ON), root, PERIODS)
+    again = PERIODS[::5]
+    publish_periods(compute_indicators_periods(t, again, COMPUTED_ON), root, again)
+    return read_indicators(spark, root)
+
+
+def _readmission_incremental(t: Tables) -> DataFrame:
+    """The flags after a build and three batches of changes over all encounters."""
+    spark = t.encounters.sparkSession
+    store = FlagStore(spark, _new_root(spark, "flags"), buckets=16)
+    return replay_changes(store, t.encounters).select(
+        "EncounterID", "PatientID", "EncounterDate", "IsReadmission")
+
+
 def _readmission(method: str) -> Callable[[Tables], DataFrame]:
     def fn(t: Tables) -> DataFrame:
         return with_readmission_flag(t.encounters, method=method).select(
@@ -123,8 +156,15 @@ MODEL_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "null_violations": lambda t: not_null_report(_with_indicators(t)),
     "length_violations": lambda t: length_report(_with_indicators(t)),
     "key_report": key_report,
+    "indicators_many_periods": _many_periods,
+    "publish_many_periods": _publish_many_periods,
+    "readmission_flag_incremental": _readmission_incremental,
 }
 
+# Queries that write tables, and so start jobs before their result is read.
+WRITING = {"publish_rerun", "indicators_many_periods", "publish_many_periods",
+           "readmission_flag_incremental"}
+
 # The registered queries as the driver calls them: (session, benchmark folder).
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 for _name, _fn in MODEL_QUERIES.items():
