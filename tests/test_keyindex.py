@@ -1,0 +1,62 @@
+"""The key index against the full checks over random batches."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+from tests.conftest import rows
+from wardlens import schemas
+from wardlens.operators import foreign_key_report, key_report
+from wardlens.plans.keyindex import KeyIndex
+from wardlens.session import shared_dir
+from wardlens.sources.model import Tables
+
+TABLES = ["departments", "patients", "staff", "supplies", "encounters", "billing_claims"]
+
+
+def _row(rng, name):
+    pick = lambda *n: rng.choice([*n, *range(8)])
+    row = {schemas.MODEL[name].names[0]: rng.randrange(40)}
+    row |= {c: pick(None, 77) for c in ("PatientID", "DepartmentID", "StaffID", "EncounterID")
+            if c in schemas.MODEL[name].names and c not in row}
+    if name == "departments":
+        row["DepartmentName"] = "d"
+    if name == "supplies":
+        row["SupplyName"] = rng.choice(["Gauze", "GAUZE", "gauze", "Tape", None])
+    return row
+
+
+def test_batches_equal_the_full_checks(spark, make):
+    rng = random.Random(4)
+    held = {n: [] for n in TABLES}
+    index = KeyIndex(spark, shared_dir(spark, "test-keys"), buckets=6)
+    for step in range(4):
+        new = {n: [_row(rng, n) for _ in range(15 if step == 0 else 4)] for n in TABLES}
+        gone = {n: [held[n].pop(rng.randrange(len(held[n]))) for _ in range(3)] if step else []
+                for n in TABLES}
+        for n in TABLES:
+            held[n] += new[n]
+        before = dict(index.table.parts())
+        read = index.apply(Tables(**{n: make(n, r) for n, r in new.items()}),
+                           Tables(**{n: make(n, r) for n, r in gone.items()}) if step else None)
+        after = index.table.parts()
+        assert all(after[p] == f for p, f in before.items() if p not in read and p != "totals")
+        full = Tables(**{n: make(n, held[n]) for n in TABLES})
+        assert set(rows(key_report(full))) <= set(rows(index.key_report()))
+        orphans = {r[:3]: r[3] for r in rows(index.foreign_key_report())}
+        for child, column, parent, n in rows(foreign_key_report(full)):
+            assert orphans[child, column, parent] == n, (step, child, column)
+
+
+def test_a_batch_reads_only_its_buckets(spark, make):
+    index = KeyIndex(spark, shared_dir(spark, "test-keys-buckets"), buckets=50)
+    index.apply(Tables(patients=make("patients", [{"PatientID": i} for i in range(500)])))
+    assert len(index.table.parts()) > 40
+    read = index.apply(Tables(patients=make("patients", [{"PatientID": 3}, {"PatientID": 900}])))
+    assert len(read) <= 2
+    assert [r for r in rows(index.key_report()) if r[0] == "patients"] == [
+        ("patients", "PatientID", "primary", 1, 0)]
+    index.apply(deleted=Tables(patients=make("patients", [{"PatientID": 3}])))
+    assert not Counter(r[3] for r in rows(index.key_report()))[1]
+    assert index.apply() == []
