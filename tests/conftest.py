@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from wardlens import schemas  # noqa: E402
-from wardlens.session import build_session  # noqa: E402
+from wardlens.session import build_session, shared_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,6 +31,11 @@ def make(spark):
     return _make
 
 
+def fresh(spark, name):
+    """A folder in the shared folder that no earlier run has written to."""
+    return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def rows(df, *cols):
     """Collect selected columns as a sorted list of tuples."""
     sel = df.select(*cols) if cols else df

@@ -9,14 +9,13 @@ import random
 
 import pytest
 
-from tests.conftest import rows
+from tests.conftest import fresh, rows
 from wardlens.operators.derive import with_readmission_flag
 from wardlens.plans import compute_indicators
 from wardlens.plans.flags import FlagStore
 from wardlens.plans.indicators import INDICATOR_COLUMNS
 from wardlens.plans.periods import (Slots, compute_indicators_periods, period_states,
                                     rolling_periods)
-from wardlens.session import shared_dir
 from wardlens.sources.model import Tables
 from wardlens.sources.versions import Conflict
 
@@ -41,7 +40,7 @@ def _files(store):
 def test_random_changes_equal_a_full_recompute(spark, make):
     rng = random.Random(5)
     state = {i: _encounter(rng, i) for i in range(300)}
-    store = FlagStore(spark, shared_dir(spark, "test-flags"), buckets=12)
+    store = FlagStore(spark, fresh(spark, "test-flags"), buckets=12)
     store.build(make("encounters", list(state.values())))
     for step in range(4):
         before = _files(store)
@@ -67,7 +66,7 @@ def test_changes_at_the_window_edges(spark, make):
         return {"EncounterID": i, "PatientID": 7, "EncounterType": kind,
                 "EncounterDate": D0 + dt.timedelta(days=start),
                 "DischargeDate": None if days is None else D0 + dt.timedelta(days=start + days)}
-    store = FlagStore(spark, shared_dir(spark, "test-flags-edges"), buckets=4)
+    store = FlagStore(spark, fresh(spark, "test-flags-edges"), buckets=4)
     store.build(make("encounters", [enc(i, d) for i, d in enumerate((10, 11, 40, 41))]))
     assert {f for _, f in rows(store.read(), "EncounterID", "IsReadmission")} == {"No"}
     store.apply(make("encounters", [enc(9, 5, 5, "inpatient")]))  # discharged on day 10
@@ -81,7 +80,7 @@ def test_changes_at_the_window_edges(spark, make):
 
 
 def test_flag_store_empty_and_conflict(spark, make):
-    store = FlagStore(spark, shared_dir(spark, "test-flags-empty"), buckets=4)
+    store = FlagStore(spark, fresh(spark, "test-flags-empty"), buckets=4)
     store.build(make("encounters", []))
     assert store.read().count() == 0
     rng = random.Random(1)
@@ -125,7 +124,7 @@ def test_many_periods_equal_one_call_each(spark, make, stored):
 
 def test_many_periods_read_each_fact_once(spark, make):
     t = _model(make, 20)
-    path = shared_dir(spark, "test-periods-facts")
+    path = fresh(spark, "test-periods-facts")
     t.encounters.write.mode("overwrite").parquet(path)
     t.encounters = spark.read.schema(t.encounters.schema).parquet(path)
     states = period_states(t, Slots(t, rolling_periods(D0, 36, 6)))

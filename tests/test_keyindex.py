@@ -5,11 +5,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from tests.conftest import rows
+from tests.conftest import fresh, rows
 from wardlens import schemas
 from wardlens.operators import foreign_key_report, key_report
 from wardlens.plans.keyindex import KeyIndex
-from wardlens.session import shared_dir
 from wardlens.sources.model import Tables
 
 TABLES = ["departments", "patients", "staff", "supplies", "encounters", "billing_claims"]
@@ -30,7 +29,7 @@ def _row(rng, name):
 def test_batches_equal_the_full_checks(spark, make):
     rng = random.Random(4)
     held = {n: [] for n in TABLES}
-    index = KeyIndex(spark, shared_dir(spark, "test-keys"), buckets=6)
+    index = KeyIndex(spark, fresh(spark, "test-keys"), buckets=6)
     for step in range(4):
         new = {n: [_row(rng, n) for _ in range(15 if step == 0 else 4)] for n in TABLES}
         gone = {n: [held[n].pop(rng.randrange(len(held[n]))) for _ in range(3)] if step else []
@@ -50,7 +49,7 @@ def test_batches_equal_the_full_checks(spark, make):
 
 
 def test_a_batch_reads_only_its_buckets(spark, make):
-    index = KeyIndex(spark, shared_dir(spark, "test-keys-buckets"), buckets=50)
+    index = KeyIndex(spark, fresh(spark, "test-keys-buckets"), buckets=50)
     index.apply(Tables(patients=make("patients", [{"PatientID": i} for i in range(500)])))
     assert len(index.table.parts()) > 40
     read = index.apply(Tables(patients=make("patients", [{"PatientID": 3}, {"PatientID": 900}])))

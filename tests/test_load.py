@@ -7,7 +7,7 @@ import json
 
 import pytest
 
-from wardlens.session import shared_dir
+from tests.conftest import fresh
 from wardlens.sources.load import TooManyRejects, load_table, read_loaded, read_rejects
 
 CSV = """EncounterID,ClaimID,BilledAmount,AllowedAmount,PaidAmount,ClaimStatus,DateSubmitted,Extra
@@ -27,7 +27,7 @@ def _write(tmp_path, name, text):
 
 
 def test_csv_splits_good_rows_from_rejects(spark, tmp_path):
-    root = shared_dir(spark, "test-load-csv")
+    root = fresh(spark, "test-load-csv")
     path = _write(tmp_path, "claims.csv", CSV)
     with pytest.raises(TooManyRejects, match="5 of 7 rows.*BilledAmount is no double"):
         load_table(spark, path, "billing_claims", root, max_reject_share=0.5, part="a")
@@ -55,7 +55,7 @@ def test_csv_splits_good_rows_from_rejects(spark, tmp_path):
 
 
 def test_json_lines_and_broken_records(spark, tmp_path):
-    root = shared_dir(spark, "test-load-json")
+    root = fresh(spark, "test-load-json")
     lines = [json.dumps({"SupplyID": i, "SupplyName": "s" * (99 + i), "UnitCost": "2.5",
                          "ControlledItem": t, "ExpirationDate": "2024-01-01"})
              for i, t in ((1, "true"), (2, "false"), (3, "perhaps"))]
@@ -71,7 +71,7 @@ def test_json_lines_and_broken_records(spark, tmp_path):
 
 
 def test_missing_column_and_empty_file(spark, tmp_path):
-    root = shared_dir(spark, "test-load-odd")
+    root = fresh(spark, "test-load-odd")
     with pytest.raises(ValueError, match="no column EncounterID"):
         load_table(spark, _write(tmp_path, "bad.csv", "ClaimID\n1\n"), "billing_claims", root)
     header = CSV.splitlines()[0] + "\n"

@@ -7,10 +7,9 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import fresh, rows
 from wardlens.plans import (compute_indicators, publish_indicators, publish_periods,
                             read_indicators, sweep_published)
-from wardlens.session import shared_dir
 from wardlens.sources.model import Tables
 from wardlens.sources.versions import Conflict, VersionedTable
 
@@ -31,7 +30,7 @@ def _model(make, n_enc):
 
 
 def test_rerun_replaces_only_the_period(spark, make):
-    root = shared_dir(spark, "test-publish")
+    root = fresh(spark, "test-publish")
     m = _model(make, 3)
     ind1 = compute_indicators(m, *P1, computed_on=dt.date(2024, 3, 1))
     n1 = ind1.count()
@@ -54,7 +53,7 @@ def test_rerun_replaces_only_the_period(spark, make):
 
 
 def test_failed_publish_keeps_the_old_period(spark, make, monkeypatch):
-    root = shared_dir(spark, "test-publish-failure")
+    root = fresh(spark, "test-publish-failure")
     m = _model(make, 3)
     ind = compute_indicators(m, *P1, computed_on=dt.date(2024, 3, 1))
     publish_indicators(ind, root, *P1)
@@ -77,7 +76,7 @@ def test_failed_publish_keeps_the_old_period(spark, make, monkeypatch):
 
 def test_readers_never_see_a_gap_or_two_copies(spark, make):
     """A reader that loops while a period is published 20 times."""
-    root = shared_dir(spark, "test-publish-readers")
+    root = fresh(spark, "test-publish-readers")
     ind = compute_indicators(_model(make, 3), *P1, computed_on=dt.date(2024, 3, 1))
     publish_indicators(ind, root, *P1)
     want, seen, done = ind.count(), [], threading.Event()
@@ -103,7 +102,7 @@ def test_readers_never_see_a_gap_or_two_copies(spark, make):
 
 
 def test_of_two_writers_one_wins(spark):
-    table = VersionedTable(spark, shared_dir(spark, "test-versions"))
+    table = VersionedTable(spark, fresh(spark, "test-versions"))
     assert table.parts() == {} and table.commit(0, {"a": "data/1", "b": "data/2"}) == 1
     # Both start from version 1: another part goes through, the same part does not.
     assert table.commit(1, {"a": "data/3"}) == 2
@@ -125,7 +124,7 @@ def test_of_two_writers_one_wins(spark):
 
 
 def test_several_periods_in_one_step(spark, make):
-    root = shared_dir(spark, "test-publish-several")
+    root = fresh(spark, "test-publish-several")
     m = _model(make, 3)
     both = [compute_indicators(m, *p, computed_on=dt.date(2024, 3, 1)) for p in (P1, P2)]
     none = (dt.date(1999, 1, 1), dt.date(1999, 1, 31))
@@ -137,7 +136,7 @@ def test_several_periods_in_one_step(spark, make):
 
 
 def test_rows_of_another_period_are_refused(spark, make):
-    root = shared_dir(spark, "test-publish-other")
+    root = fresh(spark, "test-publish-other")
     ind = compute_indicators(_model(make, 3), *P1, computed_on=dt.date(2024, 3, 1))
     publish_indicators(ind, root, *P1)
     before = rows(read_indicators(spark, root, *P1))
@@ -147,7 +146,7 @@ def test_rows_of_another_period_are_refused(spark, make):
 
 
 def test_published_types(spark, make):
-    root = shared_dir(spark, "test-publish-types")
+    root = fresh(spark, "test-publish-types")
     m = _model(make, 2)
     ind = compute_indicators(m, *P1, computed_on=dt.date(2024, 3, 1))
     publish_indicators(ind, root, *P1)
