@@ -246,3 +246,16 @@ def test_neighbours_come_from_the_buckets(spark, monkeypatch):
     for vectors in (loose, tight):
         recall, answered, scanned = _own_recall(spark, vectors, 100)
         assert (answered, scanned) == (30, 0) and recall >= 0.9
+
+
+def test_an_id_with_several_vectors_asks_with_each(spark):
+    """Whatever the order of the rows, the nearest to any of its vectors counts."""
+    rows = [(0, [1.0, 1.0]), (0, [100.0, 1.0])] + [(i, [float(i), 1.0]) for i in range(1, 40)] + [
+        (i, [100.0, float(i - 90)]) for i in range(92, 98)]
+    want = sorted((min(np.hypot(x - a, y - 1.0) for a in (1.0, 100.0)), i)
+                  for i, (x, y) in rows[2:])[:ann.K]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "vec_id long, embedding array<double>")
+        found = ann.nearest_neighbours(frame, Workspace(spark, "test"), F.col("vec_id") == 0).collect()
+        assert sorted((r.score, r.vec_id) for r in found) == want
+        assert sorted(r["rank"] for r in found) == list(range(1, ann.K + 1))

@@ -146,6 +146,92 @@ def test_warc_members_are_plain_gzip_and_empty_table(spark):
     assert warc.read_archives(written, work.path("archives")).count() == 0
 
 
+class _Counting(io.BytesIO):
+    count = 0
+
+    def read(self, n=-1):
+        data = super().read(n)
+        self.count += len(data)
+        return data
+
+
+def _foreign(kind, body, *lines, http=True):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Date: 2026-01-01T00:00:00Z", *lines,
+            f"Content-Length: {len(body)}"]
+    return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n")
+
+
+def _foreign_archive():
+    page = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<html>hi</html>"
+    http = "Content-Type: application/http; msgtype=response"
+    sha = hashlib.sha1(b"<html>hi</html>")
+    return [
+        _foreign("warcinfo", b"software: x\r\n", "WARC-Record-ID: <urn:uuid:1>",
+                 "Content-Type: application/warc-fields"),
+        _foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "WARC-Record-ID: <urn:uuid:2>",
+                 "Content-Type: application/http; msgtype=request"),
+        _foreign("response", page, "WARC-Record-ID: <urn:uuid:3>", "WARC-Target-URI: http://a/", http),
+        _foreign("response", page, "WARC-Record-ID: <urn:uuid:4>", http,
+                 f"WARC-Payload-Digest: sha1:{sha.hexdigest()}"),
+        _foreign("response", page, "WARC-Record-ID: <urn:uuid:5>", http, "WARC-Payload-Digest: md5:00"),
+        _foreign("response", b"not http at all", "WARC-Record-ID: <urn:uuid:6>", http),
+        _foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", "WARC-Record-ID: <urn:uuid:7>", http,
+                 "WARC-Refers-To: <urn:uuid:4>"),
+        _foreign("resource", b"", "WARC-Target-URI: file://x"),
+        _foreign("metadata", b"a: b\r\n\r\nmore", "WARC-Record-ID: <urn:uuid:8>"),
+    ]
+
+
+def test_warc_of_other_writers_split_anywhere():
+    members = _foreign_archive()
+    data = b"".join(members)
+    whole = list(warc.records_in_range(io.BytesIO(data), len(data), 0, len(data), True))
+    assert [r["record_type"] for r in whole] == ["warcinfo", "request", "response", "response", "response",
+                                                 "response", "revisit", "resource", "metadata"]
+    assert [r["payload"] for r in whole] == [
+        b"software: x\r\n", b"", *[b"<html>hi</html>"] * 3, b"not http at all", None, b"",
+        b"a: b\r\n\r\nmore"]
+    assert whole[2]["payload_digest"] == hashlib.sha1(b"<html>hi</html>").hexdigest()
+    assert whole[2]["url"] == "http://a/" and whole[2]["page_id"] is None
+    assert (whole[6]["refers_to_id"], whole[6]["payload_digest"]) == ("urn:uuid:4", None)
+    assert whole[7]["record_id"] is None and whole[8]["record_id"] == "urn:uuid:8"
+    for cut in range(1, len(data)):
+        parts = [list(warc.records_in_range(io.BytesIO(data), len(data), a, b, True))
+                 for a, b in ((0, cut), (cut, len(data)))]
+        assert parts[0] + parts[1] == whole, cut
+    bad = _foreign("response", b"HTTP/1.1 200 OK\r\n\r\nx", "WARC-Record-ID: <urn:uuid:9>",
+                   "Content-Type: application/http", f"WARC-Payload-Digest: sha1:{'0' * 40}")
+    with pytest.raises(ValueError, match="does not match"):
+        list(warc.records_in_range(io.BytesIO(bad), len(bad), 0, len(bad)))
+    with pytest.raises(EOFError):
+        list(warc.records_in_range(io.BytesIO(bad[:-9]), len(bad) - 9, 0, len(bad) - 9))
+
+
+def test_warc_is_read_about_once():
+    rng = random.Random(3)
+    data = b"".join(warc.record(i, None, rng.randbytes(rng.randrange(9000)), None) for i in range(3000))
+    assert len(data) > 4 << 20
+    total = count = 0
+    for start in range(0, len(data), 4 << 20):
+        source = _Counting(data)
+        count += sum(1 for _ in warc.records_in_range(source, len(data), start,
+                                                      min(start + (4 << 20), len(data))))
+        total += source.count
+    assert count == 3000 and total < 1.5 * len(data)
+
+
+def test_markup_without_ends_takes_linear_time():
+    import time
+    assert language.markup_text("a<!-- x -->b<script>no</SCRIPT >c<p class=1>d &amp; e<") == "a b c d & e<"
+    assert language.markup_text("<style>x</style>y<!-- open <i>z</i>") == " y z "
+    def seconds(n):
+        start = time.process_time()
+        language.markup_text("<!--" * n + "<script>" * n + "<" * n)
+        return time.process_time() - start
+    seconds(1000)
+    assert seconds(100_000) < 5
+
+
 def _brute_feistel(key, kind, left, right, a, b):
     for i in range(1, pii.ROUNDS + 1):
         half, size = (right, a) if i % 2 else (left, b)

@@ -211,8 +211,17 @@ def search(rows: DataFrame, work: Workspace, is_query, id_col: str = "vec_id",
     mean = (usable.orderBy(F.xxhash64("vec_id")).limit(SAMPLE)
             .agg(F.sqrt(F.avg(length * length))).first()[0])
     width = WIDTH * (mean or 1.0)
-    queries = work.keep(usable.where(is_query).select(F.col("vec_id").alias("query_id"), "vec")
-                        .dropDuplicates(["query_id"]), "queries")
+    # An id with several vectors asks with each of them; the nearest counts.
+    named = work.keep(usable.where(is_query).select(
+        F.xxhash64("vec_id", "vec").alias("asked"), F.col("vec_id").alias("query_id"), "vec").distinct(),
+        "named")
+    queries = work.keep(named.select(F.col("asked").alias("query_id"), "vec"), "queries")
+    names = named.select("asked", F.col("query_id").alias("name"))
+
+    def by_id(found: DataFrame) -> DataFrame:
+        return found.join(names, F.col("query_id") == F.col("asked")).select(
+            F.col("name").alias("query_id"), "class", "distance")
+
 
     hashed = work.keep(classes.select("class", "vec").mapInArrow(
         _hash_rows(width), "class long, tab int, bucket long"), "hashed")
@@ -235,17 +244,17 @@ def search(rows: DataFrame, work: Workspace, is_query, id_col: str = "vec_id",
               .agg(F.array_sort(F.collect_set("bucket")).alias("buckets"))
               .join(queries.select("query_id", F.col("vec").alias("qvec")), "query_id"))
     found = work.keep(_best(index, probes), "found")
-    ranked = work.keep(_ranked(found, classes), "ranked")
-    short = work.keep(queries.join(ranked.where(F.col("rank") == K), "query_id", "left_anti"),
+    ranked = work.keep(_ranked(by_id(found), classes), "ranked")
+    short = work.keep(named.join(ranked.where(F.col("rank") == K), "query_id", "left_anti"),
                       "short")
     if short.isEmpty():
         return ranked, short
     every = (classes.withColumn("slot", F.pmod(F.xxhash64("class"), F.lit(slots)))
              .select("class", F.lit(0).cast("long").alias("bucket"), "slot", "vec"))
     asked = short.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long")))
-                         .alias("slot"), "query_id",
+                         .alias("slot"), F.col("asked").alias("query_id"),
                          F.array(F.lit(0).cast("long")).alias("buckets"), F.col("vec").alias("qvec"))
-    again = _ranked(_best(every, asked, exact=True), classes)
+    again = _ranked(by_id(_best(every, asked, exact=True)), classes)
     return ranked.join(short.select("query_id"), "query_id", "left_anti").unionByName(again), short
 
 

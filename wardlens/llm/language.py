@@ -38,6 +38,8 @@ from wardlens.llm.common import Workspace, give_back, ship_package
 
 UNKNOWN = "und"
 SAMPLE = 300
+# Languages of a model, at most.
+LANGUAGES = 200
 BUCKETS = 1 << 15
 SMOOTHING = 0.05
 TEMPER = 1 / 3
@@ -49,13 +51,47 @@ SUFFIXES = {"at": "de", "be": "fr", "ch": "de", "de": "de", "es": "es", "fr": "f
             "uk": "en", "us": "en"}
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_TAGS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+# Elements whose content is no text: how they begin, and how each ends.
+_HIDDEN = re.compile(r"(?i)<(script|style)\b")
+_HIDDEN_END = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style")}
 _DECLARATION = r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)"
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@]*@)?([^/:?#]+)"
 
 
 def markup_text(markup: str) -> str:
-    return html.unescape(_TAGS.sub(" ", markup))
+    """The text between tags, without comments, scripts and styles. One that is
+    not closed hides only its first tag. An end that was once looked for in vain
+    is not looked for again, so the time is linear in the length."""
+    kept, at, missing = [], 0, set()
+
+    def end_of(kind: str, find) -> int:
+        """The place after an end, -1 if there is none."""
+        if kind in missing:
+            return -1
+        place = find()
+        if place < 0:
+            missing.add(kind)
+        return place
+
+    while (start := markup.find("<", at)) >= 0:
+        kept.append(markup[at:start])
+        stop = -1
+        if markup.startswith("<!--", start):
+            stop = end_of("-->", lambda: place + 3 if (
+                place := markup.find("-->", start + 4)) >= 0 else -1)
+        elif hidden := _HIDDEN.match(markup, start):
+            kind = hidden[1].lower()
+            stop = end_of(kind, lambda: found.end() if (
+                found := _HIDDEN_END[kind].search(markup, start)) else -1)
+        if stop < 0:
+            stop = end_of(">", lambda: (markup.find(">", start) + 1) or -1)
+        if stop < 0:
+            at = start
+            break
+        kept.append(" ")
+        at = stop
+    kept.append(markup[at:])
+    return html.unescape("".join(kept))
 
 
 def _trigrams(text: str) -> np.ndarray:
@@ -84,15 +120,21 @@ class Model:
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         sample: int = SAMPLE) -> Model:
-    """The model of a bounded sample; what reaches the driver is one number per
-    language and bucket."""
-    ship_package(docs.sparkSession)
+    """The model of a bounded sample of the ``LANGUAGES`` most frequent declared
+    languages (ties by name); what reaches the driver is one number per language
+    and bucket. The sampled ids are written first, so that Spark knows how few
+    they are and does not move the texts to find theirs."""
+    work = Workspace(docs.sparkSession, "language-fit")
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    frequent = work.keep(docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang"))
+                         .count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang"),
+                         "languages")
     some = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
                         F.xxhash64(F.col(id_col)).alias("h"))
-            .where("lang is not null and doc_id is not null")
+            .where("lang is not null and doc_id is not null").join(frequent, "lang", "left_semi")
             .withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample)
             .select("doc_id", "lang"))
+    some = work.keep(some, "sample")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = pa.schema([("lang", pa.string()), ("gram", pa.int32()), ("n", pa.int64())])
 

@@ -9,10 +9,16 @@ task leaves the same archive again; the task returns its name and size.
 ``read_archives`` splits archives into byte ranges. The task of a range scans it
 for gzip magic, decodes the header of each candidate member and accepts it if a
 WARC record begins there; it owns the records that start inside the range and
-reads past its end for the last one. After a record the scan goes on at the
-member's end, so payload bytes are not searched for magic. Memory is bounded by
-the chunk and the longest record header; payloads are digested as they stream
-and only kept if asked for.
+reads past its end for the last one. A range is read forward once; after a record
+the scan goes on at the member's end, so payload bytes are not searched for
+magic. Memory is bounded by the chunk and the longest record header; payloads
+are digested as they stream and only kept if asked for.
+
+Archives of other writers are read too, if they hold a record per gzip member:
+records of any type (warcinfo, request, metadata, …) with any id, with or
+without a payload digest (SHA-1 digests of responses are compared, other kinds
+are not). ``page_id`` and ``refers_to`` are null for ids that ``record`` has not
+written; ``record_id`` and ``refers_to_id`` hold the ids as they are.
 
 Files are reached through ``pyarrow.fs``, by the address of the folder (a
 shared mount or an object store).
@@ -146,83 +152,126 @@ def _headers(block: bytes) -> dict[str, str]:
     return out
 
 
-class _Reader:
-    """Decodes one member: headers, then the payload as a stream."""
-
-    def __init__(self, source, keep_payload: bool):
-        self.source, self.keep_payload = source, keep_payload
-
-    def read(self, at: int) -> tuple[dict, int]:
-        """The record at ``at`` and the offset after its member."""
-        member, head, fields, http = zlib.decompressobj(31), b"", None, None
-        sha, size, kept, left = hashlib.sha1(), 0, [], 0
-        self.source.seek(at)
-        while not member.eof:
-            raw = self.source.read(CHUNK)
-            if not raw:
-                raise EOFError("the archive ends within a record")
-            at += len(raw)
-            while True:
-                data = member.decompress(raw, CHUNK)
-                head += data
-                if fields is None and (end := head.find(b"\r\n\r\n")) >= 0:
-                    fields, head = _headers(head[:end]), head[end + 4:]
-                    left = int(fields["content-length"])
-                if fields is not None and http is None and (end := head.find(b"\r\n\r\n")) >= 0:
-                    http, head = _headers(head[:end]), head[end + 4:]
-                    left -= end + 4
-                if http is not None:
-                    body, head = head[:left], b""
-                    left -= len(body)
-                    sha.update(body)
-                    size += len(body)
-                    if self.keep_payload:
-                        kept.append(body)
-                raw = member.unconsumed_tail
-                if not raw and not data:
-                    break
-        return self._row(fields, http, sha, size, kept), at - len(member.unused_data)
-
-    def _row(self, fields: dict, http: dict, sha, size: int, kept: list[bytes]) -> dict:
-        told = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-        kind = fields["warc-type"]
-        if kind == "response" and sha.hexdigest() != told:
-            raise ValueError(f"payload digest of {fields['warc-record-id']} does not match")
-        return {"page_id": _page(fields["warc-record-id"]), "url": fields["warc-target-uri"],
-                "payload_bytes": size if kind == "response" else int(http["content-length"]),
-                "payload_digest": told, "record_type": kind,
-                "refers_to": _page(fields.get("warc-refers-to", "")),
-                "payload": b"".join(kept) if self.keep_payload and kind == "response" else None}
+class _Record:
+    """Takes a record's bytes as they are decoded: headers, then the payload.
+    The payload of an HTTP response follows its HTTP header; that of any other
+    record is its block."""
+
+    def __init__(self, keep_payload: bool):
+        self.fields, self.http, self.head, self.left = None, None, b"", 0
+        self.sha, self.size = hashlib.sha1(), 0
+        self.kept: list[bytes] | None = [] if keep_payload else None
+
+    def feed(self, data: bytes) -> None:
+        if self.fields is None:
+            self.head += data
+            end = self.head.find(b"\r\n\r\n")
+            if end < 0:
+                if len(self.head) > MAX_HEADER:
+                    raise ValueError("a record's header does not end")
+                return
+            self.fields, data, self.head = _headers(self.head[:end]), self.head[end + 4:], b""
+            self.left = int(self.fields["content-length"])
+            if not self.fields.get("content-type", "").startswith("application/http"):
+                self.http = {}
+        data = data[:self.left]
+        self.left -= len(data)
+        if self.http is None:
+            self.head += data
+            end = self.head.find(b"\r\n\r\n")
+            if end < 0 and self.left and len(self.head) <= MAX_HEADER:
+                return
+            # Without an end it is no HTTP message: all of the block is payload.
+            self.http = _headers(self.head[:end]) if end >= 0 else {}
+            data, self.head = self.head[end + 4:] if end >= 0 else self.head, b""
+        self.sha.update(data)
+        self.size += len(data)
+        if self.kept is not None:
+            self.kept.append(data)
+
+    def row(self) -> dict:
+        if self.fields is None or self.left:
+            raise ValueError("a record is shorter than it says")
+        fields, http = self.fields, self.http or {}
+        kind, told = fields.get("warc-type", "").lower(), _sha1(fields.get("warc-payload-digest", ""))
+        here = self.sha.hexdigest()
+        if kind == "response" and told is not None and here != told:
+            raise ValueError(f"payload digest of {fields.get('warc-record-id')} does not match")
+        size = self.size
+        if kind == "revisit":
+            here, size = told, None
+            if http.get("content-length", "").isdigit():
+                size = int(http["content-length"])
+        refers = fields.get("warc-refers-to")
+        return {"page_id": _page(fields.get("warc-record-id", "")), "url": fields.get("warc-target-uri"),
+                "payload_bytes": size, "payload_digest": here, "record_type": kind,
+                "refers_to": _page(refers or ""),
+                "payload": b"".join(self.kept) if self.kept is not None and kind != "revisit" else None,
+                "record_id": fields.get("warc-record-id", "").strip("<>") or None,
+                "refers_to_id": refers.strip("<>") if refers else None}
+
+
+def _sha1(digest: str) -> str | None:
+    """A SHA-1 digest in base 32 or hexadecimal as hexadecimal; null for others."""
+    name, _, value = digest.partition(":")
+    if name.lower() != "sha1":
+        return None
+    try:
+        return (base64.b32decode(value.upper()) if len(value) == 32 else bytes.fromhex(value)).hex()
+    except ValueError:
+        return None
 
 
 def _page(uri: str) -> int | None:
+    """The page of a record id that ``record`` has written."""
     number = uri.strip("<>").removeprefix(ID_PREFIX)
-    return int(number) if number else None
+    return int(number) if uri.strip("<>").startswith(ID_PREFIX) and number else None
 
 
 def records_in_range(source, size: int, start: int, end: int, keep_payload: bool = False):
-    """The records whose members start in [start, end)."""
-    reader, at = _Reader(source, keep_payload), start
+    """The records whose members start in [start, end). The archive is read
+    forward once: what is left after a member is where the scan goes on."""
+    source.seek(start)
+    at, held, read = start, b"", start  # held: the bytes of [at, read)
+
+    def more(data: bytes) -> bytes:
+        nonlocal read
+        new = source.read(min(CHUNK, size - read))
+        read += len(new)
+        return data + new
+
     while at < end:
-        source.seek(at)
-        data = source.read(min(CHUNK + MAX_HEADER, size - at))
-        limit = min(CHUNK, end - at)
-        place = data.find(MAGIC)
-        while 0 <= place < limit and not _member_start(data, place):
-            place = data.find(MAGIC, place + 1)
-        if not 0 <= place < limit:
-            at += limit
+        while len(held) < MAX_HEADER and read < size:
+            held = more(held)
+        if not held:
+            return
+        if not (held.startswith(MAGIC) and _member_start(held, 0)):
+            place = held.find(MAGIC, 1)
+            # A mark may be cut by the end of what is held.
+            step = place if place > 0 else max(len(held) - len(MAGIC) + 1, 1)
+            at, held = at + step, held[step:]
             continue
-        row, at = reader.read(at + place)
-        yield row
+        member, record_, raw = zlib.decompressobj(31), _Record(keep_payload), held
+        while not member.eof:
+            data = member.decompress(raw, CHUNK)
+            record_.feed(data)
+            raw = member.unconsumed_tail
+            if not raw and len(data) < CHUNK and not member.eof:
+                raw = more(b"")
+                if not raw:
+                    raise EOFError("the archive ends within a record")
+        held = member.unused_data
+        at = read - len(held)
+        yield record_.row()
 
 
 RECORDS = ("page_id long, url string, payload_bytes long, payload_digest string, "
-           "record_type string, refers_to long, payload binary")
+           "record_type string, refers_to long, payload binary, record_id string, refers_to_id string")
 _RECORD_SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()),
                             ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                             ("record_type", pa.string()), ("refers_to", pa.int64()),
-                            ("payload", pa.binary())])
+                            ("payload", pa.binary()), ("record_id", pa.string()),
+                            ("refers_to_id", pa.string())])
 
 
 def read_archives(archives: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES,
@@ -258,7 +307,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: all pages, written as archives and read back."""
     work = Workspace(spark, "warc")
     written = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), work)
-    return read_archives(written, work.path("archives")).drop("url", "payload")
+    return read_archives(written, work.path("archives")).drop(
+        "url", "payload", "record_id", "refers_to_id")
 
 
 SQL = """
