@@ -259,8 +259,8 @@ def test_pii(spark):
     dashed = "-".join(card[i:i + 4] for i in range(0, 16, 4))
     assert rows[0].text == f"card {card} and {dashed}, not 4532015112830367!!" and rows[0].n_card == 2
     assert rows[10].text == card and rows[9].text == "x" * 100_000 + " " + card
-    l, r = _brute_feistel(pii.KEY, "phone", 48755, 57209, 10 ** 5, 10 ** 5)
-    phone = f"{l:05d}{r:05d}"
+    l, r = _brute_feistel(pii.KEY, "phone", 287 * 800 + 355, 7209, 640_000, 10_000)
+    phone = f"{l // 800 + 200:03d}{l % 800 + 200:03d}{r:04d}"
     assert rows[1].text == f"+1 ({phone[:3]}) {phone[3:6]}-{phone[6:]}"
     l, r = _brute_feistel(pii.KEY, "ip", 97 * 256 + 51, 17 * 256 + 173, 65536, 65536)
     assert rows[2].text == f"net {l // 256}.{l % 256}.{r // 256}.{r % 256} not 300.1.1.1 or v1.2.3"
@@ -510,6 +510,59 @@ def test_pii_layouts(spark):
     assert {r.doc_id: r.text for r in back} == dict(enumerate(texts))
 
 
+def test_a_day_has_one_pseudonym_in_every_layout(spark):
+    import datetime as dt
+    rng = random.Random(6)
+    days = [dt.date(1800, 1, 1) + dt.timedelta(days=rng.randrange(146_097)) for _ in range(150)]
+    days += [dt.date(1999, 12, 31), dt.date(2000, 2, 29), dt.date(2199, 12, 31), dt.date(1800, 1, 1)]
+    layouts = {"iso": "%Y-%m-%d", "points": "%d.%m.%Y", "slash": "%m/%d/%Y", "hyphen": "%d-%m-%Y"}
+    other = {"turned slash": "%d/%m/%Y", "turned points": "%m.%d.%Y"}  # read so from the 13th on
+    rows = [(i, k, d.strftime(f).zfill(10)) for i, d in enumerate(days)
+            for k, f in (layouts | (other if d.day > 12 else {})).items()]
+    frame = spark.createDataFrame(rows, "n int, layout string, text string")
+    made = pii.pseudonymise(frame)
+    path = Workspace(spark, "test").path("made")
+    made.write.parquet(path)
+    new = {}
+    for r in spark.read.parquet(path).collect():
+        assert r.n_date == 1
+        moved = dt.datetime.strptime(r.text, (layouts | other)[r.layout]).date()
+        assert new.setdefault(r.n, moved) == moved and (moved.day > 12) == (days[r.n].day > 12)
+    assert len(set(new.values())) == len(set(days))
+    back = {(r.n, r.layout): r.text for r in pii.restore(spark.read.parquet(path)).collect()}
+    assert back == {(n, k): t for n, k, t in rows}
+
+
+def test_phones_stay_in_their_plan(spark):
+    rng = random.Random(7)
+    numbers = sorted({f"{rng.choice(['(%03d) %03d-%04d', '+1 %03d %03d %04d', '%03d-%03d-%04d'])}"
+                      % (rng.randrange(1000), rng.randrange(1000), rng.randrange(10_000)) for _ in range(300)})
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(numbers)], "n int, text string")
+    path = Workspace(spark, "test").path("made")
+    pii.pseudonymise(frame).write.parquet(path)
+    made = {r.n: r for r in spark.read.parquet(path).collect()}
+    def digits(text):
+        return re.sub("[^0-9]", "", text)[-10:]
+    for i, old in enumerate(numbers):
+        assert made[i].n_phone == 1
+        a, b = digits(old), digits(made[i].text)
+        planned = a[0] in "23456789" and a[3] in "23456789"
+        assert (b[0] in "23456789" and b[3] in "23456789") if planned else (b[0], b[3]) == (a[0], a[3])
+        assert re.sub("[0-9]", "0", made[i].text) == re.sub("[0-9]", "0", old)
+    pairs = {digits(numbers[i]): digits(made[i].text) for i in made}
+    assert len(set(pairs.values())) == len(pairs)
+    back = {r.n: r.text for r in pii.restore(spark.read.parquet(path)).collect()}
+    assert back == dict(enumerate(numbers))
+
+
+def test_early_days_are_numbered(spark):
+    days = spark.sql("select explode(sequence(date'1800-01-01', date'2199-12-31')) as d").where("day(d) <= 12")
+    got = days.select(pii._early_number(F.col("d")).alias("n"), "d").withColumn("back", pii._early_date(F.col("n")))
+    total = pii._EARLY_LEFT * pii._EARLY_RIGHT
+    assert got.where("back <> d").count() == 0
+    assert got.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()[:] == (0, total - 1, total)
+
+
 def test_late_days_are_numbered(spark):
     days = spark.sql("select explode(sequence(date'1800-01-01', date'2199-12-31')) as d").where("day(d) > 12")
     got = days.select(pii._late_number(F.col("d")).alias("n"), "d").withColumn("back", pii._late_date(F.col("n")))

@@ -9,17 +9,22 @@ stay equal in every document. The local part of an e-mail address becomes a keye
 digest at a reserved domain.
 
 A value of a + b digits is a pair (left, right); round i adds a keyed digest of
-one half to the other, modulo the size of its range. Ranges need not be equal:
-dates are the 146,097 = 189 x 773 days of 1800-01-01 to 2199-12-31. The Luhn
-digit is computed anew. ``restore`` runs the rounds backwards.
+one half to the other, modulo the size of its range. Ranges need not be equal.
+The Luhn digit is computed anew. ``restore`` runs the rounds backwards.
+
+A day of the calendar (1800-01-01 to 2199-12-31) has one pseudonym, however it
+is written: the 57,600 = 240 x 240 days up to the 12th of a month are permuted
+among themselves, and so are the 88,497 = 9 x 9,833 later ones, so a day that is
+written with day and month in the other order, which only the later ones can be,
+still reads as itself. Phone numbers of the North American plan, with area and
+exchange from 200 to 999, are permuted within it; ten digits that do not fit the
+plan keep the first digits of area and exchange.
 
 Phone numbers have ten digits, (415) 555-2671 or in groups of 3, 3 and 4, with or
 without country code, or a plus sign and 7 to 15 digits, whose country code is
 kept; such a number takes the groups that follow it up to 15 digits. Dates are
 year first, or 12/31/1999 with slashes and 31.12.1999 or 31-12-1999 otherwise; if
-that is no date, day and month change places, and the value stays among the
-88,497 = 9 x 9,833 days of which this holds (those after the 12th of a month). A
-time may follow. Cards are digits in a row or in groups of 4-4-4-4, 4-6-5 or 4-6-4.
+that is no date, day and month change places. A time may follow. Cards are digits in a row or in groups of 4-4-4-4, 4-6-5 or 4-6-4.
 
 Numbers that fail validation are left alone, as is all other text.
 
@@ -59,9 +64,12 @@ PATTERN = "|".join([_EMAIL, _IP, _PHONE, _SSN, _DATE, _CARD])
 # Texts without any of these hold no candidate.
 _HINT = r"@|[0-9]{4}|[0-9]\.[0-9]|\+[1-9]"
 
-_EPOCH, _DAYS_LEFT, _DAYS_RIGHT = "1800-01-01", 189, 773
-# Days after the 12th of a month, of 4,800 months.
-_LATE_LEFT, _LATE_RIGHT, _MONTHS = 9, 9833, 4800
+_EPOCH, _MONTHS = "1800-01-01", 4800
+# Days up to the 12th of a month, and those after it.
+_EARLY_LEFT, _EARLY_RIGHT = 240, 240
+_LATE_LEFT, _LATE_RIGHT = 9, 9833
+# Areas and exchanges of the North American plan: 200 to 999 each.
+_PLAN = 800
 
 
 def _digits(x: Column) -> Column:
@@ -143,6 +151,17 @@ def _late_date(number: Column) -> Column:
     return F.date_add(epoch, (number + 12 * (month + 1)).cast("int"))
 
 
+def _early_number(date: Column) -> Column:
+    """The number of a date among the days up to the 12th of a month."""
+    return ((F.year(date) - int(_EPOCH[:4])) * 12 + F.month(date) - 1) * 12 + F.dayofmonth(date) - 1
+
+
+def _early_date(number: Column) -> Column:
+    """The inverse of ``_early_number``."""
+    month = F.add_months(F.lit(_EPOCH).cast("date"), F.floor(number / 12).cast("int"))
+    return F.date_add(month, F.pmod(number, F.lit(12)).cast("int"))
+
+
 def kind_of(x: Column) -> Column:
     """The kind of a candidate, null if it does not validate."""
     whole = lambda p: x.rlike(f"^(?:{p})$")
@@ -167,21 +186,29 @@ def _halved(f: Column) -> Column:
     ssn = ((area - F.when(area > 666, 2).otherwise(1)) * 99
            + F.substr(d, F.lit(4), F.lit(2)).cast("int") - 1)
 
-    def pair(l, r, a, b, digits) -> Column:
+    def digits(at: int, n: int) -> Column:
+        return F.substr(body, F.lit(at), F.lit(n)).cast("int")
+
+    def pair(l, r, a, b, n) -> Column:
         return F.struct(l.cast("long").alias("l"), r.cast("long").alias("r"),
                         a.cast("long").alias("a"), b.cast("long").alias("b"),
-                        digits.cast("int").alias("n"))
+                        n.cast("int").alias("n"))
 
     return (F.when(kind == "ip", pair(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3],
                                       F.lit(65536), F.lit(65536), F.lit(0)))
-            .when((kind == "date") & f["turned"],
+            .when((kind == "date") & f["late"],
                   pair(F.floor(f["days"] / _LATE_RIGHT), F.pmod(f["days"], F.lit(_LATE_RIGHT)),
                        F.lit(_LATE_LEFT), F.lit(_LATE_RIGHT), F.lit(0)))
-            .when(kind == "date", pair(F.floor(f["days"] / _DAYS_RIGHT),
-                                       F.pmod(f["days"], F.lit(_DAYS_RIGHT)),
-                                       F.lit(_DAYS_LEFT), F.lit(_DAYS_RIGHT), F.lit(0)))
+            .when(kind == "date", pair(F.floor(f["days"] / _EARLY_RIGHT),
+                                       F.pmod(f["days"], F.lit(_EARLY_RIGHT)),
+                                       F.lit(_EARLY_LEFT), F.lit(_EARLY_RIGHT), F.lit(0)))
             .when(kind == "ssn", pair(ssn, F.substr(d, F.lit(6), F.lit(4)).cast("int") - 1,
                                       F.lit(898 * 99), F.lit(9999), F.lit(0)))
+            .when((kind == "phone") & f["planned"], pair(
+                (digits(1, 3) - 200) * _PLAN + digits(4, 3) - 200, digits(7, 4),
+                F.lit(_PLAN * _PLAN), F.lit(10_000), F.lit(6)))
+            .when((kind == "phone") & f["national"], pair(
+                digits(2, 2) * 100 + digits(5, 2), digits(7, 4), F.lit(10_000), F.lit(10_000), F.lit(6)))
             .when(kind.isin("card", "phone"),
                   pair(F.substr(body, F.lit(1), half), F.substr(body, half + 1, n - half),
                        _power(half), _power(n - half), half)))
@@ -191,11 +218,17 @@ def _written(f: Column) -> Column:
     """The new digits of a permuted pair, or the whole new address."""
     x, kind, moved = f["x"], f["kind"], f["moved"]
     pad = lambda c, n: F.lpad(c.cast("string"), n, F.lit("0"))
-    body = F.concat(pad(moved["l"], f["pair"]["n"]),
-                    pad(moved["r"], F.char_length(f["pair"]["b"].cast("string")) - 1))
-    turned = f["pair"]["a"] == _LATE_LEFT
-    date = F.when(turned, _late_date(moved["l"] * _LATE_RIGHT + moved["r"])).otherwise(
-        F.date_add(F.lit(_EPOCH).cast("date"), (moved["l"] * _DAYS_RIGHT + moved["r"]).cast("int")))
+    left = pad(moved["l"], f["pair"]["n"])
+    old = F.right(f["d"], F.lit(10))
+    left = F.when(f["planned"], F.concat(pad(F.floor(moved["l"] / _PLAN) + 200, F.lit(3)),
+                                         pad(F.pmod(moved["l"], F.lit(_PLAN)) + 200, F.lit(3)))).when(
+        f["national"], F.concat(
+            F.substr(old, F.lit(1), F.lit(1)), pad(F.floor(moved["l"] / 100), F.lit(2)),
+            F.substr(old, F.lit(4), F.lit(1)), pad(F.pmod(moved["l"], F.lit(100)), F.lit(2)))).otherwise(left)
+    body = F.concat(left, pad(moved["r"], F.char_length(f["pair"]["b"].cast("string")) - 1))
+    turned = f["turned"]
+    date = F.when(f["late"], _late_date(moved["l"] * _LATE_RIGHT + moved["r"])).otherwise(
+        _early_date(moved["l"] * _EARLY_RIGHT + moved["r"]))
     dated = (F.when(x.rlike("^[0-9]{4}"), F.date_format(date, "yyyyMMdd"))
              .when(F.contains(x, F.lit("/")) != turned, F.date_format(date, "MMddyyyy"))
              .otherwise(F.date_format(date, "ddMMyyyy")))
@@ -247,15 +280,22 @@ def pseudonyms(candidates: Column, key: str = KEY, forward: bool = True) -> Colu
         body=F.when(f["kind"] == "card", F.substr(f["d"], F.lit(1), F.char_length(f["d"]) - 1))
         .when(f["x"].rlike(r"^\+(?!1)[1-9]"), F.regexp_replace(f["d"], _COUNTRY, ""))
         .otherwise(F.right(f["d"], F.lit(10))),
-        date=F.when(f["kind"] == "date", _date_value(f["x"]))))
+        plain=F.when(f["kind"] == "date", _date_value(f["x"])),
+        turned=F.when(f["kind"] == "date", _date_value(f["x"], turned=True))))
+    found = F.transform(found, lambda f: _fields(
+        f, "x", "kind", "d", "body", turned=(f["kind"] == "date") & f["plain"].isNull(),
+        date=F.coalesce(f["plain"], f["turned"]),
+        late=F.dayofmonth(F.coalesce(f["plain"], f["turned"])) > 12,
+        national=(f["kind"] == "phone") & ~f["x"].rlike(r"^\+(?!1)[1-9]"),
+        planned=(f["kind"] == "phone") & ~f["x"].rlike(r"^\+(?!1)[1-9]")
+        & f["body"].rlike("^[2-9][0-9]{2}[2-9]")))
+    kept = ["x", "kind", "d", "turned", "late", "national", "planned"]
     found = F.transform(found, lambda f: _fields(
-        f, "x", "kind", "d", "body", turned=(f["kind"] == "date") & f["date"].isNull(),
-        days=F.when(f["kind"] == "date", F.coalesce(
-            F.datediff(f["date"], F.lit(_EPOCH).cast("date")),
-            _late_number(_date_value(f["x"], turned=True))))))
-    found = F.transform(found, lambda f: _fields(f, "x", "kind", "d", pair=_halved(f)))
+        f, *kept, "body",
+        days=F.when(f["late"], _late_number(f["date"])).otherwise(_early_number(f["date"]))))
+    found = F.transform(found, lambda f: _fields(f, *kept, pair=_halved(f)))
     found = F.transform(found, lambda f: _fields(
-        f, "x", "kind", "d", "pair", moved=F.when(f["pair"].isNotNull(), feistel(
+        f, *kept, "pair", moved=F.when(f["pair"].isNotNull(), feistel(
             key, f["kind"], f["pair"]["l"], f["pair"]["r"], f["pair"]["a"], f["pair"]["b"], forward))))
     found = F.transform(found, lambda f: _fields(f, "x", "kind", digits=_written(f)))
     found = F.transform(found, lambda f: _fields(f, "x", "kind", digits=_with_check(f)))
