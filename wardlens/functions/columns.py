@@ -15,13 +15,16 @@ def _c(x: Column | str) -> Column:
 
 
 def contains_any(col: Column | str, words: Iterable[str]) -> Column:
-    """Case-insensitive substring match of any word (``LIKE '%w%'`` under a
-    case-insensitive collation). ``%``, ``_`` and ``\\`` in words are literal."""
-    c = _c(col)
+    """Substring match of any word without regard to case and accents (``LIKE
+    '%w%'`` under the source's collation). ``%``, ``_`` and ``\\`` in words are
+    literal. Accents can only matter in text beyond ASCII, which alone is
+    compared by the (slower) collation."""
+    c = F.collate(_c(col), "UTF8_BINARY")
+    beyond = F.octet_length(c) != F.char_length(c)
     conds = []
     for w in words:
         esc = w.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-        conds.append(c.ilike(f"%{esc}%"))
+        conds.append(c.ilike(f"%{esc}%") | (beyond & F.contains(F.collate(c, "UNICODE_CI_AI"), F.lit(w))))
     if not conds:
         return F.lit(False)
     out = conds[0]
@@ -32,7 +35,7 @@ def contains_any(col: Column | str, words: Iterable[str]) -> Column:
 
 def matches_lower(col: Column | str, pattern: str) -> Column:
     """Unanchored regular-expression search on the lower-cased value."""
-    return F.lower(_c(col)).rlike(pattern)
+    return F.lower(F.collate(_c(col), "UTF8_BINARY")).rlike(pattern)
 
 
 def severity(value: Column | str, critical: float, elevated: float) -> Column:

@@ -12,6 +12,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlens.functions.collation import collated, plain, with_collation
 from wardlens.operators import (average_los, chronic_complications, claim_lag,
                                 complaint_clusters, cost_by_type, costliest_stays,
                                 denial_rate, duplicate_keys, expiry_watch,
@@ -107,6 +108,33 @@ def _key_index(t: Tables) -> KeyIndex:
     return index
 
 
+def _respelled(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Two thirds of the rows with their text in capitals or with accents."""
+    third = F.pmod(F.xxhash64(key), F.lit(3))
+    return df.withColumns({c: F.when(third == 0, F.upper(c))
+                           .when(third == 1, F.translate(c, "eaou", "éàöü")).otherwise(F.col(c))
+                           for c in columns})
+
+
+def _denial_rate_collated(t: Tables) -> DataFrame:
+    """Denials whose status is spelled in three ways."""
+    claims = _respelled(t.billing_claims, "ClaimID", "ClaimStatus")
+    c = with_collation(replace(t, billing_claims=claims))
+    return plain(denial_rate(c.billing_claims, c.encounters, c.departments))
+
+
+def _referral_rejection_collated(t: Tables) -> DataFrame:
+    """Referrals whose status and direction are spelled in three ways."""
+    return plain(referral_rejection(collated(
+        _respelled(t.referrals, "ReferralID", "Status", "ReferralDirection"))))
+
+
+def _infection_exposure_collated(t: Tables) -> DataFrame:
+    """Complaints with accents and capitals, found by the same words."""
+    c = with_collation(replace(t, encounters=_respelled(t.encounters, "EncounterID", "ChiefComplaint")))
+    return plain(infection_exposure(c.encounters, c.staff, c.departments))
+
+
 def _from_states(name: str) -> Callable[[Tables], DataFrame]:
     """A report from states that were loaded, retracted and loaded again once
     for these tables."""
@@ -185,6 +213,9 @@ MODEL_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "null_violations": lambda t: not_null_report(_with_indicators(t)),
     "length_violations": lambda t: length_report(_with_indicators(t)),
     "key_report": key_report,
+    "denial_rate_collated": _denial_rate_collated,
+    "referral_rejection_collated": _referral_rejection_collated,
+    "infection_exposure_collated": _infection_exposure_collated,
     "indicators_many_periods": _many_periods,
     "publish_many_periods": _publish_many_periods,
     "readmission_flag_incremental": _readmission_incremental,
