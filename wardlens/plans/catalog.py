@@ -27,6 +27,7 @@ from wardlens.plans.indicators import (bed_utilization_rate, compute_indicators,
                                        indicator_report, provider_workload_index,
                                        readmission_rate)
 from wardlens.plans.flags import FlagStore, replay_changes
+from wardlens.plans.keyed import KeyedTable, replay_updates
 from wardlens.plans.keyindex import KeyIndex, replay_batches
 from wardlens.plans.periods import compute_indicators_periods, rolling_periods
 from wardlens.plans.publish import publish_indicators, publish_periods, read_indicators
@@ -101,6 +102,14 @@ def _readmission_incremental(t: Tables) -> DataFrame:
         "EncounterID", "PatientID", "EncounterDate", "IsReadmission")
 
 
+def _length_of_stay_updated(t: Tables) -> DataFrame:
+    """Lengths of stay that updates by key have brought into a stored table."""
+    rows = with_length_of_stay(t.encounters).select("EncounterID", "LengthOfStayDays")
+    table = KeyedTable(t.encounters.sparkSession, _new_root(t.encounters.sparkSession, "keyed"),
+                       rows.schema, "EncounterID", rows_per_range=20_000)
+    return replay_updates(table, rows)
+
+
 def _key_index(t: Tables) -> KeyIndex:
     spark = t.encounters.sparkSession
     index = KeyIndex(spark, _new_root(spark, "keys"), buckets=8)
@@ -219,6 +228,7 @@ MODEL_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "indicators_many_periods": _many_periods,
     "publish_many_periods": _publish_many_periods,
     "readmission_flag_incremental": _readmission_incremental,
+    "length_of_stay_updated": _length_of_stay_updated,
     "key_report_incremental": lambda t: _key_index(t).key_report(),
     "orphans_incremental": lambda t: _key_index(t).foreign_key_report(),
 }
@@ -227,7 +237,7 @@ MODEL_QUERIES |= {f"{name}_from_states": _from_states(name) for name in REPORTS}
 
 # Queries that write tables, and so start jobs before their result is read.
 WRITING = {"publish_rerun", "indicators_many_periods", "publish_many_periods",
-           "readmission_flag_incremental", "key_report_incremental", "orphans_incremental",
+           "readmission_flag_incremental", "length_of_stay_updated", "key_report_incremental", "orphans_incremental",
            "orphans", "null_violations", "length_violations",
            *[f"{name}_from_states" for name in REPORTS]}
 
