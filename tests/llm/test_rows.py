@@ -335,6 +335,32 @@ def test_token_counts_and_ledger(spark):
         ledger.commit("../b5", token_counts.inserts(counts))
 
 
+def test_ledger_compaction_and_two_committers(spark, monkeypatch):
+    path = Workspace(spark, "test").path("ledger")
+    one, two = token_counts.Ledger(spark, path), token_counts.Ledger(spark, path)
+    counts = spark.createDataFrame([(i, "s", None, "t", i, "clash") for i in range(9)],
+                                   "doc_id long, source string, lang string, tokenizer string, n_tokens long, sign string")
+    for i in range(3):
+        assert one.commit(f"b{i}", token_counts.inserts(counts.where(f"doc_id % 3 = {i}")))
+    want = [("s", None, "t", 9, 36)]
+    for _ in range(2):
+        one.compact()
+        assert [tuple(r) for r in two.totals().collect()] == want
+        assert len({f for f in one.table.parts().values() if f}) == 1
+    assert not two.commit("b1", token_counts.inserts(counts)) and one.is_committed("b2")
+    write = token_counts.Ledger._write
+
+    def slow(ledger, rows):
+        folder = write(ledger, rows)
+        if ledger is one:  # another committer of the batch is faster
+            assert two.commit("b9", token_counts.deletes(counts.where("doc_id = 8")))
+        return folder
+
+    monkeypatch.setattr(token_counts.Ledger, "_write", slow)
+    assert not one.commit("b9", token_counts.deletes(counts.where("doc_id = 8")))
+    assert [tuple(r) for r in one.totals().collect()] == [("s", None, "t", 8, 28)]
+
+
 SF = "/root/testdata/sf0.001"
 
 

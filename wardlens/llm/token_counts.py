@@ -1,15 +1,18 @@
 """Token counts by source, language and tokenizer version, kept by deltas.
 
-The ledger is a folder of committed batches. A batch is a table of signed
+The ledger is a list of committed batches. A batch is a table of signed
 changes: +1 for a document that comes, -1 for one that goes; a revised count is
 its old count with -1 and its new one with +1. A commit adds the changes up
 (partial sums per task first, so a source with a third of all rows is no hot
 task) and stores one row per source, language and tokenizer. As counts are
 additive, totals are the sum over committed batches, in any order.
 
-Commits are idempotent by batch id: a batch is written aside and renamed to its
-id; if that id is there already, nothing is added. A failed commit leaves no
-part of itself in the totals, and can be repeated.
+Commits are idempotent by batch id: a batch is written aside, and then the list
+of batches with its id is put in place of the list without it in one step
+(``wardlens.sources.versions``). If the id is there already, or comes by another
+writer, nothing is added. A failed commit leaves no part of itself in the totals,
+and can be repeated. ``compact`` folds all batches into one table, so totals need
+not read all of history, and keeps their ids.
 
 Defined cases: null text counts 0 tokens and 1 document; null source or language
 is a group of its own; repeated rows count as often as they occur; an empty
@@ -19,7 +22,6 @@ have no row.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from wardlens.llm.common import Workspace, ship_package
 from wardlens.llm.tokens import cut, rank_encoder, steps
+from wardlens.sources.versions import Conflict, VersionedTable
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -83,49 +86,56 @@ class Ledger:
     SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _hadoop(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _batch(self, batch_id: str) -> str:
-        if not batch_id or not all(c.isalnum() or c in "-_." for c in batch_id) or batch_id[0] in "._":
-            raise ValueError("a batch id is letters, digits, '-', '_' and '.', not '.' or '_' first")
-        return f"{self.path}/batches/batch={batch_id}"
+        self.spark, self.table = spark, VersionedTable(spark, path)
 
     def is_committed(self, batch_id: str) -> bool:
-        where, files = self._hadoop(self._batch(batch_id))
-        return files.exists(where)
+        return batch_id in self.table.parts()
+
+    def _write(self, rows: DataFrame) -> str:
+        folder = self.table.new_folder()
+        rows.write.parquet(self.table.path(folder))
+        return folder
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
-        """Add a batch; False if it had been committed before."""
-        if self.is_committed(batch_id):
+        """Add a batch; False if it had been committed before, or is by another
+        writer meanwhile."""
+        if not batch_id or not all(c.isalnum() or c in "-_." for c in batch_id) or batch_id[0] in "._":
+            raise ValueError("a batch id is letters, digits, '-', '_' and '.', not '.' or '_' first")
+        base = self.table.newest()
+        if batch_id in self.table.parts(base):
             return False
-        staged = f"{self.path}/staged/{uuid.uuid4().hex}"
-        (changes.groupBy(*GROUP)
-         .agg(F.sum("sign").cast("long").alias("n_docs"),
-              F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
-         .write.parquet(staged))
-        source, files = self._hadoop(staged)
-        target, _ = self._hadoop(self._batch(batch_id))
-        files.mkdirs(target.getParent())
-        # A rename onto a folder that exists would move into it.
-        if files.exists(target) or not files.rename(source, target):
-            files.delete(source, True)
+        folder = self._write(
+            changes.groupBy(*GROUP)
+            .agg(F.sum("sign").cast("long").alias("n_docs"),
+                 F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens")))
+        try:
+            self.table.commit(base, {batch_id: folder})
+        except Conflict:
             return False
         return True
 
-    def totals(self) -> DataFrame:
-        """(source, lang, tokenizer, n_docs, n_tokens) over committed batches."""
-        where, files = self._hadoop(f"{self.path}/batches")
-        if not files.exists(where):
+    def _sums(self, version: int) -> DataFrame:
+        folders = sorted({f for f in self.table.parts(version).values() if f})
+        if not folders:
             return self.spark.createDataFrame([], self.SCHEMA)
-        rows = self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/batches")
+        rows = self.spark.read.schema(self.SCHEMA).parquet(*map(self.table.path, folders))
         return (rows.groupBy(*GROUP)
                 .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
                 .where("n_docs <> 0 or n_tokens <> 0"))
 
+    def compact(self) -> None:
+        """Fold the committed batches into one table; their ids stay known.
+        Batches that are committed meanwhile stay as they are."""
+        base = self.table.newest()
+        batches = sorted(b for b, f in self.table.parts(base).items() if f)
+        if len(batches) > 1:
+            folder = self._write(self._sums(base))
+            self.table.commit(base, {b: folder if i == 0 else "" for i, b in enumerate(batches)})
+
+    def totals(self) -> DataFrame:
+        """(source, lang, tokenizer, n_docs, n_tokens) over committed batches."""
+        return self._sums(self.table.newest())
+
 
 def replay(ledger: Ledger, counts: DataFrame) -> None:
     """Commit ``counts`` in batches over four parts of the documents, dealt by
@@ -144,6 +154,7 @@ def replay(ledger: Ledger, counts: DataFrame) -> None:
     ]
     for batch_id, changes in batches:
         ledger.commit(batch_id, changes)
+    ledger.compact()
     for batch_id, changes in batches[:3]:
         ledger.commit(batch_id, changes)
 
