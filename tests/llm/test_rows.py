@@ -463,7 +463,7 @@ def _licenses(spark, texts):
 def test_licenses_of_wrapped_texts(spark):
     whole = [(MIT_TEXT, ["MIT"]), (BSD_TEXT, ["All-Rights-Reserved", "BSD-3-Clause"]),
              (BSD_TEXT.replace("\n\n3. Neither", "\n\nNo").replace("All rights reserved.", ""), ["BSD-2-Clause"]),
-             (GPL_TEXT.format(":"), ["GPL"]), (GPL_TEXT.format(";"), ["GPL"])]
+             (GPL_TEXT.format(":"), ["GPL-3.0-or-later"]), (GPL_TEXT.format(";"), ["GPL-3.0-or-later"])]
     cases = [(f(text), want) for text, want in whole for f in (
         str, lambda t: t.replace("\n", "\r\n"), lambda t: "/*\n" + _marked(t, " *") + "\n */\nint main() {}",
         lambda t: _marked(t, "#"), lambda t: _marked(t, "//"), lambda t: _marked(t, "dnl"),
@@ -494,6 +494,48 @@ See the License for the specific language governing permissions and
 limitations under the License."""
 
 
+def test_notices_of_further_licences(spark):
+    gnu = ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser "
+           "General Public\nLicense as published by the Free Software Foundation; either\nversion {} of the License, or "
+           "(at your option) any later version.")
+    later = GPL_TEXT.format(";").replace("version 3", "version 2")
+    isc = ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is "
+           "hereby granted{}.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES.")
+    commons = "This work is licensed under a Creative Commons {} 4.0 International License."
+    cases = [
+        (gnu.format("2.1"), "LGPL-2.1-or-later"), (gnu.format("3"), "LGPL-3.0-or-later"),
+        (later, "GPL-2.0-or-later"),
+        (GPL_TEXT.format(":").replace("GNU General", "GNU Affero General"), "AGPL-3.0-or-later"),
+        (GPL_TEXT.format(":").replace("either version 3 of the License, or\n(at your option) any later version", "v9"), "GPL"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL "
+         "was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+        (isc.format(", provided that the above\ncopyright notice and this permission notice appear in all copies"), "ISC"),
+        (isc.format(""), "0BSD"),
+        ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy.", "Unlicense"),
+        (commons.format("Attribution"), "CC-BY-4.0"), (commons.format("Attribution-ShareAlike"), "CC-BY-SA-4.0"),
+        (commons.format("Attribution-NonCommercial-NoDerivatives"), "CC-BY-NC-ND-4.0"),
+        (commons.format("Attribution-NonCommercial"), "CC-BY-NC-4.0"),
+        ("licensed under the Apache License, Version 2.0 and the MIT license", "Apache-2.0 AND MIT"),
+        ("Licensed under either of the Apache License, Version 2.0 or the MIT license.", "Apache-2.0 OR MIT"),
+        *[(f"{mark} SPDX-License-Identifier: {i}{end}\nint x;", i) for i in licenses.SPDX
+          for mark, end in (("//", ""), ("/*", " */"), ("#", ""))],
+        ("SPDX-License-Identifier: LicenseRef-own", None),
+    ]
+    got = _licenses(spark, [text for text, _ in cases])
+    for i, (text, want) in enumerate(cases):
+        assert got[i].licenses == ([want] if want else []), (text, got[i])
+
+
+def test_licenses_of_odd_tables(spark):
+    frame = spark.createDataFrame([(1, "All rights reserved.", "x", 1)] * 3 + [(None, None, None, None)],
+                                  "doc_id long, text string, found string, n_matches int")
+    rows = licenses.recognise(frame).collect()
+    assert sorted((r.doc_id or 0, r.n_matches) for r in rows) == [(0, 0), (1, 1), (1, 1), (1, 1)]
+    assert licenses.recognise(frame.limit(0)).count() == 0
+    made = pii.pseudonymise(frame)
+    assert made.count() == 4 and pii.pseudonymise(frame.limit(0)).count() == 0
+
+
 def test_canonical_apache_header(spark):
     curly = APACHE_TEXT.replace('"License"', "\u201cLicense\u201d")
     texts = [APACHE_TEXT, curly, _marked(APACHE_TEXT, "#"), "/*\n" + _marked(APACHE_TEXT, " *") + "\n */\nclass A {}",

@@ -28,6 +28,30 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Identifiers of a machine-readable licence line (fixed values).
+SPDX = ["0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause",
+        "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0-only",
+        "GPL-2.0-or-later", "GPL-2.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0", "ISC",
+        "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0",
+        "Unlicense", "Zlib"]
+
+
+def _as_normalised(name: str) -> str:
+    return re.sub(r"[^a-z0-9.()]+", " ", name.lower())
+
+
+def _free(kind: str, version: str) -> str:
+    """The notice of the GNU licences: which one, and from which version on."""
+    return (r"this .{1,60} is free software you can redistribute it and or modify it under the terms of the gnu "
+            rf"{kind} public licen[sc]e as published by the free software foundation {version} of the licen[sc]e "
+            r"or \(?at your option\)? any later version")
+
+
+def _commons(terms: str) -> str:
+    return (r"(?:this .{1,60} is )?licensed under (?:a|the) creative commons "
+            rf"{terms} 4\.0 international(?: public)? licen[sc]e")
+
+
 # Known licence sentences, normalised: identifier and pattern (fixed values).
 SENTENCES = [
     ("mit-released", r"released under the mit licen[sc]e"),
@@ -42,6 +66,11 @@ SENTENCES = [
     ("apache2-asis", r"unless required by applicable law or agreed to in writing software .*"),
     ("gpl3-licensed", r"this (?:work|program|software|document) is licensed under the gnu general public licen[sc]e,? version 3"),
     ("gpl2-licensed", r"this (?:work|program|software|document) is licensed under the gnu general public licen[sc]e,? version 2"),
+    ("gpl3-later", _free("general", r"either version 3")),
+    ("gpl2-later", _free("general", r"either version 2")),
+    ("lgpl21-later", _free("lesser general", r"either version 2\.1")),
+    ("lgpl3-later", _free("lesser general", r"either version 3")),
+    ("agpl3-later", _free("affero general", r"either version 3")),
     ("gpl-free", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e .*"),
     ("bsd-redistribution", r"redistribution and use in source and binary forms with or without modification are permitted .*"),
     ("bsd-source", r"(?:[1-9]\.? ?)?redistributions of source code must retain the above copyright notice .*"),
@@ -53,7 +82,21 @@ SENTENCES = [
     ("cc-by-sa4", r"licensed under cc by sa 4\.0"),
     ("cc-by4", r"licensed under cc by 4\.0"),
     ("cc0", r"(?:licensed under|dedicated to the public domain under) cc0(?: 1\.0)?"),
+    ("cc-by-sa4-named", _commons("attribution sharealike")),
+    ("cc-by-nc-sa4-named", _commons("attribution noncommercial sharealike")),
+    ("cc-by-nc-nd4-named", _commons("attribution noncommercial noderivatives")),
+    ("cc-by-nc4-named", _commons("attribution noncommercial")),
+    ("cc-by-nd4-named", _commons("attribution noderivatives")),
+    ("cc-by4-named", _commons("attribution")),
+    ("mpl2-subject", r"this source code form is subject to the terms of the mozilla public licen[sc]e v(?:ersion)?(?:\.? ?2\.0)?"),
+    ("isc-grant", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that .*"),
+    ("0bsd-grant", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("unlicense", r"this is free and unencumbered software released into the public domain"),
+    ("apache2-or-mit", r"(?:this .{1,60} is )?(?:dual )?licensed under (?:either (?:of )?)?the apache licen[sc]e version 2\.0 or the mit licen[sc]e"),
+    ("apache2-and-mit", r"(?:this .{1,60} is )?(?:dual )?licensed under (?:both )?the apache licen[sc]e version 2\.0 and the mit licen[sc]e"),
     ("reserved", r"all rights reserved"),
+    *[(f"spdx-{i.lower()}", "spdx licen[sc]e identifier " + re.escape(_as_normalised(i)).replace(r"\ ", " "))
+      for i in SPDX],
 ]
 # Rules in order: licence and the identifiers that follow one another (fixed values).
 RULES = [
@@ -66,7 +109,18 @@ RULES = [
     ("Apache-2.0", ["apache2-licensed"]),
     ("GPL-3.0", ["gpl3-licensed"]),
     ("GPL-2.0", ["gpl2-licensed"]),
+    ("GPL-3.0-or-later", ["gpl3-later"]),
+    ("GPL-2.0-or-later", ["gpl2-later"]),
+    ("LGPL-2.1-or-later", ["lgpl21-later"]),
+    ("LGPL-3.0-or-later", ["lgpl3-later"]),
+    ("AGPL-3.0-or-later", ["agpl3-later"]),
     ("GPL", ["gpl-free"]),
+    ("ISC", ["isc-grant"]),
+    ("0BSD", ["0bsd-grant"]),
+    ("MPL-2.0", ["mpl2-subject"]),
+    ("Unlicense", ["unlicense"]),
+    ("Apache-2.0 OR MIT", ["apache2-or-mit"]),
+    ("Apache-2.0 AND MIT", ["apache2-and-mit"]),
     ("BSD-3-Clause", ["bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse"]),
     ("BSD-2-Clause", ["bsd-redistribution", "bsd-source", "bsd-binary"]),
     ("CC-BY-NC-4.0", ["cc-by-nc4"]),
@@ -74,8 +128,15 @@ RULES = [
     ("CC-BY-NC-ND-4.0", ["cc-by-nc-nd4"]),
     ("CC-BY-SA-4.0", ["cc-by-sa4"]),
     ("CC-BY-4.0", ["cc-by4"]),
+    ("CC-BY-NC-4.0", ["cc-by-nc4-named"]),
+    ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa4-named"]),
+    ("CC-BY-NC-ND-4.0", ["cc-by-nc-nd4-named"]),
+    ("CC-BY-ND-4.0", ["cc-by-nd4-named"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa4-named"]),
+    ("CC-BY-4.0", ["cc-by4-named"]),
     ("CC0-1.0", ["cc0"]),
     ("All-Rights-Reserved", ["reserved"]),
+    *[(i, [f"spdx-{i.lower()}"]) for i in SPDX],
 ]
 # Words that a licence sentence holds; only such passages are compared.
 HINT = (r"(?i)licen[sc]|rights\W{1,40}reserved|permission|redistribution|warranty|free\W{1,40}software|notice"
