@@ -83,3 +83,22 @@ def test_shuffle_join_paths_match_oracle(spark, con):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_entry_without_the_training_data_operators(tmp_path):
+    """Without the subpackage, and with an empty folder in its place."""
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = tmp_path / "repo"
+    shutil.copytree(os.path.join(root, "wardlens"), copy / "wardlens",
+                    ignore=shutil.ignore_patterns("__pycache__", "llm"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), copy)
+    code = ("import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) == set(q); "
+            "assert not [n for n in q if n.startswith('op') and '_' in n and n[2].isdigit()]; print(len(q))")
+    for leftover in (False, True):
+        if leftover:
+            (copy / "wardlens" / "llm").mkdir()
+        out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=False)
+        assert out.returncode == 0 and int(out.stdout) == len(QUERIES), out.stderr
