@@ -21,7 +21,8 @@ from wardlens.plans.catalog import QUERIES, WRITING  # noqa: E402
 from wardlens.session import build_session  # noqa: E402
 
 # The plans of the others that write are reads of what they have written.
-SKIP = WRITING - {"orphans", "null_violations", "length_violations", "indicators_many_periods"}
+SKIP = WRITING - {"orphans", "null_violations", "length_violations", "key_report",
+                  "indicators_many_periods"}
 
 
 def _plan(df) -> str:

@@ -94,6 +94,10 @@ PRIMARY_KEYS = {
     "billing_claims": ["ClaimID"], "satisfaction_surveys": ["SurveyID"],
 }
 UNIQUE_KEYS = {"supplies": ["DepartmentID", "SupplyName"]}
+# The reporting table's generated id is not kept; its rows are told apart by
+# these columns, of which area and department may be null.
+NATURAL_KEYS = {"quality_indicators": ["IndicatorName", "ReportingPeriodStart", "ReportingPeriodEnd",
+                                       "DepartmentID", "CatchmentArea"]}
 
 # Declared string lengths (characters) per table and column.
 VARCHAR_LIMITS = {

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens import schemas
-from wardlens.fixed_values import FOREIGN_KEYS, PRIMARY_KEYS, UNIQUE_KEYS
+from wardlens.fixed_values import FOREIGN_KEYS, NATURAL_KEYS, PRIMARY_KEYS, UNIQUE_KEYS
 from wardlens.sources.model import Tables
 
 
@@ -166,14 +166,16 @@ def length_report(tables: Tables,
 
 
 def key_report(tables: Tables) -> DataFrame:
-    """Per primary / unique key: distinct key values held by more than one row,
-    and rows with a null key part (a violation for primary keys only).
+    """Per primary / unique / natural key: distinct key values held by more than
+    one row, and rows with a null key part (a violation for primary keys only;
+    in a natural key null is a value like others).
 
     → TableName, KeyColumns, KeyKind, DuplicateKeys, NullKeyRows
     """
     parts = []
     checks = ([(t, k, "primary") for t, k in PRIMARY_KEYS.items()]
-              + [(t, k, "unique") for t, k in UNIQUE_KEYS.items()])
+              + [(t, k, "unique") for t, k in UNIQUE_KEYS.items()]
+              + [(t, k, "natural") for t, k in NATURAL_KEYS.items()])
     for name, keys, kind in checks:
         df = getattr(tables, name, None)
         if df is None:
@@ -182,7 +184,7 @@ def key_report(tables: Tables) -> DataFrame:
         counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
         any_null = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         parts.append(counted.agg(
-            F.count_if((F.col("_n") > 1) & ~any_null).alias("DuplicateKeys"),
+            F.count_if((F.col("_n") > 1) & (F.lit(kind == "natural") | ~any_null)).alias("DuplicateKeys"),
             (F.coalesce(F.sum(F.when(any_null, F.col("_n"))), F.lit(0))
              if kind == "primary" else F.lit(0).cast("long")).alias("NullKeyRows"))
             .select(F.lit(name).alias("TableName"), F.lit(", ".join(keys)).alias("KeyColumns"),
