@@ -1,0 +1,41 @@
+"""Pattern tables against every text compared with every pattern."""
+
+from __future__ import annotations
+
+import random
+
+from tests.conftest import rows
+from wardlens.operators.patterns import match_patterns, rows_matching
+
+
+def test_thousands_of_patterns_equal_brute_force(spark):
+    rng = random.Random(17)
+    letters = "abcdeé %_ÄAB"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 40))) for _ in range(400)]
+    texts += texts[:50] + [None, "", "ab", "a"]
+    patterns = {"".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(2000)}
+    patterns |= {"zzz", "ab\\", "100%"}
+    frame = spark.createDataFrame([(t, 1) for t in texts], "t string, gram int").repartition(3)
+    table = spark.createDataFrame([(p, "x") for p in [*sorted(patterns), "zzz", None]], "p string, text string")
+    got = [tuple(r) for r in match_patterns(frame, table, "t", "p").collect()]
+    want = {(t, p) for t in set(texts) - {None} for p in patterns if p.lower() in t.lower()}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 2000
+
+
+def test_pairs_meet_over_a_shared_gram_only(spark):
+    frame = spark.createDataFrame([(f"fever number {i}",) for i in range(200)] + [("rash",)], "t string")
+    table = spark.createDataFrame([("fever number 17",), ("ras",), ("pain",), ("fe",), ("",)], "pattern string")
+    found = match_patterns(frame, table, "t")
+    counts = {p: n for p, n in rows(found.groupBy("pattern").count())}
+    assert counts == {"fever number 17": 11, "ras": 1, "fe": 200, "": 201}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_rows_and_empty_tables(spark):
+    frame = spark.createDataFrame([(1, "High FEVER"), (2, "high fever"), (2, "High FEVER"), (3, None), (4, "rash")],
+                                  "id int, t string")
+    table = spark.createDataFrame([("fever",), ("Fev",)], "pattern string")
+    assert rows(rows_matching(frame, table, "t"), "id") == [(1,), (2,), (2,)]
+    assert rows_matching(frame.limit(0), table, "t").count() == 0
+    assert rows_matching(frame, table.limit(0), "t").count() == 0

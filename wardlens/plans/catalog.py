@@ -12,6 +12,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlens.fixed_values import INFECTION_WORDS
 from wardlens.functions.collation import collated, plain, with_collation
 from wardlens.operators import (average_los, chronic_complications, claim_lag,
                                 complaint_clusters, cost_by_type, costliest_stays,
@@ -26,6 +27,7 @@ from wardlens.plans.indicators import (bed_utilization_rate, compute_indicators,
                                        first_encounter_complication_rate,
                                        indicator_report, provider_workload_index,
                                        readmission_rate)
+from wardlens.operators.patterns import rows_matching
 from wardlens.plans.flags import FlagStore, replay_changes
 from wardlens.plans.keyed import KeyedTable, replay_updates
 from wardlens.plans.keyindex import KeyIndex, replay_batches
@@ -146,6 +148,13 @@ def _infection_exposure_collated(t: Tables) -> DataFrame:
     return plain(infection_exposure(c.encounters, c.staff, c.departments))
 
 
+def _infection_exposure_patterns(t: Tables) -> DataFrame:
+    """Exposures whose complaints are found by a table of words."""
+    words = t.encounters.sparkSession.createDataFrame([(w,) for w in INFECTION_WORDS], "pattern string")
+    found = rows_matching(t.encounters, words, "ChiefComplaint")
+    return infection_exposure(found, t.staff, t.departments)
+
+
 def _from_states(name: str) -> Callable[[Tables], DataFrame]:
     """A report from states that were loaded, retracted and loaded again once
     for these tables."""
@@ -224,6 +233,7 @@ MODEL_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "null_violations": lambda t: not_null_report(_with_indicators(t)),
     "length_violations": lambda t: length_report(_with_indicators(t)),
     "key_report": lambda t: key_report(_with_indicators(t)),
+    "infection_exposure_patterns": _infection_exposure_patterns,
     "denial_rate_collated": _denial_rate_collated,
     "referral_rejection_collated": _referral_rejection_collated,
     "infection_exposure_collated": _infection_exposure_collated,
