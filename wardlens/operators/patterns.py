@@ -25,9 +25,9 @@ def _grams(text: Column, size: int) -> Column:
 def match_patterns(rows: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str = "pattern",
                    gram: int = GRAM) -> DataFrame:
     """(text, pattern): which distinct texts of ``rows`` hold which distinct
-    patterns of ``patterns``, without regard to case. Null texts hold none; an
-    empty pattern is in every text; patterns shorter than a gram are looked up
-    whole. Join the result to the rows by their text.
+    patterns of ``patterns``, without regard to case. Null texts hold none;
+    patterns shorter than a gram are looked up whole, empty ones are left out.
+    Join the result to the rows by their text.
     """
     texts = (rows.select(F.col(text_col).alias("text")).where("text IS NOT NULL").distinct()
              .withColumn("low", F.lower("text")))
@@ -45,11 +45,8 @@ def match_patterns(rows: DataFrame, patterns: DataFrame, text_col: str, pattern_
     rarest = (parts.join(frequency, "gram", "left").groupBy("pattern", "find")
               .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("least"))
               .where("least.n > 0").select("pattern", "find", F.col("least.gram").alias("gram")))
-    found = (held.join(rarest, "gram").where(F.contains(F.col("low"), F.col("find")))
-             .select("text", "pattern"))
-    everywhere = wanted.where("find = ''").select("pattern", F.lit(1).alias("one"))
-    return found.unionByName(
-        texts.withColumn("one", F.lit(1)).join(everywhere, "one").select("text", "pattern"))
+    return (held.join(rarest, "gram").where(F.contains(F.col("low"), F.col("find")))
+            .select("text", "pattern"))
 
 
 def rows_matching(rows: DataFrame, patterns: DataFrame, text_col: str,
