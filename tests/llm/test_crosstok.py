@@ -119,3 +119,20 @@ def test_perfect_hash_is_minimal(n):
     keys = np.unique(np.random.default_rng(n).integers(0, 1 << 48, n))
     function = crosstok.PerfectHash(*crosstok.unpack(crosstok.PerfectHash.build(keys).packed()))
     assert sorted(function.slots(keys).tolist()) == list(range(len(keys)))
+
+
+def test_ranks_give_the_ids_of_the_file(spark):
+    """All pieces of a table, and odd ones, by both libraries."""
+    import pyarrow as pa
+
+    from wardlens.llm.tokens import cut, library_encoder
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    rng = random.Random(1)
+    texts += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x3000), rng.randrange(0x10000, 0x1F900)]))
+                      for _ in range(30)) for _ in range(3000)]
+    texts += [c * n for c in "aA1 -=.\n" for n in range(1, 70)] + _texts()[1:]
+    pieces = cut(pa.array(texts, pa.large_string()))[0].dictionary_encode().dictionary
+    fast, own = (e.ids(pieces) for e in (crosstok.encoder_a(crosstok.MODEL_A),
+                                         library_encoder(crosstok.MODEL_A, True)))
+    assert crosstok.encoder_a(crosstok.MODEL_A) is not library_encoder(crosstok.MODEL_A, True)
+    assert np.array_equal(fast[0], own[0]) and np.array_equal(fast[1], own[1])

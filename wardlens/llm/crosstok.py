@@ -31,6 +31,7 @@ are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from wardlens.llm.common import Workspace, give_back
 from wardlens.llm.ranked import pack, unpack
-from wardlens.llm.tokens import cut, distinct, gather, library_encoder, steps
+from wardlens.llm.tokens import PieceEncoder, cut, gather, library_encoder, steps
 
 MODEL_A = public_tokenizers.path("byte_bpe_50k.json")
 MODEL_B = public_tokenizers.path("piece_bpe_32k.model")
@@ -87,6 +88,30 @@ def names_a(path: str) -> Names:
     return _names(names)
 
 
+@lru_cache(maxsize=2)
+def encoder_a(path: str) -> PieceEncoder:
+    """If the file splits by the known pattern alone and its merges make its
+    tokens in the order of their ids, the ids are ranks and the faster library
+    for ranks gives the same ids; else the file's own library is used."""
+    with open(path, encoding="utf-8") as text:
+        spec = json.load(text)
+    vocabulary, splitter = spec["model"]["vocab"], spec["pre_tokenizer"] or {}
+    merges = [m if isinstance(m, str) else " ".join(m) for m in spec["model"]["merges"]]
+    made = [vocabulary.get(m.replace(" ", "")) for m in merges]
+    if (spec["normalizer"] is not None or splitter.get("type") != "ByteLevel"
+            or splitter.get("add_prefix_space") or not splitter.get("use_regex", True)
+            or made != list(range(256, 256 + len(made)))):
+        return library_encoder(path, True)
+    import tiktoken
+    names = names_a(path)
+    raw, at = names.flat.tobytes(), names.ptr.tolist()
+    ranks = {raw[at[i]:at[i + 1]]: i for i in range(256 + len(made))}
+    encoding = tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                 special_tokens={})
+    return PieceEncoder(lambda texts: [encoding.encode_ordinary(t) for t in texts],
+                        {i: b for b, i in ranks.items()})
+
+
 @lru_cache(maxsize=2)
 def model_b(path: str):
     import sentencepiece
@@ -125,11 +150,14 @@ def align_block(texts: pa.Array, path_a: str, path_b: str, groups: bool) -> Alig
     spaced = pc.if_else(pc.equal(pc.binary_length(texts), 0), empty,
                         pc.binary_join_element_wise(empty, texts, blank))
     pieces, doc_ptr = cut(spaced)
-    index, names = distinct(pieces)
-    flat_a, ptr_a = library_encoder(path_a, True).ids(names)
+    coded = pieces.dictionary_encode()
+    index = coded.indices.to_numpy(zero_copy_only=False)
+    flat_a, ptr_a = encoder_a(path_a).ids(coded.dictionary)
+    names = coded.dictionary.to_pylist()
     model, shown_b = model_b(path_b)
     shown_a = names_a(path_a)
-    lists = model.encode([n[1:].decode("utf-8", "replace") for n in names], num_threads=1)
+    after = pc.utf8_slice_codeunits(coded.dictionary.cast(pa.large_string()), 1)  # B adds the blank
+    lists = model.encode(after.to_pylist(), num_threads=1)
     ptr_b = np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64)))
     flat_b = np.fromiter(chain.from_iterable(lists), np.int64, ptr_b[-1])
     good = (_spelled(flat_b, ptr_b, shown_b, names) & _spelled(flat_a, ptr_a, shown_a, names))
