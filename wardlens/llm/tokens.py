@@ -138,14 +138,38 @@ def encode_pieces(pieces: pa.Array, encode: Callable[[list[str]], list[list[int]
 
 
 class PieceEncoder:
-    """Ids of the distinct pieces of a block."""
+    """Ids of the distinct pieces of a block. Up to ``keep`` parts of pieces are
+    remembered with their ids for the next block."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]],
-                 token_bytes: dict[int, bytes]):
-        self.encode = encode
+                 token_bytes: dict[int, bytes], keep: int = 400_000):
+        self.encode, self.keep = encode, keep
+        self._forget()
         self.spaced = np.zeros(max(token_bytes) + 1, dtype=bool)
         self.spaced[[i for i, b in token_bytes.items() if b[:1] == b" "]] = True
 
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_binary())
+        self.flat, self.ptr = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _ids_of(self, names: pa.Array) -> np.ndarray:
+        """The places among the known parts of distinct ones, after those that
+        are new have been encoded."""
+        at = pc.index_in(names, value_set=self.known)
+        if len(self.known) + at.null_count > self.keep:
+            self._forget()
+            at = pa.nulls(len(names), pa.int32())
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        place = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[new] = len(self.known) + np.arange(np.count_nonzero(new))
+        if new.any():
+            parts = names.filter(pa.array(new))
+            flat, ptr = encode_pieces(parts, self.encode, lambda x: self.spaced[x])
+            self.known = pa.concat_arrays([self.known, parts])
+            self.ptr = np.concatenate((self.ptr, ptr[1:] + len(self.flat)))
+            self.flat = np.concatenate((self.flat, flat.astype(np.uint32)))
+        return place
+
     def ids(self, pieces: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces end to end, and where each piece's start. Words
         are encoded apart from the marks that close them, each once."""
@@ -153,9 +177,9 @@ class PieceEncoder:
             pieces = pa.array(pieces, pa.large_binary())
         parts, first = _words_and_marks(pieces)
         coded = parts.dictionary_encode()
-        flat, ptr = encode_pieces(coded.dictionary, self.encode, lambda x: self.spaced[x])
-        flat, starts = gather(flat.astype(np.uint32), ptr,
-                              coded.indices.to_numpy(zero_copy_only=False))
+        place = self._ids_of(coded.dictionary)
+        flat, starts = gather(self.flat, self.ptr,
+                              place[coded.indices.to_numpy(zero_copy_only=False)])
         return flat, starts[first]
 
 
