@@ -26,7 +26,9 @@ def _without(docs: DataFrame, dropped: DataFrame, work: Workspace) -> DataFrame:
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose text is in none of the languages: no letters, or
     likelier noise than any language. Evidence: the text, the declared
-    language (lang) and the source's prior."""
+    language (lang) and the source's prior. Null and empty texts are in no
+    language and go; of rows that share an id one in a language keeps all; a null
+    lang or source is no evidence; texts of any length are read whole."""
     work = Workspace(spark, "pipeline-language")
     model = language.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     evidence = language.text_evidence(docs, model, "doc_id", F.col("text"), F.lower("lang"),
@@ -38,20 +40,25 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the smallest id, of each group of near copies."""
+    """Keeps one document, that of the smallest id, of each group of near copies.
+    Null and empty texts are copies of nothing and stay; repeated rows of one id
+    stay together; an empty table stays empty."""
     work = Workspace(spark, "pipeline-neardup")
     return _without(docs, neardup.near_duplicates(docs, work).where("not kept"), work)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a passage of a benchmark item."""
+    """Drops documents that hold a passage of a benchmark item. Null and empty
+    texts hold none and stay, as do all documents if there are no items."""
     work = Workspace(spark, "pipeline-decontaminate")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _without(docs, decontaminate.decontaminate(docs, items, work).where("contaminated"), work)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by pseudonyms; n_chars follows the new text."""
+    """Replaces personal data by pseudonyms; n_chars follows the new text and is
+    null for a null text. Rows are treated one by one, so order, ties and
+    repeated rows do not matter."""
     rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
     return pii.pseudonymise(rows).select(
@@ -59,7 +66,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, text): the token ids, and the text they decode to."""
+    """(doc_id, n_tokens, ids, text): the token ids, and the text they decode to.
+    A null text has no ids and decodes to an empty one; every row gives one row,
+    also without an id or with a repeated one."""
     decoded = bpe.decode(bpe.encode(docs))
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                           F.col("decoded").cast("string").alias("text"))
