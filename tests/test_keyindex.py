@@ -8,7 +8,7 @@ from collections import Counter
 from tests.conftest import fresh, rows
 from wardlens import schemas
 from wardlens.operators import foreign_key_report, key_report
-from wardlens.plans.keyindex import KeyIndex
+from wardlens.plans.keyindex import _INDEX, KeyIndex
 from wardlens.sources.model import Tables
 
 TABLES = ["departments", "patients", "staff", "supplies", "encounters", "billing_claims"]
@@ -59,3 +59,39 @@ def test_a_batch_reads_only_its_buckets(spark, make):
     index.apply(deleted=Tables(patients=make("patients", [{"PatientID": 3}])))
     assert not Counter(r[3] for r in rows(index.key_report()))[1]
     assert index.apply() == []
+
+
+def test_counts_of_a_value_meet_in_one_shuffle(spark, make):
+    index = KeyIndex(spark, fresh(spark, "test-keys-plan"), buckets=4)
+    t = Tables(patients=make("patients", [{"PatientID": i} for i in range(9)]),
+               encounters=make("encounters", [{"EncounterID": i, "PatientID": i} for i in range(12)]))
+
+    def exchanges(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange "), "ObjectHashAggregate" in plan or "SortAggregate" in plan
+    assert exchanges(index._delta(index._counts(t, 1))) == (1, False)
+    index.apply(t)
+    parts = sorted(index.table.parts())
+    before = index.table.read(spark.createDataFrame([], _INDEX).schema, parts[:-1])
+    delta = index._keep(index._delta(index._counts(t, 1)), fresh(spark, "test-keys-delta"))
+    merged = index._merged(before, delta, [3] * 99)
+    assert exchanges(merged) == (1, False)
+    assert merged.groupBy("target", "role", "value").count().where("count > 1").count() == 0
+
+
+def test_many_pieces_give_the_same_index(spark, make):
+    class Small(KeyIndex):
+        ROWS_PER_PIECE = 2
+
+    rng = random.Random(8)
+    held = {n: [_row(rng, n) for _ in range(40)] for n in TABLES}
+    found = []
+    for kind in (KeyIndex, Small):
+        index = kind(spark, fresh(spark, "test-keys-pieces"), buckets=2)
+        index.apply(Tables(**{n: make(n, r) for n, r in held.items()}))
+        index.apply(deleted=Tables(**{n: make(n, r[::3]) for n, r in held.items()}))
+        live = sorted(set(index.table.parts()) - {"totals"})
+        stored = index.table.read(spark.createDataFrame([], _INDEX).schema, live)
+        found.append((live, rows(stored), rows(index.key_report()), rows(index.foreign_key_report())))
+        assert stored.where("n = 0").count() == 0
+    assert found[0] == found[1]
