@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import fresh, rows
 from wardlens.operators import (average_los, chronic_complications, claim_lag, complaint_clusters,
                                 cost_by_type, denial_rate, referral_rejection, satisfaction_gap)
-from wardlens.plans.states import REPORTS, ReportStates, replay_facts
+from wardlens.plans.states import REPORTS, ReportStates, replay_facts, report_states
 from wardlens.sources.model import Tables
 
 D0 = dt.date(2024, 1, 1)
@@ -108,3 +108,15 @@ def test_no_states_and_pushed_ranges(spark, make):
     assert "referral_rejection" in filters and "(day" in filters
     with pytest.raises(KeyError):
         states.report("unknown")
+
+
+def test_facts_are_summed_once(spark, make):
+    rng = random.Random(3)
+    t = Tables(patients=make("patients", [{"PatientID": 1, "Zip": "12307"}]),
+               **{n: make(n, r) for n, r in _facts(rng, 0, 20).items()})
+    found = report_states([(t, 1), (t, -1)])
+    assert all(v == 0 for r in found.collect() for v in r[4:])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # One aggregate; encounters meet patients once, and claims and surveys once.
+    assert plan.count("Aggregate ") == 1 and plan.count("Join ") == 2
+    assert report_states([]) is None and report_states([(Tables(patients=t.patients), 1)]) is None
