@@ -69,7 +69,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text): the token ids, and the text they decode to.
     A null text has no ids and decodes to an empty one; every row gives one row,
     also without an id or with a repeated one."""
-    decoded = bpe.decode(bpe.encode(docs))
+    decoded = bpe.encode(docs, decoded=True)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                           F.col("decoded").cast("string").alias("text"))
 

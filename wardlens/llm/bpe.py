@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -203,9 +204,11 @@ def _reassemble(documents: pa.Table, lists: pa.Table) -> pa.Table:
 
 
 def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
+           text_col: str = "text", decoded: bool = False) -> DataFrame:
     """(doc_id, ids) of every row: byte-level BPE by the ranks in a file, each
-    match of ``pattern`` on its own, without special tokens."""
+    match of ``pattern`` on its own, without special tokens. With ``decoded``
+    the rows are those of ``decode``, whose work is done by the same Python
+    workers: one in each task more would stay with its memory after the job."""
     spark = docs.sparkSession
     ship_package(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -214,10 +217,21 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN, id_col:
              .repartitionById(buckets, F.col("bucket"))
              .mapInArrow(give_back(_encode_words(ranks, pattern)), _BLOCKS))
     documents = texts.mapInArrow(give_back(_to_blocks(pattern, buckets, documents=True)), _BLOCKS)
-    return (documents.groupBy("block").cogroup(lists.groupBy("block"))
-            .applyInArrow(_reassemble, "doc_id long, ids array<int>"))
+    met = documents.groupBy("block").cogroup(lists.groupBy("block"))
+    if decoded:
+        return met.applyInArrow(_reassemble_and_decode(ranks), _DECODED)
+    return met.applyInArrow(_reassemble, "doc_id long, ids array<int>")
 
 
+def _reassemble_and_decode(ranks: str):
+    def run(documents: pa.Table, lists: pa.Table) -> pa.Table:
+        batches = _reassemble(documents, lists).to_batches()
+        schema = pa.schema([*_ENCODED, pa.field("decoded", pa.binary())])
+        return pa.Table.from_batches(give_back(_decode(ranks))(iter(batches)), schema=schema)
+    return run
+
+
+@lru_cache(maxsize=1)
 def _token_table(ranks: str) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all tokens end to end, and where each id's start."""
     table = rank_table(ranks)
@@ -242,18 +256,22 @@ def decoded_bytes(column: pa.Array, flat: np.ndarray, ptr: np.ndarray) -> Iterat
             yield raw[x:y]
 
 
-def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """(doc_id, ids, decoded): the bytes that the ids stand for."""
-    ship_package(encoded.sparkSession)
+_DECODED = "doc_id long, ids array<int>, decoded binary"
+
 
+def _decode(ranks: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, ptr = _token_table(ranks)
         for batch in batches:
             raw = pa.array(decoded_bytes(batch.column(1), flat, ptr), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, raw], names=["doc_id", "ids", "decoded"])
+    return run
 
-    return encoded.select("doc_id", "ids").mapInArrow(
-        give_back(run), "doc_id long, ids array<int>, decoded binary")
+
+def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
+    """(doc_id, ids, decoded): the bytes that the ids stand for."""
+    ship_package(encoded.sparkSession)
+    return encoded.select("doc_id", "ids").mapInArrow(give_back(_decode(ranks)), _DECODED)
 
 
 def digests(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
