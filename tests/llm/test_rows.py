@@ -661,3 +661,31 @@ def test_token_counts_query_commits_deletes_and_revisions(spark, monkeypatch):
     assert totals[1][0] == n_docs and totals[1][1] > n_tokens and totals[2][0] < n_docs
     assert totals[3][0] == totals[2][0] and totals[3][1] < totals[2][1]
     assert totals[4:] == [(n_docs, n_tokens)] * 4
+
+
+def test_bpe_decodes_in_the_workers_that_encode(spark):
+    docs = _docs(spark, _texts(20))
+    both, apart = bpe.encode(docs, decoded=True), bpe.decode(bpe.encode(docs))
+    assert both.schema == apart.schema
+    read = lambda df: sorted((r.doc_id, r.ids, bytes(r.decoded)) for r in df.collect())
+    assert read(both) == read(apart)
+    assert bpe.encode(docs.limit(0), decoded=True).count() == 0
+    import corpus_pipeline
+    plan = corpus_pipeline.bpe_stage(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    # One Python worker in a task: no other step on top of the reassembly.
+    assert "MapInArrow" not in plan[:plan.index("FlatMapCoGroupsInArrow")]
+
+
+def test_full_memory_of_pieces_keeps_those_in_use():
+    from wardlens.llm.tokens import PieceEncoder
+    asked = []
+
+    def encode(texts):
+        asked.extend(w for t in texts for w in t.split())
+        return [list(t.encode()) for t in texts]
+    encoder = PieceEncoder(encode, {i: bytes([i]) for i in range(128)}, keep=6)
+    for words in ("ab cd ef gh ij", "cd ef gh kl mn", "ab mn kl cd"):
+        pieces = [f" {w}".encode() for w in words.split()]
+        flat, ptr = encoder.ids(pieces)
+        assert [bytes(flat[a:b].tolist()) for a, b in zip(ptr, ptr[1:])] == pieces
+    assert asked == ["ab", "cd", "ef", "gh", "ij", "kl", "mn", "ab"]

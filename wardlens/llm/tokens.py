@@ -144,23 +144,23 @@ class PieceEncoder:
     def __init__(self, encode: Callable[[list[str]], list[list[int]]],
                  token_bytes: dict[int, bytes], keep: int = 400_000):
         self.encode, self.keep = encode, keep
-        self._forget()
-        self.spaced = np.zeros(max(token_bytes) + 1, dtype=bool)
-        self.spaced[[i for i, b in token_bytes.items() if b[:1] == b" "]] = True
-
-    def _forget(self) -> None:
         self.known = pa.array([], pa.large_binary())
         self.flat, self.ptr = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.spaced = np.zeros(max(token_bytes) + 1, dtype=bool)
+        self.spaced[[i for i, b in token_bytes.items() if b[:1] == b" "]] = True
 
     def _ids_of(self, names: pa.Array) -> np.ndarray:
         """The places among the known parts of distinct ones, after those that
         are new have been encoded."""
         at = pc.index_in(names, value_set=self.known)
-        if len(self.known) + at.null_count > self.keep:
-            self._forget()
-            at = pa.nulls(len(names), pa.int32())
         new = at.is_null().to_numpy(zero_copy_only=False)
         place = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(self.known) + at.null_count > self.keep:
+            # Parts that this block uses stay.
+            used = place[~new]
+            self.known = self.known.take(pa.array(used))
+            self.flat, self.ptr = gather(self.flat, self.ptr, used)
+            place[~new] = np.arange(len(used))
         place[new] = len(self.known) + np.arange(np.count_nonzero(new))
         if new.any():
             parts = names.filter(pa.array(new))
