@@ -689,3 +689,45 @@ def test_full_memory_of_pieces_keeps_those_in_use():
         flat, ptr = encoder.ids(pieces)
         assert [bytes(flat[a:b].tolist()) for a, b in zip(ptr, ptr[1:])] == pieces
     assert asked == ["ab", "cd", "ef", "gh", "ij", "kl", "mn", "ab"]
+
+
+def test_bpe_blocks_take_little_memory(monkeypatch):
+    """Two blocks of 4 MB, cut one after another: neither all words as objects
+    at once nor what the block before took."""
+    import tracemalloc
+
+    import pyarrow as pa
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 4 << 20)
+    rng = random.Random(5)
+    words = [" " + "".join(rng.choices("etaoinshrdlu", k=6)) for _ in range(300_000)]
+    texts = ["".join(rng.choices(words, k=600)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts)], ["doc_id", "text"])
+    size = sum(map(len, texts))
+    assert len(list(bpe._to_blocks(bpe.PATTERN, 4, True)(iter([batch])))) == 3  # the last is a rest
+    for documents in (False, True):
+        tracemalloc.start()
+        for _ in bpe._to_blocks(bpe.PATTERN, 4, documents)(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < size * 4, f"{peak} bytes of memory for {size} bytes of text"
+
+
+def test_gather_takes_little_memory():
+    import tracemalloc
+
+    from wardlens.llm.tokens import gather
+    rng = np.random.default_rng(5)
+    ptr = np.concatenate(([0], np.cumsum(rng.integers(0, 20, 5000))))
+    flat = rng.integers(0, 256, ptr[-1]).astype(np.uint8)
+    index = rng.integers(0, 5000, 300_000).astype(np.int32)
+    tracemalloc.start()
+    values, starts = gather(flat, ptr, index)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = [flat[ptr[i]:ptr[i + 1]] for i in index]
+    assert values.dtype == np.uint8 and np.array_equal(values, np.concatenate(want))
+    assert np.array_equal(starts, np.concatenate(([0], np.cumsum([len(w) for w in want]))))
+    assert peak < 6 * len(values), f"{peak} bytes for {len(values)}"
+    none, starts = gather(flat, ptr, index[:0])
+    assert len(none) == 0 and starts.tolist() == [0]

@@ -36,16 +36,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import give_back, ship_package
+from wardlens.llm.common import give_back, hand_back, ship_package
 from wardlens.llm.tokens import cut, distinct, gather, rank_encoding, rank_table, steps
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 # Text bytes of a block.
 BLOCK_BYTES = 8 << 20
+# Text bytes that are cut at one time.
+CUT_BYTES = 1 << 20
 # Marks that form one pre-token after letters, and the end of the Latin letters.
 MARKS = ".,;:!?"
 LATIN_END = "\u0250"
+# Words that are Python objects at one time.
+OBJECTS = 1 << 14
 # Token ids decoded in one vectorised step.
 DECODE_STEP = 1 << 20
 
@@ -81,61 +85,93 @@ def _from_ipc(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
-def _pretokens(pieces: list[bytes], pattern: str) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def _lists(column: pa.Array) -> Iterator[list[bytes]]:
+    """The values of a column, a bounded number at a time."""
+    return (column.slice(s, OBJECTS).to_numpy(zero_copy_only=False).tolist()
+            for s in range(0, len(column), OBJECTS))
+
+
+def _pieces(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Index of each piece into the distinct pieces, these, and where each
+    text's pieces start. Some texts are cut at a time."""
+    parts, starts, n = [], [np.zeros(1, dtype=np.int64)], 0
+    for a, b in steps(texts, CUT_BYTES):
+        pieces, ptr = cut(texts.slice(a, b - a))
+        parts.append(pieces)
+        starts.append(n + ptr[1:])
+        n += len(pieces)
+    return *distinct(pa.chunked_array(parts, pa.large_binary())), np.concatenate(starts)
+
+
+def _pretokens(pieces: pa.Array, pattern: str) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """The pre-tokens of each piece as indices into the distinct ones."""
     import regex
     find = regex.compile(pattern).findall
-    words, sizes = [], []
-    for piece in pieces:
-        text = piece.decode("utf-8", "replace")
-        if pattern == PATTERN and text[:1] == " ":
+    found, sizes = [], np.zeros(len(pieces), dtype=np.int64)
+    at = 0
+    for part in _lists(pieces):
+        words = []
+        for i, piece in enumerate(part, at):
+            before = len(words)
+            text = piece.decode("utf-8", "replace")
             # A blank, Latin letters and at most some closing marks need no search.
-            stem = text.rstrip(MARKS)
+            stem = text.rstrip(MARKS) if pattern == PATTERN and text[:1] == " " else ""
             if stem[1:].isalpha() and max(stem) < LATIN_END:
                 words.append(stem)
                 if len(stem) < len(text):
                     words.append(text[len(stem):])
-                sizes.append(1 + (len(stem) < len(text)))
-                continue
-        found = find(text)
-        words += found
-        sizes.append(len(found))
-    ptr = np.zeros(len(pieces) + 1, dtype=np.int64)
-    np.cumsum(sizes, out=ptr[1:])
-    index, names = distinct(pa.array(words, pa.large_string()).cast(pa.large_binary()))
-    return index, ptr, names
+            else:
+                words += find(text)
+            sizes[i] = len(words) - before
+        found.append(pa.array(words, pa.large_string()).cast(pa.large_binary()))
+        at += len(part)
+    index, names = distinct(pa.chunked_array(found, pa.large_binary()))
+    return index, np.concatenate(([0], np.cumsum(sizes))), names
+
+
+def _block(ids: pa.Array, texts: pa.Array, pattern: str) -> tuple[int, bytes, bytes, pa.Array]:
+    """A block's name, its documents and their number of words, the packed
+    positions of these in the list of distinct words, and that list."""
+    piece_index, names, doc_ptr = _pieces(texts)
+    flat, ptr, words = _pretokens(names, pattern)
+    sequence, starts = gather(flat, ptr, piece_index)
+    sizes = np.diff(starts[doc_ptr])
+    del names, flat, ptr, piece_index, starts
+    head = _to_ipc(pa.RecordBatch.from_arrays(
+        [ids.cast(pa.int64()), pa.array(sizes, pa.int64())], names=["doc_id", "n"]))
+    body = pack(sequence)
+    name = hashlib.blake2b(head + body, digest_size=8)
+    for part in _lists(words):
+        name.update(b"\0".join(part))
+    return int.from_bytes(name.digest(), "little", signed=True), head, body, words
+
+
+def _listed(block: int, words: pa.Array, buckets: int) -> list[tuple]:
+    """The rows of a block's word list, one for each bucket."""
+    bucket = np.fromiter((zlib.crc32(w) % buckets for part in _lists(words) for w in part),
+                         np.int32, len(words))
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    return [(block, int(bucket[part[0]]), pack(part),
+             _to_ipc(pa.RecordBatch.from_arrays([words.take(pa.array(part)).cast(pa.binary())],
+                                                names=["word"])))
+            for part in (np.split(order, cuts) if len(order) else [])]
 
 
 def _to_blocks(pattern: str, buckets: int, documents: bool):
-    """Rows of the blocks' documents, or of their word lists by bucket."""
+    """Rows of the blocks' documents, or of their word lists by bucket. What a
+    block took is handed back before the next is cut."""
+    def rows(ids: pa.Array, texts: pa.Array) -> list[tuple]:
+        block, head, body, words = _block(ids, texts, pattern)
+        return [(block, _SEQUENCE, head, body)] if documents else _listed(block, words, buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in steps(batch.column(1), BLOCK_BYTES):
-                ids, texts = batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
-                pieces, doc_ptr = cut(texts)
-                piece_index, names = distinct(pieces)
-                flat, ptr, words = _pretokens(names, pattern)
-                sequence, starts = gather(flat, ptr, piece_index)
-                sizes = np.diff(starts[doc_ptr])
-                head = _to_ipc(pa.RecordBatch.from_arrays(
-                    [ids.cast(pa.int64()), pa.array(sizes, pa.int64())], names=["doc_id", "n"]))
-                body = pack(sequence)
-                name = hashlib.blake2b(head + body, digest_size=8)
-                name.update(b"\0".join(words))
-                block = int.from_bytes(name.digest(), "little", signed=True)
-                if documents:
-                    yield from _block_rows([(block, _SEQUENCE, head, body)])
-                    continue
-                rows = []
-                bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                listed = pa.array(words, pa.binary())
-                for part in np.split(order, cuts) if len(order) else []:
-                    rows.append((block, int(bucket[part[0]]), pack(part),
-                                 _to_ipc(pa.RecordBatch.from_arrays([listed.take(pa.array(part))],
-                                                                    names=["word"]))))
-                yield from _block_rows(rows)
+                yield from _block_rows(rows(batch.column(0).slice(a, b - a),
+                                            batch.column(1).slice(a, b - a)))
+                hand_back()
+            del batch
     return run
 
 
@@ -153,12 +189,15 @@ def _encode_words(ranks: str, pattern: str):
         encode = rank_encoding(ranks, pattern).encode_ordinary
         known: dict[bytes, bytes] = {}
         for batch in batches:
-            for block, bucket, head, body in zip(*(c.to_pylist() for c in batch.columns)):
-                words = _from_ipc(body).column(0).to_pylist()
-                for w in words:
-                    if w not in known:
-                        known[w] = np.array(encode(w.decode("utf-8", "replace")), "<u4").tobytes()
-                parts = [known[w] for w in words]
+            for row in range(batch.num_rows):
+                block, bucket, head, body = (c[row].as_py() for c in batch.columns)
+                parts = []
+                for words in _lists(_from_ipc(body).column(0).combine_chunks()):
+                    for w in words:
+                        if w not in known:
+                            known[w] = np.array(encode(w.decode("utf-8", "replace")),
+                                                "<u4").tobytes()
+                    parts += [known[w] for w in words]
                 sizes = np.array([len(p) // 4 for p in parts])
                 ids = np.frombuffer(b"".join(parts), "<u4")
                 sized = pack(sizes)

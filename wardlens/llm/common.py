@@ -61,21 +61,26 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hand_back() -> None:
+    """Hands freed memory of this process back to the system."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def give_back(run):
     """A function of Arrow batches that hands its freed memory back to the
     system after each task. Spark keeps Python workers for later tasks; without
     this an idle one holds the most that it ever needed."""
     @functools.wraps(run)
     def wrapped(batches):
-        import ctypes
-
-        import pyarrow as pa
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if sys.platform == "linux":
-                ctypes.CDLL(None).malloc_trim(0)
+            hand_back()
     return wrapped
 
 

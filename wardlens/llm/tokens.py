@@ -21,6 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SPACE = 0x20
+# Lists that ``gather`` puts together in one vectorised step.
+GATHER_STEP = 1 << 14
 
 
 def steps(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
@@ -63,20 +65,30 @@ def _wide(byte: np.ndarray) -> np.ndarray:
     return (byte >= 0xE1) & (byte <= 0xE3)
 
 
-def distinct(pieces: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+def distinct(pieces: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
     """Index of each piece into the distinct pieces, and these."""
-    coded = pieces.dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+    if isinstance(pieces, pa.ChunkedArray):
+        coded = pieces.dictionary_encode().unify_dictionaries().combine_chunks()
+        if isinstance(coded, pa.ChunkedArray):
+            coded = coded.chunk(0)
+    else:
+        coded = pieces.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
 def gather(flat: np.ndarray, ptr: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The lists ``flat[ptr[i]:ptr[i + 1]]`` for each i in ``index``, end to
-    end, and where each starts."""
-    sizes = np.diff(ptr)[index]
+    end, and where each starts. The places in ``flat`` are made for some lists
+    at a time: for all they would take several times the memory of the result."""
     out = np.zeros(len(index) + 1, dtype=np.int64)
-    np.cumsum(sizes, out=out[1:])
-    at = np.arange(out[-1], dtype=np.int64) - np.repeat(out[:-1] - ptr[:-1][index], sizes)
-    return flat[at], out
+    np.cumsum(np.diff(ptr)[index], out=out[1:])
+    values = np.empty(out[-1], flat.dtype)
+    for a in range(0, len(index), GATHER_STEP):
+        ends = out[a:a + GATHER_STEP + 1]
+        first = ptr[:-1][index[a:a + GATHER_STEP]]
+        at = np.arange(ends[0], ends[-1]) + np.repeat(first - ends[:-1], np.diff(ends))
+        values[ends[0]:ends[-1]] = flat[at]
+    return values, out
 
 
 def _plain(pieces: pa.Array) -> np.ndarray:
