@@ -114,6 +114,23 @@ def test_repeated_null_ids_and_empty_table(spark):
         assert all(r.n_a == r.n_links == 0 and r.groups_sha256 == "" for r in rows)
 
 
+def test_texts_are_aligned_once(spark):
+    """One pass gives both the pairs' counts and the documents."""
+    from pyspark.sql import functions as F
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        seen.add(1)
+        return text
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "b a b", None, ""] * 10)],
+                                 "doc_id long, text string")
+    counted = docs.withColumn("text", F.udf(count, "string").asNondeterministic()("text"))
+    rows = crosstok.align(counted, Workspace(spark, "test")).collect()
+    assert seen.value == len(rows) == 40
+    pairs = crosstok.pair_table(crosstok.count_pairs(docs, Workspace(spark, "test"))).collect()
+    assert {r.n_docs for r in pairs} == {20} and len(pairs) == 2
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 17, 5000])
 def test_perfect_hash_is_minimal(n):
     keys = np.unique(np.random.default_rng(n).integers(0, 1 << 48, n))

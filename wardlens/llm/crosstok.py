@@ -9,13 +9,13 @@ not white space (no piece of B holds the blank mark after another character,
 which is checked when the model is loaded), so texts are cut there and each
 distinct piece of a block of documents is tokenised and aligned once.
 
-First pass: every task gives its distinct linked pairs with the number of its
-documents that hold them, dealt to shards by a hash of the pair. A minimal
-perfect hash function is built for the distinct pairs of every shard. The tasks'
-counts become dense vectors indexed by it, summed by branches of a shard and
-then over the branches. Second pass: the documents are aligned again, each block
-asks the shards for its pairs once, a shard compares every asked pair with the
-one stored in its slot, and the counts return to the block.
+The documents are aligned once. Every task gives its distinct linked pairs with
+the number of its documents that hold them, dealt to shards by a hash of the
+pair, and every block its documents and the pairs that it asks of each shard. A
+minimal perfect hash function is built for the distinct pairs of every shard. The
+tasks' counts become dense vectors indexed by it, summed by branches of a shard
+and then over the branches. Then a shard compares every asked pair with the one
+stored in its slot, and the counts return to the block.
 
 No task holds more than the distinct pairs of its shards; requests stream past
 them. The highest count of each A id is one number per entry of A's vocabulary,
@@ -57,7 +57,7 @@ BLOCK_BYTES = 4 << 20
 GATHERED = 2_000_000
 BRANCHES = 8
 STRINGS = 1 << 14  # pieces whose groups are written at a time
-_DOCUMENTS = -1  # shard of the rows that hold a block's documents
+_DOCUMENTS, _ASKED, _PAIRS = range(3)  # kinds of rows that the alignment gives
 
 
 class Names(NamedTuple):
@@ -263,9 +263,6 @@ class PerfectHash:
         return out
 
 
-_PAIRS = "shard int, branch int, keys binary, counts binary"
-
-
 def _sum_equal(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     names, at = np.unique(keys, return_inverse=True)
     sums = np.zeros(len(names), np.int64)
@@ -273,50 +270,116 @@ def _sum_equal(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return names, sums
 
 
-def _holders(block: Aligned, names: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """How many documents hold each distinct link (``links`` = names[code])."""
-    n_docs = len(block.doc_ptr) - 1
-    whole = _doc_sums(~block.good, block) == 0
-    doc = np.repeat(np.arange(n_docs), np.diff(block.doc_ptr))
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct numbers in order; ``np.unique`` hashes them, which takes longer."""
+    x = np.sort(x)
+    return x[np.diff(x, prepend=x[:1] - 1) != 0]
+
+
+def _holders(block: Aligned, whole: np.ndarray, link_ptr: np.ndarray, code: np.ndarray,
+             n_names: int) -> np.ndarray:
+    """How many of the ``whole`` documents hold each distinct link."""
+    doc = np.repeat(np.arange(len(whole)), np.diff(block.doc_ptr))
     held = whole[doc]
-    piece = np.unique(doc[held] * len(block.good) + block.index[held])
+    piece = _distinct(doc[held] * len(block.good) + block.index[held])
     doc, piece = np.divmod(piece, max(len(block.good), 1))
-    out = np.zeros(len(names), np.int64)
+    out = np.zeros(n_names, np.int64)
     # Whole documents, about a million links at a time.
-    step = np.cumsum(np.diff(block.link_ptr)[piece]) >> 20
+    step = np.cumsum(np.diff(link_ptr)[piece]) >> 20
     cuts = np.flatnonzero(np.diff(step)) + 1
     cuts = np.unique(np.searchsorted(doc, doc[cuts])) if len(cuts) else cuts
     for some in np.split(np.arange(len(piece)), cuts):
-        flat, ptr = gather(code, block.link_ptr, piece[some])
-        cell = np.unique(np.repeat(doc[some], np.diff(ptr)) * len(names) + flat)
-        out += np.bincount(cell % max(len(names), 1), minlength=len(names))
+        flat, ptr = gather(code, link_ptr, piece[some])
+        cell = _distinct(np.repeat(doc[some], np.diff(ptr)) * n_names + flat)
+        out += np.bincount(cell % max(n_names, 1), minlength=n_names)
     return out
 
 
-def _first_pass(path_a: str, path_b: str, shards: int):
-    def rows(keys: np.ndarray, counts: np.ndarray, branch: int) -> Iterator[pa.RecordBatch]:
-        shard = shard_of(keys, shards)
-        order = np.argsort(shard, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(shard[part[0]])], pa.int32()), pa.array([branch], pa.int32()),
-                 pa.array([pack(keys[part])], pa.binary()), pa.array([pack(counts[part])], pa.binary())],
-                names=["shard", "branch", "keys", "counts"])
+_BLOCKS = "block long, shard int, head binary, body binary"
+_BLOCK_SCHEMA = pa.schema([("block", pa.int64()), ("shard", pa.int32()),
+                           ("head", pa.binary()), ("body", pa.binary())])
+# Of pairs, the block is the branch, the head the keys and the body the counts.
+_ALIGNED = f"{_BLOCKS}, kind int"
+_ALIGNED_SCHEMA = _BLOCK_SCHEMA.append(pa.field("kind", pa.int32()))
+_FACTS = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
+                    ("n_groups", pa.int64()), ("n_links", pa.int64()), ("n_best", pa.int64()),
+                    ("count_sum", pa.int64()), ("groups_sha256", pa.string()), ("groups", pa.string())])
+FACTS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
+         "count_sum long, groups_sha256 string, groups string")
+
+
+def _row(*values: int | bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([v], f.type) for v, f in zip(values, _ALIGNED_SCHEMA)], schema=_ALIGNED_SCHEMA)
+
+
+def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The shards of the keys, and the places of each one's."""
+    shard = shard_of(keys, shards)
+    order = np.argsort(shard, kind="stable")
+    cuts = np.flatnonzero(np.diff(shard[order])) + 1
+    return ((int(shard[part[0]]), part) for part in np.split(order, cuts) if len(part))
+
+
+def _facts(doc_ids: pa.Array, block: Aligned, whole: np.ndarray, groups: bool) -> bytes:
+    """What is known of a block's documents before the counts."""
+    facts = [_doc_sums(n, block) * whole for n in
+             (block.n_a, block.n_b, block.n_groups, np.diff(block.link_ptr))]
+    digests, texts = [], []
+    for a, b, w in zip(block.doc_ptr, block.doc_ptr[1:], whole):
+        text = b"".join([block.groups[i] for i in block.index[a:b].tolist()])[:-1] if w else b""
+        digests.append(hashlib.sha256(text).hexdigest() if text else "")
+        texts.append(text.decode() if groups else None)
+    nothing = pa.nulls(len(doc_ids), pa.int64())
+    head = pa.RecordBatch.from_arrays([
+        doc_ids.cast(pa.int64()), *[pa.array(f) for f in facts], nothing, nothing,
+        pa.array(digests, pa.string()), pa.array(texts, pa.string())], schema=_FACTS)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _FACTS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(head)
+    return sink.getvalue().to_pybytes()
+
+
+def _aligned(path_a: str, path_b: str, shards: int, documents: bool, groups: bool):
+    """The tasks' pairs and, if ``documents``, each block's documents and what it
+    asks of each shard."""
+    def rows(doc_ids: pa.Array, texts: pa.Array):
+        """Gives a block's rows; returns its distinct pairs and their counts."""
+        block = align_block(texts, path_a, path_b, groups=documents)
+        whole = _doc_sums(~block.good, block) == 0
+        head = _facts(doc_ids, block, whole, groups) if documents else b""
+        block.groups.clear()
+        # Pieces of documents without tokens ask and count for nothing.
+        used = np.zeros(len(block.good), bool)
+        used[block.index[np.repeat(whole, np.diff(block.doc_ptr))]] = True
+        links, link_ptr = _only(block.links, block.link_ptr, used)
+        names, code = np.unique(links, return_inverse=True)
+        held = _holders(block, whole, link_ptr, code, len(names))
+        if documents:
+            body = pack(block.doc_ptr.astype(np.int64), block.index.astype(np.uint32),
+                        whole.astype(np.uint8), link_ptr.astype(np.int64), code.astype(np.uint32))
+            block_id = int.from_bytes(hashlib.blake2b(
+                head + body, digest_size=8).digest(), "little", signed=True)
+            yield _row(block_id, -1, head, body, _DOCUMENTS)
+            for shard, part in _by_shard(names, shards):
+                yield _row(block_id, shard, pack(part.astype(np.uint32)), pack(names[part]), _ASKED)
+        return names, held
+
+    def pairs(keys: np.ndarray, counts: np.ndarray, branch: int) -> Iterator[pa.RecordBatch]:
+        for shard, part in _by_shard(keys, shards):
+            yield _row(branch, shard, pack(keys[part]), pack(counts[part]), _PAIRS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, branch = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
         for batch in batches:
             for x, y in steps(batch.column(1), BLOCK_BYTES):
-                block = align_block(batch.column(1).slice(x, y - x), path_a, path_b, groups=False)
-                names, code = np.unique(block.links, return_inverse=True)
-                held = _holders(block, names, code)
-                keys, counts = _sum_equal(np.concatenate((keys, names[held > 0])),
-                                          np.concatenate((counts, held[held > 0])))
-                branch = int(_mix(np.array([len(block.index) + len(keys)]), 7)[0] % np.uint64(BRANCHES))
+                names, held = yield from rows(*(c.slice(x, y - x) for c in batch.columns))
+                keys, counts = _sum_equal(np.concatenate((keys, names)), np.concatenate((counts, held)))
+                branch = int(_mix(np.array([y - x + len(keys)]), 7)[0] % np.uint64(BRANCHES))
                 if len(keys) > GATHERED:
-                    yield from rows(keys, counts, branch)
+                    yield from pairs(keys, counts, branch)
                     keys, counts = keys[:0], counts[:0]
-        yield from rows(keys, counts, branch)
+        yield from pairs(keys, counts, branch)
     return run
 
 
@@ -378,9 +441,24 @@ def count_pairs(docs: DataFrame, work: Workspace, path_a: str = MODEL_A, path_b:
                 text_col: str = "text") -> DataFrame:
     """The counts of all linked pairs by shard: (shard, function, keys, counts),
     keys and counts in the order of the function's slots."""
+    texts = docs.select(F.lit(0).cast("long"), F.col(text_col).alias("text"))
+    return _counts(_write_aligned(texts, work, path_a, path_b, documents=False), work)
+
+
+def _write_aligned(texts: DataFrame, work: Workspace, path_a: str, path_b: str, documents: bool,
+                   groups: bool = False) -> DataFrame:
+    shards = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
+    run = give_back(_aligned(path_a, path_b, shards, documents, groups))
+    texts.mapInArrow(run, _ALIGNED).write.mode("overwrite").partitionBy("kind") \
+        .parquet(work.path("aligned"))
+    return work.spark.read.schema(_ALIGNED).parquet(work.path("aligned"))
+
+
+def _counts(aligned: DataFrame, work: Workspace) -> DataFrame:
     shards = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = work.keep(docs.select(F.lit(0), F.col(text_col).alias("text"))
-                      .mapInArrow(give_back(_first_pass(path_a, path_b, shards)), _PAIRS), "pairs")
+    pairs = aligned.where(F.col("kind") == _PAIRS).select(
+        "shard", F.col("block").cast("int").alias("branch"), F.col("head").alias("keys"),
+        F.col("body").alias("counts"))
     functions = work.keep(
         pairs.select("shard", "keys").repartition(shards, "shard")
         .mapInArrow(_functions, "shard int, function binary, keys binary"), "functions")
@@ -419,66 +497,6 @@ def _highest(counts: DataFrame, vocabulary: int) -> np.ndarray:
     return out
 
 
-_BLOCKS = "block long, shard int, head binary, body binary"
-_BLOCK_SCHEMA = pa.schema([("block", pa.int64()), ("shard", pa.int32()),
-                           ("head", pa.binary()), ("body", pa.binary())])
-_FACTS = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
-                    ("n_groups", pa.int64()), ("n_links", pa.int64()), ("n_best", pa.int64()),
-                    ("count_sum", pa.int64()), ("groups_sha256", pa.string()), ("groups", pa.string())])
-FACTS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
-         "count_sum long, groups_sha256 string, groups string")
-
-
-def _second_pass(path_a: str, path_b: str, shards: int, groups: bool):
-    """A block's documents, and what it asks of each shard."""
-    def row(block: int, shard: int, head: bytes, body: bytes) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([v], f.type) for v, f in zip((block, shard, head, body), _BLOCK_SCHEMA)],
-            schema=_BLOCK_SCHEMA)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, y in steps(batch.column(1), BLOCK_BYTES):
-                block = align_block(batch.column(1).slice(x, y - x), path_a, path_b, groups=True)
-                whole = _doc_sums(~block.good, block) == 0
-                facts = [_doc_sums(n, block) * whole for n in
-                         (block.n_a, block.n_b, block.n_groups, np.diff(block.link_ptr))]
-                digests, texts = [], []
-                for a, b, w in zip(block.doc_ptr, block.doc_ptr[1:], whole):
-                    text = b"".join([block.groups[i] for i in block.index[a:b].tolist()])[:-1] if w else b""
-                    digests.append(hashlib.sha256(text).hexdigest() if text else "")
-                    texts.append(text.decode() if groups else None)
-                nothing = pa.nulls(y - x, pa.int64())
-                head = pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(x, y - x).cast(pa.int64()), *[pa.array(f) for f in facts],
-                    nothing, nothing,
-                    pa.array(digests, pa.string()), pa.array(texts, pa.string())],
-                    schema=_FACTS)
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, _FACTS, options=pa.ipc.IpcWriteOptions(
-                        compression="zstd")) as out:
-                    out.write_batch(head)
-                # Pieces of documents without tokens ask for nothing.
-                used = np.zeros(len(block.good), bool)
-                used[block.index[np.repeat(whole, np.diff(block.doc_ptr))]] = True
-                links, link_ptr = _only(block.links, block.link_ptr, used)
-                names, code = np.unique(links, return_inverse=True)
-                body = pack(block.doc_ptr.astype(np.int64), block.index.astype(np.uint32),
-                            whole.astype(np.uint8), link_ptr.astype(np.int64),
-                            code.astype(np.uint32))
-                head = sink.getvalue().to_pybytes()
-                block_id = int.from_bytes(hashlib.blake2b(
-                    head + body, digest_size=8).digest(), "little", signed=True)
-                yield row(block_id, _DOCUMENTS, head, body)
-                shard = shard_of(names, shards)
-                order = np.argsort(shard, kind="stable")
-                cuts = np.flatnonzero(np.diff(shard[order])) + 1
-                for part in np.split(order, cuts) if len(order) else []:
-                    yield row(block_id, int(shard[part[0]]), pack(part.astype(np.uint32)),
-                              pack(names[part]))
-    return run
-
-
 def _answers(highest: np.ndarray):
     """Counts for what blocks ask; a shard's table comes before the requests."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -492,7 +510,7 @@ def _answers(highest: np.ndarray):
                 asked = unpack(second.as_py())[0]
                 slot = function.slots(asked) if at == shard.as_py() else np.full(len(asked), -1)
                 if (slot < 0).any() or (keys[slot] != asked).any():
-                    raise RuntimeError("a pair was not counted: texts changed between the passes")
+                    raise RuntimeError("a pair was not counted")
                 n = counts[slot]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([block.as_py()], pa.int64()), pa.array([at], pa.int32()),
@@ -529,23 +547,20 @@ def align(docs: DataFrame, work: Workspace, path_a: str = MODEL_A, path_b: str =
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum,
     groups_sha256 and, on demand, groups (the groups' ids as text)."""
     shards = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = count_pairs(docs, work, path_a, path_b, text_col)
-    highest = _highest(counts, len(names_a(path_a).length))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    second = texts.mapInArrow(give_back(_second_pass(path_a, path_b, shards, groups)), _BLOCKS)
-    second.withColumn("documents", F.col("shard") == _DOCUMENTS).write.mode("overwrite") \
-        .partitionBy("documents").parquet(work.path("blocks"))
-    read = work.spark.read.schema(f"{_BLOCKS}, documents boolean").parquet(work.path("blocks"))
+    aligned = _write_aligned(texts, work, path_a, path_b, True, groups)
+    counts = _counts(aligned, work)
+    highest = _highest(counts, len(names_a(path_a).length))
     none = F.lit(None).cast("binary")
     tables = counts.select("shard", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("block"),
                            F.col("function").alias("first"), F.col("keys").alias("second"),
                            F.col("counts").alias("third"))
-    asked = read.where("not documents").select(
+    asked = aligned.where(F.col("kind") == _ASKED).select(
         "shard", F.lit(1).alias("kind"), "block", F.col("head").alias("first"),
         F.col("body").alias("second"), none.alias("third"))
     answers = (tables.unionByName(asked).repartition(shards, "shard")
                .sortWithinPartitions("shard", "kind").mapInArrow(give_back(_answers(highest)), _BLOCKS))
-    documents = read.where("documents").drop("documents")
+    documents = aligned.where(F.col("kind") == _DOCUMENTS).drop("kind")
     return (documents.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(_finish, FACTS))
 
