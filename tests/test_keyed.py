@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import random
+import time
+import uuid
+from bisect import bisect_right
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,3 +70,67 @@ def test_empty_tables_and_writers(spark):
     table.update(_frame(spark, {1: "b"}))
     with pytest.raises(Conflict):
         table.table.commit(version, {name: None, "5_5_x": "data/x/part=0"})
+
+
+def test_a_row_does_not_meet_all_ranges(spark):
+    table = KeyedTable(spark, fresh(spark, "test-keyed-place"), SCHEMA, "id")
+    starts = sorted(random.Random(4).sample(range(-10 ** 9, 10 ** 9), 20_000))
+    some = [(k,) for s in [*starts[:9], *starts[-9:]] for k in (s - 1, s, s + 1)]
+    some += [(-2 ** 63,), (2 ** 63 - 1,), (0,), (None,)]
+    for n in (0, 1, 2, 3, 4, 7, 8, 20_000):
+        placed = spark.createDataFrame(some, "id long").select("id", table._place(starts[:n]).alias("at"))
+        assert placed.schema["at"].dataType == T.IntegerType()
+        assert all(r["at"] == (0 if r["id"] is None else bisect_right(starts[:n], r["id"]))
+                   for r in placed.collect())
+
+    def seconds(n):
+        began = time.time()
+        keys = spark.range(-200_000, 200_000, numPartitions=4).select((F.col("id") * 5000).alias("id"))
+        keys.select(F.sum(table._place(starts[:n]))).collect()
+        return time.time() - began
+    seconds(20)
+    assert seconds(20_000) < 10 * seconds(20) + 5  # comparisons with all starts: 1000 times as many
+
+
+def _jobs(spark, run):
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ranges_that_grow_are_cut_together(spark):
+    jobs = []
+    for n in (6, 24):
+        table = KeyedTable(spark, fresh(spark, "test-keyed-cuts"), SCHEMA, "id", rows_per_range=10)
+        table.build(spark.range(0, 60 * n, 6).select("id", F.lit("a").alias("v")))
+        assert len(table.ranges()) == n
+        odd = spark.range(0, 60 * n).where("id % 6 != 0").select("id", F.lit("n").alias("v"))
+        jobs.append(_jobs(spark, lambda: table.update(odd)))
+        bounds = [table._range(p) for p in table.ranges()]
+        assert len(bounds) > 4 * n and all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
+        assert rows(table.read()) == sorted([(i, "n" if i % 6 else "a") for i in range(60 * n)], key=repr)
+        # What was written before the cut is not left behind.
+        live = set(table.table.parts().values())
+        folders = {f.rsplit("/", 1)[0] for f in live}
+        for folder in folders:
+            left = {f"{folder}/{name}" for name, _ in table.table._names(table.table.path(folder)) if "=" in name}
+            assert left <= live
+    assert jobs[1] - jobs[0] <= 4
+
+
+def test_keys_of_updates_and_builds_are_checked(spark):
+    table = KeyedTable(spark, fresh(spark, "test-keyed-unique"), SCHEMA, "id", rows_per_range=5)
+    for bad in ([(1, "a"), (1, "b")], [(None, "a")]):
+        with pytest.raises(ValueError, match="unique"):
+            table.build(spark.createDataFrame(bad, SCHEMA))
+    table.build(_frame(spark, {i: "a" for i in range(40)}))
+    for bad in ([(3, "x"), (3, "y")], [(7, "x"), (None, "y")], [(99, "x"), (99, "x")]):
+        with pytest.raises(ValueError, match="unique"):
+            table.update(spark.createDataFrame(bad, SCHEMA))
+    # A key that is removed and given again, and one that is removed twice.
+    table.update(_frame(spark, {3: "x"}), spark.createDataFrame([(3,), (4,), (4,), (None,)], "id long"))
+    assert rows(table.read()) == rows(_frame(spark, {i: "x" if i == 3 else "a" for i in range(40) if i != 4}))
